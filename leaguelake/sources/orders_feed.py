@@ -263,7 +263,7 @@ def damaged_envelopes(envelopes: DataFrame, round_column: Column) -> DataFrame:
     """Spoils some responses by their round, one kind of damage each; the others stay as they are."""
     payload = F.col("payload")
     spoiled = (
-        F.when(round_column % 11 == 0, F.substring(payload, 2, 1_000_000_000))
+        F.when(round_column % 11 == 0, F.expr("left(payload, length(payload) - 1)"))
         .when(round_column % 13 == 0, F.replace(payload, F.lit('"matches":'), F.lit('"fixtures":')))
         .when(round_column % 17 == 0, F.concat(F.lit('{"matches":{"only":'), payload, F.lit("}}")))
         .otherwise(payload)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leaguelake.sources.schemas import PARTITIONS, SCHEMAS
+from leaguelake.sources.schemas import PARTITIONS, SCHEMAS, UNIT
 
 
 @cache
@@ -43,19 +44,16 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite") -> None:
-    """Replaces just the partitions present in df.
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], keep_others: bool) -> None:
+    """Writes df by partition, replacing only the partitions it holds or the whole table.
 
     The rebalance hint groups rows by partition before the write, while adaptive execution still
     splits a partition too large for one task and merges the small ones.
     """
-    if not partition_by:
-        df.write.mode(mode).parquet(path)
-        return
     (
         df.hint("rebalance", *partition_by)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
         .partitionBy(*partition_by)
         .parquet(path)
     )
@@ -71,6 +69,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def in_units(units: Sequence[tuple[str, str]]) -> Column:
+    """Membership in a short list of (competition, season) units; on stored tables it prunes folders."""
+    by_competition: dict[str, list[str]] = {}
+    for competition, season in units:
+        by_competition.setdefault(competition, []).append(season)
+    tests = [
+        (F.col("competition_code") == competition) & F.col("season").isin(seasons)
+        for competition, seasons in by_competition.items()
+    ]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 class Lake:
     """The stored tables below one root folder, each layer a sub-folder."""
 
@@ -87,7 +102,7 @@ class Lake:
         partitions = PARTITIONS.get(name, ())
         path = self.path("raw", name)
         if partitions:
-            write_partitioned(df.select(*schema.names), path, partitions)
+            write_partitioned(df.select(*schema.names), path, partitions, keep_others=True)
         else:
             df.select(*schema.names).write.mode("append").parquet(path)
 
@@ -109,10 +124,27 @@ class Lake:
         return self.contract(name, "audit")
 
     def save(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Stores a model; with partition columns only the units present in df are replaced."""
+        """Replaces a whole table and reads it back."""
         path = self.path(layer, name)
-        write_partitioned(df, path, partition_by)
+        if partition_by:
+            write_partitioned(df, path, partition_by, keep_others=False)
+        else:
+            df.write.mode("overwrite").parquet(path)
         return read_stored(self.spark, path, df.schema)
 
+    def save_units(self, layer: str, name: str, df: DataFrame, units: Sequence[tuple[str, str]]) -> DataFrame:
+        """Replaces the given (competition, season) units of a table and reads those back.
+
+        Each write swaps whole partition folders; a unit left without rows loses its folder.
+        """
+        path = self.path(layer, name)
+        written = Observation()
+        watched = df.observe(written, F.collect_set(F.array(*UNIT)).alias("units"))
+        write_partitioned(watched, path, UNIT, keep_others=True)
+        filled = {tuple(unit) for unit in written.get["units"]}
+        for competition, season in set(units) - filled:
+            remove(self.spark, f"{path}/competition_code={competition}/season={season}")
+        return read_stored(self.spark, path, df.schema).filter(in_units(units))
+
     def load(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
         return read_stored(self.spark, self.path(layer, name), schema)
