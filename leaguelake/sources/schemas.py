@@ -124,6 +124,7 @@ PARTITIONS = {
     "raw_teams": (*UNIT, "run_id"),
     "raw_matches": (*UNIT, "run_id"),
     "raw_standings": (*UNIT, "run_id"),
+    "raw_rejects": ("dataset", "run_id"),
 }
 
 # Fixed values of the provider's vocabulary.

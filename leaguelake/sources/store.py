@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from functools import cache, reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,11 @@ def session_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/leaguelake/{spark.sparkContext.applicationId}"
 
 
+def clear_session(spark: SparkSession) -> None:
+    """Drops everything this session stored for its own use."""
+    remove(spark, session_folder(spark))
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes df once and reads it back: a fixed, re-readable result that outlives its executors."""
     spark = df.sparkSession
@@ -64,14 +69,26 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, jvm_path = _file_system(spark, path)
+    return file_system.exists(jvm_path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    file_system, jvm_path = _file_system(spark, path)
+    file_system.delete(jvm_path, True)
+
+
+def file_names(spark: SparkSession, folder: str) -> set[str]:
+    file_system, jvm_path = _file_system(spark, folder)
+    if not file_system.exists(jvm_path):
+        return set()
+    return {status.getPath().getName() for status in file_system.listStatus(jvm_path)}
 
 
 def in_units(units: Sequence[tuple[str, str]]) -> Column:
@@ -98,13 +115,8 @@ class Lake:
 
     def land(self, name: str, df: DataFrame) -> None:
         """Adds a load to a RAW table, replacing only an earlier copy of the same run."""
-        schema = SCHEMAS[name]
-        partitions = PARTITIONS.get(name, ())
-        path = self.path("raw", name)
-        if partitions:
-            write_partitioned(df.select(*schema.names), path, partitions, keep_others=True)
-        else:
-            df.select(*schema.names).write.mode("append").parquet(path)
+        columns = SCHEMAS[name].names
+        write_partitioned(df.select(*columns), self.path("raw", name), PARTITIONS[name], keep_others=True)
 
     def append_audit(self, name: str, df: DataFrame) -> None:
         schema = SCHEMAS[name]
@@ -135,16 +147,21 @@ class Lake:
     def save_units(self, layer: str, name: str, df: DataFrame, units: Sequence[tuple[str, str]]) -> DataFrame:
         """Replaces the given (competition, season) units of a table and reads those back.
 
-        Each write swaps whole partition folders; a unit left without rows loses its folder.
+        Each write swaps whole partition folders. A unit left without rows is not part of the
+        write and still holds its old files, so its folder is removed.
         """
         path = self.path(layer, name)
-        written = Observation()
-        watched = df.observe(written, F.collect_set(F.array(*UNIT)).alias("units"))
-        write_partitioned(watched, path, UNIT, keep_others=True)
-        filled = {tuple(unit) for unit in written.get["units"]}
-        for competition, season in set(units) - filled:
-            remove(self.spark, f"{path}/competition_code={competition}/season={season}")
+        folders = {unit: f"{path}/competition_code={unit[0]}/season={unit[1]}" for unit in units}
+        before = {unit: file_names(self.spark, folder) for unit, folder in folders.items()}
+        write_partitioned(df, path, UNIT, keep_others=True)
+        for unit, folder in folders.items():
+            if before[unit] and before[unit] == file_names(self.spark, folder):
+                remove(self.spark, folder)
         return read_stored(self.spark, path, df.schema).filter(in_units(units))
 
-    def load(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
-        return read_stored(self.spark, self.path(layer, name), schema)
+    def stored(self, layer: str, name: str) -> DataFrame:
+        """Opens a stored model; its unit columns are text whatever their values look like."""
+        path = self.path(layer, name)
+        found = self.spark.read.parquet(path).schema
+        text = [T.StructField(f.name, T.StringType() if f.name in UNIT else f.dataType, f.nullable) for f in found]
+        return read_stored(self.spark, path, T.StructType(text))

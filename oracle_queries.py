@@ -286,6 +286,109 @@ runs AS (
          CASE WHEN status = 'FAILED' THEN 'failed: ' || props END AS error_message
   FROM judged)"""
 
+# ---- the data tests over every model ------------------------------------------------------------
+
+EVERY_MODEL = (
+    TABLE
+    + ",\n" + LEAGUE_PROGRESSION.split("FROM progression)", 1)[1].lstrip(",\n")
+    + ",\n" + HOME_AWAY.split("FROM sides)", 1)[1].lstrip(",\n")
+    + ",\n" + GOALS.split("FROM sides)", 1)[1].lstrip(",\n")
+    + ",\n" + PROVIDER
+    + """,
+stg_matches AS (SELECT *, hg AS full_time_home_goals, ag AS full_time_away_goals FROM matches),
+raw_matches AS (SELECT m.*, r.run_id FROM matches m, (VALUES ('load-1'), ('load-2')) AS r(run_id)),
+raw_teams AS (SELECT s.*, r.run_id FROM stg_teams s, (VALUES ('load-1'), ('load-2')) AS r(run_id)),
+stg_competitions AS (SELECT DISTINCT competition_code,
+  2000 + CAST(substr(competition_code, 2, 1) AS BIGINT) AS competition_id FROM matches),
+raw_competitions AS (SELECT c.*, r.run_id FROM stg_competitions c, (VALUES ('load-1'), ('load-2')) AS r(run_id)),
+raw_standings AS (SELECT DISTINCT competition_code, season FROM provider),
+dim_season AS (SELECT competition_code, season FROM matches GROUP BY competition_code, season),
+dim_matchweek AS (SELECT competition_code, season, matchweek FROM matches WHERE matchweek IS NOT NULL
+  GROUP BY competition_code, season, matchweek),
+dim_date AS (SELECT CAST(unnest(generate_series(min(kickoff_utc), max(kickoff_utc), INTERVAL 1 DAY)) AS DATE)
+  AS date_key FROM matches)"""
+)
+
+_MODEL_SOURCES = {
+    "int_match_team_performance": "performance", "int_table_progression": "progression", "stg_standings": "provider",
+    "fact_match": "stg_matches", "fact_team_match": "performance", "fact_standing_snapshot": "snapshots",
+    "mart_league_table": "league_table", "mart_league_progression": "league_progression", "mart_team_form": "form",
+    "mart_home_away_performance": "home_away", "mart_goal_analysis": "goal_analysis",
+}
+_STATUSES = "'SCHEDULED','TIMED','IN_PLAY','PAUSED','FINISHED','SUSPENDED','POSTPONED','CANCELLED','AWARDED'"
+_NOT_NULL = {
+    "raw_competitions": "competition_code run_id", "raw_teams": "competition_code run_id",
+    "raw_matches": "match_id competition_code season", "raw_standings": "competition_code season",
+    "stg_competitions": "competition_code competition_id", "stg_teams": "team_id competition_code season",
+    "stg_matches": "match_id home_team_id away_team_id", "stg_standings": "team_id api_position points",
+    "int_match_team_performance": "match_id team_id",
+    "int_table_progression": "team_id competition_code league_position points",
+    "dim_team": "team_id team_name", "dim_season": "season", "dim_date": "date_key",
+    "fact_match": "match_id home_team_id away_team_id", "fact_team_match": "team_id",
+    "fact_standing_snapshot": "team_id league_position", "mart_league_table": "team_id league_position",
+}
+_UNIQUE = {"stg_competitions": "competition_code", "stg_matches": "match_id", "dim_team": "team_id",
+           "dim_date": "date_key", "fact_match": "match_id"}
+_UNIQUE_TOGETHER = {
+    "int_match_team_performance": "match_id team_id",
+    "int_table_progression": "competition_code team_id as_of_match_id",
+    "dim_season": "competition_code season", "dim_matchweek": "competition_code season matchweek",
+    "fact_team_match": "match_id team_id", "fact_standing_snapshot": "competition_code season matchweek team_id",
+    "mart_league_table": "competition_code team_id season",
+    "mart_league_progression": "competition_code team_id season matchweek", "mart_team_form": "match_id team_id",
+    "mart_home_away_performance": "competition_code team_id season",
+    "mart_goal_analysis": "competition_code team_id season",
+}
+_FOREIGN = [("fact_match", "home_team_id"), ("fact_match", "away_team_id"), ("fact_team_match", "team_id"),
+            ("fact_standing_snapshot", "team_id")]
+_PREDICATES = [
+    ("stg_matches", "accepted_values_match_status", f"match_status NOT IN ({_STATUSES})", "FAIL"),
+    ("stg_matches", "accepted_range_full_time_home_goals", "full_time_home_goals < 0", "WARN"),
+    ("stg_matches", "accepted_range_full_time_away_goals", "full_time_away_goals < 0", "WARN"),
+    ("int_match_team_performance", "accepted_values_result", "result NOT IN ('WIN','DRAW','LOSS')", "FAIL"),
+    ("int_match_team_performance", "accepted_values_points", "points NOT IN (0, 1, 3)", "FAIL"),
+    ("fact_team_match", "accepted_values_points", "points NOT IN (0, 1, 3)", "FAIL"),
+    ("stg_matches", "home_team_not_away_team", "home_team_id = away_team_id", "FAIL"),
+    ("fact_match", "winner_matches_score", """match_status IN ('FINISHED', 'AWARDED')
+      AND ((full_time_home_goals > full_time_away_goals AND winner <> 'HOME_TEAM')
+        OR (full_time_home_goals < full_time_away_goals AND winner <> 'AWAY_TEAM')
+        OR (full_time_home_goals = full_time_away_goals AND winner <> 'DRAW'))""", "FAIL"),
+]
+
+
+def _every_check() -> str:
+    def line(model: str, test: str, severity: str, failing: str) -> str:
+        return (f"SELECT '{model}' AS model_name, '{test}' AS test_name, '{severity}' AS severity, "
+                f"({failing}) AS failing")
+
+    def source(model: str) -> str:
+        return _MODEL_SOURCES.get(model, model)
+
+    def where(model: str, condition: str) -> str:
+        return f"SELECT count(*) FILTER (WHERE {condition}) FROM {source(model)}"
+
+    def repeated(model: str, columns: str, wrong: str = "> 1") -> str:
+        return f"SELECT count(*) FROM (SELECT 1 FROM {source(model)} GROUP BY {columns} HAVING count(*) {wrong})"
+
+    lines = [line(m, f"not_null_{c}", "FAIL", where(m, f"{c} IS NULL")) for m, cs in _NOT_NULL.items() for c in cs.split()]
+    lines += [line(m, f"unique_{c}", "FAIL", repeated(m, c)) for m, c in _UNIQUE.items()]
+    lines += [
+        line(m, f"unique_combination_{cs.replace(' ', '_')}", "FAIL", repeated(m, cs.replace(" ", ", ")))
+        for m, cs in _UNIQUE_TOGETHER.items()
+    ]
+    lines += [
+        line(m, f"relationships_{c}_dim_team", "FAIL",
+             f"SELECT count(*) FROM {source(m)} WHERE {c} NOT IN (SELECT team_id FROM dim_team)")
+        for m, c in _FOREIGN
+    ]
+    lines += [line(m, test, severity, where(m, condition)) for m, test, condition, severity in _PREDICATES]
+    lines.append(line("fact_team_match", "two_team_rows_per_match", "FAIL", repeated("fact_team_match", "match_id", "<> 2")))
+    return (
+        "SELECT model_name, test_name, CASE WHEN failing = 0 THEN 'PASS' ELSE severity END AS status, "
+        "failing AS failing_row_count FROM (" + "\nUNION ALL\n".join(lines) + ")"
+    )
+
+
 UNIT = "competition_code = '{competition}' AND season = '{season}'"
 
 
@@ -540,6 +643,7 @@ spoiled AS (SELECT *, {broken_round} AS reason FROM matches)""",
   JOIN goal_analysis g ON g.competition_code = l.competition_code AND g.season = l.season AND g.team_id = l.team_id
   WHERE l.competition_code = '{competition}' AND l.season = '{season}' AND l.team_id IN ({team_a}, {team_b})""",
         ),
+        "dq_results": _with(EVERY_MODEL, _every_check()),
         "dq_violations_seeded": _with(
             PERFORMANCE + """,
 spoilt AS (
