@@ -78,5 +78,6 @@ def dim_date_of(stg_matches: DataFrame) -> DataFrame:
 
 
 def _spine(bounds: DataFrame) -> DataFrame:
-    days = F.sequence("first", F.date_sub("end", 1), F.expr("interval 1 day"))
-    return bounds.filter(F.col("first") < F.col("end")).select(F.explode(days).alias("date_day"))
+    last = F.greatest(F.col("first"), F.date_sub("end", 1))
+    days = F.sequence("first", last, F.expr("interval 1 day"))
+    return bounds.select("end", F.explode(days).alias("date_day")).filter(F.col("date_day") < F.col("end"))

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 from leaguelake.functions.expressions import row_key
 from leaguelake.functions.seasons import check_range, current_season, utc_today
 from leaguelake.plans import audit
-from leaguelake.sources.payloads import LANDERS, Landing, read_envelopes
+from leaguelake.sources.payloads import LANDERS, MATCH_WITHOUT_ID, Landing, read_envelopes
 from leaguelake.sources.schemas import DATASETS
 from leaguelake.sources.store import Lake, cut
 
 SOURCE = "payload-files"
 BACKFILL, DAILY = "leaguelake.backfill", "leaguelake.daily"
-MATCH_WITHOUT_ID = "match without id"
 RUN_KEY = ["dataset", "competition_code", "season"]
 
 
@@ -93,52 +92,53 @@ def _runs(work: DataFrame, pipeline_name: str, moment: datetime) -> DataFrame:
     )
 
 
-def _load_dataset(lake: Lake, dataset: str, runs: DataFrame, envelopes: DataFrame, keys: Sequence[str], moment: datetime) -> DataFrame:
+def _load_dataset(
+    lake: Lake, dataset: str, runs: DataFrame, envelopes: DataFrame, keys: Sequence[str], moment: datetime
+) -> DataFrame:
     """Lands one dataset and appends the end of every run. Returns the refused runs with reasons."""
     asked = stamp(envelopes, runs, keys, moment)
     landing: Landing = LANDERS[dataset](asked)
-    rejects = cut(landing.rejects, "rejects")
-    lake.land("raw_rejects", rejects)
+    ours = runs.select("run_id")
+    lake.land("raw_rejects", landing.rejects)
+    rejects = lake.raw("raw_rejects").filter(F.col("dataset") == dataset).join(ours, "run_id", "left_semi")
 
     answered = asked.select("run_id").distinct()
-    silent = runs.select("run_id").join(answered, "run_id", "left_anti").withColumn("reason", F.lit("no response"))
+    silent = ours.join(answered, "run_id", "left_anti").withColumn("reason", F.lit("no response"))
     broken = rejects.filter(F.col("reason") != MATCH_WITHOUT_ID).select("run_id", "reason")
     refused = cut(silent.unionByName(broken).groupBy("run_id").agg(F.max("reason").alias("reason")), "refused")
 
-    accepted = landing.rows.join(refused.select("run_id"), "run_id", "left_anti")
-    lake.land(f"raw_{dataset}", accepted)
-
-    landed = lake.raw(f"raw_{dataset}").join(runs.select("run_id"), "run_id", "left_semi")
-    inserted = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("inserted"))
-    dropped = rejects.groupBy("run_id").agg(F.count(F.lit(1)).alias("dropped"))
+    lake.land(f"raw_{dataset}", landing.rows.join(refused.select("run_id"), "run_id", "left_anti"))
+    landed = lake.raw(f"raw_{dataset}").join(ours, "run_id", "left_semi")
+    inserted = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
+    rejected = rejects.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_rejected"))
     counted = (
         runs.join(refused.select("run_id"), "run_id", "left_anti")
         .join(inserted, "run_id", "left")
-        .join(dropped, "run_id", "left")
-        .na.fill(0, ["inserted", "dropped"])
-        .withColumn("records_received", F.col("inserted") + F.col("dropped"))
-        .withColumn("records_inserted", F.col("inserted"))
-        .withColumn("records_rejected", F.col("dropped"))
+        .join(rejected, "run_id", "left")
+        .na.fill(0, ["records_inserted", "records_rejected"])
+        .withColumn("records_received", F.col("records_inserted") + F.col("records_rejected"))
     )
     done = _moment(_now())
-    lake.append_audit("pipeline_run_audit", audit.succeeded(counted, done))
-    lake.append_audit(
-        "pipeline_run_audit", audit.failed(runs.join(refused, "run_id"), done, F.col("reason"))
-    )
-    return runs.join(refused, "run_id").select("competition_code", "season", "reason")
+    refused_runs = runs.join(refused, "run_id")
+    ends = audit.succeeded(counted, done).unionByName(audit.failed(refused_runs, done, F.col("reason")))
+    lake.append_audit("pipeline_run_audit", ends)
+    return refused_runs.select("competition_code", "season", "reason")
 
 
-def _attempt(lake: Lake, dataset: str, runs: DataFrame, envelopes: DataFrame, keys: Sequence[str], moment: datetime) -> DataFrame:
+def _attempt(
+    lake: Lake, dataset: str, runs: DataFrame, envelopes: DataFrame, keys: Sequence[str], moment: datetime
+) -> DataFrame:
     lake.append_audit("pipeline_run_audit", audit.started(runs))
     try:
-        return cut(_load_dataset(lake, dataset, runs, envelopes, keys, moment), "refused_units")
+        return _load_dataset(lake, dataset, runs, envelopes, keys, moment)
     except Exception as error:
-        message = F.lit(str(error))
-        lake.append_audit("pipeline_run_audit", audit.failed(runs, _moment(_now()), message))
+        lake.append_audit("pipeline_run_audit", audit.failed(runs, _moment(_now()), F.lit(str(error))))
         raise
 
 
-def load_metadata(lake: Lake, inbox: str, competition_codes: Sequence[str], pipeline_name: str, moment: datetime | None = None) -> None:
+def load_metadata(
+    lake: Lake, inbox: str, competition_codes: Sequence[str], pipeline_name: str, moment: datetime | None = None
+) -> None:
     """Competition descriptions; never skipped."""
     moment = moment or _now()
     codes = lake.spark.createDataFrame([(c,) for c in competition_codes], "competition_code string")

@@ -6,7 +6,7 @@ response text in `payload`. Only the parts the models depend on are checked; ext
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,8 @@ from leaguelake.sources.schemas import DATASETS, ENVELOPE, RAW_REJECTS, SCHEMAS
 _DOC = "_document"
 _ITEM = "_item"
 _REASON = "_reason"
+_TEXT = "_text"
+MATCH_WITHOUT_ID = "match without id"
 
 
 @dataclass(frozen=True)
@@ -71,78 +73,77 @@ REQUIREMENTS: dict[str, list[tuple[str, Callable[[str], Column]]]] = {
 }
 
 
-def _checked(envelopes: DataFrame, dataset: str) -> DataFrame:
+def _reason(dataset: str) -> Column:
+    """Why a response is refused; null when it has everything that is required."""
     reason = F.when(F.col(_DOC).isNull(), "payload is not JSON")
     for path, holds in REQUIREMENTS[dataset]:
         reason = reason.when(~holds(path), f"missing or malformed: {path}")
-    return envelopes.withColumn(_DOC, F.try_parse_json("payload")).withColumn(_REASON, reason)
+    return reason
 
 
-def _rejects(df: DataFrame, dataset: str, payload: Column) -> DataFrame:
-    return df.select(
+def _opened(envelopes: DataFrame, dataset: str, items: Column, fault: Callable[[Column], Column]) -> DataFrame:
+    """One row per item of a sound response, and one row with a reason for anything refused.
+
+    Check and split happen inside one generator over the parsed document. A filter on the reason
+    would be pushed below the parse and repeat it for every requirement. Items travel without the
+    response text, which only a refused response keeps.
+    """
+    reason = _reason(dataset)
+
+    def line(why: Column, item: Column, text: Column) -> Column:
+        return F.struct(
+            why.cast("string").alias(_REASON), item.cast("variant").alias(_ITEM), text.cast("string").alias(_TEXT)
+        )
+
+    refused = F.array(line(reason, F.lit(None), F.col("payload")))
+    sound = F.transform(items, lambda item: line(fault(item), item, F.when(fault(item).isNotNull(), F.to_json(item))))
+    known = [c for c in envelopes.columns if c != "payload"]
+    return envelopes.withColumn(_DOC, F.try_parse_json("payload")).select(
+        *known, F.inline(F.when(reason.isNotNull(), refused).otherwise(sound))
+    )
+
+
+def _no_fault(_: Column) -> Column:
+    return F.lit(None).cast("string")
+
+
+def _landing(opened: DataFrame, dataset: str, lifted: Mapping[str, Column]) -> Landing:
+    rows = opened.filter(F.col(_REASON).isNull()).withColumn("raw_json", F.col(_ITEM)).withColumns(dict(lifted))
+    rejects = opened.filter(F.col(_REASON).isNotNull()).select(
         F.lit(dataset).alias("dataset"),
-        "competition_code",
-        "season",
-        "run_id",
-        "source",
-        "loaded_at",
+        "competition_code", "season", "run_id", "source", "loaded_at",
         F.col(_REASON).alias("reason"),
-        payload.alias("payload"),
-    ).select(*RAW_REJECTS.names)
+        F.col(_TEXT).alias("payload"),
+    )
+    return Landing(rows.select(*SCHEMAS[f"raw_{dataset}"].names), rejects.select(*RAW_REJECTS.names))
 
 
 def land_competitions(envelopes: DataFrame) -> Landing:
-    checked = _checked(envelopes, "competitions")
-    return Landing(
-        checked.filter(F.col(_REASON).isNull())
-        .withColumn("raw_json", F.col(_DOC))
-        .select(*SCHEMAS["raw_competitions"].names),
-        _rejects(checked.filter(F.col(_REASON).isNotNull()), "competitions", F.col("payload")),
-    )
+    """The whole response in one row."""
+    return _landing(_opened(envelopes, "competitions", F.array(_DOC), _no_fault), "competitions", {})
 
 
 def land_teams(envelopes: DataFrame) -> Landing:
-    checked = _checked(envelopes, "teams")
-    return Landing(
-        checked.filter(F.col(_REASON).isNull())
-        .withColumn("raw_json", F.explode(_items("teams")))
-        .select(*SCHEMAS["raw_teams"].names),
-        _rejects(checked.filter(F.col(_REASON).isNotNull()), "teams", F.col("payload")),
-    )
+    """One row per team; all rows of a load share its time."""
+    return _landing(_opened(envelopes, "teams", _items("teams"), _no_fault), "teams", {})
 
 
 def land_matches(envelopes: DataFrame) -> Landing:
-    """One row per match. The id and matchday are lifted out as text; a match without id is rejected."""
-    checked = _checked(envelopes, "matches")
-    items = (
-        checked.filter(F.col(_REASON).isNull())
-        .withColumn(_ITEM, F.explode(_items("matches")))
-        .drop(_DOC, "payload", _REASON)
-        .withColumn("match_id", field(_ITEM, "id"))
-    )
-    rows = (
-        items.filter(F.col("match_id").isNotNull())
-        .withColumn("matchweek", field(_ITEM, "matchday"))
-        .withColumnRenamed(_ITEM, "raw_json")
-        .select(*SCHEMAS["raw_matches"].names)
-    )
-    nameless = items.filter(F.col("match_id").isNull()).withColumn(_REASON, F.lit("match without id"))
-    rejects = _rejects(checked.filter(F.col(_REASON).isNotNull()), "matches", F.col("payload")).unionByName(
-        _rejects(nameless, "matches", F.to_json(_ITEM))
+    """One row per match. Its id and matchday are lifted out as text; a match without id is refused."""
+
+    def fault(item: Column) -> Column:
+        return F.when(field(item, "id").isNull(), MATCH_WITHOUT_ID)
+
+    opened = _opened(envelopes, "matches", _items("matches"), fault)
+    return _landing(
+        opened, "matches", {"match_id": field("raw_json", "id"), "matchweek": field("raw_json", "matchday")}
     )
-    return Landing(rows, rejects)
 
 
 def land_standings(envelopes: DataFrame) -> Landing:
     """The whole response in one row, under the UTC date of its load."""
-    checked = _checked(envelopes, "standings")
-    return Landing(
-        checked.filter(F.col(_REASON).isNull())
-        .withColumn("snapshot_date", F.col("loaded_at").cast("date"))
-        .withColumn("raw_json", F.col(_DOC))
-        .select(*SCHEMAS["raw_standings"].names),
-        _rejects(checked.filter(F.col(_REASON).isNotNull()), "standings", F.col("payload")),
-    )
+    opened = _opened(envelopes, "standings", F.array(_DOC), _no_fault)
+    return _landing(opened, "standings", {"snapshot_date": F.col("loaded_at").cast("date")})
 
 
 LANDERS: dict[str, Callable[[DataFrame], Landing]] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -91,6 +92,15 @@ def file_names(spark: SparkSession, folder: str) -> set[str]:
     return {status.getPath().getName() for status in file_system.listStatus(jvm_path)}
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    file_system, jvm_path = _file_system(spark, path)
+    stream = file_system.create(jvm_path, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def in_units(units: Sequence[tuple[str, str]]) -> Column:
     """Membership in a short list of (competition, season) units; on stored tables it prunes folders."""
     by_competition: dict[str, list[str]] = {}
@@ -142,7 +152,7 @@ class Lake:
             write_partitioned(df, path, partition_by, keep_others=False)
         else:
             df.write.mode("overwrite").parquet(path)
-        return read_stored(self.spark, path, df.schema)
+        return self._opened(layer, name, df.schema)
 
     def save_units(self, layer: str, name: str, df: DataFrame, units: Sequence[tuple[str, str]]) -> DataFrame:
         """Replaces the given (competition, season) units of a table and reads those back.
@@ -157,11 +167,17 @@ class Lake:
         for unit, folder in folders.items():
             if before[unit] and before[unit] == file_names(self.spark, folder):
                 remove(self.spark, folder)
-        return read_stored(self.spark, path, df.schema).filter(in_units(units))
+        return self._opened(layer, name, df.schema).filter(in_units(units))
 
     def stored(self, layer: str, name: str) -> DataFrame:
-        """Opens a stored model; its unit columns are text whatever their values look like."""
+        """Opens a stored model by the schema kept with it, so an empty table keeps its columns."""
         path = self.path(layer, name)
-        found = self.spark.read.parquet(path).schema
-        text = [T.StructField(f.name, T.StringType() if f.name in UNIT else f.dataType, f.nullable) for f in found]
-        return read_stored(self.spark, path, T.StructType(text))
+        text = self.spark.read.text(self._schema_path(layer, name), wholetext=True).first()[0]
+        return read_stored(self.spark, path, T.StructType.fromJson(json.loads(text)))
+
+    def _schema_path(self, layer: str, name: str) -> str:
+        return f"{self.root}/schemas/{layer}.{name}.json"
+
+    def _opened(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
+        _write_text(self.spark, self._schema_path(layer, name), schema.json())
+        return read_stored(self.spark, self.path(layer, name), schema)
