@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from leaguelake.sources.store import cut
 
 HOT_GROUP_ROWS = "spark.leaguelake.hotGroupRows"
-DEFAULT_HOT_GROUP_ROWS = 2_000_000
+DEFAULT_HOT_GROUP_ROWS = 1_000_000
 
 _N = "_group_rows"
 _PIECE = "_piece"

@@ -13,7 +13,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from leaguelake.plans import dimensions, facts, intermediate, marts, staging
-from leaguelake.sources.schemas import UNIT
 from leaguelake.sources.store import Lake, in_units
 
 Units = Sequence[tuple[str, str]]
@@ -38,10 +37,11 @@ class Models:
         rows = self.lake.raw(name)
         return rows if self.raw_units is None else rows.filter(in_units(self.raw_units))
 
-    def _by_unit(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+    def _by_unit(self, layer: str, name: str, df: DataFrame, projected: bool = False) -> DataFrame:
+        """Stores by unit; a row-by-row projection of a table stored by unit needs no shuffle."""
         if self.units is None:
-            return self.lake.save(layer, name, df, UNIT)
-        return self.lake.save_units(layer, name, df.filter(in_units(self.units)), self.units)
+            return self.lake.save_all_units(layer, name, df, projected)
+        return self.lake.save_units(layer, name, df.filter(in_units(self.units)), self.units, projected)
 
     @cached_property
     def stg_competitions(self) -> DataFrame:
@@ -63,7 +63,10 @@ class Models:
     @cached_property
     def int_match_team_performance(self) -> DataFrame:
         return self._by_unit(
-            "intermediate", "int_match_team_performance", intermediate.match_team_performance(self.stg_matches)
+            "intermediate",
+            "int_match_team_performance",
+            intermediate.match_team_performance(self.stg_matches),
+            projected=True,
         )
 
     @cached_property
@@ -90,15 +93,19 @@ class Models:
 
     @cached_property
     def fact_match(self) -> DataFrame:
-        return self._by_unit("marts", "fact_match", facts.fact_match(self.stg_matches))
+        return self._by_unit("marts", "fact_match", facts.fact_match(self.stg_matches), projected=True)
 
     @cached_property
     def fact_team_match(self) -> DataFrame:
-        return self._by_unit("marts", "fact_team_match", facts.fact_team_match(self.int_match_team_performance))
+        return self._by_unit(
+            "marts", "fact_team_match", facts.fact_team_match(self.int_match_team_performance), projected=True
+        )
 
     @cached_property
     def fact_standing_snapshot(self) -> DataFrame:
-        return self._by_unit("marts", "fact_standing_snapshot", facts.fact_standing_snapshot(self.int_table_progression))
+        return self._by_unit(
+            "marts", "fact_standing_snapshot", facts.fact_standing_snapshot(self.int_table_progression), projected=True
+        )
 
     @cached_property
     def mart_team_form(self) -> DataFrame:

@@ -24,27 +24,31 @@ def _collect_units(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def linked_units(lake: Lake, units: Units) -> Units:
-    """The units themselves and every unit holding a copy of one of their matches.
+    """Units in which a match seen in the given units is stored at present.
 
-    Reads only ids and partition columns, one row per match and unit after the first combine.
+    Staging holds every match once, where its latest load before this refresh put it. Only ids are
+    read: those of the given units from RAW, pruned by folder, and the staged ones.
     """
     if not units:
         return []
-    places = lake.raw("raw_matches").select("match_id", *UNIT).distinct()
-    touched = places.filter(in_units(units)).select("match_id").distinct()
-    return _collect_units(places.join(touched, "match_id", "left_semi"))
+    seen = lake.raw("raw_matches").filter(in_units(units)).select("match_id").distinct()
+    staged = lake.stored("staging", "stg_matches").select("match_id", *UNIT)
+    return _collect_units(staged.join(seen, "match_id", "left_semi"))
 
 
 def refresh(lake: Lake, units: Units) -> Models:
-    """Replaces the given units in every stored model; the team and competition models always."""
+    """Replaces the given units in every stored model; the team and competition models always.
+
+    Call it after each load with the units of that load.
+    """
     if not exists(lake.spark, lake.path("marts", "mart_league_table")):
         whole = Models(lake)
         whole.build()
         return whole
     shown_before = cut(lake.stored("marts", "dim_team").select(*SHOWN), "teams_before")
 
-    # A match that left a unit must go there too, so linked units are replaced along; their
-    # matches are picked among all copies, wherever those lie.
+    # A match must go from the unit it left, so linked units are replaced along. The latest copy
+    # of every match in the replaced units lies in those units or where it is staged now.
     replaced = sorted({*units, *linked_units(lake, units)})
     sources = sorted({*replaced, *linked_units(lake, replaced)})
     models = Models(lake, replaced, raw_units=sources)
@@ -60,6 +64,9 @@ def _refresh_names(lake: Lake, models: Models, shown_before: DataFrame) -> None:
     """Rebuilds the league table of other units that show a team whose name or crest changed."""
     now = models.dim_team.select(*SHOWN)
     changed = now.exceptAll(shown_before).unionByName(shown_before.exceptAll(now)).select("team_id").distinct()
+    changed = cut(changed, "teams_changed")
+    if changed.isEmpty():
+        return
     snapshots = lake.stored("marts", "fact_standing_snapshot")
     showing = snapshots.filter(~in_units(models.units)).join(changed, "team_id", "left_semi")
     others = _collect_units(showing)

@@ -50,15 +50,18 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], keep_others: bool) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition_by: Sequence[str], keep_others: bool, gathered: bool = False
+) -> None:
     """Writes df by partition, replacing only the partitions it holds or the whole table.
 
     The rebalance hint groups rows by partition before the write, while adaptive execution still
-    splits a partition too large for one task and merges the small ones.
+    splits a partition too large for one task and merges the small ones. Rows `gathered` by
+    partition already, as a projection of a table stored the same way is, are written as they come.
     """
+    rows = df if gathered else df.hint("rebalance", *partition_by)
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -145,16 +148,19 @@ class Lake:
     def audit(self, name: str) -> DataFrame:
         return self.contract(name, "audit")
 
-    def save(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Replaces a whole table and reads it back."""
-        path = self.path(layer, name)
-        if partition_by:
-            write_partitioned(df, path, partition_by, keep_others=False)
-        else:
-            df.write.mode("overwrite").parquet(path)
+    def save(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Replaces a small table that has no units and reads it back."""
+        df.write.mode("overwrite").parquet(self.path(layer, name))
+        return self._opened(layer, name, df.schema)
+
+    def save_all_units(self, layer: str, name: str, df: DataFrame, gathered: bool = False) -> DataFrame:
+        """Replaces a whole table stored by (competition, season) and reads it back."""
+        write_partitioned(df, self.path(layer, name), UNIT, keep_others=False, gathered=gathered)
         return self._opened(layer, name, df.schema)
 
-    def save_units(self, layer: str, name: str, df: DataFrame, units: Sequence[tuple[str, str]]) -> DataFrame:
+    def save_units(
+        self, layer: str, name: str, df: DataFrame, units: Sequence[tuple[str, str]], gathered: bool = False
+    ) -> DataFrame:
         """Replaces the given (competition, season) units of a table and reads those back.
 
         Each write swaps whole partition folders. A unit left without rows is not part of the
@@ -163,7 +169,7 @@ class Lake:
         path = self.path(layer, name)
         folders = {unit: f"{path}/competition_code={unit[0]}/season={unit[1]}" for unit in units}
         before = {unit: file_names(self.spark, folder) for unit, folder in folders.items()}
-        write_partitioned(df, path, UNIT, keep_others=True)
+        write_partitioned(df, path, UNIT, keep_others=True, gathered=gathered)
         for unit, folder in folders.items():
             if before[unit] and before[unit] == file_names(self.spark, folder):
                 remove(self.spark, folder)
