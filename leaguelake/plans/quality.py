@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,22 +17,22 @@ PASS, FAIL, WARN = "PASS", "FAIL", "WARN"
 
 @dataclass(frozen=True)
 class RowCheck:
-    """Counts rows for which `broken` holds; all row checks of a table share one scan."""
+    """Counts rows for which the SQL condition `broken` holds; all row checks of a table share one scan."""
 
     model: str
     name: str
-    broken: Callable[[], Column]
+    broken: str
     severity: str = FAIL
 
 
 @dataclass(frozen=True)
 class KeyCheck:
-    """Counts keys whose number of rows is wrong (by default: more than one)."""
+    """Counts keys whose number of rows `n` is wrong (by default: more than one)."""
 
     model: str
     name: str
     columns: tuple[str, ...]
-    wrong: Callable[[Column], Column] = field(default=lambda n: n > 1)
+    wrong: str = "n > 1"
     skip_null_keys: bool = False
     severity: str = FAIL
 
@@ -53,7 +53,7 @@ Check = RowCheck | KeyCheck | ParentCheck
 
 
 def not_null(model: str, *columns: str) -> list[Check]:
-    return [RowCheck(model, f"not_null_{c}", lambda c=c: F.col(c).isNull()) for c in columns]
+    return [RowCheck(model, f"not_null_{c}", f"{c} IS NULL") for c in columns]
 
 
 def unique(model: str, column: str) -> Check:
@@ -64,30 +64,28 @@ def unique_together(model: str, *columns: str) -> Check:
     return KeyCheck(model, f"unique_combination_{'_'.join(columns)}", columns)
 
 
-def accepted_values(model: str, column: str, values: Sequence) -> Check:
-    return RowCheck(model, f"accepted_values_{column}", lambda: ~F.col(column).isin(*values))
+def _listed(values: Sequence[str | int]) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def accepted_values(model: str, column: str, values: Sequence[str | int]) -> Check:
+    return RowCheck(model, f"accepted_values_{column}", f"{column} NOT IN ({_listed(values)})")
 
 
 def at_least_zero(model: str, column: str) -> Check:
-    return RowCheck(model, f"accepted_range_{column}", lambda: F.col(column) < 0, severity=WARN)
+    return RowCheck(model, f"accepted_range_{column}", f"{column} < 0", severity=WARN)
 
 
 def has_parent(model: str, column: str, parent: str = "dim_team", parent_column: str = "team_id") -> Check:
     return ParentCheck(model, f"relationships_{column}_{parent}", column, parent, parent_column)
 
 
-def _same_team() -> Column:
-    return F.col("home_team_id") == F.col("away_team_id")
-
-
-def _winner_contradicts_score() -> Column:
-    home, away, winner = F.col("full_time_home_goals"), F.col("full_time_away_goals"), F.col("winner")
-    return F.col("match_status").isin(*COUNTED_STATUSES) & (
-        ((home > away) & (winner != "HOME_TEAM"))
-        | ((home < away) & (winner != "AWAY_TEAM"))
-        | ((home == away) & (winner != "DRAW"))
-    )
-
+# A missing winner is not a contradiction.
+WINNER_CONTRADICTS_SCORE = f"""
+    match_status IN ({_listed(COUNTED_STATUSES)})
+    AND winner <> CASE WHEN full_time_home_goals > full_time_away_goals THEN 'HOME_TEAM'
+                       WHEN full_time_home_goals < full_time_away_goals THEN 'AWAY_TEAM'
+                       WHEN full_time_home_goals = full_time_away_goals THEN 'DRAW' END"""
 
 TEAM_SEASON = ("competition_code", "team_id", "season")
 
@@ -135,41 +133,38 @@ CHECKS: list[Check] = [
     unique_together("mart_team_form", "match_id", "team_id"),
     unique_together("mart_home_away_performance", *TEAM_SEASON),
     unique_together("mart_goal_analysis", *TEAM_SEASON),
-    RowCheck("stg_matches", "home_team_not_away_team", _same_team),
-    KeyCheck("fact_team_match", "two_team_rows_per_match", ("match_id",), wrong=lambda n: n != 2),
-    RowCheck("fact_match", "winner_matches_score", _winner_contradicts_score),
+    RowCheck("stg_matches", "home_team_not_away_team", "home_team_id = away_team_id"),
+    KeyCheck("fact_team_match", "two_team_rows_per_match", ("match_id",), wrong="n <> 2"),
+    RowCheck("fact_match", "winner_matches_score", WINNER_CONTRADICTS_SCORE),
 ]
 
 
-def _outcome(model: Column, name: Column, severity: Column, failing: Column) -> list[Column]:
-    return [
-        model.alias("model_name"),
-        name.alias("test_name"),
-        F.when(failing == 0, PASS).otherwise(severity).alias("status"),
-        failing.alias("failing_row_count"),
-    ]
+def _outcome(check: Check, failing: str) -> str:
+    return (
+        f"named_struct('model_name', '{check.model}', 'test_name', '{check.name}', "
+        f"'status', if({failing} = 0, '{PASS}', '{check.severity}'), 'failing_row_count', {failing})"
+    )
 
 
-def _row_outcomes(table: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
-    counts = table.agg(*[F.count_if(check.broken()).alias(f"c{i}") for i, check in enumerate(checks)])
-    lines = F.array(*[
-        F.struct(*_outcome(F.lit(check.model), F.lit(check.name), F.lit(check.severity), F.col(f"c{i}")))
-        for i, check in enumerate(checks)
-    ])
-    return counts.select(F.inline(lines))
+def _lines(counted: DataFrame, outcomes: Sequence[str]) -> DataFrame:
+    return counted.selectExpr(f"inline(array({', '.join(outcomes)}))")
 
 
-def _single_outcome(check: Check, counted: DataFrame) -> DataFrame:
-    failing = F.coalesce(F.col("failing"), F.lit(0)).cast("long")
-    return counted.select(*_outcome(F.lit(check.model), F.lit(check.name), F.lit(check.severity), failing))
+def _row_outcomes(table: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    counts = table.selectExpr(*[f"count_if({check.broken}) AS c{i}" for i, check in enumerate(checks)])
+    return _lines(counts, [_outcome(check, f"c{i}") for i, check in enumerate(checks)])
 
 
-def _key_outcome(table: DataFrame, check: KeyCheck) -> DataFrame:
+def _row_counts(table: DataFrame, check: KeyCheck) -> DataFrame:
     keyed = table.select(*check.columns)
     if check.skip_null_keys:
         keyed = keyed.dropna()
-    sizes = keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    return _single_outcome(check, sizes.agg(F.count_if(check.wrong(F.col("n"))).alias("failing")))
+    return keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _key_outcome(table: DataFrame, check: KeyCheck) -> DataFrame:
+    counted = _row_counts(table, check).selectExpr(f"count_if({check.wrong}) AS failing")
+    return _lines(counted, [_outcome(check, "failing")])
 
 
 def _parent_outcome(table: DataFrame, parent: DataFrame, check: ParentCheck) -> DataFrame:
@@ -178,7 +173,8 @@ def _parent_outcome(table: DataFrame, parent: DataFrame, check: ParentCheck) ->
         table.select(F.col(check.column).alias("child")).dropna().groupBy("child").agg(F.count(F.lit(1)).alias("n"))
     )
     parents = parent.select(F.col(check.parent_column).alias("child"))
-    return _single_outcome(check, children.join(parents, "child", "left_anti").agg(F.sum("n").alias("failing")))
+    orphans = children.join(parents, "child", "left_anti").selectExpr("coalesce(sum(n), 0L) AS failing")
+    return _lines(orphans, [_outcome(check, "failing")])
 
 
 def quality_outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
@@ -193,20 +189,16 @@ def quality_outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check] =
         else:
             parts.append(_parent_outcome(tables[check.model], tables[check.parent], check))
     parts += [_row_outcomes(tables[model], group) for model, group in by_model.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 def failing_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     """The rows (or keys with their counts) behind one failing check."""
     table = tables[check.model]
     if isinstance(check, RowCheck):
-        return table.filter(check.broken())
+        return table.filter(check.broken)
     if isinstance(check, KeyCheck):
-        keyed = table.select(*check.columns)
-        keyed = keyed.dropna() if check.skip_null_keys else keyed
-        return keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("row_count")).filter(
-            check.wrong(F.col("row_count"))
-        )
+        return _row_counts(table, check).filter(check.wrong)
     parents = tables[check.parent].select(F.col(check.parent_column).alias(check.column))
     return table.filter(F.col(check.column).isNotNull()).join(parents, check.column, "left_anti")
 

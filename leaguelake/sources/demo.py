@@ -21,7 +21,7 @@ class Demo:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.lake = Lake(spark, f"{session_folder(spark)}/lake-{uuid.uuid4().hex}")
-        self._landed: set[str] = set()
+        self._landed: dict[str, DataFrame] = {}
         self.models = Models(_LandingLake(self))
 
     def table(self, name: str) -> DataFrame:
@@ -44,11 +44,11 @@ class Demo:
         return self.match_envelopes if dataset == "matches" else makers[dataset](self.schedule)
 
     def raw(self, name: str) -> DataFrame:
-        if name.startswith("raw_") and name not in self._landed:
+        if name not in self._landed:
             dataset = name.removeprefix("raw_")
             self.lake.land(name, payloads.LANDERS[dataset](self.envelopes(dataset)).rows)
-            self._landed.add(name)
-        return self.lake.raw(name)
+            self._landed[name] = self.lake.raw(name)
+        return self._landed[name]
 
     @cached_property
     def run_events(self) -> DataFrame:
