@@ -1,7 +1,8 @@
 """RAW rows -> typed columns, one row per key: the latest load wins.
 
-The latest row is picked on load metadata first, so only surviving payloads are unpacked.
-`run_id` breaks ties between loads with one and the same timestamp.
+Fields are unpacked before the latest row is picked: the shuffle then carries a few typed columns
+instead of whole payloads, and columns nobody reads are pruned from it. `run_id` breaks ties between
+loads with one and the same timestamp.
 """
 
 from __future__ import annotations
@@ -68,23 +69,25 @@ def _newest_load() -> list[Column]:
 
 
 def stg_competitions(raw_competitions: DataFrame) -> DataFrame:
-    latest = latest_per_key(raw_competitions, ["competition_code"], _newest_load())
-    return latest.select("competition_code", *fields("raw_json", COMPETITION_FIELDS), "loaded_at")
+    typed = raw_competitions.select(
+        "competition_code", *fields("raw_json", COMPETITION_FIELDS), "loaded_at", "run_id"
+    )
+    return latest_per_key(typed, ["competition_code"], _newest_load()).drop("run_id")
 
 
 def stg_teams(raw_teams: DataFrame) -> DataFrame:
-    identified = raw_teams.withColumn("team_id", field("raw_json", "id", "bigint"))
-    latest = latest_per_key(identified, ["competition_code", "season", "team_id"], _newest_load())
-    return latest.select(
-        "competition_code", "season", "team_id", *fields("raw_json", TEAM_FIELDS), "loaded_at"
+    typed = raw_teams.select(
+        "competition_code", "season", field("raw_json", "id", "bigint").alias("team_id"),
+        *fields("raw_json", TEAM_FIELDS), "loaded_at", "run_id",
     )
+    return latest_per_key(typed, ["competition_code", "season", "team_id"], _newest_load()).drop("run_id")
 
 
 def stg_matches(raw_matches: DataFrame) -> DataFrame:
-    latest = latest_per_key(raw_matches.drop("matchweek", "source"), ["match_id"], _newest_load())
-    return latest.select(
-        "match_id", "competition_code", "season", *fields("raw_json", MATCH_FIELDS), "loaded_at"
+    typed = raw_matches.select(
+        "match_id", "competition_code", "season", *fields("raw_json", MATCH_FIELDS), "loaded_at", "run_id"
     )
+    return latest_per_key(typed, ["match_id"], _newest_load()).drop("run_id")
 
 
 def stg_standings(raw_standings: DataFrame) -> DataFrame:
