@@ -81,3 +81,13 @@ def quality_summary(quality_audit: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_checks"),
         count_when(F.col("status") == "FAIL").alias("failed_checks"),
     )
+
+
+def pipeline_health(run_events: DataFrame, quality_audit: DataFrame) -> dict[str, DataFrame]:
+    """The three parts of the health page: recent runs, run totals, data-test totals."""
+    state = run_state(run_events)
+    return {
+        "recent_runs": recent_runs(state),
+        "summary": success_rate(run_summary(state)),
+        "data_quality": quality_summary(quality_audit),
+    }

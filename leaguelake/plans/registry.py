@@ -49,6 +49,43 @@ def land_matches(d: Demo) -> DataFrame:
     )
 
 
+@_query
+def land_competitions(d: Demo) -> DataFrame:
+    rows = payloads.land_competitions(d.envelopes("competitions")).rows
+    return rows.select("competition_code", "run_id", "source", "loaded_at", field("raw_json", "name").alias("name"))
+
+
+@_query
+def land_teams(d: Demo) -> DataFrame:
+    rows = payloads.land_teams(d.envelopes("teams")).rows
+    return rows.select(
+        "competition_code", "season", "run_id", "source", "loaded_at",
+        field("raw_json", "id", "bigint").alias("team_id"), field("raw_json", "name").alias("name"),
+    )
+
+
+@_query
+def land_standings(d: Demo) -> DataFrame:
+    rows = payloads.land_standings(d.envelopes("standings")).rows
+    return rows.select(
+        "competition_code", "season", "snapshot_date", "run_id", "source", "loaded_at",
+        F.size(F.try_variant_get("raw_json", "$.standings", "array<variant>")).cast("long").alias("tables"),
+    )
+
+
+@_query
+def team_filter(d: Demo) -> DataFrame:
+    return payloads.filter_season(d.raw("raw_teams"), SEASON).select(
+        "competition_code", "season", "run_id", field("raw_json", "id", "bigint").alias("team_id")
+    )
+
+
+@_query
+def streamed_league_table(d: Demo) -> DataFrame:
+    """The league table of the lake that the stream filled and refreshed."""
+    return _joined_form(d.streamed.stored("marts", "mart_league_table"))
+
+
 @_query
 def envelope_quarantine(d: Demo) -> DataFrame:
     rejects = payloads.land_matches(d.damaged_match_envelopes()).rejects
@@ -197,6 +234,11 @@ def dq_results(d: Demo) -> DataFrame:
     return quality.quality_outcomes(tables)
 
 
+@_query
+def dq_summary(d: Demo) -> DataFrame:
+    return audit.quality_summary(dq_results(d))
+
+
 def seeded_tables(d: Demo) -> dict[str, DataFrame]:
     """Copies with planted faults, one kind per matchweek modulo five."""
     turn = F.col("matchweek") % 5

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from leaguelake.plans.models import Models
 from leaguelake.sources import orders_feed as feed
 from leaguelake.sources import payloads
 from leaguelake.sources.store import Lake, cut, session_folder
+from leaguelake.streaming.arrivals import follow_inbox
 
 
 class Demo:
@@ -55,6 +57,22 @@ class Demo:
         """The run log, derived on read: it is a projection of one scan."""
         return feed.run_events(self.table("events"))
 
+    @cached_property
+    def streamed(self) -> Lake:
+        """A second lake filled by the stream: the first loads arrive, then the second ones."""
+        root = f"{session_folder(self.spark)}/stream-{uuid.uuid4().hex}"
+        lake = Lake(self.spark, f"{root}/lake")
+        for run_id, moment in feed.LOAD_TIMES.items():
+            for dataset in payloads.LANDERS:
+                arrived = self.envelopes(dataset).filter(F.col("run_id") == run_id)
+                lines = arrived.select(F.lit(dataset).alias("dataset"), "competition_code", "season", "payload")
+                lines.write.mode("append").json(f"{root}/inbox/{dataset}")
+            query = follow_inbox(
+                lake, f"{root}/inbox/*", f"{root}/checkpoint", clock=lambda m=moment: datetime.fromisoformat(m)
+            )
+            query.awaitTermination()
+        return lake
+
     def damaged_match_envelopes(self) -> DataFrame:
         """The newer load of every round, some of them spoiled."""
         first_match = F.get_json_object("payload", "$.matches[0].matchday").cast("long")

@@ -95,6 +95,17 @@ def file_names(spark: SparkSession, folder: str) -> set[str]:
     return {status.getPath().getName() for status in file_system.listStatus(jvm_path)}
 
 
+# The characters Hive-style partition folders spell as %XX, besides control characters.
+ESCAPED_IN_FOLDERS = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def unit_folder(path: str, unit: tuple[str, str]) -> str:
+    def escaped(value: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_FOLDERS or c < " " else c for c in value)
+
+    return "/".join([path, *(f"{name}={escaped(value)}" for name, value in zip(UNIT, unit, strict=True))])
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     file_system, jvm_path = _file_system(spark, path)
     stream = file_system.create(jvm_path, True)
@@ -167,7 +178,7 @@ class Lake:
         write and still holds its old files, so its folder is removed.
         """
         path = self.path(layer, name)
-        folders = {unit: f"{path}/competition_code={unit[0]}/season={unit[1]}" for unit in units}
+        folders = {unit: unit_folder(path, unit) for unit in units}
         before = {unit: file_names(self.spark, folder) for unit, folder in folders.items()}
         write_partitioned(df, path, UNIT, keep_others=True, gathered=gathered)
         for unit, folder in folders.items():

@@ -389,6 +389,10 @@ def _every_check() -> str:
     )
 
 
+LOADS = """loads AS (
+  SELECT * FROM (VALUES ('load-1', TIMESTAMP '2001-08-02 06:00:00'), ('load-2', TIMESTAMP '2001-08-02 18:00:00'))
+    AS v(run_id, loaded_at))"""
+
 UNIT = "competition_code = '{competition}' AND season = '{season}'"
 
 
@@ -548,6 +552,33 @@ spoiled AS (SELECT *, {broken_round} AS reason FROM matches)""",
   'orders-feed' AS source, TIMESTAMP '2001-08-02 18:00:00' AS loaded_at, match_status AS status,
   hg AS home_goals FROM spoiled WHERE reason IS NULL""",
         ),
+        "land_competitions": _with(
+            MATCHES + f""",
+{LOADS}""",
+            """SELECT DISTINCT competition_code, run_id, 'orders-feed' AS source, loaded_at,
+  'Competition ' || competition_code AS name FROM matches, loads""",
+        ),
+        "land_teams": _with(
+            MATCHES + ",\n" + TEAMS + f""",
+{LOADS}""",
+            """SELECT competition_code, season, run_id, 'orders-feed' AS source, l.loaded_at, team_id,
+  team_name || CASE WHEN run_id = 'load-1' THEN ' (provisional)' ELSE '' END AS name FROM stg_teams s, loads l""",
+        ),
+        "land_standings": _with(
+            PERFORMANCE + f""",
+{LOADS},
+sided AS (SELECT competition_code, season, match_stage, unnest(['TOTAL', CASE WHEN is_home THEN 'HOME' ELSE 'AWAY' END])
+            AS kind FROM performance WHERE match_stage IN ('REGULAR_SEASON', 'LEAGUE_STAGE', 'GROUP_STAGE'))""",
+            """SELECT competition_code, season, DATE '2001-08-02' AS snapshot_date, run_id, 'orders-feed' AS source,
+  loaded_at, count(DISTINCT match_stage || kind) AS tables
+  FROM sided, loads GROUP BY competition_code, season, run_id, loaded_at""",
+        ),
+        "team_filter": _with(
+            MATCHES + ",\n" + TEAMS + f""",
+{LOADS}""",
+            f"SELECT competition_code, season, run_id, team_id FROM stg_teams, loads WHERE season = '{season}'",
+        ),
+        "streamed_league_table": _with(TABLE, "SELECT * FROM league_table"),
         "match_filter": _with(
             MATCHES,
             f"""SELECT match_id, competition_code, season, matchweek, kickoff_utc, match_status FROM matches
@@ -644,6 +675,11 @@ spoiled AS (SELECT *, {broken_round} AS reason FROM matches)""",
   WHERE l.competition_code = '{competition}' AND l.season = '{season}' AND l.team_id IN ({team_a}, {team_b})""",
         ),
         "dq_results": _with(EVERY_MODEL, _every_check()),
+        "dq_summary": _with(
+            EVERY_MODEL,
+            "SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'FAIL') AS failed_checks "
+            f"FROM ({_every_check()})",
+        ),
         "dq_violations_seeded": _with(
             PERFORMANCE + """,
 spoilt AS (
