@@ -65,13 +65,16 @@ def split_hot(df: DataFrame, keys: Sequence[str], counted: DataFrame | None = No
 
     The count is combined before its shuffle and only its size comes to the driver. The list of
     hot keys is at most (all rows / limit) long. `counted` may name a cheaper frame that has the
-    same rows per key, such as the one df was computed from.
+    same rows per key, such as the one df is computed from; df is then stored before it is split,
+    as both parts read it.
     """
     limit = _limit(df)
     hot_keys = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > limit)
     hot_rows = hot_keys.agg(F.sum(_N)).first()[0]
     if hot_rows is None:
         return Split(df, None, 0, limit)
+    if counted is not None:
+        df = cut(df, "computed_rows")
     names = _prefixed(keys)
     listed = cut(hot_keys.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]), "hot_keys")
     on = _same(keys, names)

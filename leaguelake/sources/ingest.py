@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from leaguelake.functions.expressions import row_key
 from leaguelake.functions.seasons import check_range, current_season, utc_today
 from leaguelake.plans import audit
-from leaguelake.sources.payloads import LANDERS, MATCH_WITHOUT_ID, Landing, read_envelopes
+from leaguelake.sources.payloads import LANDERS, MATCH_WITHOUT_ID, Landing, read_envelopes, refused
 from leaguelake.sources.schemas import DATASETS
 from leaguelake.sources.store import Lake, cut
 
@@ -99,30 +99,31 @@ def _load_dataset(
     asked = stamp(envelopes, runs, keys, moment)
     landing: Landing = LANDERS[dataset](asked)
     ours = runs.select("run_id")
-    lake.land("raw_rejects", landing.rejects)
-    rejects = lake.raw("raw_rejects").filter(F.col("dataset") == dataset).join(ours, "run_id", "left_semi")
+    responses = cut(landing.responses, "responses")
+    rejects = refused(responses)
+    lake.land("raw_rejects", rejects)
 
-    answered = asked.select("run_id").distinct()
+    answered = responses.select("run_id").distinct()
     silent = ours.join(answered, "run_id", "left_anti").withColumn("reason", F.lit("no response"))
     broken = rejects.filter(F.col("reason") != MATCH_WITHOUT_ID).select("run_id", "reason")
-    refused = cut(silent.unionByName(broken).groupBy("run_id").agg(F.max("reason").alias("reason")), "refused")
+    faulty = cut(silent.unionByName(broken).groupBy("run_id").agg(F.max("reason").alias("reason")), "faulty")
 
-    lake.land(f"raw_{dataset}", landing.rows.join(refused.select("run_id"), "run_id", "left_anti"))
+    lake.land(f"raw_{dataset}", landing.rows.join(faulty.select("run_id"), "run_id", "left_anti"))
     landed = lake.raw(f"raw_{dataset}").join(ours, "run_id", "left_semi")
     inserted = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
     rejected = rejects.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_rejected"))
     counted = (
-        runs.join(refused.select("run_id"), "run_id", "left_anti")
+        runs.join(faulty.select("run_id"), "run_id", "left_anti")
         .join(inserted, "run_id", "left")
         .join(rejected, "run_id", "left")
         .na.fill(0, ["records_inserted", "records_rejected"])
         .withColumn("records_received", F.col("records_inserted") + F.col("records_rejected"))
     )
     done = _moment(_now())
-    refused_runs = runs.join(refused, "run_id")
-    ends = audit.succeeded(counted, done).unionByName(audit.failed(refused_runs, done, F.col("reason")))
+    faulty_runs = runs.join(faulty, "run_id")
+    ends = audit.succeeded(counted, done).unionByName(audit.failed(faulty_runs, done, F.col("reason")))
     lake.append_audit("pipeline_run_audit", ends)
-    return refused_runs.select("competition_code", "season", "reason")
+    return faulty_runs.select("competition_code", "season", "reason")
 
 
 def _attempt(
@@ -147,8 +148,7 @@ def load_metadata(
     )
     envelopes = read_envelopes(lake.spark, f"{inbox}/competitions")
     runs = cut(_runs(work, pipeline_name, moment), "runs")
-    refused = _attempt(lake, "competitions", runs, envelopes, ["competition_code"], moment)
-    _raise_if_any(refused)
+    _raise_if_any(_attempt(lake, "competitions", runs, envelopes, ["competition_code"], moment))
 
 
 def load_units(lake: Lake, inbox: str, work: DataFrame, pipeline_name: str, moment: datetime | None = None) -> None:
@@ -156,16 +156,16 @@ def load_units(lake: Lake, inbox: str, work: DataFrame, pipeline_name: str, mome
     moment = moment or _now()
     runs = cut(_runs(work, pipeline_name, moment), "runs")
     keys = ["competition_code", "season"]
-    refused = lake.spark.createDataFrame([], "competition_code string, season string, reason string")
+    failed = lake.spark.createDataFrame([], "competition_code string, season string, reason string")
     for dataset in DATASETS:
-        due = runs.filter(F.col("dataset") == dataset).join(refused.select(*keys), keys, "left_anti")
+        due = runs.filter(F.col("dataset") == dataset).join(failed.select(*keys), keys, "left_anti")
         envelopes = read_envelopes(lake.spark, f"{inbox}/{dataset}")
-        refused = refused.unionByName(_attempt(lake, dataset, cut(due, "due"), envelopes, keys, moment))
-    _raise_if_any(refused)
+        failed = failed.unionByName(_attempt(lake, dataset, cut(due, "due"), envelopes, keys, moment))
+    _raise_if_any(failed)
 
 
-def _raise_if_any(refused: DataFrame) -> None:
-    first = refused.orderBy("competition_code", "season").take(5)
+def _raise_if_any(failed: DataFrame) -> None:
+    first = failed.orderBy("competition_code", "season").take(5)
     if first:
         raise IngestionFailed("; ".join(f"{r.competition_code} {r.season or ''}: {r.reason}" for r in first))
 

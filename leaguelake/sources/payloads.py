@@ -24,10 +24,22 @@ MATCH_WITHOUT_ID = "match without id"
 
 @dataclass(frozen=True)
 class Landing:
-    """Rows ready for a RAW table, the rejects beside them, and how many records were seen."""
+    """Rows ready for a RAW table, and what came of every response.
+
+    `responses` has a line for each response (no reason: it was sound) and one for each item refused
+    out of a sound response. It is far smaller than the payloads.
+    """
 
     rows: DataFrame
-    rejects: DataFrame
+    responses: DataFrame
+
+    @property
+    def rejects(self) -> DataFrame:
+        return refused(self.responses)
+
+
+def refused(responses: DataFrame) -> DataFrame:
+    return responses.filter(F.col("reason").isNotNull())
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
@@ -82,7 +94,7 @@ def _reason(dataset: str) -> Column:
 
 
 def _opened(envelopes: DataFrame, dataset: str, items: Column, fault: Callable[[Column], Column]) -> DataFrame:
-    """One row per item of a sound response, and one row with a reason for anything refused.
+    """One line per response, one per item of a sound response; anything refused has a reason.
 
     Check and split happen inside one generator over the parsed document. A filter on the reason
     would be pushed below the parse and repeat it for every requirement. Items travel without the
@@ -95,11 +107,12 @@ def _opened(envelopes: DataFrame, dataset: str, items: Column, fault: Callable[[
             why.cast("string").alias(_REASON), item.cast("variant").alias(_ITEM), text.cast("string").alias(_TEXT)
         )
 
-    refused = F.array(line(reason, F.lit(None), F.col("payload")))
-    sound = F.transform(items, lambda item: line(fault(item), item, F.when(fault(item).isNotNull(), F.to_json(item))))
+    nothing = F.lit(None)
+    whole = F.array(line(reason, nothing, F.when(reason.isNotNull(), F.col("payload"))))
+    each = F.transform(items, lambda item: line(fault(item), item, F.when(fault(item).isNotNull(), F.to_json(item))))
     known = [c for c in envelopes.columns if c != "payload"]
     return envelopes.withColumn(_DOC, F.try_parse_json("payload")).select(
-        *known, F.inline(F.when(reason.isNotNull(), refused).otherwise(sound))
+        *known, F.inline(F.when(reason.isNotNull(), whole).otherwise(F.concat(whole, each)))
     )
 
 
@@ -108,14 +121,15 @@ def _no_fault(_: Column) -> Column:
 
 
 def _landing(opened: DataFrame, dataset: str, lifted: Mapping[str, Column]) -> Landing:
-    rows = opened.filter(F.col(_REASON).isNull()).withColumn("raw_json", F.col(_ITEM)).withColumns(dict(lifted))
-    rejects = opened.filter(F.col(_REASON).isNotNull()).select(
+    taken = F.col(_REASON).isNull() & F.col(_ITEM).isNotNull()
+    rows = opened.filter(taken).withColumn("raw_json", F.col(_ITEM)).withColumns(dict(lifted))
+    responses = opened.filter(~taken).select(
         F.lit(dataset).alias("dataset"),
         "competition_code", "season", "run_id", "source", "loaded_at",
         F.col(_REASON).alias("reason"),
         F.col(_TEXT).alias("payload"),
     )
-    return Landing(rows.select(*SCHEMAS[f"raw_{dataset}"].names), rejects.select(*RAW_REJECTS.names))
+    return Landing(rows.select(*SCHEMAS[f"raw_{dataset}"].names), responses.select(*RAW_REJECTS.names))
 
 
 def land_competitions(envelopes: DataFrame) -> Landing:

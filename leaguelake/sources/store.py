@@ -42,12 +42,12 @@ def clear_session(spark: SparkSession) -> None:
     remove(spark, session_folder(spark))
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Writes df once and reads it back: a fixed, re-readable result that outlives its executors."""
     spark = df.sparkSession
     path = f"{session_folder(spark)}/cuts/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return read_stored(spark, path, df.schema)
 
 
 def write_partitioned(

@@ -31,6 +31,7 @@ def land_batch(lake: Lake, name: str, clock: Callable[[], datetime]) -> Callable
             .withColumn("source", F.lit(SOURCE))
             .withColumn("loaded_at", F.lit(clock().replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")),
             "arrivals",
+            partition_by=["dataset"],
         )
         for dataset, land in LANDERS.items():
             landing = land(stamped.filter(F.col("dataset") == dataset))

@@ -203,11 +203,11 @@ def _split_shown(side: str) -> str:
 
 
 HOME_AWAY = PERFORMANCE + f""",
-splits AS (
+by_side AS (
   SELECT competition_code, team_id, season, {_split('home', 'is_home')}, {_split('away', 'NOT is_home')}
   FROM performance GROUP BY competition_code, team_id, season),
 home_away AS (
-  SELECT competition_code, team_id, season, {_split_shown('home')}, {_split_shown('away')} FROM splits)"""
+  SELECT competition_code, team_id, season, {_split_shown('home')}, {_split_shown('away')} FROM by_side)"""
 
 GOALS = PERFORMANCE + f""",
 goal_totals AS (
@@ -349,10 +349,8 @@ _PREDICATES = [
     ("int_match_team_performance", "accepted_values_points", "points NOT IN (0, 1, 3)", "FAIL"),
     ("fact_team_match", "accepted_values_points", "points NOT IN (0, 1, 3)", "FAIL"),
     ("stg_matches", "home_team_not_away_team", "home_team_id = away_team_id", "FAIL"),
-    ("fact_match", "winner_matches_score", """match_status IN ('FINISHED', 'AWARDED')
-      AND ((full_time_home_goals > full_time_away_goals AND winner <> 'HOME_TEAM')
-        OR (full_time_home_goals < full_time_away_goals AND winner <> 'AWAY_TEAM')
-        OR (full_time_home_goals = full_time_away_goals AND winner <> 'DRAW'))""", "FAIL"),
+    ("fact_match", "winner_matches_score", """match_status IN ('FINISHED', 'AWARDED') AND winner <> CASE sign(full_time_home_goals - full_time_away_goals)
+        WHEN 1 THEN 'HOME_TEAM' WHEN -1 THEN 'AWAY_TEAM' WHEN 0 THEN 'DRAW' END""", "FAIL"),
 ]
 
 
@@ -706,8 +704,8 @@ counts AS (
          count(*) FILTER (WHERE away_team_id > 999) FROM doubled UNION ALL
   SELECT 'fact_match', 'winner_matches_score', 'FAIL',
          count(*) FILTER (WHERE match_status IN ('FINISHED', 'AWARDED')
-           AND ((hg > ag AND winner <> 'HOME_TEAM') OR (hg < ag AND winner <> 'AWAY_TEAM')
-                OR (hg = ag AND winner <> 'DRAW'))) FROM doubled UNION ALL
+           AND winner <> CASE sign(hg - ag) WHEN 1 THEN 'HOME_TEAM' WHEN -1 THEN 'AWAY_TEAM' WHEN 0 THEN 'DRAW' END)
+         FROM doubled UNION ALL
   SELECT 'fact_team_match', 'two_team_rows_per_match', 'FAIL', (SELECT count(*) FROM one_sided WHERE n <> 2) UNION ALL
   SELECT 'fact_team_match', 'unique_combination_match_id_team_id', 'FAIL', 0)""",
             """SELECT model_name, test_name, CASE WHEN failing = 0 THEN 'PASS' ELSE severity END AS status,

@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from samples import match, rows, standing
 
 from leaguelake.functions import seasons
 from leaguelake.plans import audit
 from leaguelake.plans.models import MODEL_NAMES, Models
 from leaguelake.plans.refresh import refresh, touched_units
-from leaguelake.sources import ingest
+from leaguelake.sources import ingest, store
 from leaguelake.streaming.arrivals import follow_inbox
 
 TODAY = date(2024, 9, 1)
@@ -177,3 +179,25 @@ def test_arrivals_are_picked_up_once(spark, lake, inbox, tmp_path):
         ("2023", "A", 3), ("2023", "B", 3)
     ]
     assert rows(lake.raw("raw_rejects"), "season", "reason") == [("2024", "payload is not JSON")]
+
+
+def test_unit_folders_of_any_name_are_replaced_and_emptied(spark, lake):
+    units = [("A:B/1", "2023/24"), ("A:B/1", "2024 x")]
+    first = spark.createDataFrame([(*units[0], 1), (*units[1], 2)], "competition_code string, season string, v int")
+    lake.save_all_units("marts", "t", first)
+    left = lake.save_units("marts", "t", first.filter("v = 2").withColumn("v", F.lit(3)), units)
+    assert rows(left) == rows(lake.stored("marts", "t")) == [("A:B/1", "2024 x", 3)]
+
+
+def test_a_cluster_must_name_its_shared_folder(spark):
+    class Conf(dict):
+        pass
+
+    def session(master, **conf):
+        context = SimpleNamespace(master=master, applicationId="app")
+        return SimpleNamespace(conf=Conf(conf), sparkContext=context)
+
+    assert store.shared_folder(session("yarn", **{"spark.checkpoint.dir": "hdfs://x/cp/"})) == "hdfs://x/cp"
+    assert store.shared_folder(session("local[2]"))
+    with pytest.raises(ValueError):
+        store.shared_folder(session("yarn"))
