@@ -20,6 +20,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, **conf:
         **RECOMMENDED_CONF,
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.driver.memory": "8g",
+        # Inputs are small here: do not merge partitions to the point of idle cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():

@@ -108,11 +108,12 @@ def _opened(envelopes: DataFrame, dataset: str, items: Column, fault: Callable[[
         )
 
     nothing = F.lit(None)
-    whole = F.array(line(reason, nothing, F.when(reason.isNotNull(), F.col("payload"))))
+    broken = F.array(line(reason, nothing, F.col("payload")))
+    heading = F.array(line(nothing, nothing, nothing))
     each = F.transform(items, lambda item: line(fault(item), item, F.when(fault(item).isNotNull(), F.to_json(item))))
     known = [c for c in envelopes.columns if c != "payload"]
     return envelopes.withColumn(_DOC, F.try_parse_json("payload")).select(
-        *known, F.inline(F.when(reason.isNotNull(), whole).otherwise(F.concat(whole, each)))
+        *known, F.inline(F.when(reason.isNotNull(), broken).otherwise(F.concat(heading, each)))
     )
 
 
