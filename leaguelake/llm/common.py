@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -46,8 +50,6 @@ def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
 
     Rows that agree in all these columns are the same document repeated, so one of them stays.
     """
-    from pyspark.sql.window import Window
-
     a, b = F.col("_row_key.a").alias("_a"), F.col("_row_key.b").alias("_b")
     keyed = docs.withColumn("_row_key", row_key(*columns)).select(docs["*"], a, b)
     wanted = keys.select(F.col("row_key.a").alias("_a"), F.col("row_key.b").alias("_b")).distinct()
@@ -56,3 +58,16 @@ def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
         keyed.join(wanted, ["_a", "_b"], "left_semi")
         .withColumn("_nth", nth).where("_nth = 1").drop("_a", "_b", "_nth")
     )
+
+
+def in_tasks(df: DataFrame, function, schema: str) -> DataFrame:
+    """df.mapInArrow, with this package importable by the workers of a local session.
+
+    Workers started on other machines need the package installed or sent with --py-files.
+    """
+    context = df.sparkSession.sparkContext
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df.mapInArrow(function, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguelake.llm import exact_dedup
+from leaguelake.llm import bpe, exact_dedup, near_dedup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +16,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary_path() -> str:
+    """The public tokenizer file that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.packed(table(spark, folder, "documents"), vocabulary_path())
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_dedup.near_groups(table(spark, folder, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, folder, "documents"), keep="largest")
     return groups.withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op8_exact_dedup": op8_exact_dedup,
 }
