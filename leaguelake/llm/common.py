@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -60,7 +61,7 @@ def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def in_tasks(df: DataFrame, function, schema: str) -> DataFrame:
+def in_tasks(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """df.mapInArrow, with this package importable by the workers of a local session.
 
     Workers started on other machines need the package installed or sent with --py-files.

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguelake.llm import bpe, exact_dedup, near_dedup, packing
+from leaguelake.llm import bpe, exact_dedup, language, near_dedup, packing
+from leaguelake.llm.common import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,13 @@ def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = in_fold("doc_id", 3, 1)
+    found = language.identify(docs, language.train(docs.where(~held_out)))
+    return found.select(F.col("id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", held_out)
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, folder, "documents"), keep="largest")
     return groups.withColumnRenamed("id", "doc_id")
@@ -46,5 +54,6 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op6_language_id": op6_language_id,
     "op8_exact_dedup": op8_exact_dedup,
 }
