@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguelake.llm import bpe, exact_dedup, language, near_dedup, packing
+from leaguelake.llm import bpe, exact_dedup, language, near_dedup, packing, toxicity
 from leaguelake.llm.common import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,10 +50,21 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = in_fold("doc_id", 5, 0)
+    model = toxicity.train(docs.where(~held_out), labels)
+    found = toxicity.scored(docs, model, spans=False)
+    return found.select(
+        F.col("id").alias("doc_id"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    ).withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_language_id": op6_language_id,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
 }
