@@ -36,7 +36,7 @@ NONE = "--------"
 def terms(text: Column) -> Column:
     """Distinct 64-bit hashes of the words of a text, null counting as empty."""
     words = F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), F.xxhash64))
+    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> list[int]:
@@ -67,10 +67,10 @@ def _digest(chosen: Column) -> Column:
     return F.when(F.size(chosen) > 0, code).otherwise(NONE)
 
 
-def _sampled(kept: Column, level: Column, seed: int) -> Column:
-    """The terms that belong to subset `seed` of a level: 2 * level bits of a hash of their own are zero."""
-    mask = F.shiftleft(F.lit(1).cast("long"), (2 * level).cast("int")) - 1
-    return F.filter(kept, lambda t: F.xxhash64(F.lit(seed), t).bitwiseAND(mask) == 0)
+def _sampled(kept: Column, chance: Column, seed: int | Column) -> Column:
+    """The terms in subset `seed`, one of `chance` (a power of two): those bits of a hash of theirs are zero."""
+    seed = F.lit(seed) if isinstance(seed, int) else seed
+    return F.filter(kept, lambda t: F.xxhash64(seed, t).bitwiseAND(chance - 1) == 0)
 
 
 def with_fingerprint(rows: DataFrame, text_col: str, bitmap: list[int], name: str = "fingerprint") -> DataFrame:
@@ -79,26 +79,25 @@ def with_fingerprint(rows: DataFrame, text_col: str, bitmap: list[int], name: st
     A text without any term in the lexicon is described by all its terms; a text without words, a null one
     included, has level -1 and no hashes. Equal texts get equal fingerprints.
     """
-    bits = F.lit(bitmap)
+    # One literal, folded to an array when the query is planned.
+    bits = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
     every = rows.withColumn("_every", terms(F.col(text_col)))
     banded = every.withColumn("_band", F.filter("_every", lambda t: _in_lexicon(t, bits)))
     kept = F.when(F.size("_band") > 0, F.col("_band")).otherwise(F.col("_every"))
     sized = banded.withColumn("_kept", kept).withColumn(
         "_level", F.when(F.size("_kept") > 0, F.floor(F.log(4.0, F.size("_kept").cast("double")) + 1e-9)).otherwise(-1).cast("int")
     )
-    level = F.greatest("_level", F.lit(0))
-    sampled = sized.withColumn("_near", F.array(*[_sampled(F.col("_kept"), level, j) for j in range(SUBSETS)]))
-    deeper = F.shiftleft(F.lit(1).cast("long"), (2 * level + 2).cast("int")) - 1
-    far = F.transform(
-        "_near", lambda chosen, j: F.filter(chosen, lambda t: F.xxhash64(j, t).bitwiseAND(deeper) == 0)
-    )
+    sized = sized.withColumn("_chance", F.pow(F.lit(4.0), F.greatest("_level", F.lit(0))).cast("long"))
+    chance = F.col("_chance")
+    sampled = sized.withColumn("_near", F.array(*[_sampled(F.col("_kept"), chance, j) for j in range(SUBSETS)]))
+    far = F.transform("_near", lambda chosen, j: _sampled(chosen, 4 * chance, j))
     found = F.struct(
         F.when(F.size("_kept") > 0, F.lower(F.hex(F.xxhash64(F.array_sort("_kept"))))).otherwise("").alias("whole"),
         F.col("_level").alias("level"),
         F.transform("_near", _digest).alias("near"),
         F.transform(far, _digest).alias("far"),
     )
-    return sampled.withColumn(name, found).drop("_every", "_band", "_kept", "_level", "_near")
+    return sampled.withColumn(name, found).drop("_every", "_band", "_kept", "_level", "_chance", "_near")
 
 
 def as_text(fingerprint: str) -> Column:

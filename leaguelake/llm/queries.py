@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguelake.llm import bpe, exact_dedup, language, near_dedup, packing, toxicity
+from leaguelake.llm import bpe, chat, exact_dedup, fingerprints, language, licenses, near_dedup, packing, toxicity, urls
 from leaguelake.llm.common import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,24 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    bitmap = fingerprints.lexicon(docs)
+    rows = fingerprints.with_fingerprint(docs, "text", bitmap, "own")
+    rows = fingerprints.with_next(rows, "doc_id", ["text", "own"])
+    rows = rows.withColumn("changed", fingerprints.edited("text", "next_text")).drop("next_text")
+    rows = fingerprints.with_fingerprint(rows, "changed", bitmap, "edited")
+    return rows.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("changed", 256).alias("edited_sha256"),
+        fingerprints.as_text("own").alias("fingerprint"),
+        fingerprints.as_text("edited").alias("edited_fingerprint"),
+        fingerprints.likeness("own", "edited").alias("near_edited"),
+        fingerprints.likeness("own", "next_own").alias("near_next"),
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.packed(table(spark, folder, "documents"), vocabulary_path())
     return packed.withColumnRenamed("id", "doc_id")
@@ -38,6 +56,15 @@ def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    best = F.get("matches", F.lit(0))
+    return found.select(
+        F.col("id").alias("doc_id"), best["licence"].alias("licence"), best["dice"].alias("dice"),
+        F.size("matches").cast("long").alias("n_matches"),
+    )
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = in_fold("doc_id", 3, 1)
@@ -45,6 +72,20 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", held_out)
 
 
+#: The rules that the query is to apply.
+URL_RULES = [
+    urls.Rule("net", "/", "block"),
+    urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"),
+    urls.Rule("org", "/fr/", "allow"),
+]
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    found = urls.judged(table(spark, folder, "pages"), URL_RULES)
+    return found.withColumnRenamed("id", "page_id").select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, folder, "documents"), keep="largest")
     return groups.withColumnRenamed("id", "doc_id")
@@ -60,11 +101,30 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("held_out", held_out)
 
 
+def op10_preference_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = chat.reply_pairs(table(spark, folder, "conversations"))
+    records = chat.preference_records(turns)
+
+    def trained(side: str) -> Column:
+        lengths = F.transform(f"{side}_spans", lambda s: (s["end"] - s["start"]).cast("long"))
+        return F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n).alias(f"{side}_trained")
+
+    return records.select(
+        F.col("pair_id").alias("conv_id"), F.col("prompt_turns").cast("long").alias("prompt_turns"),
+        *[F.sha2(part, 256).alias(f"{part}_sha256") for part in ("prompt", *chat.SIDES)],
+        *[trained(side) for side in chat.SIDES],
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_imatch_fingerprints": op1_imatch_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
+    "op7_url_filter": op7_url_filter,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_preference_format": op10_preference_format,
 }
