@@ -1,53 +1,47 @@
-"""Running totals, rolling frames, lags and ranks that stay balanced when one key is huge.
+"""Running totals, rolling frames, lags and ranks that no single key can hold up.
 
-A window sends all rows of a key to one task. That is right for ordinary keys (a team's season is
-a few dozen rows) and is the plan used for them: one shuffle, one sort, one window. Keys above
-`spark.leaguelake.hotGroupRows` rows are computed in pieces instead:
+A window over a key sends all its rows to one task. Here every key is worked on in pieces, the same way
+at every size: a piece is a fixed range of the order column (a month of kickoffs, a few matchweeks),
+given by the caller.
 
-* their rows are range-partitioned on (key, order), so a key spreads over many tasks, and the piece
-  number is stored with each row, which makes it a plain value that no re-run can change;
-* each piece is totalled, the totals (one row per piece) are accumulated, and every row adds what
-  came before its piece;
-* rolling frames and lags then re-cut the key into blocks of equal length by row position, and
-  carry the few rows a frame reaches back into the next block.
+* Running totals: a window inside each piece, one total row for each piece, the totals accumulated over
+  the pieces of a key, and added to every row of the pieces that follow.
+* Rolling frames and lags: rows are numbered by such a running total and re-cut into blocks of equal
+  length; the few rows that a frame reaches back are carried into the next block.
+* Ranks: rows are counted by score first, and only the counts are accumulated.
 
-All results are exact and equal to the plain window.
+Nothing is counted beforehand and nothing comes to the driver. All results equal the plain window.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from leaguelake.sources.store import cut
+#: Rows of one block of a rolling window.
+BLOCK_ROWS = 4096
+#: Scores that share a piece when ranks are accumulated.
+SCORES_OF_PIECE = 16
 
-HOT_GROUP_ROWS = "spark.leaguelake.hotGroupRows"
-DEFAULT_HOT_GROUP_ROWS = 1_000_000
-
-_N = "_group_rows"
 _PIECE = "_piece"
 _POSITION = "_position"
 _BLOCK = "_block"
 _CARRIED = "_carried"
+_ROWS = "_rows"
 
 
-@dataclass(frozen=True)
-class Split:
-    """Rows of ordinary keys, rows of hot keys (None when there are none) and how many those are."""
-
-    ordinary: DataFrame
-    hot: DataFrame | None
-    hot_rows: int
-    limit: int
+def month_of(moment: str) -> Column:
+    """The piece of a kickoff; a missing one has the last piece, as it sorts last."""
+    months = F.year(moment) * 12 + F.month(moment)
+    return F.coalesce(months, F.lit(1 << 30))
 
 
-def _limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(HOT_GROUP_ROWS, str(DEFAULT_HOT_GROUP_ROWS)))
+def range_of(number: str, width: int) -> Column:
+    """The piece of a number; a missing one has the last piece, as it sorts last."""
+    return F.coalesce(F.floor(F.col(number) / width).cast("long"), F.lit(1 << 60))
 
 
 def _same(left_names: Sequence[str], right_names: Sequence[str]) -> Column:
@@ -60,86 +54,42 @@ def _prefixed(names: Sequence[str]) -> list[str]:
     return [f"_right_{name}" for name in names]
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], counted: DataFrame | None = None) -> Split:
-    """Counts the rows per key and separates the keys too large for one task.
-
-    The count is combined before its shuffle and only its size comes to the driver. The list of
-    hot keys is at most (all rows / limit) long. `counted` may name a cheaper frame that has the
-    same rows per key, such as the one df is computed from; df is then stored before it is split,
-    as both parts read it.
-    """
-    limit = _limit(df)
-    hot_keys = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > limit)
-    hot_rows = hot_keys.agg(F.sum(_N)).first()[0]
-    if hot_rows is None:
-        return Split(df, None, 0, limit)
-    if counted is not None:
-        df = cut(df, "computed_rows")
-    names = _prefixed(keys)
-    listed = cut(hot_keys.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]), "hot_keys")
-    on = _same(keys, names)
-    return Split(df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi"), hot_rows, limit)
-
-
-def _pieces(split: Split, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    count = max(2, math.ceil(2 * split.hot_rows / split.limit))
-    ranged = split.hot.repartitionByRange(count, *keys, *order)
-    return cut(ranged.withColumn(_PIECE, F.spark_partition_id()), "hot_rows")
-
-
 def _add(left: Column, right: Column) -> Column:
     """Sum over two stretches; a stretch holding only nulls counts for nothing."""
     return F.coalesce(left + right, left, right)
 
 
-def _piecewise_totals(
-    pieces: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column]
+def running_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], piece: Column, sums: Mapping[str, Column]
 ) -> DataFrame:
-    """Running totals over stored pieces: within the piece by window, before it by offset."""
-    carried = {name: f"_before_{name}" for name in sums}
-    totals = pieces.groupBy(*keys, _PIECE).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
-    earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    """Adds, per key, the sum of each expression from the first row through the current one.
+
+    The order must be total within a key, and `piece` must not fall along it. `F.lit(1)` as expression
+    gives the row number.
+    """
+    columns = df.columns
+    sums = {name: c.cast("long") for name, c in sums.items()}
+    rows = df.withColumn(_PIECE, piece)
     names = _prefixed([*keys, _PIECE])
-    offsets = cut(
-        totals.select(
-            *[F.col(k).alias(n) for k, n in zip([*keys, _PIECE], names, strict=True)],
-            *[F.sum(name).over(earlier).alias(alias) for name, alias in carried.items()],
-        ),
-        "hot_offsets",
+    totals = rows.groupBy(*keys, _PIECE).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(k).alias(n) for k, n in zip([*keys, _PIECE], names, strict=True)],
+        *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in sums],
     )
     within = Window.partitionBy(*keys, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = pieces.select("*", *[F.sum(c).over(within).alias(f"_in_{name}") for name, c in sums.items()])
+    local = rows.select("*", *[F.sum(c).over(within).alias(f"_in_{name}") for name, c in sums.items()])
     joined = local.join(offsets, _same([*keys, _PIECE], names), "left")
     return joined.select(
-        *pieces.columns,
-        *[_add(F.col(f"_in_{name}"), F.col(alias)).alias(name) for name, alias in carried.items()],
+        *columns, *[_add(F.col(f"_in_{name}"), F.col(f"_before_{name}")).alias(name) for name in sums]
     )
 
 
-def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    sums: Mapping[str, Column],
-) -> DataFrame:
-    """Adds, per key, the sum of each expression from the first row through the current one.
-
-    The order must be total within a key. `F.lit(1)` as expression gives the row number.
-    """
-    sums = {name: c.cast("long") for name, c in sums.items()}
-    split = split_hot(df, keys)
-    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ordinary = split.ordinary.select("*", *[F.sum(c).over(frame).alias(name) for name, c in sums.items()])
-    if split.hot is None:
-        return ordinary
-    hot = _piecewise_totals(_pieces(split, keys, order), keys, order, sums).drop(_PIECE)
-    return ordinary.unionByName(hot)
-
-
 def rolling(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
+    piece: Column,
     reach: int,
     columns: Mapping[str, Callable[[WindowSpec], Column]],
 ) -> DataFrame:
@@ -148,53 +98,37 @@ def rolling(
     Each column is a function of the ordered window, for example
     `lambda w: F.sum("points").over(w.rowsBetween(-4, 0))` or `lambda w: F.lag("points").over(w)`.
     """
-    split = split_hot(df, keys)
-    plain = Window.partitionBy(*keys).orderBy(*order)
-    ordinary = split.ordinary.select("*", *[make(plain).alias(name) for name, make in columns.items()])
-    if split.hot is None:
-        return ordinary
-
-    length = max(split.limit, reach + 1)
-    placed = _piecewise_totals(_pieces(split, keys, order), keys, order, {_POSITION: F.lit(1).cast("long")})
-    block = F.expr(f"({_POSITION} - 1) div {length}")
+    length = max(BLOCK_ROWS, reach + 1)
+    placed = running_totals(df, keys, order, piece, {_POSITION: F.lit(1)})
+    home = F.expr(f"({_POSITION} - 1) div {length}")
     last_rows = F.pmod(F.col(_POSITION) - 1, F.lit(length)) >= length - reach
     blocks = (
-        placed.drop(_PIECE)
-        .withColumn("_home", block)
+        placed.withColumn("_home", home)
         .withColumn(_BLOCK, F.explode(F.when(last_rows, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
         .withColumn(_CARRIED, F.col(_BLOCK) != F.col("_home"))
         .drop("_home")
     )
     in_block = Window.partitionBy(*keys, _BLOCK).orderBy(_POSITION)
-    hot = (
+    return (
         blocks.select("*", *[make(in_block).alias(name) for name, make in columns.items()])
         .filter(~F.col(_CARRIED))
         .drop(_POSITION, _BLOCK, _CARRIED)
     )
-    return ordinary.unionByName(hot)
 
 
-def rank_descending(
-    df: DataFrame, keys: Sequence[str], scores: Sequence[str], name: str, counted: DataFrame | None = None
-) -> DataFrame:
+def rank_descending(df: DataFrame, keys: Sequence[str], scores: Sequence[str], name: str) -> DataFrame:
     """Adds the competition rank (ties share, gaps follow) by scores, highest first, nulls highest.
 
-    In a hot group the rank of a row is one more than the number of rows on better scores, so only
-    the distinct scores and their counts are accumulated.
+    The rank of a row is one more than the number of rows on better scores.
     """
     order = [F.col(score).desc_nulls_first() for score in scores]
-    split = split_hot(df, keys, counted)
-    ordinary = split.ordinary.withColumn(
-        name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
-    )
-    if split.hot is None:
-        return ordinary
-    tiers = split.hot.groupBy(*keys, *scores).agg(F.count(F.lit(1)).alias(_N))
+    first = F.floor(F.col(scores[0]) / SCORES_OF_PIECE).cast("long")
+    piece = F.coalesce(-first, F.lit(-(1 << 60)))
+    tiers = df.groupBy(*keys, *scores).agg(F.count(F.lit(1)).alias(_ROWS))
     on = [*keys, *scores]
     names = _prefixed(on)
-    ranked = running_totals(tiers, keys, order, {"_through": F.col(_N)}).select(
+    ranked = running_totals(tiers, keys, order, piece, {"_through": F.col(_ROWS)}).select(
         *[F.col(k).alias(n) for k, n in zip(on, names, strict=True)],
-        (F.col("_through") - F.col(_N) + 1).alias(name),
+        (F.col("_through") - F.col(_ROWS) + 1).alias(name),
     )
-    hot = split.hot.join(ranked, _same(on, names)).select(*df.columns, name)
-    return ordinary.unionByName(hot)
+    return df.join(ranked, _same(on, names)).select(*df.columns, name)

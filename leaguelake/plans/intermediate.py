@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.functions.expressions import one_if, points_of, result_of
-from leaguelake.operators.ordered import rank_descending, running_totals
+from leaguelake.operators.ordered import month_of, rank_descending, running_totals
 from leaguelake.sources.schemas import COUNTED_STATUSES, TABLE_STAGES
 
 TEAM_SEASON = ["competition_code", "team_id", "season"]
@@ -62,6 +62,7 @@ def table_progression(performance: DataFrame) -> DataFrame:
         eligible,
         TEAM_SEASON,
         by_kickoff(),
+        month_of("kickoff_utc"),
         {
             "played_games": F.lit(1),
             "won": one_if(F.col("result") == "WIN"),
@@ -77,7 +78,6 @@ def table_progression(performance: DataFrame) -> DataFrame:
         ["competition_code", "season", "matchweek"],
         ["points", "goal_difference", "goals_for"],
         "league_position",
-        counted=eligible,
     )
     return ranked.select(
         *TEAM_SEASON,

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from leaguelake.functions.expressions import count_when, per_game, percentage, sum_when
 from leaguelake.operators.latest import latest_per_key
-from leaguelake.operators.ordered import rolling
+from leaguelake.operators.ordered import month_of, range_of, rolling
 from leaguelake.plans.intermediate import TEAM_SEASON, by_kickoff
 
 
+#: Matchweeks that share a piece of a season.
+WEEKS_OF_PIECE = 8
+
+
 def mart_team_form(performance: DataFrame) -> DataFrame:
     """Form over the last 5 and 10 matches as of each match, knockout matches included."""
     frames = {}
@@ -24,7 +28,7 @@ def mart_team_form(performance: DataFrame) -> DataFrame:
     played = performance.select(
         "match_id", *TEAM_SEASON, "matchweek", "kickoff_utc", "result", "points", "goals_for", "goals_against"
     )
-    return rolling(played, TEAM_SEASON, by_kickoff(), 9, frames).select(
+    return rolling(played, TEAM_SEASON, by_kickoff(), month_of("kickoff_utc"), 9, frames).select(
         "match_id", *TEAM_SEASON, "matchweek", "kickoff_utc", "result", "points",
         "matches_in_last_5",
         "points_last_5",
@@ -80,6 +84,7 @@ def mart_league_progression(snapshots: DataFrame) -> DataFrame:
         weeks,
         TEAM_SEASON,
         by_week,
+        range_of("matchweek", WEEKS_OF_PIECE),
         1,
         {
             "previous_matchweek_position": lambda w: F.lag("league_position").over(w),

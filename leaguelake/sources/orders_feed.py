@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from leaguelake.functions.expressions import season_start_year
 from leaguelake.operators.latest import latest_per_key
-from leaguelake.operators.ordered import running_totals
+from leaguelake.operators.ordered import month_of, running_totals
 from leaguelake.sources.schemas import COUNTED_STATUSES, RUN_EVENTS, TABLE_STAGES
 
 # Fixed values of the feed.
@@ -40,7 +40,8 @@ def schedule(orders: DataFrame) -> DataFrame:
         ((3 * F.col("o_orderkey") + F.col("o_custkey")) % 4).alias("drawn_away"),
     )
     placed = running_totals(
-        keyed, UNIT, [F.col("kickoff_utc").asc_nulls_last(), F.col("o_orderkey").asc_nulls_last()], {"place": F.lit(1)}
+        keyed, UNIT, [F.col("kickoff_utc").asc_nulls_last(), F.col("o_orderkey").asc_nulls_last()],
+        month_of("kickoff_utc"), {"place": F.lit(1)},
     )
     rounds = placed.withColumn("rd", F.expr(f"(place - 1) div {MATCHES_PER_ROUND}")).withColumn(
         "k", (F.col("place") - 1) % MATCHES_PER_ROUND
@@ -315,3 +316,20 @@ def run_events(events: DataFrame) -> DataFrame:
         .withColumn("error_message", F.when(F.col("status") == "FAILED", F.col("message")))
         .select(*RUN_EVENTS.names)
     )
+
+
+def unusable_lines(matches: DataFrame) -> DataFrame:
+    """Four lines for each unit that name none or are no JSON: column value."""
+
+    def line(**fields: Column) -> Column:
+        return F.to_json(F.struct(*[c.alias(n) for n, c in {**fields, "payload": F.lit("{}")}.items()]))
+
+    code, season = F.col("competition_code"), F.col("season")
+    whole = line(dataset=F.lit("matches"), competition_code=code, season=season)
+    lines = F.array(
+        F.substring(whole, 1, 40),
+        line(dataset=F.lit("referees"), competition_code=code, season=season),
+        line(dataset=F.lit("matches"), season=season),
+        line(dataset=F.lit("standings"), competition_code=code),
+    )
+    return matches.select(*UNIT).distinct().select(F.explode(lines).alias("value"))

@@ -26,18 +26,6 @@ def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
 
 
-@pytest.fixture
-def hot(spark):
-    """Makes every group above the given size take the hot-key path."""
-    from leaguelake.operators.ordered import HOT_GROUP_ROWS
-
-    def limit(rows: int) -> None:
-        spark.conf.set(HOT_GROUP_ROWS, str(rows))
-
-    yield limit
-    spark.conf.unset(HOT_GROUP_ROWS)
-
-
 class Inbox:
     """Payload files as the loader finds them."""
 

@@ -1,4 +1,4 @@
-"""The hot-key path against a plain Python computation."""
+"""Windows in pieces against a plain Python computation."""
 
 from __future__ import annotations
 
@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 from samples import rows
 
+from leaguelake.operators import ordered
 from leaguelake.operators.latest import latest_per_key
-from leaguelake.operators.ordered import rank_descending, rolling, running_totals
+from leaguelake.operators.ordered import month_of, range_of, rank_descending, rolling, running_totals
 
 KEYS = ["a", "b"]
-LIMITS = [7, 40, 1_000_000]
+WIDTHS = [1, 3, 100]
 
 
 def order():
@@ -41,9 +42,8 @@ def groups(data):
     return found
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_running_totals(spark, hot, limit):
-    hot(limit)
+@pytest.mark.parametrize("width", WIDTHS)
+def test_running_totals(spark, width):
     data = skewed(1)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
     expected = set()
@@ -52,14 +52,14 @@ def test_running_totals(spark, hot, limit):
         for place, row in enumerate(group, 1):
             total = total if row[4] is None else (total or 0) + row[4]
             expected.add((*row, place, total))
-    found = running_totals(df, KEYS, order(), {"place": F.lit(1), "total": F.col("v")})
+    found = running_totals(df, KEYS, order(), range_of("t", width), {"place": F.lit(1), "total": F.col("v")})
     assert {tuple(r) for r in found.collect()} == expected
     assert found.columns == [*df.columns, "place", "total"]
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_rolling_frames_and_lag(spark, hot, limit):
-    hot(limit)
+@pytest.mark.parametrize("width", WIDTHS)
+def test_rolling_frames_and_lag(spark, monkeypatch, width):
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 2 * width)
     data = skewed(2)
     expected = set()
     for group in groups(data).values():
@@ -69,7 +69,7 @@ def test_rolling_frames_and_lag(spark, hot, limit):
             before = group[place - 1][5] if place else None
             expected.add((*row, len(frame), sum(known) if known else None, tuple(r[3] for r in frame), before))
     found = rolling(
-        spark.createDataFrame(data, SCHEMA).repartition(3), KEYS, order(), 4,
+        spark.createDataFrame(data, SCHEMA).repartition(3), KEYS, order(), range_of("t", width), 4,
         {
             "n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-4, 0)),
             "s": lambda w: F.sum("v").over(w.rowsBetween(-4, 0)),
@@ -80,9 +80,9 @@ def test_rolling_frames_and_lag(spark, hot, limit):
     assert {(*r[:8], tuple(r[8]), r[9]) for r in found.collect()} == expected
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_rank_descending(spark, hot, limit):
-    hot(limit)
+@pytest.mark.parametrize("width", WIDTHS)
+def test_rank_descending(spark, monkeypatch, width):
+    monkeypatch.setattr(ordered, "SCORES_OF_PIECE", width)
     data = skewed(3)
     found = rank_descending(spark.createDataFrame(data, SCHEMA).repartition(3), KEYS, ["v", "w"], "place")
 
@@ -95,11 +95,9 @@ def test_rank_descending(spark, hot, limit):
     assert {tuple(r) for r in found.collect()} == expected
 
 
-def test_equal_rank_leaves_a_gap(spark, hot):
+def test_equal_rank_leaves_a_gap(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 4)], "id string, v int").withColumn("k", F.lit(1))
-    for limit in (1, 100):
-        hot(limit)
-        assert rows(rank_descending(df, ["k"], ["v"], "place"), "id", "place") == [("a", 1), ("b", 1), ("c", 3)]
+    assert rows(rank_descending(df, ["k"], ["v"], "place"), "id", "place") == [("a", 1), ("b", 1), ("c", 3)]
 
 
 def test_latest_per_key_limits_before_the_shuffle(spark):
@@ -110,8 +108,22 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     assert rows(latest) == [(0, 999), (1, 997), (2, 998)]
 
 
-def test_ordinary_keys_take_one_shuffle(spark, tmp_path):
-    spark.createDataFrame(skewed(4), SCHEMA).write.parquet(str(tmp_path / "t"))
-    stored = spark.read.parquet(str(tmp_path / "t"))
-    plan = running_totals(stored, KEYS, order(), {"place": F.lit(1)})._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+def test_months_order_and_missing_ones_come_last(spark):
+    days = ["2023-12-31", "2024-01-01", "2024-01-31", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("timestamp_ntz").alias("d"))
+    found = [r.m for r in df.select(month_of("d").alias("m")).collect()]
+    assert found[0] + 1 == found[1] == found[2] < found[3]
+
+
+def test_one_key_with_most_rows_is_spread_over_tasks(spark):
+    moment = F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id % 1500 as int))")
+    df = spark.range(20000).select(F.lit("k").alias("k"), moment.alias("t"), "id")
+    order = [F.col("t"), F.col("id")]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        totals = running_totals(df, ["k"], order, month_of("t"), {"place": F.lit(1)})
+        held = totals.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(held) > 1 and max(r["count"] for r in held) < 12000
+    assert totals.agg(F.countDistinct("place"), F.max("place")).first() == (20000, 20000)
