@@ -2,19 +2,25 @@
 
 A (competition, season) unit is closed under every model but two links: a match that moved between
 units, and the team names shown in the league table. Both are followed, so a refresh leaves exactly
-what a full rebuild would.
+what a full rebuild would. What is to be replaced is written down before the first table changes: a
+refresh that follows a failed one starts from that note, as the tables no longer tell where a match was.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.plans import marts
 from leaguelake.plans.models import Models, Units
 from leaguelake.sources.schemas import UNIT
-from leaguelake.sources.store import Lake, cut, exists, in_units
+from leaguelake.sources.store import Lake, cut, exists, in_units, remove, write_text
 
+NOTE = ("refresh", "unfinished.json")
 SHOWN = ["team_id", "team_name", "team_crest_url"]
 
 
@@ -36,27 +42,60 @@ def linked_units(lake: Lake, units: Units) -> Units:
     return _collect_units(staged.join(seen, "match_id", "left_semi"))
 
 
+@dataclass(frozen=True)
+class Note:
+    """What an unfinished refresh set out to replace, from which units, and the names shown before it."""
+
+    replaced: list[tuple[str, str]]
+    sources: list[tuple[str, str]]
+    teams_before: str
+
+    @classmethod
+    def read(cls, lake: Lake) -> Note | None:
+        if not exists(lake.spark, lake.path(*NOTE)):
+            return None
+        found = json.loads(lake.spark.read.text(lake.path(*NOTE), wholetext=True).first()[0])
+        return cls([tuple(u) for u in found["replaced"]], [tuple(u) for u in found["sources"]], found["teams_before"])
+
+    def write(self, lake: Lake) -> None:
+        write_text(lake.spark, lake.path(*NOTE), json.dumps(vars(self)))
+
+    def done(self, lake: Lake) -> None:
+        remove(lake.spark, lake.path(*NOTE))
+        remove(lake.spark, self.teams_before)
+
+
 def refresh(lake: Lake, units: Units) -> Models:
     """Replaces the given units in every stored model; the team and competition models always.
 
-    Call it after each load with the units of that load.
+    Call it after each load with the units of that load. If the one before failed, its units are
+    replaced along.
     """
     if not exists(lake.spark, lake.path("marts", "mart_league_table")):
         whole = Models(lake)
         whole.build()
         return whole
-    shown_before = cut(lake.stored("marts", "dim_team").select(*SHOWN), "teams_before")
+    left = Note.read(lake)
+    if left is None:
+        teams_before = lake.path("refresh", f"teams-{uuid.uuid4().hex}")
+        lake.stored("marts", "dim_team").select(*SHOWN).write.parquet(teams_before)
+    else:
+        teams_before = left.teams_before
+        units = [*units, *left.replaced]
 
     # A match must go from the unit it left, so linked units are replaced along. The latest copy
     # of every match in the replaced units lies in those units or where it is staged now.
     replaced = sorted({*units, *linked_units(lake, units)})
-    sources = sorted({*replaced, *linked_units(lake, replaced)})
+    sources = sorted({*replaced, *linked_units(lake, replaced), *(left.sources if left else ())})
+    note = Note(replaced, sources, teams_before)
+    note.write(lake)
     models = Models(lake, replaced, raw_units=sources)
     if replaced:
         models.build()
     else:
         models.stg_competitions, models.dim_team  # noqa: B018
-    _refresh_names(lake, models, shown_before)
+    _refresh_names(lake, models, lake.spark.read.parquet(teams_before))
+    note.done(lake)
     return models
 
 

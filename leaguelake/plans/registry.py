@@ -15,7 +15,6 @@ from leaguelake.sources.demo import Demo, demo
 COMPETITION, SEASON = "C1", "1997"
 TEAM_A, TEAM_B = 3, 11
 TEAM_IDS = [1, 2, 13]
-TEAM_NAMES = [f"Team {number:02d}" for number in range(20)]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,7 +42,7 @@ def _joined_form(df: DataFrame) -> DataFrame:
 def land_matches(d: Demo) -> DataFrame:
     rows = payloads.land_matches(d.damaged_match_envelopes()).rows
     return rows.select(
-        *[c for c in rows.columns if c != "raw_json"],
+        *[c for c in rows.columns if c not in ("raw_json", "arrival")],
         field("raw_json", "status").alias("status"),
         field("raw_json", "score.fullTime.home", "bigint").alias("home_goals"),
     )
@@ -86,6 +85,25 @@ def streamed_league_table(d: Demo) -> DataFrame:
     return _joined_form(d.streamed.stored("marts", "mart_league_table"))
 
 
+@_query
+def one_run_league_table(d: Demo) -> DataFrame:
+    """The league table after both loads came in one batch, the newer one in the older files."""
+    return _joined_form(d.one_run.stored("marts", "mart_league_table"))
+
+
+@_query
+def stream_quarantine(d: Demo) -> DataFrame:
+    """Lines of the stream that could not be used, by reason."""
+    return d.one_run.raw("raw_rejects").groupBy("dataset", "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@_query
+def stream_runs(d: Demo) -> DataFrame:
+    """The runs that the stream recorded."""
+    state = audit.run_state(d.one_run.audit("pipeline_run_audit"))
+    return state.groupBy("dataset", "status").agg(F.count(F.lit(1)).alias("runs"))
+
+
 @_query
 def envelope_quarantine(d: Demo) -> DataFrame:
     rejects = payloads.land_matches(d.damaged_match_envelopes()).rejects
@@ -174,7 +192,7 @@ def fact_team_match(d: Demo) -> DataFrame:
 
 @_query
 def fact_standing_snapshot(d: Demo) -> DataFrame:
-    return facts.fact_standing_snapshot(intermediate.table_progression(d.models.int_match_team_performance))
+    return facts.fact_standing_snapshot(d.models.int_table_progression)
 
 
 @_query
@@ -305,8 +323,8 @@ def season_work_list(d: Demo) -> DataFrame:
     """Everything from each competition's first season to the newest one, less what is loaded."""
     season = F.col("season").cast("long")
     spans = d.models.dim_season.groupBy("competition_code").agg(F.min(season).alias("first_season"))
-    newest = d.models.dim_season.agg(F.max(season).alias("current_season"))
-    wanted = ingest.requested_units(spans.join(newest), F.col("first_season"), F.col("current_season"))
+    newest = d.models.dim_season.agg(F.max(season).alias("current_season")).first()["current_season"]
+    wanted = ingest.requested_units(spans, F.col("first_season"), F.lit(newest).cast("long"))
     return ingest.work_list(wanted, audit.loaded_units(audit.run_state(d.run_events)))
 
 
@@ -364,7 +382,7 @@ def api_progression_teams(d: Demo) -> DataFrame:
 
 @_query
 def progression_matrix(d: Demo) -> DataFrame:
-    return serving.progression_matrix(api_progression(d), TEAM_NAMES)
+    return serving.progression_matrix(api_progression(d))
 
 
 @_query

@@ -108,11 +108,13 @@ def progression(
     )
 
 
-def progression_matrix(progression_rows: DataFrame, team_names: Sequence[str]) -> DataFrame:
-    """One row per matchweek, one column per named team holding its position."""
+def progression_matrix(progression_rows: DataFrame) -> DataFrame:
+    """One row per matchweek, one column for each team of the unit holding its position."""
+    names = progression_rows.select("team_name").distinct().orderBy("team_name")
+    shown = [r.team_name for r in names.collect()]  # the teams of one competition and season
     return (
         progression_rows.groupBy("matchweek")
-        .pivot("team_name", list(team_names))
+        .pivot("team_name", shown)
         .agg(F.first("league_position", ignorenulls=True))
         .orderBy(_up("matchweek"))
     )

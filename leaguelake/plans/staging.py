@@ -1,8 +1,8 @@
 """RAW rows -> typed columns, one row per key: the latest load wins.
 
 Fields are unpacked before the latest row is picked: the shuffle then carries a few typed columns
-instead of whole payloads, and columns nobody reads are pruned from it. `run_id` breaks ties between
-loads with one and the same timestamp.
+instead of whole payloads, and columns nobody reads are pruned from it. Loads are ordered by the time
+each response was fetched, then by run, then by where it arrived: file time, file and line.
 """
 
 from __future__ import annotations
@@ -64,30 +64,33 @@ STANDING_FIELDS = {
 }
 
 
+LOAD = ("loaded_at", "run_id", "arrival")
+
+
 def _newest_load() -> list[Column]:
-    return [F.col("loaded_at").desc_nulls_first(), F.col("run_id").desc_nulls_first()]
+    return [F.col(name).desc_nulls_first() for name in LOAD[:-1]] + [F.col(LOAD[-1]).desc_nulls_last()]
 
 
 def stg_competitions(raw_competitions: DataFrame) -> DataFrame:
     typed = raw_competitions.select(
-        "competition_code", *fields("raw_json", COMPETITION_FIELDS), "loaded_at", "run_id"
+        "competition_code", *fields("raw_json", COMPETITION_FIELDS), *LOAD
     )
-    return latest_per_key(typed, ["competition_code"], _newest_load()).drop("run_id")
+    return latest_per_key(typed, ["competition_code"], _newest_load()).drop("run_id", "arrival")
 
 
 def stg_teams(raw_teams: DataFrame) -> DataFrame:
     typed = raw_teams.select(
         "competition_code", "season", field("raw_json", "id", "bigint").alias("team_id"),
-        *fields("raw_json", TEAM_FIELDS), "loaded_at", "run_id",
+        *fields("raw_json", TEAM_FIELDS), *LOAD,
     )
-    return latest_per_key(typed, ["competition_code", "season", "team_id"], _newest_load()).drop("run_id")
+    return latest_per_key(typed, ["competition_code", "season", "team_id"], _newest_load()).drop("run_id", "arrival")
 
 
 def stg_matches(raw_matches: DataFrame) -> DataFrame:
     typed = raw_matches.select(
-        "match_id", "competition_code", "season", *fields("raw_json", MATCH_FIELDS), "loaded_at", "run_id"
+        "match_id", "competition_code", "season", *fields("raw_json", MATCH_FIELDS), *LOAD
     )
-    return latest_per_key(typed, ["match_id"], _newest_load()).drop("run_id")
+    return latest_per_key(typed, ["match_id"], _newest_load()).drop("run_id", "arrival")
 
 
 def stg_standings(raw_standings: DataFrame) -> DataFrame:

@@ -73,6 +73,23 @@ class Demo:
             query.awaitTermination()
         return lake
 
+    @cached_property
+    def one_run(self) -> Lake:
+        """A third lake: its stream finds both loads in one batch, the newer in the older files, and lines
+        that cannot be used."""
+        root = f"{session_folder(self.spark)}/one-run-{uuid.uuid4().hex}"
+        lake = Lake(self.spark, f"{root}/lake")
+        feed.unusable_lines(self.schedule).write.text(f"{root}/inbox/unusable")
+        for run_id, moment in reversed(feed.LOAD_TIMES.items()):
+            for dataset in payloads.LANDERS:
+                lines = self.envelopes(dataset).filter(F.col("run_id") == run_id).select(
+                    F.lit(dataset).alias("dataset"), "competition_code", "season", F.lit(moment).alias("fetched_at"), "payload"
+                )
+                lines.write.mode("append").json(f"{root}/inbox/{dataset}")
+        query = follow_inbox(lake, f"{root}/inbox/*", f"{root}/checkpoint")
+        query.awaitTermination()
+        return lake
+
     def damaged_match_envelopes(self) -> DataFrame:
         """The newer load of every round, some of them spoiled."""
         first_match = F.get_json_object("payload", "$.matches[0].matchday").cast("long")

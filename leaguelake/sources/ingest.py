@@ -1,8 +1,8 @@
 """Loading runs: what to load, landing it, and the audit trail of each (dataset, unit) run.
 
-All units of a dataset are landed in one job. A unit whose response fails validation is recorded
-as FAILED, lands nothing and is left out of the datasets that follow; the others go on, and the
-call raises once everything is recorded.
+All units of a dataset are landed in one job. A response that fails validation is quarantined, its unit
+is recorded as FAILED and left out of the datasets that follow; sound responses land, the other units go
+on, and the call raises once everything is recorded. Lines that name no unit are quarantined as well.
 """
 
 from __future__ import annotations
@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from leaguelake.functions.expressions import row_key
 from leaguelake.functions.seasons import check_range, current_season, utc_today
 from leaguelake.plans import audit
-from leaguelake.sources.payloads import LANDERS, MATCH_WITHOUT_ID, Landing, read_envelopes, refused
+from leaguelake.sources.payloads import (
+    LANDERS, MATCH_WITHOUT_ID, Landing, load_time, read_envelopes, refused, unusable_lines,
+)
 from leaguelake.sources.schemas import DATASETS
 from leaguelake.sources.store import Lake, cut
 
 SOURCE = "payload-files"
 BACKFILL, DAILY = "leaguelake.backfill", "leaguelake.daily"
+#: The run of lines that belong to none; a load replaces those that earlier loads found.
+UNUSABLE = "unusable-lines"
 RUN_KEY = ["dataset", "competition_code", "season"]
 
 
@@ -66,7 +70,7 @@ def stamp(envelopes: DataFrame, runs: DataFrame, keys: Sequence[str], moment: da
     return (
         envelopes.join(runs.select(*keys, "run_id"), list(keys))
         .withColumn("source", F.lit(SOURCE))
-        .withColumn("loaded_at", _moment(moment))
+        .withColumn("loaded_at", load_time(_moment(moment)))
     )
 
 
@@ -108,7 +112,7 @@ def _load_dataset(
     broken = rejects.filter(F.col("reason") != MATCH_WITHOUT_ID).select("run_id", "reason")
     faulty = cut(silent.unionByName(broken).groupBy("run_id").agg(F.max("reason").alias("reason")), "faulty")
 
-    lake.land(f"raw_{dataset}", landing.rows.join(faulty.select("run_id"), "run_id", "left_anti"))
+    lake.land(f"raw_{dataset}", landing.rows)
     landed = lake.raw(f"raw_{dataset}").join(ours, "run_id", "left_semi")
     inserted = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
     rejected = rejects.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_rejected"))
@@ -130,6 +134,10 @@ def _attempt(
     lake: Lake, dataset: str, runs: DataFrame, envelopes: DataFrame, keys: Sequence[str], moment: datetime
 ) -> DataFrame:
     lake.append_audit("pipeline_run_audit", audit.started(runs))
+    lost = envelopes.withColumns({
+        "run_id": F.lit(UNUSABLE), "source": F.lit(SOURCE), "loaded_at": load_time(_moment(moment)),
+    })
+    lake.land("raw_rejects", unusable_lines(lost, dataset))
     try:
         return _load_dataset(lake, dataset, runs, envelopes, keys, moment)
     except Exception as error:
@@ -165,9 +173,11 @@ def load_units(lake: Lake, inbox: str, work: DataFrame, pipeline_name: str, mome
 
 
 def _raise_if_any(failed: DataFrame) -> None:
-    first = failed.orderBy("competition_code", "season").take(5)
-    if first:
-        raise IngestionFailed("; ".join(f"{r.competition_code} {r.season or ''}: {r.reason}" for r in first))
+    count = failed.count()
+    if count:
+        r = failed.orderBy("competition_code", "season").first()
+        example = f"{r.competition_code} {r.season or ''}: {r.reason}"
+        raise IngestionFailed(f"{count} runs failed, as the run audit says one by one; the first is {example}")
 
 
 def _state(lake: Lake) -> DataFrame:

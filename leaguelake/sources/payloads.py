@@ -11,9 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leaguelake.functions.expressions import field
-from leaguelake.sources.schemas import DATASETS, ENVELOPE, RAW_REJECTS, SCHEMAS
+from leaguelake.sources.schemas import BROKEN_LINE, DATASETS, ENVELOPE, RAW_REJECTS, SCHEMAS
 
 _DOC = "_document"
 _ITEM = "_item"
@@ -42,9 +43,54 @@ def refused(responses: DataFrame) -> DataFrame:
     return responses.filter(F.col("reason").isNotNull())
 
 
+def envelope_schema(*more: T.StructField) -> T.StructType:
+    return T.StructType([*more, *ENVELOPE.fields, T.StructField(BROKEN_LINE, T.StringType())])
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    """Adds `arrival`, which orders lines by the time of their file, the file, and the place of the split in it."""
+    of_file = "_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start"
+    changed, path, block = map(F.col, of_file)
+    parts = [F.lpad(F.unix_millis(changed).cast("string"), 20, "0"), path, F.lpad(block.cast("string"), 20, "0")]
+    return lines.select("*", F.concat_ws("|", *parts).alias("arrival"))
+
+
+def with_line(lines: DataFrame) -> DataFrame:
+    """Completes `arrival` by the order of lines within a split."""
+    line = F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")
+    return lines.withColumn("arrival", F.concat_ws("|", "arrival", line))
+
+
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Payload files: JSON lines, one response each, `payload` holding the response as text."""
-    return spark.read.schema(ENVELOPE).json(path)
+    reader = spark.read.schema(envelope_schema()).option("columnNameOfCorruptRecord", BROKEN_LINE)
+    return with_line(with_place(reader.json(path)))
+
+
+def load_time(moment: Column) -> Column:
+    """When a response was fetched; without that, the moment of the run."""
+    return F.coalesce(F.col("fetched_at").try_cast("timestamp_ntz"), moment)
+
+
+def unusable(dataset: Column | str) -> Column:
+    """Why a line cannot be given to a unit; null if it can. Only teams may come without a season."""
+    dataset = F.lit(dataset) if isinstance(dataset, str) else dataset
+    return (
+        F.when(F.col(BROKEN_LINE).isNotNull(), "line is not JSON")
+        .when(~F.coalesce(dataset.isin(*REQUIREMENTS), F.lit(False)), "unknown dataset")
+        .when(F.col("competition_code").isNull(), "missing competition")
+        .when(dataset.isin("matches", "standings") & F.col("season").isNull(), "missing season")
+    )
+
+
+def unusable_lines(lines: DataFrame, dataset: Column | str) -> DataFrame:
+    """Lines without a usable envelope as rejects. lines: run_id, source and loaded_at besides the envelope."""
+    name = F.lit(dataset) if isinstance(dataset, str) else F.when(F.col(BROKEN_LINE).isNull(), dataset)
+    reason = unusable(dataset)
+    return lines.filter(reason.isNotNull()).select(
+        F.coalesce(name, F.lit("unknown")).alias("dataset"), "competition_code", "season", "run_id", "source", "loaded_at",
+        reason.alias("reason"), F.coalesce(BROKEN_LINE, "payload").alias("payload"),
+    )
 
 
 def _kind(path: str) -> Column:
@@ -111,6 +157,8 @@ def _opened(envelopes: DataFrame, dataset: str, items: Column, fault: Callable[[
     broken = F.array(line(reason, nothing, F.col("payload")))
     heading = F.array(line(nothing, nothing, nothing))
     each = F.transform(items, lambda item: line(fault(item), item, F.when(fault(item).isNotNull(), F.to_json(item))))
+    if "arrival" not in envelopes.columns:
+        envelopes = envelopes.withColumn("arrival", F.lit(None).cast("string"))
     known = [c for c in envelopes.columns if c != "payload"]
     return envelopes.withColumn(_DOC, F.try_parse_json("payload")).select(
         *known, F.inline(F.when(reason.isNotNull(), broken).otherwise(F.concat(heading, each)))

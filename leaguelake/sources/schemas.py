@@ -17,6 +17,7 @@ RAW_COMPETITIONS = _struct(
     ("run_id", STRING, False),
     ("source", STRING, False),
     ("loaded_at", NTZ, False),
+    ("arrival", STRING, True),
     ("raw_json", VARIANT, False),
 )
 RAW_TEAMS = _struct(
@@ -25,6 +26,7 @@ RAW_TEAMS = _struct(
     ("run_id", STRING, False),
     ("source", STRING, False),
     ("loaded_at", NTZ, False),
+    ("arrival", STRING, True),
     ("raw_json", VARIANT, False),
 )
 RAW_MATCHES = _struct(
@@ -35,6 +37,7 @@ RAW_MATCHES = _struct(
     ("run_id", STRING, False),
     ("source", STRING, False),
     ("loaded_at", NTZ, False),
+    ("arrival", STRING, True),
     ("raw_json", VARIANT, False),
 )
 RAW_STANDINGS = _struct(
@@ -44,6 +47,7 @@ RAW_STANDINGS = _struct(
     ("run_id", STRING, False),
     ("source", STRING, False),
     ("loaded_at", NTZ, False),
+    ("arrival", STRING, True),
     ("raw_json", VARIANT, False),
 )
 RAW_REJECTS = _struct(
@@ -99,12 +103,15 @@ RECONCILIATION_AUDIT = _struct(
     ("executed_at", NTZ, False),
 )
 
-# What a payload file holds: one provider response per line, with what was asked for.
+# What a payload file holds: one provider response per line, with what was asked for and when it came.
 ENVELOPE = _struct(
     ("competition_code", STRING, True),
     ("season", STRING, True),
+    ("fetched_at", STRING, True),
     ("payload", STRING, True),
 )
+#: Where the reader puts a line that is no JSON object.
+BROKEN_LINE = "_broken_line"
 
 SCHEMAS = {
     "raw_competitions": RAW_COMPETITIONS,

@@ -106,7 +106,7 @@ def unit_folder(path: str, unit: tuple[str, str]) -> str:
     return "/".join([path, *(f"{name}={escaped(value)}" for name, value in zip(UNIT, unit, strict=True))])
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     file_system, jvm_path = _file_system(spark, path)
     stream = file_system.create(jvm_path, True)
     try:
@@ -196,5 +196,5 @@ class Lake:
         return f"{self.root}/schemas/{layer}.{name}.json"
 
     def _opened(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
-        _write_text(self.spark, self._schema_path(layer, name), schema.json())
+        write_text(self.spark, self._schema_path(layer, name), schema.json())
         return read_stored(self.spark, self.path(layer, name), schema)

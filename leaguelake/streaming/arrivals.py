@@ -1,8 +1,10 @@
 """Daily loading as a stream over the inbox: new payload files are picked up exactly once.
 
-The trigger takes what is there and stops, so it runs as a scheduled batch. Every micro-batch lands
-its responses under one run id and rebuilds the units it touched. A batch repeated after a failure
-has the same id and replaces what it wrote before.
+The trigger takes what is there and stops, so it runs as a scheduled batch. Every micro-batch lands its
+sound responses, quarantines the others and every line without a usable envelope, records a run for
+each dataset and unit, and rebuilds the units it touched. A batch repeated after a failure has the same
+run ids and replaces what it wrote before. Which response is the newest does not depend on where
+batches are cut: each carries its own time.
 """
 
 from __future__ import annotations
@@ -10,34 +12,76 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from leaguelake.functions.expressions import row_key
+from leaguelake.plans import audit
 from leaguelake.plans.refresh import refresh, touched_units
-from leaguelake.sources.payloads import LANDERS
-from leaguelake.sources.schemas import ENVELOPE
+from leaguelake.sources.payloads import (
+    LANDERS, MATCH_WITHOUT_ID, envelope_schema, load_time, refused, unusable, unusable_lines, with_line, with_place,
+)
+from leaguelake.sources.schemas import BROKEN_LINE
 from leaguelake.sources.store import Lake, cut
 
-ARRIVAL = T.StructType([T.StructField("dataset", T.StringType()), *ENVELOPE.fields])
+ARRIVAL = envelope_schema(T.StructField("dataset", T.StringType()))
 SOURCE = "payload-stream"
+PIPELINE = "leaguelake.stream"
+
+
+def _runs(arrivals: DataFrame) -> DataFrame:
+    return arrivals.select(
+        "run_id", F.lit(PIPELINE).alias("pipeline_name"), "dataset", "source", "competition_code", "season",
+        F.col("batch_time").alias("started_at"),
+    ).distinct()
+
+
+def _ends(runs: DataFrame, responses: DataFrame, landed: DataFrame, done: Column) -> DataFrame:
+    """How each run ended: FAILED if a response of it was refused. responses has the sound ones too."""
+    why = F.max(F.when(F.col("reason") != MATCH_WITHOUT_ID, F.col("reason"))).alias("why")
+    outcome = responses.groupBy("run_id").agg(F.count("reason").alias("records_rejected"), why)
+    taken = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
+    counted = (
+        runs.join(outcome, "run_id", "left").join(taken, "run_id", "left")
+        .na.fill(0, ["records_inserted", "records_rejected"])
+        .withColumn("records_received", F.col("records_inserted") + F.col("records_rejected"))
+    )
+    good, bad = counted.filter("why is null"), counted.filter("why is not null")
+    return audit.succeeded(good, done).unionByName(audit.failed(bad, done, F.col("why")))
 
 
 def land_batch(lake: Lake, name: str, clock: Callable[[], datetime]) -> Callable[[DataFrame, int], None]:
+    def now() -> Column:
+        return F.lit(clock().replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        moment, run = now(), f"{name}-{batch_id:08d}"
+        why = unusable(F.col("dataset"))
+        own_run = F.concat(F.lit(f"{run}-"), row_key(*map(F.col, ("dataset", "competition_code", "season"))))
         stamped = cut(
-            batch.withColumn("run_id", F.lit(f"{name}-{batch_id:08d}"))
+            with_line(batch)
+            .withColumn("run_id", F.when(why.isNull(), own_run).otherwise(run))
+            .withColumn("usable", why.isNull())
             .withColumn("source", F.lit(SOURCE))
-            .withColumn("loaded_at", F.lit(clock().replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")),
+            .withColumn("batch_time", moment)
+            .withColumn("loaded_at", load_time(moment)),
             "arrivals",
-            partition_by=["dataset"],
         )
+        lake.land("raw_rejects", unusable_lines(stamped, F.col("dataset")))
+        usable = stamped.filter("usable")
+        runs = cut(_runs(usable), "runs")
+        lake.append_audit("pipeline_run_audit", audit.started(runs))
         for dataset, land in LANDERS.items():
-            landing = land(stamped.filter(F.col("dataset") == dataset))
-            lake.land(f"raw_{dataset}", landing.rows)
-            lake.land("raw_rejects", landing.rejects)
-        refresh(lake, touched_units(stamped))
+            landing = land(usable.filter(F.col("dataset") == dataset))
+            responses = cut(landing.responses, "responses")
+            rows = cut(landing.rows, "landed")
+            lake.land(f"raw_{dataset}", rows)
+            lake.land("raw_rejects", refused(responses))
+            due = runs.filter(F.col("dataset") == dataset)
+            lake.append_audit("pipeline_run_audit", _ends(due, responses, rows, now()))
+        refresh(lake, touched_units(usable))
 
     return write
 
@@ -51,7 +95,8 @@ def follow_inbox(
     clock: Callable[[], datetime] = lambda: datetime.now(UTC),
 ) -> StreamingQuery:
     """Starts a run over everything that has arrived: JSON lines with dataset, unit and payload."""
-    arrivals = lake.spark.readStream.schema(ARRIVAL).option("maxFilesPerTrigger", max_files).json(inbox)
+    reader = lake.spark.readStream.schema(ARRIVAL).option("columnNameOfCorruptRecord", BROKEN_LINE)
+    arrivals = with_place(reader.option("maxFilesPerTrigger", max_files).json(inbox))
     return (
         arrivals.writeStream.queryName(name)
         .foreachBatch(land_batch(lake, name, clock))

@@ -187,9 +187,9 @@ def _split(side: str, test: str) -> str:
     return ",\n".join([
         f"{total(test, '1')} AS {side}_played",
         f"{total(test, 'points')} AS {side}_points",
-        f"{total(test + chr(32) + 'AND goals_for > goals_against', '1')} AS {side}_wins",
-        f"{total(test + chr(32) + 'AND goals_for = goals_against', '1')} AS {side}_draws",
-        f"{total(test + chr(32) + 'AND goals_for < goals_against', '1')} AS {side}_losses",
+        f"{total(test + ' AND goals_for > goals_against', '1')} AS {side}_wins",
+        f"{total(test + ' AND goals_for = goals_against', '1')} AS {side}_draws",
+        f"{total(test + ' AND goals_for < goals_against', '1')} AS {side}_losses",
         f"{total(test, 'goals_for')} AS {side}_goals_for",
         f"{total(test, 'goals_against')} AS {side}_goals_against",
     ])
@@ -577,6 +577,24 @@ sided AS (SELECT competition_code, season, match_stage, unnest(['TOTAL', CASE WH
             f"SELECT competition_code, season, run_id, team_id FROM stg_teams, loads WHERE season = '{season}'",
         ),
         "streamed_league_table": _with(TABLE, "SELECT * FROM league_table"),
+        "one_run_league_table": _with(TABLE, "SELECT * FROM league_table"),
+        "stream_quarantine": _with(
+            MATCHES + """,
+units AS (SELECT DISTINCT competition_code, season FROM matches),
+kinds(dataset, reason) AS (VALUES ('unknown', 'line is not JSON'), ('referees', 'unknown dataset'),
+                                  ('matches', 'missing competition'), ('standings', 'missing season'))""",
+            "SELECT dataset, reason, count(*) AS lines FROM kinds, units GROUP BY dataset, reason",
+        ),
+        "stream_runs": _with(
+            PERFORMANCE + """,
+units AS (SELECT DISTINCT competition_code, season FROM matches),
+tables AS (SELECT DISTINCT competition_code, season FROM performance
+           WHERE match_stage IN ('REGULAR_SEASON', 'LEAGUE_STAGE', 'GROUP_STAGE'))""",
+            """SELECT 'teams' AS dataset, 'SUCCESS' AS status, count(*) AS runs FROM units
+  UNION ALL SELECT 'matches', 'SUCCESS', count(*) FROM units
+  UNION ALL SELECT 'standings', 'SUCCESS', count(*) FROM tables
+  UNION ALL SELECT 'competitions', 'SUCCESS', count(DISTINCT competition_code) FROM units""",
+        ),
         "match_filter": _with(
             MATCHES,
             f"""SELECT match_id, competition_code, season, matchweek, kickoff_utc, match_status FROM matches

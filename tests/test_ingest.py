@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+import os
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from samples import match, rows, standing
 
 from leaguelake.functions import seasons
-from leaguelake.plans import audit
+from leaguelake.plans import audit, staging
 from leaguelake.plans.models import MODEL_NAMES, Models
 from leaguelake.plans.refresh import refresh, touched_units
 from leaguelake.sources import ingest, store
@@ -77,7 +79,7 @@ def test_repeating_one_run_replaces_it(lake, inbox):
 
 def test_a_refused_response_fails_its_unit_only(lake, inbox):
     fill(inbox)
-    inbox.put("teams", "PL", "2024", {"unexpected": "shape"})
+    inbox.put("teams", "PL", "2024", {"number": 2})
     with pytest.raises(ingest.IngestionFailed, match="PL 2024: missing or malformed: count"):
         ingest.backfill(lake, str(inbox), ["PL"], 2023, today=TODAY, moment=FIRST)
     found = states(lake, "dataset", "season", "status", "error_message")
@@ -181,6 +183,102 @@ def test_arrivals_are_picked_up_once(spark, lake, inbox, tmp_path):
     assert rows(lake.raw("raw_rejects"), "season", "reason") == [("2024", "payload is not JSON")]
 
 
+@pytest.mark.parametrize("newer_first", [True, False])
+@pytest.mark.parametrize("timed", [True, False])
+def test_the_newest_of_two_responses_in_one_run_wins(spark, lake, inbox, tmp_path, newer_first, timed):
+    """By the time it was fetched; without that, by the time of its file. Sizes of files do not matter."""
+    fill(inbox, ["2024"])
+    scored = {"matches": [match(1, 1, "2024-08-11", 1, 2, (2, 0)), *[match(100 + i, 2, "2024-08-12", 1, 2) for i in range(30)]]}
+    early = {"matches": [match(1, 1, "2024-08-11", 1, 2)]}
+    order = [("z", scored, "2024-08-12T06:00:00Z"), ("a", early, "2024-08-10T06:00:00Z")]
+    for age, (name, payload, moment) in enumerate(order if newer_first else order[::-1]):
+        inbox.put("matches", "PL", "2024", payload, name=name)
+        file = inbox.folder / "matches" / f"{name}-PL-2024.json"
+        if timed:
+            file.write_text(json.dumps({**json.loads(file.read_text()), "fetched_at": moment}) + "\n")
+        os.utime(file, (10**9 + age, 10**9 + age))
+    expected = [(1, 2 if timed or not newer_first else None)]
+
+    def found(lake):
+        staged = staging.stg_matches(lake.raw("raw_matches")).filter("match_id = '1'")
+        return [(int(r.match_id), r.full_time_home_goals) for r in staged.collect()]
+
+    ingest.daily(lake, str(inbox), ["PL"], TODAY, FIRST)
+    assert found(lake) == expected
+    streamed = store.Lake(spark, str(tmp_path / "streamed"))
+    assert follow_inbox(streamed, f"{inbox}/*", str(tmp_path / "cp"), clock=lambda: FIRST).awaitTermination(300)
+    assert found(streamed) == expected
+
+
+@pytest.mark.parametrize("stage", ["stg_matches", "int_match_team_performance", "fact_team_match", "mart_league_table"])
+def test_a_refresh_repeated_after_a_failure_equals_a_full_rebuild(lake, inbox, monkeypatch, stage):
+    """A match moves to another season; the refresh fails right after one of the tables was written."""
+    fill(inbox, ["2023", "2024"])
+    ingest.backfill(lake, str(inbox), ["PL"], 2023, today=TODAY, moment=FIRST)
+    Models(lake).build()
+    inbox.put("matches", "PL", "2024", {"matches": [match(20232, 4, "2024-08-30", 1, 2, (0, 1))]})
+    work = ingest.daily(lake, str(inbox), ["PL"], TODAY, SECOND)
+    save = store.Lake.save_units
+
+    def failing(self, layer, name, *rest):
+        result = save(self, layer, name, *rest)
+        if name == stage:
+            raise RuntimeError("lost")
+        return result
+
+    monkeypatch.setattr(store.Lake, "save_units", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        refresh(lake, touched_units(work))
+    monkeypatch.setattr(store.Lake, "save_units", save)
+    refresh(lake, touched_units(work))
+    refreshed = stored_rows(lake)
+    assert not store.exists(lake.spark, lake.path("refresh", "unfinished.json"))
+    Models(lake).build()
+    assert refreshed == stored_rows(lake)
+
+
+UNUSABLE_LINES = [
+    '{"dataset": "matches", "competition_code": "PL", "seas',
+    json.dumps({"dataset": "referees", "competition_code": "PL", "season": "2023", "payload": "{}"}),
+    json.dumps({"dataset": "matches", "season": "2023", "payload": "{}"}),
+    json.dumps({"dataset": "matches", "competition_code": "PL", "payload": json.dumps({"matches": [match(9, 1, "2023-08-11", 1, 2)]})}),
+]
+
+
+def test_the_stream_quarantines_what_it_cannot_use_and_records_its_runs(lake, inbox, tmp_path):
+    fill(inbox, ["2023"])
+    (inbox.folder / "other").mkdir()
+    (inbox.folder / "other" / "x.json").write_text("\n".join(UNUSABLE_LINES) + "\n")
+    assert follow_inbox(lake, f"{inbox}/*", str(tmp_path / "cp"), clock=lambda: FIRST).awaitTermination(300)
+    assert rows(lake.raw("raw_rejects"), "dataset", "reason") == [
+        ("matches", "missing competition"), ("matches", "missing season"),
+        ("referees", "unknown dataset"), ("unknown", "line is not JSON"),
+    ]
+    assert states(lake, "dataset", "season", "status", "records_received", "records_inserted", "records_rejected") == [
+        ("competitions", None, "SUCCESS", 1, 1, 0), ("matches", "2023", "SUCCESS", 2, 2, 0),
+        ("standings", "2023", "SUCCESS", 1, 1, 0), ("teams", "2023", "SUCCESS", 2, 2, 0),
+    ]
+    refreshed = stored_rows(lake)
+    Models(lake).build()
+    assert refreshed == stored_rows(lake)
+    again = ingest.backfill(lake, str(inbox), ["PL"], 2023, today=date(2023, 9, 1), moment=SECOND)
+    assert {r.season for r in again.collect()} == {"2023"}  # the current one, always
+    later = ingest.work_list(
+        ingest.requested_units(lake.spark.createDataFrame([("PL",)], "competition_code string"), F.lit(2023), F.lit(2024)),
+        audit.loaded_units(audit.run_state(lake.audit("pipeline_run_audit"))),
+    )
+    assert {r.season for r in later.collect()} == {"2024"}
+
+
+def test_a_batch_load_quarantines_what_it_cannot_use(lake, inbox):
+    fill(inbox, ["2024"])
+    (inbox.folder / "matches" / "x.json").write_text("\n".join([UNUSABLE_LINES[0], UNUSABLE_LINES[2], UNUSABLE_LINES[3]]) + "\n")
+    ingest.daily(lake, str(inbox), ["PL"], TODAY, FIRST)
+    assert rows(lake.raw("raw_rejects"), "dataset", "reason") == [
+        ("matches", "line is not JSON"), ("matches", "missing competition"), ("matches", "missing season"),
+    ]
+
+
 def test_unit_folders_of_any_name_are_replaced_and_emptied(spark, lake):
     units = [("A:B/1", "2023/24"), ("A:B/1", "2024 x")]
     first = spark.createDataFrame([(*units[0], 1), (*units[1], 2)], "competition_code string, season string, v int")

@@ -60,7 +60,7 @@ def test_progression_and_its_matrix(spark):
     assert [(r.team_id, r.matchweek) for r in whole.collect()] == [(1, 1), (1, 2), (2, 1), (3, 2)]
     assert serving.progression(mart, dim, "2023", team_ids=[2]).count() == 1
     assert serving.progression(mart, dim, "2023", team_ids=[]).count() == 4
-    matrix = serving.progression_matrix(whole, ["A", "B", "C"])
+    matrix = serving.progression_matrix(whole)
     assert [tuple(r) for r in matrix.collect()] == [(1, 1, 2, None), (2, 2, None, 1)]
 
 
