@@ -21,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     The table is written once a round, and the rounds end when one changes nothing.
     """
     now, before = cut(_distinct(links), "links"), None
-    while True:
+    while not now.isEmpty():
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first()
         if state == before:
             break

@@ -1,22 +1,22 @@
 """Near duplicates: MinHash samples folded into odd sketches, banded candidates, exact confirmation.
 
-A text's set holds the distinct shingles of `width` words. `samples` MinHash values of the set serve
-twice. Cut into bands they name the buckets in which candidates meet. Folded into a bitmap, each
-value toggling one bit, they make the odd sketch: the number of differing bits of two sketches tells
-how many samples differ, precisely so where sets are very alike, and is compared with XOR and a
-population count. Pairs whose sketches are too far apart for the wanted similarity are left; all
-others are confirmed on the full sets, made anew from the whole texts.
+A text's set holds the distinct shingles of WIDTH words. MinHash samples of the set serve twice. Those of
+many hash functions, cut into bands, name the buckets in which candidates meet. Those of one
+function, the SAMPLES smallest values, are folded into a bitmap, each value toggling one bit: the odd
+sketch. The differing bits of two sketches, counted with XOR and a population count, tell how many
+samples differ, and for texts of up to SAMPLES shingles, where the sample is the set, never exceed the
+true difference. Pairs whose sketches are too far apart for the wanted similarity are left; all others are
+confirmed on the full sets, made anew from the whole texts.
 
 Work is kept below all pairs of a group. Rows with the same words are one node. In every bucket a
-node is paired with the bucket's smallest node only; the closest such pair of each node is confirmed
-first, and most groups are then known to be connected. Only what still lies in different components
-within one bucket is compared further, and there no pair is left out.
+node is paired with the bucket's smallest and largest node only; of either kind, the pair of a node that shares
+the most buckets is confirmed first, and most groups are then known to be connected. Only what still lies
+in different components within one bucket is compared further, and there no pair is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,16 +32,16 @@ from leaguelake.sources.store import cut
 WIDTH = 5
 #: Similarity from which texts are linked, in hundredths.
 PERCENT = 75
-#: 32 bands of 4 samples: a pair at 0.75 shares no bucket with a chance of (1 - 0.75**4) ** 32 = 5e-6.
-BANDS = 32
-BAND_ROWS = 4
-SKETCH_BITS = 512
+#: 45 bands of 5 samples: a pair at 0.75 shares no bucket with a chance of (1 - 0.75**5) ** 45 = 5e-6.
+BANDS = 45
+BAND_ROWS = 5
+SAMPLES = 512
+SKETCH_BITS = 2048
 WORDS_OF_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 _SEED = np.random.default_rng(7)
 _FACTORS = _SEED.integers(1, 1 << 63, (BANDS * BAND_ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _SEED.integers(1, 1 << 63, (BANDS * BAND_ROWS, 1), dtype=np.uint64)
-_INDEX = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64))
 _BAND_INDEX = mix(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(32))
 #: Shingles hashed at a time: the work area stays in cache and is the same for any text.
 _CHUNK = 2048
@@ -62,37 +62,41 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """The parity bitmap of the samples, as 64-bit words."""
-    bits = mix(samples ^ _INDEX) % np.uint64(SKETCH_BITS)
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity bitmap of the smallest of the sorted hashes, as 64-bit words."""
+    bits = mix(shingles[:SAMPLES]) % np.uint64(SKETCH_BITS)
     odd = np.bincount(bits.astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def sketch_limit(percent: int = PERCENT, sigmas: float = 5.5) -> int:
-    """Differing sketch bits up to which a pair may reach the similarity.
+def sketch_limit(a: Column, b: Column, sigmas: float = 5.5) -> Column:
+    """Differing sketch bits up to which sets of a and b shingles may reach the similarity.
 
-    Of k samples of a pair at the threshold, k (1 - J) differ, give or take sigmas deviations; each
-    toggles two of m bits, of which m / 2 (1 - exp(-2 toggles / m)) then end up odd.
+    At the threshold J the sets share J / (1 + J) (a + b). Of set sizes beyond SAMPLES only the part of
+    the hash range below SAMPLES / size is sampled, so that the shared values between the two limits
+    differ as well; the sampled number strays. D differing values leave m / 2 (1 - exp(-2 D / m)) odd
+    bits on average, and never more than D.
     """
-    k, m, miss = BANDS * BAND_ROWS, SKETCH_BITS, 1 - percent / 100
-    differing = min(k, k * miss + sigmas * math.sqrt(k * miss * (1 - miss)))
-    odd = m / 2 * (1 - math.exp(-4 * differing / m))
-    return math.ceil(odd + 3 * math.sqrt(m / 4 * (1 - math.exp(-8 * differing / m))))
+    j, m = PERCENT / 100, float(SKETCH_BITS)
+    shared = (a + b) * (j / (1 + j))
+    part_a, part_b = F.least(F.lit(1.0), SAMPLES / a), F.least(F.lit(1.0), SAMPLES / b)
+    differ = (a - shared) * part_a + (b - shared) * part_b + shared * F.abs(part_a - part_b)
+    differ = differ + sigmas * F.sqrt(2 * differ * (1 - F.least(part_a, part_b)))
+    odd = m / 2 * (1 - F.exp(-2 * differ / m)) + sigmas * F.sqrt(F.least(2 * differ * differ / m, F.lit(m / 4))) + 1
+    return F.least(differ, odd) + 1e-6
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, sizes, bands, sketches = [], [], [], []
+        sequences, sizes, bands, sketches = [], [], [], []
         for text in batch.column("text"):
             words = word_hashes(text.as_py() or "")
             shingles = shingle_set(words, WIDTH)
-            nodes.append(hashlib.blake2b(words.tobytes(), digest_size=16).digest())
+            sequences.append(hashlib.blake2b(words.tobytes(), digest_size=16).digest())
             sizes.append(len(shingles))
             if len(shingles):
-                samples = minhash(shingles)
-                bands.append(band_keys(samples))
-                sketches.append(odd_sketch(samples))
+                bands.append(band_keys(minhash(shingles)))
+                sketches.append(odd_sketch(shingles))
             else:
                 bands.append(np.empty(0, np.int64))
                 sketches.append(np.zeros(len(WORDS_OF_SKETCH), np.int64))
@@ -100,12 +104,12 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
         columns = [
             batch.column("id"), batch.column("row_key"),
-            pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
+            pa.array(sequences, pa.binary()), pa.array(sizes, pa.int64()),
             pa.ListArray.from_arrays(pa.array(parts), pa.array(flat)),
         ]
         words_of = np.array(sketches, np.int64).reshape(-1, len(WORDS_OF_SKETCH))
         columns += [pa.array(words_of[:, i]) for i in range(len(WORDS_OF_SKETCH))]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "row_key", "node", "n", "bands", *WORDS_OF_SKETCH])
+        yield pa.RecordBatch.from_arrays(columns, ["id", "row_key", "sequence", "n", "bands", *WORDS_OF_SKETCH])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,6 +129,9 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+ABOUT = ["n", *WORDS_OF_SKETCH]
+
+
 def _differing() -> Column:
     return sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in WORDS_OF_SKETCH), F.lit(0))
 
@@ -132,34 +139,26 @@ def _differing() -> Column:
 def _may_link() -> Column:
     """Size bounds and the sketch: what a linked pair satisfies."""
     sizes = (100 * F.col("a.n") >= PERCENT * F.col("b.n")) & (100 * F.col("b.n") >= PERCENT * F.col("a.n"))
-    return sizes & (_differing() <= sketch_limit())
-
-
-def _with_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (u, v) whose nodes may link, with the number of differing bits."""
-    kept = nodes.select("node", "n", *WORDS_OF_SKETCH)
-    a = kept.withColumnRenamed("node", "u").alias("a")
-    b = kept.withColumnRenamed("node", "v").alias("b")
-    with_u = pairs.join(a, "u").select("u", "v", *[F.col(f"a.{c}").alias(f"u_{c}") for c in ("n", *WORDS_OF_SKETCH)])
-    both = with_u.join(b, "v").select(
-        "u", "v",
-        F.struct(*[F.col(f"u_{c}").alias(c) for c in ("n", *WORDS_OF_SKETCH)]).alias("a"),
-        F.struct(*[F.col(f"b.{c}").alias(c) for c in ("n", *WORDS_OF_SKETCH)]).alias("b"),
-    )
-    return both.where(_may_link()).select("u", "v", _differing().alias("far"))
+    return sizes & (_differing() <= sketch_limit(F.col("a.n"), F.col("b.n")))
+
+
+def _about(nodes: DataFrame, node: str, side: str) -> DataFrame:
+    """What is known of a node, as the struct `side`, with the row that stands for it."""
+    return nodes.select(F.col("node").alias(node), F.col("row_key").alias(f"key_{node}"), F.struct(*ABOUT).alias(side))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (u, v), written once, that are links by their whole texts."""
-    used = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    rows = used.join(nodes.select("node", "row_key"), "node")
-    wanted = cut(rows.select("node", F.col("row_key.a").alias("ka"), F.col("row_key.b").alias("kb")), "wanted")
+def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v with their key_u, key_v), written once, that are links by their whole texts."""
+    pairs = cut(pairs.select("u", "v", "key_u", "key_v"), "pairs")
+    ends = [pairs.select(F.col(f"key_{e}.a").alias("ka"), F.col(f"key_{e}.b").alias("kb"), F.col(e).alias("node")) for e in "uv"]
+    wanted = cut(ends[0].unionByName(ends[1]).groupBy("ka", "kb").agg(F.min("node").alias("node")), "wanted")
     keyed = docs.select("text", F.col("row_key.a").alias("ka"), F.col("row_key.b").alias("kb"))
-    texts = cut(keyed.join(wanted, ["ka", "kb"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    # A table that grows with the corpus: joined alike at every size, never broadcast.
+    texts = cut(keyed.join(wanted.hint("merge"), ["ka", "kb"]).dropDuplicates(["ka", "kb"]).select("node", "text"), "texts")
     u = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     v = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     both = pairs.select("u", "v").join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v")
-    return cut(in_tasks(both, _confirmed, "u binary, v binary"), "links")
+    return cut(in_tasks(both, _confirmed, "u bigint, v bigint"), "links")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,49 +173,52 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("row_key", row_key("id", "text"))
     id_type = dict(rows.dtypes)["id"]
     schema = (
-        f"id {id_type}, row_key struct<a:bigint,b:bigint>, node binary, n bigint, bands array<bigint>, "
+        f"id {id_type}, row_key struct<a:bigint,b:bigint>, sequence binary, n bigint, bands array<bigint>, "
         + ", ".join(f"{s} bigint" for s in WORDS_OF_SKETCH)
     )
     signed = cut(in_tasks(rows, _signatures, schema), "signatures")
 
-    nodes = cut(
-        signed.where("n > 0").groupBy("node").agg(
-            F.min("id").alias("id"), F.min("row_key").alias("row_key"), F.min("n").alias("n"),
-            F.min("bands").alias("bands"), *[F.min(s).alias(s) for s in WORDS_OF_SKETCH],
-        ),
-        "nodes",
+    # Rows with the same words are one node, numbered when the table is written.
+    by_words = signed.where("n > 0").groupBy("sequence").agg(
+        F.min("id").alias("id"), F.min("row_key").alias("row_key"), F.min("n").alias("n"),
+        F.min("bands").alias("bands"), *[F.min(s).alias(s) for s in WORDS_OF_SKETCH],
     )
+    nodes = cut(by_words.withColumn("node", F.monotonically_increasing_id()), "nodes")
     spots = nodes.select(F.explode("bands").alias("bucket"), "node")
-    centres = spots.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("members"))
-    shared = cut(spots.join(centres.where("members > 1").select("bucket", "centre"), "bucket"), "buckets")
-
-    stars = shared.where("node <> centre").select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct()
-    closest = (
-        _with_nodes(stars, nodes).groupBy("u").agg(F.min(F.struct("far", "v")).alias("near"))
-        .select("u", F.col("near.v").alias("v"))
-    )
-    links = _confirm(cut(closest, "closest"), rows, nodes)
-    first = components(links)
-
-    labelled = attach(shared.select("bucket", "node"), first, ["node"], F.col("bucket")).withColumn(
-        "root", F.coalesce("root", "node")
-    )
+    ends = spots.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("members"))
+    shared = cut(spots.join(ends.where("lo < hi"), "bucket"), "buckets")
+
+    low = F.when(F.col("node") > F.col("lo"), F.col("lo"))
+    high = F.when((F.col("members") > 2) & (F.col("node") > F.col("lo")) & (F.col("node") < F.col("hi")), F.col("hi"))
+    stars = shared.select(F.col("node").alias("u"), F.posexplode(F.array(low, high)).alias("kind", "v")).where("v is not null")
+    met = stars.groupBy("u", "kind", "v").agg(F.count("*").alias("k"))
+    nearest = met.groupBy("u", "kind").agg(F.max(F.struct("k", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
+    known = nearest.join(_about(nodes, "u", "a"), "u").join(_about(nodes, "v", "b"), "v")
+    first = components(_confirm(known.where(_may_link()), rows))
+
+    labelled = shared.select("bucket", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     labelled = cut(labelled, "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_rows = labelled.join(mixed.select("bucket"), "bucket")
-    open_rows = attach(open_rows, nodes.select("node", "n", *WORDS_OF_SKETCH), ["node"], F.col("bucket"), "inner")
+    open_rows = labelled.join(mixed.select("bucket"), "bucket").join(nodes.select("node", "row_key", *ABOUT), "node")
     open_rows = cut(open_rows, "open")
-    met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") < F.col("b.root")) & _may_link()
-    across = open_rows.alias("a").join(open_rows.alias("b"), met).select(
+    apart = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") < F.col("b.root")) & _may_link()
+    across = open_rows.alias("a").join(open_rows.alias("b"), apart).groupBy(
         F.col("a.node").alias("u"), F.col("b.node").alias("v")
-    ).distinct()
-    more = _confirm(cut(across, "across"), rows, nodes)
+    ).agg(F.min("a.row_key").alias("key_u"), F.min("b.row_key").alias("key_v"))
+    more = _confirm(across, rows)
 
-    found = components(links.unionByName(more))
-    grouped = nodes.select("node", "id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The links found later join whole components; they are followed between the roots.
+    of = first.select(F.col("node").alias("u"), F.col("root").alias("root_u")), first.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
+    bridges = more.join(of[0], "u", "left").join(of[1], "v", "left").select(
+        F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v")
+    )
+    tops = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    grouped = nodes.select("node", "id").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = attach(grouped, tops, ["root"], F.col("node")).select("node", "id", F.coalesce("top", "root").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
     of_node = attach(grouped.select("node", "root"), lowest, ["root"], F.col("node")).select("node", "component_id")
-    members = attach(signed.select("id", "row_key", "node", "n"), of_node, ["node"], F.col("row_key"))
+    of_words = nodes.select("sequence", "node").join(of_node, "node").drop("node")
+    members = attach(signed.select("id", "row_key", "sequence", "n"), of_words, ["sequence"], F.col("row_key"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return members.select(
         "id", "row_key", F.col("n").alias("n_shingles"), own.alias("component_id"),
