@@ -69,7 +69,9 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     hashes = rows.select("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("k"))
     chosen = hashes.join(marks, "id").groupBy("h", "k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"))
     chosen = cut(chosen.select("id", "h", "k", "toxic"), "labelled-ids")
-    found = rows.withColumn("h", F.xxhash64("text")).join(chosen.select("id", "h", "toxic"), ["id", "h"])
+    # A table that grows with the labels: joined alike at every size, never broadcast.
+    wanted = chosen.select("id", "h", "toxic").hint("merge")
+    found = rows.withColumn("h", F.xxhash64("text")).join(wanted, ["id", "h"])
     return cut(found.select("text", "toxic"), "labelled")
 
 
