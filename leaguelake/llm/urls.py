@@ -107,7 +107,8 @@ def with_templates(paths: DataFrame) -> DataFrame:
             nodes = values.groupBy("host", "template").agg(
                 F.sum("n").alias("total"), F.count("*").alias("values")
             ).where((F.col("values") >= VALUES) & (F.col("total") < REPEATS * F.col("values")))
-            often = values.join(nodes, ["host", "template"]).where(F.col("n") >= FREQUENT * F.col("total")).select(
+            often = attach(values, nodes, ["host", "template"], F.col("segment"), "inner")
+            often = often.where(F.col("n") >= FREQUENT * F.col("total")).select(
                 "host", "template", "segment", F.lit(True).alias("stays")
             )
             rows = attach(rows, nodes.select("host", "template", "total"), ["host", "template"], F.col("path"))
