@@ -115,7 +115,8 @@ def scan(
 
     def compared(unit: Column, template: Column) -> Column:
         a, b = F.size(unit), F.size(template["bigrams"])
-        near = (a * (2 - threshold) >= b * threshold) & (b * (2 - threshold) >= a * threshold)
+        most, least, slack = 2 - threshold, threshold, 1e-9  # the bounds themselves are inside
+        near = (a * most + slack >= b * least) & (b * most + slack >= a * least)
         common = F.when(near, F.size(F.array_intersect(unit, template["bigrams"]))).otherwise(0)
         return F.struct((2 * common / (a + b)).alias("dice"), template["licence"].alias("licence"))
 
