@@ -91,19 +91,20 @@ def reply_pairs(conversations: DataFrame) -> DataFrame:
     """Turns of preference pairs made of a table of conversations (conv_id, turn, role, text).
 
     Chosen: the conversation up to its last reply of the assistant. Rejected: the same, that reply being replaced by
-    the assistant's reply before, or, where there is none, by the text of the turn before it. Conversations
+    the assistant's reply before, or, where there is none, by the text of the turn before it. Rows alike in all four
+    columns count once; other rows that share a number are turns of their own, ordered by role and text, nulls first,
+    as in preference_turns, and the last reply is the last in that order. Conversations
     without a reply, or with nothing before their only reply, give no pair, nor do rows with a null conv_id or turn.
     """
-    rows = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null and turn is not null")
-    rows = rows.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "text")).alias("t")).select("conv_id", "turn", "t.role", "t.text")
-    replies = rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"))
-    before = rows.join(replies, "conv_id").where("turn < last").groupBy("conv_id", "last").agg(
-        F.max(F.when(F.col("role") == "assistant", F.struct("turn", "text"))).alias("reply"),
-        F.max(F.struct("turn", "text")).alias("any"),
+    rows = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null and turn is not null").distinct()
+    place = F.struct("turn", "role", "text")  # compared field by field, nulls lowest, as preference_turns orders
+    replies = rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max(place).alias("last"))
+    before = rows.join(replies, "conv_id").where(place < F.col("last")).groupBy("conv_id", "last").agg(
+        F.max(F.when(F.col("role") == "assistant", place)).alias("reply"), F.max(place).alias("any")
     )
     other = F.when(F.col("reply").isNotNull(), F.col("reply.text")).otherwise(F.col("any.text"))
-    used = rows.join(before.select("conv_id", "last", other.alias("other")), "conv_id").where("turn <= last")
-    replaced = F.when(F.col("turn") == F.col("last"), F.col("other")).otherwise(F.col("text"))
+    used = rows.join(before.select("conv_id", "last", other.alias("other")), "conv_id").where(place <= F.col("last"))
+    replaced = F.when(place == F.col("last"), F.col("other")).otherwise(F.col("text"))
     both = F.explode(F.array(
         F.struct(F.lit("chosen").alias("side"), F.col("text").alias("said")),
         F.struct(F.lit("rejected").alias("side"), replaced.alias("said")),

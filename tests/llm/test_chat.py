@@ -60,5 +60,20 @@ def test_reply_pairs(spark):
     }
 
 
+def test_turns_that_share_a_number_are_all_kept(spark):
+    rows = [
+        (1, 0, "user", "q"), (1, 0, "user", "r"), (1, 1, "assistant", "a"), (1, 1, "assistant", "b"), (1, 1, "user", "after"),
+        (2, 0, "user", "q"), (2, 1, None, "x"), (2, 1, "assistant", "a"),
+        (3, 0, "user", "q"), (3, 1, "assistant", None), (3, 1, "assistant", "a"), (3, 1, "assistant", "a"),
+    ]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: (r.prompt, r.chosen, r.rejected) for r in chat.preference_records(chat.reply_pairs(docs)).collect()}
+    assert got == {
+        1: (render([("user", "q"), ("user", "r"), ("assistant", "a")]), render([("assistant", "b")]), render([("assistant", "a")])),
+        2: (render([("user", "q"), (None, "x")]), render([("assistant", "a")]), render([("assistant", "x")])),
+        3: (render([("user", "q"), ("assistant", None)]), render([("assistant", "a")]), render([("assistant", None)])),
+    }
+
+
 def test_empty(spark):
     assert chat.preference_records(turns(spark, {})).count() == 0
