@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from leaguelake.llm.common import ascii_lower, attach, in_tasks
 from leaguelake.sources.store import cut
 
-#: A position is variable from so many values on, if a value has fewer rows than REPEATS on average;
-#: there a value stays if it has FREQUENT of the rows.
+#: A position is variable from so many values on, if a value has fewer distinct paths than REPEATS on average,
+#: leaving out the values that stay: those with FREQUENT of the rows, or with more than that of the paths.
 VALUES = 16
 REPEATS = 4
 FREQUENT = 1 / 16
@@ -103,14 +103,17 @@ def with_templates(paths: DataFrame) -> DataFrame:
         else:
             rows = rows.withColumn("segment", own)
             there = rows.where("segment is not null")
-            values = there.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
-            nodes = values.groupBy("host", "template").agg(
-                F.sum("n").alias("total"), F.count("*").alias("values")
-            ).where((F.col("values") >= VALUES) & (F.col("total") < REPEATS * F.col("values")))
-            often = attach(values, nodes, ["host", "template"], F.col("segment"), "inner")
-            often = often.where(F.col("n") >= FREQUENT * F.col("total")).select(
-                "host", "template", "segment", F.lit(True).alias("stays")
-            )
+            # Rows repeat addresses and grow with the crawl; what tells ids from names is distinct paths.
+            values = there.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.count("*").alias("paths"))
+            many = values.groupBy("host", "template").agg(
+                F.sum("n").alias("total"), F.sum("paths").alias("all_paths"), F.count("*").alias("values")
+            ).where(F.col("values") >= VALUES)
+            often = (F.col("n") >= FREQUENT * F.col("total")) | (F.col("paths") > FREQUENT * F.col("all_paths"))
+            marked = attach(values, many, ["host", "template"], F.col("segment"), "inner").withColumn("stays", often)
+            nodes = marked.where(~F.col("stays")).groupBy("host", "template").agg(
+                F.max("total").alias("total"), F.sum("paths").alias("rest_paths"), F.count("*").alias("rest")
+            ).where(F.col("rest_paths") < REPEATS * F.col("rest"))
+            often = marked.where("stays").select("host", "template", "segment", "stays")
             rows = attach(rows, nodes.select("host", "template", "total"), ["host", "template"], F.col("path"))
             rows = attach(rows, often, ["host", "template", "segment"], F.col("path"))
             variable = F.col("total").isNotNull() & F.col("stays").isNull() & (F.col("segment") != "")

@@ -80,6 +80,19 @@ def test_purity_of_templates_judges_unlabelled_addresses(spark):
     }
 
 
+def test_repeated_addresses_do_not_stop_generalisation(spark):
+    rules = [urls.Rule("bad.com", f"/ads/{i}1", "block") for i in range(10)]
+    rules += [urls.Rule("four.com", f"/ads/{i}1", "block") for i in range(10)]
+    addresses = [f"http://bad.com/ads/{i}" for i in range(400)] + ["http://bad.com/ads/hot"] * 1600
+    addresses += [f"http://bad.com/ads/old/{i}" for i in range(2000)]  # nor does a value with many paths
+    addresses += [f"http://four.com/ads/{i}" for i in range(400)] * 5
+    found = urls.judged(pages(spark, addresses), rules).where("rule is null and path not like '/ads/old/%'")
+    verdicts = {(r.host, r.template): r.verdict for r in found.select("host", "template", "verdict").distinct().collect()}
+    assert verdicts == {
+        ("bad.com", "/ads/*"): "block", ("bad.com", "/ads/hot"): "allow", ("four.com", "/ads/*"): "block",
+    }
+
+
 def test_similar_sisters_are_merged(spark):
     rows = [("h", "/a/*", "/a", 50, 49), ("h", "/a/*.html", "/a", 0, 0), ("h", "/b/*", "/b", 40, 40), ("h", "/b/*/", "/b", 40, 0)]
     paths = spark.createDataFrame(rows, "host string, template string, parent string, labelled long, blocked long")
