@@ -3,12 +3,18 @@
 A text is normalised (A-Z lower-cased, words of letters and digits) and compared in its units: every
 line, every paragraph if there are blank lines, and the whole text. A unit with a distinct bigrams and a template
 with b have a Dice coefficient of 2 |common| / (a + b), which cannot reach t unless a lies between
-b t / (2 - t) and b (2 - t) / t; only templates within these bounds are compared. All of it is built-in
-functions over one pass of the rows, without a shuffle.
+b t / (2 - t) and b (2 - t) / t; only templates within these bounds are compared.
+
+A notice may also lie inside a longer text: wrapped, split over paragraphs or sharing its line. So templates
+that no unit gives are looked for in windows of the words of the whole text. Growing a window by a bigram of the
+template never lowers its coefficient, nor does leaving out another one at its ends, so windows from the start of a run
+of the template's bigrams to the end of the same or a later run hold the best of every window of up to
+b (2 - t) / t bigrams. All of it is built-in functions over one pass of the rows, without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -77,11 +83,14 @@ def _words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(ascii_lower(text), _OTHER, " ")), " ")
 
 
-def _bigrams(words: Column) -> Column:
-    pairs = F.transform(
+def _pairs(words: Column) -> Column:
+    return F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1))
     )
-    return F.array_distinct(pairs)
+
+
+def _bigrams(words: Column) -> Column:
+    return F.array_distinct(_pairs(words))
 
 
 def _units(text: Column) -> Column:
@@ -91,12 +100,58 @@ def _units(text: Column) -> Column:
     return F.concat(lines, paragraphs, whole)
 
 
+def _bounds(size: int, threshold: float) -> tuple[int, int]:
+    """Fewest bigrams in common with a template of `size` bigrams, and most bigrams, that reach the threshold."""
+    return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
+
+
+def _holds(words: list[str], template: list[str], threshold: float) -> bool:
+    """True if a window of the words reaches the threshold, by the windows that `_best_window` compares."""
+    pairs, wanted = list(zip(words, words[1:])), set(zip(template, template[1:]))
+    own = {p for p, pair in enumerate(pairs) if pair in wanted}
+    starts, ends = sorted(p for p in own if p - 1 not in own), sorted(p for p in own if p + 1 not in own)
+    _, longest = _bounds(len(wanted), threshold)
+    windows = (
+        set(pairs[first : last + 1])
+        for r, first in enumerate(starts) for s, last in enumerate(ends[r:], r)
+        if s == r or starts[s] - ends[r] < longest
+    )
+    return any(2 * len(w & wanted) >= threshold * (len(w) + len(wanted)) for w in windows)
+
+
+def _runs(found: Column) -> Column:
+    """Runs (first, last) of consecutive numbers in an ascending array."""
+    starts = F.filter(found, lambda p, i: (i == 0) | (F.get(found, i - 1) < p - 1))
+    ends = F.filter(found, lambda p, i: (i == F.size(found) - 1) | (F.get(found, i + 1) > p + 1))
+    return F.zip_with(starts, ends, lambda first, last: F.struct(first.alias("first"), last.alias("last")))
+
+
+def _best_window(stream: Column, candidate: Column) -> Column:
+    """Highest coefficient of the windows of the text's bigrams that start and end with runs of the template's."""
+    runs, bigrams = candidate["runs"], candidate["bigrams"]
+
+    def dice(start: Column, end: Column) -> Column:
+        window = F.slice(stream, start["first"] + 1, end["last"] - start["first"] + 1)
+        return 2 * F.size(F.array_intersect(window, bigrams)) / (F.size(F.array_distinct(window)) + F.size(bigrams))
+
+    def from_run(start: Column, r: Column) -> Column:
+        # Runs are at least two places apart, so no more than half of `longest` can follow in reach.
+        ahead = F.slice(runs, r + 1, F.floor(candidate["longest"] / 2).cast("int") + 2)
+        near = F.filter(ahead, lambda end: (end["first"] == start["first"]) | (end["first"] - start["last"] < candidate["longest"]))
+        wide = F.filter(near, lambda end: end["last"] - start["first"] + 1 >= candidate["fewest"])
+        return F.array_max(F.transform(wide, lambda end: dice(start, end)))
+
+    return F.array_max(F.transform(runs, from_run))
+
+
 def scan(
     docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """id, matches (array of dice, licence, ordered best first, one for each unit and template) of every row.
+    """id, matches (array of dice, licence, ordered best first) of every row.
 
+    There is a match for each unit and template, and one, that of the best window, for each template that lies inside
+    the text without being near any unit; not if it is a part of a template that some unit is near to.
     A null or empty text has no matches. Of equal coefficients the first licence by name comes first.
     Repeated or null ids do not matter, nor do other columns, whatever their names. Templates without two words
     match nothing.
@@ -107,11 +162,14 @@ def scan(
         for name, words in sorted(wanted.items()) if len(words) > 1
     ])
     fewest = min(((len(w) - 1) for w in wanted.values() if len(w) > 1), default=1) * threshold / (2 - threshold)
-    rows = docs.select(F.col(id_col).alias("id"), _units(F.coalesce(F.col(text_col), F.lit(""))).alias("units"))
-    lists = rows.select("id", F.transform("units", _words).alias("words"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), _units(text).alias("units"), F.size(F.split(text, "\n")).alias("n_lines"))
+    lists = rows.select("id", F.transform("units", _words).alias("words"), "n_lines")
     # A unit has fewer distinct bigrams than words: what is too short even so is left out first.
     long_enough = F.filter("words", lambda w: F.size(w) - 1 >= min(fewest, 1.0))
-    sets = lists.select("id", F.transform(long_enough, _bigrams).alias("sets"))
+    # The lines come first among the units; together they hold the words of the text.
+    all_words = F.filter(F.flatten(F.slice("words", 1, F.col("n_lines"))), lambda w: w != "")
+    sets = lists.select("id", F.transform(long_enough, _bigrams).alias("sets"), all_words.alias("words"))
 
     def compared(unit: Column, template: Column) -> Column:
         a, b = F.size(unit), F.size(template["bigrams"])
@@ -123,6 +181,44 @@ def scan(
     found = F.flatten(F.transform("sets", lambda unit: F.filter(
         F.transform(known, lambda t: compared(unit, t)), lambda m: m["dice"] >= threshold
     )))
-    best_first = F.array_sort(found, lambda x, y: F.when(x["dice"] > y["dice"], -1).when(x["dice"] < y["dice"], 1)
+    stream = _pairs(F.col("words"))
+    units = sets.select("id", found.alias("found"), stream.alias("stream"))
+
+    everything = docs.sparkSession.range(1).select(F.array_distinct(F.flatten(F.transform(known, lambda t: t["bigrams"])))).first()[0]
+    hits = F.filter(F.transform("stream", lambda h, i: F.when(h.isin(everything), i)), lambda i: i.isNotNull())
+    hit = units.select("id", "found", "stream", hits.alias("hits"))
+
+    # Fewer hits than any template needs are nothing: most texts end here.
+    sought = [(name, words) for name, words in sorted(wanted.items()) if len(words) > 1]
+    patterns = []
+    for name, words in sought:
+        fewest_common, longest = _bounds(len(set(zip(words, words[1:]))), threshold)
+        holders = [other for other, text in sought if other != name and _holds(text, words, threshold)]
+        patterns.append(F.struct(
+            F.lit(name).alias("licence"), _bigrams(F.lit(words)).alias("bigrams"), F.lit(fewest_common).alias("fewest"),
+            F.lit(longest).alias("longest"), F.array(*map(F.lit, [name, *holders])).alias("covered_by"),
+        ))
+
+    def open_patterns(found: Column) -> Column:
+        return F.filter(F.array(*patterns), lambda t: ~F.exists(found, lambda m: F.array_contains(t["covered_by"], m["licence"])))
+
+    def located(t: Column) -> Column:
+        own = F.filter("hits", lambda i: F.array_contains(t["bigrams"], F.get("stream", i)))
+        return F.struct(t["licence"], t["bigrams"], t["fewest"], t["longest"], own.alias("own"))
+
+    least = min((_bounds(len(set(zip(w, w[1:]))), threshold)[0] for _, w in sought), default=1)
+    candidates = F.filter(F.transform(open_patterns(F.col("found")), located), lambda c: F.size(c["own"]) >= c["fewest"])
+    placed = hit.select("id", "found", "stream", F.when(F.size("hits") >= least, candidates).alias("candidates"))
+    with_runs = F.transform("candidates", lambda c: F.struct(
+        c["licence"], c["bigrams"], c["fewest"], c["longest"], _runs(c["own"]).alias("runs")
+    ))
+    placed = placed.select("id", "found", "stream", with_runs.alias("candidates"))
+    embedded = F.filter(
+        F.transform("candidates", lambda c: F.struct(_best_window(F.col("stream"), c).alias("dice"), c["licence"].alias("licence"))),
+        lambda m: m["dice"] >= threshold,
+    )
+    none = F.array().cast("array<struct<dice:double,licence:string>>")
+    matched = placed.select("id", F.concat("found", F.coalesce(embedded, none)).alias("found"))
+    best_first = F.array_sort("found", lambda x, y: F.when(x["dice"] > y["dice"], -1).when(x["dice"] < y["dice"], 1)
                               .when(x["licence"] < y["licence"], -1).when(x["licence"] > y["licence"], 1).otherwise(0))
-    return sets.select("id", best_first.alias("matches"))
+    return matched.select("id", best_first.alias("matches"))

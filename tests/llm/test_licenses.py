@@ -51,6 +51,51 @@ def test_equals_brute_force(spark):
         assert found[i] == [(n, pytest.approx(d)) for n, d in sorted(expected, key=lambda m: (-m[1], m[0]))]
 
 
+def test_notices_inside_longer_texts(spark):
+    import textwrap
+
+    prose = "\n".join(textwrap.wrap(" ".join(f"plain{i} word" for i in range(100)), 78))
+    bsd = licenses.TEMPLATES["BSD-2-Clause text"].replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ")
+    apache = licenses.TEMPLATES["Apache-2.0 notice"].replace(" You may", "\nYou may").replace(" http", "\n\n    http")
+    apache = apache.replace(" Unless", "\n\nUnless")
+    inside = ["MIT text", "GPL-3.0 notice", "MPL-2.0 notice", "ISC text"]
+    texts = [f"{prose}\n{textwrap.fill(licenses.TEMPLATES[name], 78)}\n{prose}" for name in inside]
+    texts += [f"{prose} Released under the MIT License. {prose}", f"{prose}\n\n{bsd}\n\n{prose}", bsd, apache]
+    flat = prose.replace("\n", " ")
+    texts += [f"{flat} {licenses.TEMPLATES['MIT text'].replace('sublicense', 'pass on')} {flat}", f"{prose} licence {prose}"]
+    found = [[(name, round(dice, 6)) for name, dice in m] for _, m in sorted(_scan(spark, texts).items())]
+    assert found[:4] == [[(name, 1.0)] for name in inside]
+    assert found[4] == [("MIT", 1.0)]
+    assert found[5] == found[6] == [("BSD-2-Clause text", 1.0)]
+    assert ("Apache-2.0 notice", 1.0) in found[7]
+    assert [name for name, _ in found[8]] == ["MIT text"] and 0.9 < found[8][0][1] < 1
+    assert found[9] == []
+
+
+def test_best_window_is_that_of_brute_force(spark):
+    import random
+
+    drawn = random.Random(5)
+    template = "a b c d e f g h"
+    b = set(zip(template.split(), template.split()[1:]))
+    texts = []
+    for _ in range(150):
+        words = [f"x{n}" for n in range(12)] + template.split() + [f"y{n}" for n in range(12)]
+        for _ in range(drawn.randrange(4)):
+            words[drawn.randrange(len(words))] = drawn.choice("abcdx")
+        texts.append(" ".join(words))
+    found = _scan(spark, texts, templates={"t": template}, threshold=0.6)
+
+    def dice(a):
+        return 2 * len(a & b) / (len(a) + len(b))
+
+    for i, text in enumerate(texts):
+        pairs = list(zip(text.split(), text.split()[1:]))
+        longest = int(len(b) * 1.4 / 0.6)
+        best = max(dice(set(pairs[x : x + n])) for x in range(len(pairs)) for n in range(1, longest + 1))
+        assert found[i] == ([("t", best)] if best >= 0.6 else [])
+
+
 def test_odd_rows_and_own_templates(spark):
     docs = odd_documents(spark)
     rows = licenses.scan(docs, {"pair": "one two", "word": "one"}).collect()
