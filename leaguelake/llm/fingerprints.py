@@ -1,14 +1,15 @@
 """I-Match document fingerprints over randomised subsets of the lexicon.
 
 The lexicon is the terms whose inverse document frequency lies in a band: words of every other text say
-nothing, words of one text match nothing. Frequencies are counted over all documents in 2 ** SLOT_BITS
-hashed slots, so that the lexicon that the tasks need is a bitmap of fixed size. Of a text's distinct
+nothing, words of one text match nothing. `with_edited_fingerprints`, which the query uses, counts the documents of
+every term. `lexicon` counts them in 2 ** SLOT_BITS hashed slots, a bitmap of fixed size that holds only
+for vocabularies much smaller than that. Of a text's distinct
 terms in the lexicon, each of SUBSETS random subsets is sorted and hashed. A subset holds a term with a
 chance of 4 ** -level; the level follows from the number of terms, so that a subset holds one to four of
 them whatever the length of the text, and the next level is kept as well, so that texts of somewhat
 different lengths share one. The likeness of two fingerprints is the share of equal hashes.
 
-Everything is built-in functions over one pass of the rows.
+Everything is built-in functions.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leaguelake.llm.common import ascii_lower
+from leaguelake.llm.common import WAYS, ascii_lower, attach, row_key
+from leaguelake.sources.store import cut
 
 SLOT_BITS = 20
 SUBSETS = 16
@@ -82,7 +84,11 @@ def with_fingerprint(rows: DataFrame, text_col: str, bitmap: list[int], name: st
     # One literal, folded to an array when the query is planned.
     bits = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
     every = rows.withColumn("_every", terms(F.col(text_col)))
-    banded = every.withColumn("_band", F.filter("_every", lambda t: _in_lexicon(t, bits)))
+    return _described(every.withColumn("_band", F.filter("_every", lambda t: _in_lexicon(t, bits))), name)
+
+
+def _described(banded: DataFrame, name: str) -> DataFrame:
+    """Adds the fingerprint of rows with _every, their terms, and _band, those in the lexicon; drops both."""
     kept = F.when(F.size("_band") > 0, F.col("_band")).otherwise(F.col("_every"))
     sized = banded.withColumn("_kept", kept).withColumn(
         "_level", F.when(F.size("_kept") > 0, F.floor(F.log(4.0, F.size("_kept").cast("double")) + 1e-9)).otherwise(-1).cast("int")
@@ -100,6 +106,54 @@ def with_fingerprint(rows: DataFrame, text_col: str, bitmap: list[int], name: st
     return sampled.withColumn(name, found).drop("_every", "_band", "_kept", "_level", "_chance", "_near")
 
 
+def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """term, documents, a, b: every 64-bit term, how many documents hold it, and the row_key of one's text if it is one."""
+    keyed = docs.select(row_key(text_col).alias("_key"), F.col(text_col).alias("_text"))
+    held = keyed.select("_key.a", "_key.b", F.explode(terms(F.col("_text"))).alias("term"))
+    counts = held.groupBy("term").agg(F.count("*").alias("documents"), F.min("a").alias("a"), F.min("b").alias("b"))
+    return cut(counts, "terms")
+
+
+def with_edited_fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, own, near_next, changed, edited of rows of doc_id and text, over the exact lexicon of all of them.
+
+    `changed` is the text with its end replaced by the beginning of the next row's, `edited` its fingerprint;
+    near_next is the likeness to the next row.
+    A term of one document is held by that document alone, so what its text lacks is joined by text. Terms of too
+    many documents are few: at most LOWEST_IDF's ten times the terms of an average text. Words that the cut makes are
+    looked up among all terms.
+    """
+    most = max(docs.count() * math.exp(-LOWEST_IDF), FEWEST_DOCUMENTS)
+    counts = term_counts(docs)
+    often = [r.term for r in counts.where(F.col("documents") > most).select("term").collect()]
+    single = counts.where(F.col("documents") < FEWEST_DOCUMENTS).groupBy("a", "b").agg(F.collect_list("term").alias("single"))
+
+    def usual(found: Column) -> Column:
+        return F.filter(found, lambda t: ~t.isin(often)) if often else found
+
+    empty = F.array().cast("array<bigint>")
+    keyed = docs.withColumns({"a": row_key("text")["a"], "b": row_key("text")["b"]})
+    rows = attach(keyed, single, ["a", "b"], F.col("doc_id")).drop("a", "b")
+    rows = rows.withColumn("single", F.coalesce("single", empty)).withColumn("_every", terms(F.col("text")))
+    rows = _described(rows.withColumn("_band", F.array_except(usual(F.col("_every")), "single")), "own")
+    rows = with_next(rows, "doc_id", ["text", "own", "single"])
+    rows = rows.withColumn("changed", edited("text", "next_text")).withColumn("_every", terms(F.col("changed")))
+    made = F.array_except("_every", F.array_union(terms(F.col("text")), terms(F.col("next_text"))))
+    key, way = row_key("text", "next_text"), F.pmod(F.xxhash64("doc_id"), F.lit(WAYS)).cast("int")
+    rows = cut(rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "changed", made.alias("made"), "own",
+        likeness("own", "next_own").alias("near_next"), F.concat("single", "next_single").alias("single"),
+        key["a"].alias("a"), key["b"].alias("b"), way.alias("way"),
+    ), "edited")
+    band = counts.where((F.col("documents") >= FEWEST_DOCUMENTS) & (F.col("documents") <= most)).select("term")
+    words = rows.select("a", "b", "way", F.explode("made").alias("term")).distinct()
+    known = attach(words, band, ["term"], F.col("a"), "inner").groupBy("a", "b", "way").agg(F.collect_set("term").alias("known"))
+    rows = rows.join(known, ["a", "b", "way"], "left").withColumn("_every", terms(F.col("changed")))
+    of_texts = F.array_except(usual(F.array_except("_every", "made")), "single")
+    rows = rows.withColumn("_band", F.concat(of_texts, F.coalesce("known", empty)))
+    return _described(rows, "edited").drop("a", "b", "way", "single", "made", "known")
+
+
 def as_text(fingerprint: str) -> Column:
     """The fingerprint as one string: whole hash, level, hashes by subset of two levels."""
     f = F.col(fingerprint)

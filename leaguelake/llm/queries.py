@@ -26,19 +26,15 @@ def vocabulary_path() -> str:
 
 def op1_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    bitmap = fingerprints.lexicon(docs)
-    rows = fingerprints.with_fingerprint(docs, "text", bitmap, "own")
-    rows = fingerprints.with_next(rows, "doc_id", ["text", "own"])
-    rows = rows.withColumn("changed", fingerprints.edited("text", "next_text")).drop("next_text")
-    rows = fingerprints.with_fingerprint(rows, "changed", bitmap, "edited")
+    rows = fingerprints.with_edited_fingerprints(docs)
     return rows.select(
         "doc_id",
-        F.char_length("text").cast("long").alias("n_chars"),
+        "n_chars",
         F.sha2("changed", 256).alias("edited_sha256"),
         fingerprints.as_text("own").alias("fingerprint"),
         fingerprints.as_text("edited").alias("edited_fingerprint"),
         fingerprints.likeness("own", "edited").alias("near_edited"),
-        fingerprints.likeness("own", "next_own").alias("near_next"),
+        "near_next",
     )
 
 

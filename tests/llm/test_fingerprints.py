@@ -111,3 +111,37 @@ def test_odd_rows(spark):
     empty = odd_documents(spark, [])
     assert fingerprints.with_next(empty, "doc_id", ["text"]).count() == 0
     assert fingerprints.with_fingerprint(empty, "text", fingerprints.lexicon(empty)).count() == 0
+
+
+def _exact(corpus: list[str], texts: list[str]) -> list[str]:
+    """whole and level of texts over the terms of at least two and at most a tenth of the documents of a corpus."""
+    every = [{_hash(w.encode()) for w in re.findall(r"[^\W_]+", az_lower(t))} for t in corpus]
+    documents = Counter(t for found in every for t in found)
+    found = []
+    for text in texts:
+        own = {_hash(w.encode()) for w in re.findall(r"[^\W_]+", az_lower(text))}
+        kept = {t for t in own if 2 <= documents[t] <= max(len(corpus) / 10, 2)} or own
+        h = 42
+        for t in sorted(struct.unpack("<q", struct.pack("<Q", t))[0] for t in kept):
+            h = _hash(struct.pack("<q", t), h)
+        found.append(f"{h:x}:{math.floor(math.log(len(kept), 4) + 1e-9)}" if kept else ":-1")
+    return found
+
+
+def test_query_counts_documents_of_exact_terms(spark, tmp_path):
+    from leaguelake.llm.queries import op1_imatch_fingerprints
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).select("doc_id", "text").collect()
+    texts = {r.doc_id: r.text or "" for r in rows} | {10**6: "", 10**6 + 1: "same words", 10**6 + 2: "same words"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in op1_imatch_fingerprints(spark, str(tmp_path)).collect()}
+    order = sorted(texts, reverse=True)
+    changed = {}
+    for i, doc in enumerate(order):
+        text, after = texts[doc], texts[order[(i + 1) % len(order)]]
+        third = len(text) // 3
+        changed[doc] = text[: len(text) - third] + after[:third]
+    corpus = list(texts.values())
+    for column, made in (("fingerprint", texts), ("edited_fingerprint", changed)):
+        expected = dict(zip(made, _exact(corpus, list(made.values())), strict=True))
+        assert {i: ":".join(r[column].split(":")[:2]) for i, r in found.items()} == expected
