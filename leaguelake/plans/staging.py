@@ -67,19 +67,24 @@ STANDING_FIELDS = {
 LOAD = ("loaded_at", "run_id", "arrival")
 
 
+def _with_arrival(raw: DataFrame) -> DataFrame:
+    """RAW rows written before responses carried their place have none; the contract has it nullable."""
+    return raw if "arrival" in raw.columns else raw.withColumn("arrival", F.lit(None).cast("string"))
+
+
 def _newest_load() -> list[Column]:
     return [F.col(name).desc_nulls_first() for name in LOAD[:-1]] + [F.col(LOAD[-1]).desc_nulls_last()]
 
 
 def stg_competitions(raw_competitions: DataFrame) -> DataFrame:
-    typed = raw_competitions.select(
+    typed = _with_arrival(raw_competitions).select(
         "competition_code", *fields("raw_json", COMPETITION_FIELDS), *LOAD
     )
     return latest_per_key(typed, ["competition_code"], _newest_load()).drop("run_id", "arrival")
 
 
 def stg_teams(raw_teams: DataFrame) -> DataFrame:
-    typed = raw_teams.select(
+    typed = _with_arrival(raw_teams).select(
         "competition_code", "season", field("raw_json", "id", "bigint").alias("team_id"),
         *fields("raw_json", TEAM_FIELDS), *LOAD,
     )
@@ -87,7 +92,7 @@ def stg_teams(raw_teams: DataFrame) -> DataFrame:
 
 
 def stg_matches(raw_matches: DataFrame) -> DataFrame:
-    typed = raw_matches.select(
+    typed = _with_arrival(raw_matches).select(
         "match_id", "competition_code", "season", *fields("raw_json", MATCH_FIELDS), *LOAD
     )
     return latest_per_key(typed, ["match_id"], _newest_load()).drop("run_id", "arrival")
@@ -96,7 +101,7 @@ def stg_matches(raw_matches: DataFrame) -> DataFrame:
 def stg_standings(raw_standings: DataFrame) -> DataFrame:
     """The provider's own tables, one row per team; only the overall table (TOTAL) is kept."""
     unit = ["competition_code", "season", "snapshot_date"]
-    latest = latest_per_key(raw_standings, unit, _newest_load())
+    latest = latest_per_key(_with_arrival(raw_standings), unit, _newest_load())
     stages = latest.select(
         *unit, "loaded_at", F.explode(F.try_variant_get("raw_json", "$.standings", "array<variant>")).alias("entry")
     ).select(
