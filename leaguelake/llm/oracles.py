@@ -113,9 +113,40 @@ SELECT conv_id, count(*) FILTER (NOT differs) AS prompt_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP13 = """
+WITH valid AS MATERIALIZED (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x, row_number() OVER () AS uid
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scored AS (
+    SELECT a.uid AS anchor, a.vec_id AS anchor_id, b.uid, b.vec_id, a.label = b.label AS alike,
+        list_dot_product(a.x, b.x)::BIGINT AS score
+    FROM valid a JOIN valid b ON a.uid <> b.uid
+    WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, uid) AS place
+    FROM scored WHERE alike
+    QUALIFY place <= 5
+),
+negatives AS (
+    SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, place ORDER BY score DESC, vec_id, uid) AS rank
+    FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT alike
+    WHERE 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 5
+"""
+
 ORACLE_SQL = {
     "op3_minhash_near_dedup": OP3,
     "op5_license_scan": OP5,
     "op8_exact_dedup": OP8,
     "op10_preference_format": OP10,
+    "op13_hard_negatives": OP13,
 }

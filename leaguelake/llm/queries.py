@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguelake.llm import bpe, chat, exact_dedup, fingerprints, language, licenses, near_dedup, packing, toxicity, urls
+from leaguelake.llm import (
+    bpe, chat, exact_dedup, fingerprints, hard_negatives, language, licenses, near_dedup, packing, token_files, toxicity,
+    urls, whitening,
+)
 from leaguelake.llm.common import in_fold
+from leaguelake.sources.store import session_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,11 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     """The public tokenizer file that the queries use."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,6 +117,33 @@ def op10_preference_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    model = whitening.fit(rows)
+    error = whitening.identity_error(rows, model) if model else 0.0
+    found = whitening.whitened(rows, model).withColumnRenamed("id", "vec_id")
+    return found.withColumn("identity_error", F.lit(error))
+
+
+#: Fixed value: the id that ends each document in the files.
+END_ID = 2
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = token_files.encoded(table(spark, folder, "documents"), vocabulary_path("word_bpe_49k.json"), END_ID)
+    path = f"{session_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write_files(tokens, path)
+    found = token_files.read_files(spark.read.parquet(path))
+    return found.select(F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    # Which labels are moved on, and which rows are anchors.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", label)
+    return hard_negatives.mined(rows, F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_imatch_fingerprints": op1_imatch_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -123,4 +155,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_preference_format": op10_preference_format,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_token_files": op12_token_files,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -27,7 +27,7 @@ def _frame(df):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     expected = connection.execute(ORACLE_SQL[name]).fetchdf()
     assert _frame(QUERIES[name](spark, FOLDER).toPandas()) == _frame(expected)
