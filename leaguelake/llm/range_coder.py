@@ -156,10 +156,10 @@ def _chunks(length: int) -> list[tuple[int, int]]:
 
 
 class _Writer:
-    def __init__(self, lanes: int, length: int) -> None:
+    def __init__(self, lanes: int, length: int, wide: bool) -> None:
         self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
         # An id takes at most two steps of up to one word each, and a wide new one three; the end takes three.
-        self.words = np.zeros((lanes, 3 * length + 4), np.int32)
+        self.words = np.zeros((lanes, (2 + wide) * length + 4), np.int32)
         self.used = np.zeros(lanes, np.int64)
 
     def all(self, m: int, start: np.ndarray, size: np.ndarray) -> None:
@@ -260,7 +260,7 @@ def _encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     # Ids too many for a table of their own are looked up by rank, which orders them alike.
     ranks = grid if not wide else np.unique(grid, return_inverse=True)[1].reshape(grid.shape).astype(np.uint32)
     at_of = np.zeros(int(ranks.max()) + 1, np.int64)
-    mix, out = _Mix(lanes), _Writer(lanes, longest)
+    mix, out = _Mix(lanes), _Writer(lanes, longest, wide)
     for begin, end in _chunks(longest):
         part = grid[:, begin:end]
         first = times = np.zeros(part.shape, np.int32)

@@ -30,13 +30,14 @@ from leaguelake.llm.common import in_tasks
 from leaguelake.sources.store import cut
 
 #: Ids of one file, up to the end of the document that reaches them.
-FILE_IDS = 1 << 23
+FILE_IDS = 6 << 20
 #: Ranges of ids; where an id fills one, ranges of its texts; where a text fills one, parts by row.
 ID_RANGES = 256
 TEXT_RANGES = 32
 ROW_WAYS = 64
-#: Parts of texts whose ids a worker remembers, the bound of its memory.
-CACHE_PARTS = 1_500_000
+#: Parts of texts, and words, whose ids a worker remembers, the bound of its memory (some 250 MB).
+CACHE_PARTS = 700_000
+CACHE_WORDS = 500_000
 #: Documents looked up together.
 GROUP = 256
 
@@ -44,21 +45,26 @@ _MAGIC = b"TOKF"
 _HEAD = struct.Struct("<4sQQI")
 # Fixed value: the split pattern of tokenizers that drop white space, as written in their files.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII).findall
+#: Characters that the tokenizer lower-cases one by one, as Python does, and composes with nothing: printable ASCII
+#: and the Latin letters up to U+017F but one, whose lower case is two characters.
+_PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
 
 
 class WordEncoder:
     """Ids by the tokenizers library, remembered by part of a text where blanks separate parts for certain.
 
     That is so for files that drop white space by WORD_SPLIT and mark the last token of every word; other
-    tokenizers get every text whole. Parts of ASCII letters are encoded word by word, so that a word is
+    tokenizers get every text whole. Parts of plain letters are encoded word by word, so that a word is
     encoded once however it is written and whatever follows it.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
+        self.pieces = regex.compile(WORD_SPLIT).findall
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -66,7 +72,8 @@ class WordEncoder:
             described = json.load(file)
         self.in_parts = self._separable(described)
         suffix = described["model"].get("end_of_word_suffix") or ""
-        self.special = tuple(t["content"] for t in described["added_tokens"])
+        special = [re.escape(t["content"]) for t in described["added_tokens"]]
+        self.is_special = re.compile("|".join(special)).search if special else lambda part: None
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(1 + max(vocabulary.values(), default=0), bool)
         self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
@@ -90,9 +97,10 @@ class WordEncoder:
 
     def _learn_words(self, words: list[str]) -> None:
         """Encodes words many at a time; each ends with the token that closes it."""
-        for i in range(0, len(words), 400):
-            some = words[i : i + 400]
-            raw = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        groups = [words[i : i + 400] for i in range(0, len(words), 400)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for some, found in zip(groups, joined, strict=True):
+            raw = np.array(found.ids, "<u4")
             ends = 4 * (1 + np.flatnonzero(self.closing[raw]))
             if len(ends) != len(some):
                 self.words.update((w, self._whole(w)) for w in some)
@@ -103,14 +111,14 @@ class WordEncoder:
                 start = end
 
     def _learn(self, parts: list[str]) -> None:
-        # Lower-casing A-Z is what the tokenizer does with these; special strings are found before it.
-        ascii_parts = {p: _ASCII_PIECES(p.lower()) for p in parts if p.isascii() and not any(s in p for s in self.special)}
-        if len(self.words) > CACHE_PARTS:
+        # Special strings are found before anything is lower-cased.
+        plain = {p: self.pieces(p.lower()) for p in parts if _PLAIN(p) and not self.is_special(p)}
+        if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        self._learn_words(list(set().union(*ascii_parts.values()) - self.words.keys()))
+        self._learn_words(list(set().union(*plain.values()) - self.words.keys()))
         words = self.words
         for part in parts:
-            pieces = ascii_parts.get(part)
+            pieces = plain.get(part)
             self.parts[part] = self._whole(part) if pieces is None else b"".join([words[w] for w in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -244,6 +252,7 @@ def write_files(tokens: DataFrame, path: str) -> None:
     files = 1 + (rows.agg(F.max("file")).first()[0] or 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_encoder.cache_clear()  # texts are all encoded by now; a worker may have been one that did
         names: list = []
         id_type = None
         held: list[np.ndarray] = []
