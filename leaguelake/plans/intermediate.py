@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leaguelake.functions.expressions import one_if, points_of, result_of
 from leaguelake.operators.ordered import month_of, rank_descending, running_totals
 from leaguelake.sources.schemas import COUNTED_STATUSES, TABLE_STAGES
+from leaguelake.sources.store import cut
 
 TEAM_SEASON = ["competition_code", "team_id", "season"]
 
@@ -51,7 +52,8 @@ def match_team_performance(stg_matches: DataFrame) -> DataFrame:
 def table_progression(performance: DataFrame) -> DataFrame:
     """Every team's record after each of its table matches, with its rank in that matchweek.
 
-    The rank compares rows carrying one and the same matchweek label, whenever they were played.
+    The rank compares rows carrying one and the same matchweek label, whenever they were played. Ranking
+    reads the records several times, so they are written down first: the totals are computed once.
     """
     eligible = performance.filter(F.col("match_stage").isin(*TABLE_STAGES)).select(
         *TEAM_SEASON, "match_id", "matchweek", "kickoff_utc", "result",
@@ -73,8 +75,12 @@ def table_progression(performance: DataFrame) -> DataFrame:
             "points": F.col("earned"),
         },
     ).withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
+    records = totals.select(
+        *TEAM_SEASON, "match_id", "matchweek", "kickoff_utc", "played_games", "won", "drawn", "lost",
+        "goals_for", "goals_against", "goal_difference", "points",
+    )
     ranked = rank_descending(
-        totals,
+        cut(records, "records"),
         ["competition_code", "season", "matchweek"],
         ["points", "goal_difference", "goals_for"],
         "league_position",

@@ -17,7 +17,7 @@ PASS, FAIL, WARN = "PASS", "FAIL", "WARN"
 
 @dataclass(frozen=True)
 class RowCheck:
-    """Counts rows for which the SQL condition `broken` holds; all row checks of a table share one scan."""
+    """Counts rows for which the SQL condition `broken` holds."""
 
     model: str
     name: str
@@ -139,57 +139,83 @@ CHECKS: list[Check] = [
 ]
 
 
-def _outcome(check: Check, failing: str) -> str:
-    return (
-        f"named_struct('model_name', '{check.model}', 'test_name', '{check.name}', "
-        f"'status', if({failing} = 0, '{PASS}', '{check.severity}'), 'failing_row_count', {failing})"
-    )
+# ---- one pass ---------------------------------------------------------------------------------
+#
+# A row of a table becomes one line for each key check, holding that key, and one for each row check it
+# breaks. Lines of all tables are counted by check and key in one aggregate; tasks combine them first, so a key
+# with very many rows is shuffled once a task.
 
 
-def _lines(counted: DataFrame, outcomes: Sequence[str]) -> DataFrame:
-    return counted.selectExpr(f"inline(array({', '.join(outcomes)}))")
+def _key(columns: Sequence[str]) -> str:
+    """The values as one text; nulls stay apart from any text."""
+    return f"to_json(array({', '.join(f'CAST({c} AS STRING)' for c in columns)}))"
 
 
-def _row_outcomes(table: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
-    counts = table.selectExpr(*[f"count_if({check.broken}) AS c{i}" for i, check in enumerate(checks)])
-    return _lines(counts, [_outcome(check, f"c{i}") for i, check in enumerate(checks)])
+def _line(number: int, key: str, is_parent: bool = False) -> str:
+    return f"named_struct('check', {number}, 'key', {key}, 'is_parent', {str(is_parent).lower()})"
 
 
-def _row_counts(table: DataFrame, check: KeyCheck) -> DataFrame:
-    keyed = table.select(*check.columns)
+def _child_line(number: int, check: Check) -> str:
+    """The line a row adds to a check; null for none."""
+    if isinstance(check, RowCheck):
+        return f"IF({check.broken}, {_line(number, 'CAST(NULL AS STRING)')}, NULL)"
+    if isinstance(check, ParentCheck):
+        return f"IF({check.column} IS NOT NULL, {_line(number, _key([check.column]))}, NULL)"
+    line = _line(number, _key(check.columns))
     if check.skip_null_keys:
-        keyed = keyed.dropna()
-    return keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
+        there = " AND ".join(f"{c} IS NOT NULL" for c in check.columns)
+        return f"IF({there}, {line}, NULL)"
+    return line
 
 
-def _key_outcome(table: DataFrame, check: KeyCheck) -> DataFrame:
-    counted = _row_counts(table, check).selectExpr(f"count_if({check.wrong}) AS failing")
-    return _lines(counted, [_outcome(check, "failing")])
+def _lines(table: DataFrame, lines: Sequence[str]) -> DataFrame:
+    return table.selectExpr(f"inline(filter(array({', '.join(lines)}), line -> line IS NOT NULL))")
 
 
-def _parent_outcome(table: DataFrame, parent: DataFrame, check: ParentCheck) -> DataFrame:
-    """Child keys are counted first, so the join sees each key once however many rows it has."""
-    children = (
-        table.select(F.col(check.column).alias("child")).dropna().groupBy("child").agg(F.count(F.lit(1)).alias("n"))
-    )
-    parents = parent.select(F.col(check.parent_column).alias("child"))
-    orphans = children.join(parents, "child", "left_anti").selectExpr("coalesce(sum(n), 0L) AS failing")
-    return _lines(orphans, [_outcome(check, "failing")])
+def _every_line(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """check, key, is_parent: the lines of all tables, each table read once."""
+    of_model: dict[str, list[str]] = {}
+    for number, check in enumerate(checks):
+        of_model.setdefault(check.model, []).append(_child_line(number, check))
+        if isinstance(check, ParentCheck):
+            parent = f"IF({check.parent_column} IS NOT NULL, {_line(number, _key([check.parent_column]), True)}, NULL)"
+            of_model.setdefault(check.parent, []).append(parent)
+    return reduce(DataFrame.unionAll, [_lines(tables[model], lines) for model, lines in of_model.items()])
 
 
-def quality_outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """model_name, test_name, status, failing_row_count of every check."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[RowCheck]] = {}
-    for check in checks:
+def _wrong(checks: Sequence[Check]) -> Column:
+    """How many failures a key with n rows, and with or without a parent, is; by the kind of its check."""
+    kinds: dict[str, list[int]] = {}
+    for number, check in enumerate(checks):
         if isinstance(check, RowCheck):
-            by_model.setdefault(check.model, []).append(check)
+            found = "n"
         elif isinstance(check, KeyCheck):
-            parts.append(_key_outcome(tables[check.model], check))
+            found = f"IF({check.wrong}, 1L, 0L)"
         else:
-            parts.append(_parent_outcome(tables[check.model], tables[check.parent], check))
-    parts += [_row_outcomes(tables[model], group) for model, group in by_model.items()]
-    return reduce(DataFrame.union, parts)
+            found = "IF(has_parent, 0L, n)"
+        kinds.setdefault(found, []).append(number)
+    return F.coalesce(*[F.when(F.col("check").isin(numbers), F.expr(found)) for found, numbers in kinds.items()])
+
+
+def quality_outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
+    """model_name, test_name, status, failing_row_count of every check."""
+    keys = _every_line(tables, checks).groupBy("check", "key").agg(
+        F.count_if(~F.col("is_parent")).alias("n"), F.bool_or("is_parent").alias("has_parent")
+    )
+    counted = keys.groupBy("check").agg(F.sum(_wrong(checks)).alias("failing"))
+    declared = F.array(*[
+        F.struct(F.lit(i).alias("check"), F.lit(c.model).alias("model_name"), F.lit(c.name).alias("test_name"),
+                 F.lit(c.severity).alias("severity"))
+        for i, c in enumerate(checks)
+    ])
+    failing = F.coalesce("failing", F.lit(0).cast("long"))
+    spark = counted.sparkSession
+    # As many rows as there are checks on both sides.
+    return spark.range(1).select(F.inline(declared)).join(F.broadcast(counted), "check", "left").select(
+        "model_name", "test_name",
+        F.when(failing == 0, PASS).otherwise(F.col("severity")).alias("status"),
+        failing.alias("failing_row_count"),
+    )
 
 
 def failing_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
@@ -198,7 +224,9 @@ def failing_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     if isinstance(check, RowCheck):
         return table.filter(check.broken)
     if isinstance(check, KeyCheck):
-        return _row_counts(table, check).filter(check.wrong)
+        keyed = table.select(*check.columns)
+        keyed = keyed.dropna() if check.skip_null_keys else keyed
+        return keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n")).filter(check.wrong)
     parents = tables[check.parent].select(F.col(check.parent_column).alias(check.column))
     return table.filter(F.col(check.column).isNotNull()).join(parents, check.column, "left_anti")
 
