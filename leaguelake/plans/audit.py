@@ -83,11 +83,18 @@ def quality_summary(quality_audit: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_health(run_events: DataFrame, quality_audit: DataFrame) -> dict[str, DataFrame]:
-    """The three parts of the health page: recent runs, run totals, data-test totals."""
-    state = run_state(run_events)
-    return {
-        "recent_runs": recent_runs(state),
-        "summary": success_rate(run_summary(state)),
-        "data_quality": quality_summary(quality_audit),
-    }
+def pipeline_health(state: DataFrame, quality_audit: DataFrame, limit: int = 20) -> DataFrame:
+    """The health page in one row: recent_runs (newest first), summary, data_quality.
+
+    state is one row per run, as stored or as `run_state` of the events gives it.
+    """
+    newest = recent_runs(state, limit)
+    order = ["started_at", "run_id"]
+    listed = newest.agg(F.reverse(F.array_sort(F.collect_list(F.struct(*order, *[c for c in newest.columns if c not in order]))))
+                        .alias("recent_runs"))
+    summary = success_rate(run_summary(state))
+    checks = quality_summary(quality_audit)
+    return (
+        listed.crossJoin(summary.select(F.struct("*").alias("summary")))  # one row each
+        .crossJoin(checks.select(F.struct("*").alias("data_quality")))
+    )

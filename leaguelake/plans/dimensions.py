@@ -47,9 +47,19 @@ def dim_matchweek(stg_matches: DataFrame) -> DataFrame:
     )
 
 
-def _calendar(days: DataFrame) -> DataFrame:
+def dim_date(
+    spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END, matches: DataFrame | None = None
+) -> DataFrame:
+    """One row per day from start up to, not including, end; with matches, from their first kickoff day through the last."""
+    if matches is None:
+        bounds = spark.range(1).select(F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("end"))
+    else:
+        bounds = matches.agg(
+            F.min("kickoff_utc").cast("date").alias("first"),
+            F.date_add(F.max("kickoff_utc").cast("date"), 1).alias("end"),
+        )
     day = F.col("date_day")
-    return days.select(
+    return _spine(bounds).select(
         day.alias("date_key"),
         day,
         F.year(day).cast("long").alias("year"),
@@ -62,21 +72,6 @@ def _calendar(days: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
-    """One row per day from start up to, not including, end."""
-    bounds = spark.range(1).select(F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("end"))
-    return _calendar(_spine(bounds))
-
-
-def dim_date_of(stg_matches: DataFrame) -> DataFrame:
-    """The calendar spanning the first through the last kickoff day of the matches."""
-    bounds = stg_matches.agg(
-        F.min("kickoff_utc").cast("date").alias("first"),
-        F.date_add(F.max("kickoff_utc").cast("date"), 1).alias("end"),
-    )
-    return _calendar(_spine(bounds))
-
-
 def _spine(bounds: DataFrame) -> DataFrame:
     last = F.greatest(F.col("first"), F.date_sub("end", 1))
     days = F.sequence("first", last, F.expr("interval 1 day"))

@@ -2,20 +2,20 @@
 
 Staging, intermediate, dimension, fact and mart tables are written by (competition, season) unit.
 A model reads the stored columns of the ones below it, so the payloads are shuffled and unpacked
-once, whatever is built above them. With `units` only those units are computed and replaced.
+once, whatever is built above them. With `units`, a table of them, only those are computed and replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from leaguelake.plans import dimensions, facts, intermediate, marts, staging
-from leaguelake.sources.store import Lake, in_units
-
-Units = Sequence[tuple[str, str]]
+from leaguelake.plans import dimensions, facts, intermediate, marts, match_index, staging
+from leaguelake.sources.schemas import UNIT
+from leaguelake.sources.store import Lake, Units, cut, units_table, within
 
 MODEL_NAMES = (
     "stg_competitions", "stg_teams", "stg_matches", "stg_standings",
@@ -27,21 +27,55 @@ MODEL_NAMES = (
 )
 
 
+#: The models by what they need: every wave reads earlier waves only.
+WAVES = (
+    ("stg_matches", "stg_teams", "stg_standings", "stg_competitions"),
+    ("int_match_team_performance", "fact_match", "dim_season", "dim_matchweek", "dim_team", "dim_date"),
+    ("int_table_progression", "mart_team_form", "fact_team_match", "mart_home_away_performance", "mart_goal_analysis"),
+    ("fact_standing_snapshot",),
+    ("mart_league_progression", "mart_league_table"),
+)
+LAYERS = {"stg": "staging", "int": "intermediate"}
+#: Replaced whole at every build: they look across units.
+WHOLE = ("stg_competitions", "stg_teams", "dim_team", "dim_date")
+
+
+def layer_of(name: str) -> str:
+    return LAYERS.get(name.split("_")[0], "marts")
+
+
 class Models:
-    def __init__(self, lake: Lake, units: Units | None = None, raw_units: Units | None = None) -> None:
+    """The calendar has fixed bounds, or with `calendar_of_matches` spans the matches."""
+
+    def __init__(
+        self, lake: Lake, units: Units | None = None, raw_units: Units | None = None,
+        calendar_of_matches: bool = False,
+    ) -> None:
         self.lake = lake
-        self.units = units
-        self.raw_units = raw_units or units
+        self.units = None if units is None else units_table(lake.spark, units)
+        self.raw_units = self.units if raw_units is None else units_table(lake.spark, raw_units)
+        self.calendar_of_matches = calendar_of_matches
+
+    @cached_property
+    def _files_before(self) -> DataFrame:
+        """Which files the units had in every table before the first of them is replaced, found in one job."""
+        names = [name for name in MODEL_NAMES if name not in WHOLE]
+        listed = [
+            self.lake.unit_files(layer_of(name), name, self.units).select(F.lit(name).alias("model"), *UNIT, "file")
+            for name in names
+        ]
+        return cut(reduce(DataFrame.unionAll, listed), "files")
 
     def _raw(self, name: str) -> DataFrame:
         rows = self.lake.raw(name)
-        return rows if self.raw_units is None else rows.filter(in_units(self.raw_units))
+        return rows if self.raw_units is None else within(rows, self.raw_units)
 
     def _by_unit(self, layer: str, name: str, df: DataFrame, projected: bool = False) -> DataFrame:
         """Stores by unit; a row-by-row projection of a table stored by unit needs no shuffle."""
         if self.units is None:
             return self.lake.save_all_units(layer, name, df, projected)
-        return self.lake.save_units(layer, name, df.filter(in_units(self.units)), self.units, projected)
+        before = self._files_before.filter(F.col("model") == name).drop("model")
+        return self.lake.save_units(layer, name, within(df, self.units), self.units, projected, before)
 
     @cached_property
     def stg_competitions(self) -> DataFrame:
@@ -54,6 +88,8 @@ class Models:
 
     @cached_property
     def stg_matches(self) -> DataFrame:
+        if self.units is None:
+            match_index.drop(self.lake)
         return self._by_unit("staging", "stg_matches", staging.stg_matches(self._raw("raw_matches")))
 
     @cached_property
@@ -89,7 +125,8 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self.lake.save("marts", "dim_date", dimensions.dim_date(self.lake.spark))
+        matches = self.stg_matches if self.calendar_of_matches else None
+        return self.lake.save("marts", "dim_date", dimensions.dim_date(self.lake.spark, matches=matches))
 
     @cached_property
     def fact_match(self) -> DataFrame:
@@ -136,5 +173,12 @@ class Models:
         )
 
     def build(self) -> dict[str, DataFrame]:
-        """Stores every model, marts last, and returns them by name."""
+        """Stores every model and returns them by name. Those of a wave need only earlier ones and are built at a time."""
+        for name in ("raw_competitions", "raw_teams", "raw_matches", "raw_standings"):
+            self.lake.raw(name)
+        if self.units is not None:
+            self._files_before  # noqa: B018
+        with ThreadPoolExecutor(max(map(len, WAVES))) as pool:
+            for wave in WAVES:
+                list(pool.map(lambda name: getattr(self, name), wave))
         return {name: getattr(self, name) for name in MODEL_NAMES}

@@ -2,8 +2,9 @@
 
 A (competition, season) unit is closed under every model but two links: a match that moved between
 units, and the team names shown in the league table. Both are followed, so a refresh leaves exactly
-what a full rebuild would. What is to be replaced is written down before the first table changes: a
-refresh that follows a failed one starts from that note, as the tables no longer tell where a match was.
+what a full rebuild would. Units are a table throughout: joined, never listed on the driver. What is to be
+replaced is written down before the first table changes: a refresh that follows a failed one starts
+from that note, as the tables no longer tell where a match was.
 """
 
 from __future__ import annotations
@@ -15,54 +16,42 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguelake.plans import marts
-from leaguelake.plans.models import Models, Units
+from leaguelake.plans import marts, match_index
+from leaguelake.plans.models import Models
 from leaguelake.sources.schemas import UNIT
-from leaguelake.sources.store import Lake, cut, exists, in_units, remove, write_text
+from leaguelake.sources.store import Lake, Units, cut, exists, remove, units_table, within, write_text
 
 NOTE = ("refresh", "unfinished.json")
 SHOWN = ["team_id", "team_name", "team_crest_url"]
 
 
-def _collect_units(df: DataFrame) -> list[tuple[str, str]]:
-    """Units are few: competitions times seasons, whatever the number of matches."""
-    return [tuple(row) for row in df.select(*UNIT).distinct().collect()]
-
-
-def linked_units(lake: Lake, units: Units) -> Units:
-    """Units in which a match seen in the given units is stored at present.
-
-    Staging holds every match once, where its latest load before this refresh put it. Only ids are
-    read: those of the given units from RAW, pruned by folder, and the staged ones.
-    """
-    if not units:
-        return []
-    seen = lake.raw("raw_matches").filter(in_units(units)).select("match_id").distinct()
-    staged = lake.stored("staging", "stg_matches").select("match_id", *UNIT)
-    return _collect_units(staged.join(seen, "match_id", "left_semi"))
-
-
 @dataclass(frozen=True)
 class Note:
-    """What an unfinished refresh set out to replace, from which units, and the names shown before it."""
+    """The folder of what an unfinished refresh set out to do: the units to replace, those from which, and the
+    names shown before it. The note names the folder once all of it is written."""
 
-    replaced: list[tuple[str, str]]
-    sources: list[tuple[str, str]]
-    teams_before: str
+    lake: Lake
+    folder: str
 
     @classmethod
     def read(cls, lake: Lake) -> Note | None:
         if not exists(lake.spark, lake.path(*NOTE)):
             return None
-        found = json.loads(lake.spark.read.text(lake.path(*NOTE), wholetext=True).first()[0])
-        return cls([tuple(u) for u in found["replaced"]], [tuple(u) for u in found["sources"]], found["teams_before"])
+        return cls(lake, json.loads(lake.spark.read.text(lake.path(*NOTE), wholetext=True).first()[0])["folder"])
+
+    def table(self, name: str) -> DataFrame:
+        return self.lake.spark.read.parquet(f"{self.folder}/{name}")
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        return self.table(name)
 
-    def write(self, lake: Lake) -> None:
-        write_text(lake.spark, lake.path(*NOTE), json.dumps(vars(self)))
+    def announce(self) -> None:
+        write_text(self.lake.spark, self.lake.path(*NOTE), json.dumps({"folder": self.folder}))
 
-    def done(self, lake: Lake) -> None:
-        remove(lake.spark, lake.path(*NOTE))
-        remove(lake.spark, self.teams_before)
+    def done(self) -> None:
+        remove(self.lake.spark, self.lake.path(*NOTE))
+        remove(self.lake.spark, self.folder)
 
 
 def refresh(lake: Lake, units: Units) -> Models:
@@ -75,27 +64,33 @@ def refresh(lake: Lake, units: Units) -> Models:
         whole = Models(lake)
         whole.build()
         return whole
+    units = units_table(lake.spark, units)
     left = Note.read(lake)
-    if left is None:
-        teams_before = lake.path("refresh", f"teams-{uuid.uuid4().hex}")
-        lake.stored("marts", "dim_team").select(*SHOWN).write.parquet(teams_before)
-    else:
-        teams_before = left.teams_before
-        units = [*units, *left.replaced]
+    note = Note(lake, lake.path("refresh", uuid.uuid4().hex))
+    shown = left.table("teams") if left else lake.stored("marts", "dim_team").select(*SHOWN)
+    shown = note.put("teams", shown)
+    if left:
+        units = units.unionByName(left.table("replaced"))
 
     # A match must go from the unit it left, so linked units are replaced along. The latest copy
     # of every match in the replaced units lies in those units or where it is staged now.
-    replaced = sorted({*units, *linked_units(lake, units)})
-    sources = sorted({*replaced, *linked_units(lake, replaced), *(left.sources if left else ())})
-    note = Note(replaced, sources, teams_before)
-    note.write(lake)
+    units = cut(units.distinct(), "units")
+    replaced = note.put("replaced", units.unionByName(match_index.linked_units(lake, units)).distinct())
+    sources = replaced.unionByName(match_index.linked_units(lake, replaced))
+    if left:
+        sources = sources.unionByName(left.table("sources"))
+    sources = note.put("sources", sources.distinct())
+    note.announce()
     models = Models(lake, replaced, raw_units=sources)
-    if replaced:
-        models.build()
-    else:
+    if replaced.isEmpty():
         models.stg_competitions, models.dim_team  # noqa: B018
-    _refresh_names(lake, models, lake.spark.read.parquet(teams_before))
-    note.done(lake)
+    else:
+        models.build()
+        match_index.update(lake, models.stg_matches)
+    _refresh_names(lake, models, shown)
+    note.done()
+    if left:
+        remove(lake.spark, left.folder)
     return models
 
 
@@ -107,16 +102,15 @@ def _refresh_names(lake: Lake, models: Models, shown_before: DataFrame) -> None:
     if changed.isEmpty():
         return
     snapshots = lake.stored("marts", "fact_standing_snapshot")
-    showing = snapshots.filter(~in_units(models.units)).join(changed, "team_id", "left_semi")
-    others = _collect_units(showing)
-    if others:
-        table = marts.mart_league_table(
-            snapshots.filter(in_units(others)),
-            models.dim_team,
-            lake.stored("marts", "mart_team_form").filter(in_units(others)),
-        )
-        lake.save_units("marts", "mart_league_table", table, others)
-
-
-def touched_units(work: DataFrame) -> list[tuple[str, str]]:
-    return sorted(_collect_units(work.filter(F.col("season").isNotNull())))
+    showing = snapshots.join(changed, "team_id", "left_semi").select(*UNIT).distinct()
+    others = cut(showing.join(models.units, list(UNIT), "left_anti"), "units_showing")
+    if others.isEmpty():
+        return
+    table = marts.mart_league_table(
+        within(snapshots, others), models.dim_team, within(lake.stored("marts", "mart_team_form"), others)
+    )
+    lake.save_units("marts", "mart_league_table", table, others)
+
+
+def touched_units(work: DataFrame) -> DataFrame:
+    return work.filter(F.col("season").isNotNull()).select(*UNIT).distinct()

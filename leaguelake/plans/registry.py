@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leaguelake.functions.expressions import field
+from leaguelake.jobs import RAW_TABLES
 from leaguelake.plans import audit, dimensions, facts, intermediate, marts, quality, reconcile, serving, staging
+from leaguelake.plans.field_types import by_run as field_types_of
 from leaguelake.sources import ingest, payloads
 from leaguelake.sources.demo import Demo, demo
 
@@ -177,7 +180,7 @@ def dim_matchweek(d: Demo) -> DataFrame:
 
 @_query
 def dim_date(d: Demo) -> DataFrame:
-    return dimensions.dim_date_of(d.models.stg_matches)
+    return d.models.dim_date
 
 
 @_query
@@ -242,14 +245,9 @@ def reconciliation_summary(d: Demo) -> DataFrame:
     return reconcile.reconciliation_summary(reconciliation_checks(d), unmatched)
 
 
-RAW_TABLES = ("raw_competitions", "raw_teams", "raw_matches", "raw_standings")
-
-
 @_query
 def dq_results(d: Demo) -> DataFrame:
-    tables = {name: d.raw(name) for name in RAW_TABLES} | d.models.build()
-    tables["dim_date"] = dimensions.dim_date_of(d.models.stg_matches)
-    return quality.quality_outcomes(tables)
+    return quality.quality_outcomes({name: d.raw(name) for name in RAW_TABLES} | d.models.build())
 
 
 @_query
@@ -285,19 +283,45 @@ def seeded_tables(d: Demo) -> dict[str, DataFrame]:
     }
 
 
-SEEDED_CHECKS = {
-    ("stg_matches", "not_null_home_team_id"), ("stg_matches", "unique_match_id"),
-    ("stg_matches", "accepted_values_match_status"), ("stg_matches", "accepted_range_full_time_home_goals"),
-    ("stg_matches", "home_team_not_away_team"), ("fact_match", "relationships_away_team_id_dim_team"),
-    ("fact_match", "winner_matches_score"), ("fact_team_match", "two_team_rows_per_match"),
-    ("fact_team_match", "unique_combination_match_id_team_id"),
-}
+@_query
+def dq_violations_seeded(d: Demo) -> DataFrame:
+    """All data tests over tables some of which are spoilt."""
+    tables = {name: d.raw(name) for name in RAW_TABLES} | d.models.build() | seeded_tables(d)
+    return quality.quality_outcomes(tables)
 
 
 @_query
-def dq_violations_seeded(d: Demo) -> DataFrame:
-    checks = [check for check in quality.CHECKS if (check.model, check.name) in SEEDED_CHECKS]
-    return quality.quality_outcomes(seeded_tables(d), checks)
+def field_types(d: Demo) -> DataFrame:
+    """How many fields of every load are there, and how many of them not of their type."""
+    return reduce(DataFrame.unionAll, [field_types_of(d.raw(f"raw_{name}"), name) for name in payloads.LANDERS])
+
+
+@_query
+def field_types_spoilt(d: Demo) -> DataFrame:
+    return field_types_of(d.mistyped_matches(), "matches")
+
+
+@_query
+def audit_trail(d: Demo) -> DataFrame:
+    """What both audits hold after two runs and a repeated one."""
+    lake = d.audited
+    tests = lake.audit("data_quality_audit").groupBy("run_id", F.col("status").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("checks"), F.sum("failing_row_count").alias("failing_rows")
+    )
+    compared = lake.audit("reconciliation_audit").groupBy(
+        "run_id", F.when(F.col("is_match"), "MATCH").otherwise("MISMATCH").alias("outcome")
+    ).agg(F.count(F.lit(1)).alias("checks"), F.lit(None).cast("long").alias("failing_rows"))
+    return tests.select(F.lit("data tests").alias("audit"), "*").unionByName(
+        compared.select(F.lit("reconciliation").alias("audit"), "*")
+    )
+
+
+@_query
+def pipeline_health(d: Demo) -> DataFrame:
+    """The health answer in one row: totals of runs and data tests, and the newest runs in order."""
+    answer = audit.pipeline_health(d.folded_runs, d.audited.audit("data_quality_audit"))
+    newest = F.array_join(F.transform("recent_runs", lambda r: r["run_id"]), " ")
+    return answer.select("summary.*", "data_quality.*", newest.alias("recent_run_ids"))
 
 
 # ---- runs and planning ----------------------------------------------------------------------
@@ -308,6 +332,12 @@ def run_state(d: Demo) -> DataFrame:
     return audit.run_state(d.run_events).select(*RUN_COLUMNS)
 
 
+@_query
+def run_state_folded(d: Demo) -> DataFrame:
+    """The same state, folded load by load."""
+    return d.folded_runs.select(*RUN_COLUMNS)
+
+
 @_query
 def recent_runs(d: Demo) -> DataFrame:
     return audit.recent_runs(audit.run_state(d.run_events))
@@ -380,6 +410,34 @@ def api_progression_teams(d: Demo) -> DataFrame:
     return serving.progression(d.models.mart_league_progression, d.models.dim_team, SEASON, COMPETITION, asked)
 
 
+@_query
+def api_progression_listed(d: Demo) -> DataFrame:
+    """The teams named by a table of ids as large as the customers."""
+    asked = d.table("customer").select(F.col("c_custkey").alias("team_id"))
+    return serving.progression(d.models.mart_league_progression, d.models.dim_team, SEASON, COMPETITION, asked)
+
+
+@_query
+def served_order(d: Demo) -> DataFrame:
+    """The place in which each row of an ordered answer comes."""
+
+    def placed(name: str, answer: DataFrame, *shown: str) -> DataFrame:
+        listed = answer.select(
+            F.lit(name).alias("question"), F.concat_ws(" ", *[F.col(c).cast("string") for c in shown]).alias("shown"),
+            F.monotonically_increasing_id().alias("at"),  # grows with the rows as they are served
+        )
+        return listed.select("question", "shown", F.row_number().over(Window.orderBy("at")).alias("place"))
+
+    answers = [
+        placed("competitions", api_competitions(d), "competition_code"),
+        placed("seasons", api_seasons(d), "season"),
+        placed("teams", api_teams(d), "team_id"),
+        placed("progression", api_progression(d), "team_id", "matchweek"),
+        placed("team form", api_team_form(d), "match_id"),
+    ]
+    return reduce(DataFrame.unionAll, answers)
+
+
 @_query
 def progression_matrix(d: Demo) -> DataFrame:
     return serving.progression_matrix(api_progression(d))

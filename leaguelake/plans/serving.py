@@ -91,16 +91,25 @@ def displayed_league_table(table: DataFrame) -> DataFrame:
     )
 
 
+def of_teams(rows: DataFrame, team_ids: Sequence[int] | DataFrame) -> DataFrame:
+    """The rows of the asked teams. Ids are a table joined by its measured size, never a list in the query;
+    ids asked twice, unknown ones and nulls do no harm."""
+    if not isinstance(team_ids, DataFrame):
+        team_ids = rows.sparkSession.createDataFrame([(int(i),) for i in team_ids], "team_id bigint")
+    return rows.join(team_ids.select("team_id"), "team_id", "left_semi").select(*rows.columns)
+
+
 def progression(
     mart: DataFrame,
     dim_team: DataFrame,
     season: str,
     competition: str = DEFAULT_COMPETITION,
-    team_ids: Sequence[int] | None = None,
+    team_ids: Sequence[int] | DataFrame | None = None,
 ) -> DataFrame:
+    """Positions by matchweek, of the asked teams; without ids, or with an empty list, of all."""
     rows = _unit(mart, season, competition)
-    if team_ids:
-        rows = rows.filter(F.col("team_id").isin(list(team_ids)))
+    if isinstance(team_ids, DataFrame) or team_ids:
+        rows = of_teams(rows, team_ids)
     return (
         rows.join(dim_team.select("team_id", "team_name"), "team_id")
         .select("team_id", "team_name", "matchweek", "league_position", "points", "position_change")

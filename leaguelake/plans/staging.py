@@ -64,6 +64,8 @@ STANDING_FIELDS = {
 }
 
 
+#: The type of the provider's tables that are kept.
+OVERALL = "TOTAL"
 LOAD = ("loaded_at", "run_id", "arrival")
 
 
@@ -99,7 +101,7 @@ def stg_matches(raw_matches: DataFrame) -> DataFrame:
 
 
 def stg_standings(raw_standings: DataFrame) -> DataFrame:
-    """The provider's own tables, one row per team; only the overall table (TOTAL) is kept."""
+    """The provider's own tables, one row per team; only the overall table is kept."""
     unit = ["competition_code", "season", "snapshot_date"]
     latest = latest_per_key(_with_arrival(raw_standings), unit, _newest_load())
     stages = latest.select(
@@ -112,7 +114,7 @@ def stg_standings(raw_standings: DataFrame) -> DataFrame:
         F.try_variant_get("entry", "$.table", "array<variant>").alias("team_table"),
     )
     return (
-        stages.filter(F.col("standing_type") == "TOTAL")
+        stages.filter(F.col("standing_type") == OVERALL)
         .select(*unit, "loaded_at", "stage", "standing_type", F.explode("team_table").alias("team_row"))
         .select(*unit, "loaded_at", "stage", "standing_type", *fields("team_row", STANDING_FIELDS))
     )

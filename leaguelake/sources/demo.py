@@ -9,11 +9,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leaguelake.jobs import RAW_TABLES, AuditFailed, audit_lake
 from leaguelake.plans.models import Models
 from leaguelake.sources import orders_feed as feed
 from leaguelake.sources import payloads
 from leaguelake.sources.store import Lake, cut, session_folder
 from leaguelake.streaming.arrivals import follow_inbox
+from leaguelake.streaming.run_state import current_state
 
 
 class Demo:
@@ -24,7 +26,8 @@ class Demo:
         self.folder = folder.rstrip("/")
         self.lake = Lake(spark, f"{session_folder(spark)}/lake-{uuid.uuid4().hex}")
         self._landed: dict[str, DataFrame] = {}
-        self.models = Models(_LandingLake(self))
+        self.audit_failures: list[str] = []
+        self.models = Models(_LandingLake(self), calendar_of_matches=True)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -91,10 +94,39 @@ class Demo:
         return lake
 
     def damaged_match_envelopes(self) -> DataFrame:
-        """The newer load of every round, some of them spoiled."""
+        """Both loads of every round, some of them spoiled."""
         first_match = F.get_json_object("payload", "$.matches[0].matchday").cast("long")
-        newer = self.match_envelopes.filter(F.col("run_id") == feed.SECOND_LOAD)
-        return feed.damaged_envelopes(newer, first_match)
+        return feed.damaged_envelopes(self.match_envelopes, first_match)
+
+    def mistyped_matches(self) -> DataFrame:
+        """The landed matches, with fields of another type in some rounds."""
+        raw = self.raw("raw_matches")
+        return raw.withColumn("raw_json", feed.mistyped(F.col("raw_json"), F.col("matchweek").cast("long")))
+
+    @cached_property
+    def folded_runs(self) -> DataFrame:
+        """The state of all runs, folded after each of three loads of events."""
+        lake = Lake(self.spark, f"{session_folder(self.spark)}/runs-{uuid.uuid4().hex}")
+        turn = F.pmod(F.xxhash64("run_id"), F.lit(3))
+        state = None
+        for load in range(3):
+            # The ends of some runs come one load after their start.
+            own = F.when((F.col("status") == "RUNNING") | (turn == 2), turn).otherwise(turn + 1)
+            lake.append_audit("pipeline_run_audit", self.run_events.filter(own == load))
+            state = current_state(lake)
+        return state
+
+    @cached_property
+    def audited(self) -> Lake:
+        """A lake whose audits hold two runs over the stored models, the second of them made twice."""
+        lake = Lake(self.spark, f"{session_folder(self.spark)}/audits-{uuid.uuid4().hex}")
+        tables = {name: self.raw(name) for name in RAW_TABLES} | self.models.build()
+        for run_id in ("audit-1", "audit-2", "audit-2"):
+            try:
+                audit_lake(lake, run_id, datetime.fromisoformat(feed.LOAD_TIMES[feed.SECOND_LOAD]), tables)
+            except AuditFailed as error:
+                self.audit_failures.append(str(error))
+        return lake
 
 
 class _LandingLake(Lake):

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from leaguelake.functions.expressions import row_key
 from leaguelake.functions.seasons import check_range, current_season, utc_today
-from leaguelake.plans import audit
+from leaguelake.plans import audit, field_types
 from leaguelake.sources.payloads import (
     LANDERS, MATCH_WITHOUT_ID, Landing, load_time, read_envelopes, refused, unusable_lines,
 )
 from leaguelake.sources.schemas import DATASETS
 from leaguelake.sources.store import Lake, cut
+from leaguelake.streaming.run_state import current_state
 
 SOURCE = "payload-files"
 BACKFILL, DAILY = "leaguelake.backfill", "leaguelake.daily"
@@ -30,7 +31,11 @@ RUN_KEY = ["dataset", "competition_code", "season"]
 
 
 class IngestionFailed(Exception):
-    """Some units were refused; their runs are recorded as FAILED."""
+    """Some units were refused; their runs are recorded as FAILED. `work` is the whole work list of the load."""
+
+    def __init__(self, message: str, work: DataFrame | None = None) -> None:
+        super().__init__(message)
+        self.work = work
 
 
 # ---- planning -------------------------------------------------------------------------------
@@ -96,38 +101,59 @@ def _runs(work: DataFrame, pipeline_name: str, moment: datetime) -> DataFrame:
     )
 
 
+class MiscountedLoad(Exception):
+    """The rows written are not those that the responses held."""
+
+
+def land_counted(
+    lake: Lake, dataset: str, rows: DataFrame, responses: DataFrame, load_id: str, moment: Column
+) -> None:
+    """Lands rows, counting them and the types of their fields in the same pass; the counts must agree.
+
+    responses says how many rows came out of each; what is written is not read again.
+    """
+    counted = {"rows": F.count(F.lit(1)), **field_types.metrics(dataset)}
+    seen = lake.land(f"raw_{dataset}", rows, counted)
+    expected = responses.agg(F.coalesce(F.sum("items"), F.lit(0))).first()[0]
+    if seen.get("rows", 0) != expected:
+        raise MiscountedLoad(f"{seen.get('rows', 0)} {dataset} rows were written, the responses hold {expected}")
+    lake.append_audit("field_audit", field_types.of_load(lake.spark, dataset, load_id, seen, moment))
+
+
+def outcomes(responses: DataFrame) -> DataFrame:
+    """run_id, records_inserted, records_rejected, reason (null unless a response was refused) of every run answered."""
+    return responses.groupBy("run_id").agg(
+        F.sum("items").alias("records_inserted"),
+        F.count("reason").alias("records_rejected"),
+        F.max(F.when(F.col("reason") != MATCH_WITHOUT_ID, F.col("reason"))).alias("reason"),
+    )
+
+
+def ends(runs: DataFrame, found: DataFrame, done: Column) -> DataFrame:
+    """How each run ended, by its outcome."""
+    counted = runs.join(found, "run_id", "left").na.fill(0, ["records_inserted", "records_rejected"])
+    counted = counted.withColumn("records_received", F.col("records_inserted") + F.col("records_rejected"))
+    good, bad = counted.filter("reason is null"), counted.filter("reason is not null")
+    return audit.succeeded(good, done).unionByName(audit.failed(bad, done, F.col("reason")))
+
+
 def _load_dataset(
     lake: Lake, dataset: str, runs: DataFrame, envelopes: DataFrame, keys: Sequence[str], moment: datetime
 ) -> DataFrame:
     """Lands one dataset and appends the end of every run. Returns the refused runs with reasons."""
     asked = stamp(envelopes, runs, keys, moment)
     landing: Landing = LANDERS[dataset](asked)
-    ours = runs.select("run_id")
     responses = cut(landing.responses, "responses")
-    rejects = refused(responses)
-    lake.land("raw_rejects", rejects)
-
-    answered = responses.select("run_id").distinct()
-    silent = ours.join(answered, "run_id", "left_anti").withColumn("reason", F.lit("no response"))
-    broken = rejects.filter(F.col("reason") != MATCH_WITHOUT_ID).select("run_id", "reason")
-    faulty = cut(silent.unionByName(broken).groupBy("run_id").agg(F.max("reason").alias("reason")), "faulty")
-
-    lake.land(f"raw_{dataset}", landing.rows)
-    landed = lake.raw(f"raw_{dataset}").join(ours, "run_id", "left_semi")
-    inserted = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
-    rejected = rejects.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_rejected"))
-    counted = (
-        runs.join(faulty.select("run_id"), "run_id", "left_anti")
-        .join(inserted, "run_id", "left")
-        .join(rejected, "run_id", "left")
-        .na.fill(0, ["records_inserted", "records_rejected"])
-        .withColumn("records_received", F.col("records_inserted") + F.col("records_rejected"))
+    lake.land("raw_rejects", refused(responses))
+    silent = runs.join(responses.select("run_id").distinct(), "run_id", "left_anti").select(
+        "run_id", F.lit(0).cast("long").alias("records_inserted"), F.lit(0).cast("long").alias("records_rejected"),
+        F.lit("no response").alias("reason"),
     )
-    done = _moment(_now())
-    faulty_runs = runs.join(faulty, "run_id")
-    ends = audit.succeeded(counted, done).unionByName(audit.failed(faulty_runs, done, F.col("reason")))
-    lake.append_audit("pipeline_run_audit", ends)
-    return faulty_runs.select("competition_code", "season", "reason")
+    found = cut(outcomes(responses).unionByName(silent), "outcomes")
+    land_counted(lake, dataset, landing.rows, responses, moment.isoformat(), _moment(moment))
+    lake.append_audit("pipeline_run_audit", ends(runs, found, _moment(_now())))
+    faulty = found.filter("reason is not null").select("run_id", "reason")
+    return runs.join(faulty, "run_id").select("competition_code", "season", "reason")
 
 
 def _attempt(
@@ -169,19 +195,19 @@ def load_units(lake: Lake, inbox: str, work: DataFrame, pipeline_name: str, mome
         due = runs.filter(F.col("dataset") == dataset).join(failed.select(*keys), keys, "left_anti")
         envelopes = read_envelopes(lake.spark, f"{inbox}/{dataset}")
         failed = failed.unionByName(_attempt(lake, dataset, cut(due, "due"), envelopes, keys, moment))
-    _raise_if_any(failed)
+    _raise_if_any(failed, work)
 
 
-def _raise_if_any(failed: DataFrame) -> None:
+def _raise_if_any(failed: DataFrame, work: DataFrame | None = None) -> None:
     count = failed.count()
     if count:
         r = failed.orderBy("competition_code", "season").first()
         example = f"{r.competition_code} {r.season or ''}: {r.reason}"
-        raise IngestionFailed(f"{count} runs failed, as the run audit says one by one; the first is {example}")
+        raise IngestionFailed(f"{count} runs failed, as the run audit says one by one; the first is {example}", work)
 
 
-def _state(lake: Lake) -> DataFrame:
-    return audit.loaded_units(audit.run_state(lake.audit("pipeline_run_audit")))
+def _loaded(lake: Lake) -> DataFrame:
+    return audit.loaded_units(current_state(lake))
 
 
 def _requested(lake: Lake, competition_codes: Sequence[str], first: int, today: date) -> DataFrame:
@@ -198,7 +224,7 @@ def backfill(
     """Metadata, then every season up to the current one that is not loaded yet. Returns the work done."""
     requested = _requested(lake, competition_codes, first_season, today or utc_today())
     load_metadata(lake, inbox, competition_codes, BACKFILL, moment)
-    work = cut(work_list(requested, _state(lake), force), "work")
+    work = cut(work_list(requested, _loaded(lake), force), "work")
     load_units(lake, inbox, work, BACKFILL, moment)
     return work
 
@@ -206,7 +232,7 @@ def backfill(
 def daily(
     lake: Lake, inbox: str, competition_codes: Sequence[str], today: date | None = None, moment: datetime | None = None
 ) -> DataFrame:
-    """The current season only, always reloaded, without metadata."""
+    """Lands the current season only, always, without metadata. `jobs.daily` goes on to fresh marts and audits."""
     day = today or utc_today()
     work = cut(_requested(lake, competition_codes, current_season(day), day), "work")
     load_units(lake, inbox, work, DAILY, moment)

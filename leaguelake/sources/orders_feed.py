@@ -272,6 +272,20 @@ def damaged_envelopes(envelopes: DataFrame, round_column: Column) -> DataFrame:
     return envelopes.withColumn("payload", spoiled)
 
 
+def mistyped(item: Column, matchday: Column) -> Column:
+    """Gives some matches a field of another type by their round: matchday, kickoff, home goals or a team."""
+    text = F.to_json(item)
+    spoiled = (
+        F.when(matchday % 7 == 3, F.regexp_replace(text, '"matchday":[0-9]+', '"matchday":"later"'))
+        .when(matchday % 7 == 4, F.regexp_replace(text, '"utcDate":"[^"]*"', '"utcDate":"soon"'))
+        .when(matchday % 7 == 5, F.regexp_replace(text, '"fullTime":\\{"away":([^,]*),"home":[0-9]+\\}',
+                                                  '"fullTime":{"away":$1,"home":"many"}'))
+        .when(matchday % 7 == 6, F.regexp_replace(text, '"homeTeam":\\{[^}]*\\}', '"homeTeam":[1]'))
+        .otherwise(text)
+    )
+    return F.parse_json(spoiled)
+
+
 def run_events(events: DataFrame) -> DataFrame:
     """Every event is one past run: a RUNNING event, and for most an end as SUCCESS or FAILED."""
     event, user = F.col("event_id"), F.col("user_id")

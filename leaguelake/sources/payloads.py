@@ -20,6 +20,7 @@ _DOC = "_document"
 _ITEM = "_item"
 _REASON = "_reason"
 _TEXT = "_text"
+_TAKEN = "_taken"
 MATCH_WITHOUT_ID = "match without id"
 
 
@@ -27,8 +28,8 @@ MATCH_WITHOUT_ID = "match without id"
 class Landing:
     """Rows ready for a RAW table, and what came of every response.
 
-    `responses` has a line for each response (no reason: it was sound) and one for each item refused
-    out of a sound response. It is far smaller than the payloads.
+    `responses` has a line for each response (no reason: it was sound, and `items` rows came out of it) and one
+    for each item refused out of a sound response. It is far smaller than the payloads.
     """
 
     rows: DataFrame
@@ -148,14 +149,15 @@ def _opened(envelopes: DataFrame, dataset: str, items: Column, fault: Callable[[
     """
     reason = _reason(dataset)
 
-    def line(why: Column, item: Column, text: Column) -> Column:
+    def line(why: Column, item: Column, text: Column, taken: Column = F.lit(0)) -> Column:
         return F.struct(
-            why.cast("string").alias(_REASON), item.cast("variant").alias(_ITEM), text.cast("string").alias(_TEXT)
+            why.cast("string").alias(_REASON), item.cast("variant").alias(_ITEM), text.cast("string").alias(_TEXT),
+            taken.cast("long").alias(_TAKEN),
         )
 
     nothing = F.lit(None)
     broken = F.array(line(reason, nothing, F.col("payload")))
-    heading = F.array(line(nothing, nothing, nothing))
+    heading = F.array(line(nothing, nothing, nothing, F.size(F.filter(items, lambda item: fault(item).isNull()))))
     each = F.transform(items, lambda item: line(fault(item), item, F.when(fault(item).isNotNull(), F.to_json(item))))
     if "arrival" not in envelopes.columns:
         envelopes = envelopes.withColumn("arrival", F.lit(None).cast("string"))
@@ -177,8 +179,9 @@ def _landing(opened: DataFrame, dataset: str, lifted: Mapping[str, Column]) -> L
         "competition_code", "season", "run_id", "source", "loaded_at",
         F.col(_REASON).alias("reason"),
         F.col(_TEXT).alias("payload"),
+        F.col(_TAKEN).alias("items"),
     )
-    return Landing(rows.select(*SCHEMAS[f"raw_{dataset}"].names), responses.select(*RAW_REJECTS.names))
+    return Landing(rows.select(*SCHEMAS[f"raw_{dataset}"].names), responses.select(*RAW_REJECTS.names, "items"))
 
 
 def land_competitions(envelopes: DataFrame) -> Landing:

@@ -103,6 +103,17 @@ RECONCILIATION_AUDIT = _struct(
     ("executed_at", NTZ, False),
 )
 
+# How the fields of one load of a dataset fitted the types that staging reads them as.
+FIELD_AUDIT = _struct(
+    ("dataset", STRING, False),
+    ("load_id", STRING, False),
+    ("field", STRING, False),
+    ("wanted", STRING, False),
+    ("present", LONG, False),
+    ("mistyped", LONG, False),
+    ("executed_at", NTZ, False),
+)
+
 # What a payload file holds: one provider response per line, with what was asked for and when it came.
 ENVELOPE = _struct(
     ("competition_code", STRING, True),
@@ -122,9 +133,10 @@ SCHEMAS = {
     "pipeline_run_audit": RUN_EVENTS,
     "data_quality_audit": DATA_QUALITY_AUDIT,
     "reconciliation_audit": RECONCILIATION_AUDIT,
+    "field_audit": FIELD_AUDIT,
 }
 
-# A load replaces only its own run_id, so repeating a run changes nothing.
+# A load or an audit replaces only its own run_id, so repeating a run changes nothing.
 UNIT = ("competition_code", "season")
 PARTITIONS = {
     "raw_competitions": ("competition_code", "run_id"),
@@ -132,6 +144,9 @@ PARTITIONS = {
     "raw_matches": (*UNIT, "run_id"),
     "raw_standings": (*UNIT, "run_id"),
     "raw_rejects": ("dataset", "run_id"),
+    "data_quality_audit": ("run_id",),
+    "reconciliation_audit": ("run_id",),
+    "field_audit": ("dataset", "load_id"),
 }
 
 # Fixed values of the provider's vocabulary.

@@ -5,10 +5,10 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-from collections.abc import Sequence
-from functools import cache, reduce
+from collections.abc import Mapping, Sequence
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,21 +51,33 @@ def cut(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFram
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str], keep_others: bool, gathered: bool = False
-) -> None:
+    df: DataFrame, path: str, partition_by: Sequence[str], keep_others: bool, gathered: bool = False,
+    metrics: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
     """Writes df by partition, replacing only the partitions it holds or the whole table.
 
     The rebalance hint groups rows by partition before the write, while adaptive execution still
     splits a partition too large for one task and merges the small ones. Rows `gathered` by
     partition already, as a projection of a table stored the same way is, are written as they come.
+    Returns the aggregates `metrics`, observed while the rows are written: behind the shuffle, so that
+    the rows of a task that runs again count once. Without rows it returns none.
     """
     rows = df if gathered else df.hint("rebalance", *partition_by)
+    seen = Observation() if metrics else None
+    if seen is not None:
+        rows = rows.observe(seen, *[c.alias(name) for name, c in metrics.items()])
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    return observed(seen) if seen is not None else {}
+
+
+def observed(seen: Observation) -> dict[str, int]:
+    """The metrics of a finished write; empty if nothing had to be run, as for a table known to be empty."""
+    return dict(seen.get) if seen._jo.getOrEmpty().size() else {}
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -115,16 +127,22 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def in_units(units: Sequence[tuple[str, str]]) -> Column:
-    """Membership in a short list of (competition, season) units; on stored tables it prunes folders."""
-    by_competition: dict[str, list[str]] = {}
-    for competition, season in units:
-        by_competition.setdefault(competition, []).append(season)
-    tests = [
-        (F.col("competition_code") == competition) & F.col("season").isin(seasons)
-        for competition, seasons in by_competition.items()
-    ]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+Units = Sequence[tuple[str, str]] | DataFrame
+
+
+def units_table(spark: SparkSession, units: Units) -> DataFrame:
+    """(competition, season) units as a table, once each. A list is for a handful of them."""
+    if not isinstance(units, DataFrame):
+        units = spark.createDataFrame([tuple(u) for u in units], f"{UNIT[0]} string, {UNIT[1]} string")
+    return units.select(*UNIT).distinct()
+
+
+def within(df: DataFrame, units: DataFrame) -> DataFrame:
+    """The rows of the given units. Of a table stored by unit only their folders are read.
+
+    Spark prunes folders at run time by a joined table that it takes for selective, which is one with a comparison.
+    """
+    return df.join(units.filter(F.col(UNIT[0]) >= ""), list(UNIT), "left_semi").select(*df.columns)
 
 
 class Lake:
@@ -137,14 +155,18 @@ class Lake:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def land(self, name: str, df: DataFrame) -> None:
+    def land(self, name: str, df: DataFrame, metrics: Mapping[str, Column] | None = None) -> dict[str, int]:
         """Adds a load to a RAW table, replacing only an earlier copy of the same run."""
-        columns = SCHEMAS[name].names
-        write_partitioned(df.select(*columns), self.path("raw", name), PARTITIONS[name], keep_others=True)
+        rows = df.select(*SCHEMAS[name].names)
+        return write_partitioned(rows, self.path("raw", name), PARTITIONS[name], keep_others=True, metrics=metrics)
 
-    def append_audit(self, name: str, df: DataFrame) -> None:
-        schema = SCHEMAS[name]
-        df.select(*schema.names).write.mode("append").parquet(self.path("audit", name))
+    def append_audit(self, name: str, df: DataFrame, metrics: Mapping[str, Column] | None = None) -> dict[str, int]:
+        """Adds rows to an audit table. Those kept by run replace what the same run wrote before."""
+        path, rows = self.path("audit", name), df.select(*SCHEMAS[name].names)
+        if name in PARTITIONS:
+            return write_partitioned(rows, path, PARTITIONS[name], keep_others=True, metrics=metrics)
+        rows.write.mode("append").parquet(path)
+        return {}
 
     def contract(self, name: str, layer: str = "raw") -> DataFrame:
         """Reads a RAW or AUDIT table; one never written reads as empty."""
@@ -169,22 +191,32 @@ class Lake:
         write_partitioned(df, self.path(layer, name), UNIT, keep_others=False, gathered=gathered)
         return self._opened(layer, name, df.schema)
 
+    def unit_files(self, layer: str, name: str, units: DataFrame) -> DataFrame:
+        """competition_code, season, file: the files of a stored table's units. No column is read for it."""
+        path, schema = self.path(layer, name), f"{UNIT[0]} string, {UNIT[1]} string"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], f"{schema}, file string")
+        rows = self.spark.read.schema(schema).parquet(path)
+        listed = rows.select(*UNIT, F.col("_metadata.file_path").alias("file"))
+        return within(listed, units).distinct()
+
     def save_units(
-        self, layer: str, name: str, df: DataFrame, units: Sequence[tuple[str, str]], gathered: bool = False
+        self, layer: str, name: str, df: DataFrame, units: Units, gathered: bool = False, before: DataFrame | None = None
     ) -> DataFrame:
         """Replaces the given (competition, season) units of a table and reads those back.
 
-        Each write swaps whole partition folders. A unit left without rows is not part of the
-        write and still holds its old files, so its folder is removed.
+        Each write swaps whole partition folders. A unit left without rows is not part of the write and still
+        holds a file it had `before`; its folder is removed, one by one, as such units are the exception.
         """
+        units = units_table(self.spark, units)
+        if before is None:
+            before = cut(self.unit_files(layer, name, units), "files")
         path = self.path(layer, name)
-        folders = {unit: unit_folder(path, unit) for unit in units}
-        before = {unit: file_names(self.spark, folder) for unit, folder in folders.items()}
         write_partitioned(df, path, UNIT, keep_others=True, gathered=gathered)
-        for unit, folder in folders.items():
-            if before[unit] and before[unit] == file_names(self.spark, folder):
-                remove(self.spark, folder)
-        return self._opened(layer, name, df.schema).filter(in_units(units))
+        kept = self.unit_files(layer, name, units).join(before, [*UNIT, "file"], "left_semi").select(*UNIT).distinct()
+        for unit in kept.toLocalIterator():
+            remove(self.spark, unit_folder(path, tuple(unit)))
+        return within(self._opened(layer, name, df.schema), units)
 
     def stored(self, layer: str, name: str) -> DataFrame:
         """Opens a stored model by the schema kept with it, so an empty table keeps its columns."""

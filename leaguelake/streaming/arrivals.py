@@ -20,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from leaguelake.functions.expressions import row_key
 from leaguelake.plans import audit
 from leaguelake.plans.refresh import refresh, touched_units
+from leaguelake.sources import ingest
 from leaguelake.sources.payloads import (
-    LANDERS, MATCH_WITHOUT_ID, envelope_schema, load_time, refused, unusable, unusable_lines, with_line, with_place,
+    LANDERS, envelope_schema, load_time, refused, unusable, unusable_lines, with_line, with_place,
 )
 from leaguelake.sources.schemas import BROKEN_LINE
 from leaguelake.sources.store import Lake, cut
@@ -38,20 +39,6 @@ def _runs(arrivals: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _ends(runs: DataFrame, responses: DataFrame, landed: DataFrame, done: Column) -> DataFrame:
-    """How each run ended: FAILED if a response of it was refused. responses has the sound ones too."""
-    why = F.max(F.when(F.col("reason") != MATCH_WITHOUT_ID, F.col("reason"))).alias("why")
-    outcome = responses.groupBy("run_id").agg(F.count("reason").alias("records_rejected"), why)
-    taken = landed.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
-    counted = (
-        runs.join(outcome, "run_id", "left").join(taken, "run_id", "left")
-        .na.fill(0, ["records_inserted", "records_rejected"])
-        .withColumn("records_received", F.col("records_inserted") + F.col("records_rejected"))
-    )
-    good, bad = counted.filter("why is null"), counted.filter("why is not null")
-    return audit.succeeded(good, done).unionByName(audit.failed(bad, done, F.col("why")))
-
-
 def land_batch(lake: Lake, name: str, clock: Callable[[], datetime]) -> Callable[[DataFrame, int], None]:
     def now() -> Column:
         return F.lit(clock().replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
@@ -76,11 +63,10 @@ def land_batch(lake: Lake, name: str, clock: Callable[[], datetime]) -> Callable
         for dataset, land in LANDERS.items():
             landing = land(usable.filter(F.col("dataset") == dataset))
             responses = cut(landing.responses, "responses")
-            rows = cut(landing.rows, "landed")
-            lake.land(f"raw_{dataset}", rows)
             lake.land("raw_rejects", refused(responses))
+            ingest.land_counted(lake, dataset, landing.rows, responses, run, moment)
             due = runs.filter(F.col("dataset") == dataset)
-            lake.append_audit("pipeline_run_audit", _ends(due, responses, rows, now()))
+            lake.append_audit("pipeline_run_audit", ingest.ends(due, ingest.outcomes(responses), now()))
         refresh(lake, touched_units(usable))
 
     return write

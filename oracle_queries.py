@@ -354,13 +354,16 @@ _PREDICATES = [
 ]
 
 
-def _every_check() -> str:
+def _every_check(spoilt: dict[str, str] | None = None) -> str:
+    """All checks; spoilt says which tables stand for some of the models."""
+    sources = _MODEL_SOURCES | (spoilt or {})
+
     def line(model: str, test: str, severity: str, failing: str) -> str:
         return (f"SELECT '{model}' AS model_name, '{test}' AS test_name, '{severity}' AS severity, "
                 f"({failing}) AS failing")
 
     def source(model: str) -> str:
-        return _MODEL_SOURCES.get(model, model)
+        return sources.get(model, model)
 
     def where(model: str, condition: str) -> str:
         return f"SELECT count(*) FILTER (WHERE {condition}) FROM {source(model)}"
@@ -391,6 +394,27 @@ LOADS = """loads AS (
   SELECT * FROM (VALUES ('load-1', TIMESTAMP '2001-08-02 06:00:00'), ('load-2', TIMESTAMP '2001-08-02 18:00:00'))
     AS v(run_id, loaded_at))"""
 
+# What the provider's fields are read as.
+_FIELDS = {
+    "competitions": """id bigint, name string, code string, type string, area.name string, area.code string,
+        currentSeason.id bigint, currentSeason.startDate date, currentSeason.endDate date, currentSeason.currentMatchday bigint""",
+    "teams": """id bigint, name string, shortName string, tla string, crest string, founded bigint, clubColors string, venue string""",
+    "matches": """id string, matchday bigint, utcDate timestamp_ntz, status string, stage string, homeTeam.id bigint,
+        homeTeam.name string, awayTeam.id bigint, awayTeam.name string, score.winner string, score.fullTime.home bigint,
+        score.fullTime.away bigint, score.halfTime.home bigint, score.halfTime.away bigint""",
+    "standings": """position bigint, team.id bigint, team.name string, playedGames bigint, won bigint, draw bigint, lost bigint,
+        points bigint, goalsFor bigint, goalsAgainst bigint, goalDifference bigint""",
+}
+
+
+def _fields(dataset: str) -> str:
+    pairs = [f.split() for f in _FIELDS[dataset].split(",")]
+    return "(VALUES " + ", ".join(f"('{path}', '{kind}')" for path, kind in pairs) + ") AS f(field, wanted)"
+
+
+#: In a load of results these are there for counted matches only; in one of fixtures never.
+_SCORED = "field LIKE 'score.%'"
+
 UNIT = "competition_code = '{competition}' AND season = '{season}'"
 
 
@@ -538,17 +562,19 @@ done AS (SELECT DISTINCT dataset, competition_code, season FROM runs WHERE statu
         ),
         "envelope_quarantine": _with(
             MATCHES + f""",
+{LOADS},
 spoiled AS (SELECT competition_code, season, matchweek, {broken_round} AS reason FROM matches),
 rejected AS (SELECT DISTINCT competition_code, season, matchweek, reason FROM spoiled WHERE reason IS NOT NULL)""",
             """SELECT 'matches' AS dataset, competition_code, season, reason, count(*) AS rejected_responses
-  FROM rejected GROUP BY competition_code, season, reason""",
+  FROM rejected, loads GROUP BY competition_code, season, reason""",
         ),
         "land_matches": _with(
             MATCHES + f""",
+{LOADS},
 spoiled AS (SELECT *, {broken_round} AS reason FROM matches)""",
-            """SELECT competition_code, season, CAST(matchweek AS VARCHAR) AS matchweek, match_id, 'load-2' AS run_id,
-  'orders-feed' AS source, TIMESTAMP '2001-08-02 18:00:00' AS loaded_at, match_status AS status,
-  hg AS home_goals FROM spoiled WHERE reason IS NULL""",
+            """SELECT competition_code, season, CAST(matchweek AS VARCHAR) AS matchweek, match_id, run_id,
+  'orders-feed' AS source, loaded_at, CASE WHEN run_id = 'load-2' THEN match_status ELSE 'TIMED' END AS status,
+  CASE WHEN run_id = 'load-2' THEN hg END AS home_goals FROM spoiled, loads WHERE reason IS NULL""",
         ),
         "land_competitions": _with(
             MATCHES + f""",
@@ -697,36 +723,87 @@ tables AS (SELECT DISTINCT competition_code, season FROM performance
             f"FROM ({_every_check()})",
         ),
         "dq_violations_seeded": _with(
-            PERFORMANCE + """,
+            EVERY_MODEL + """,
 spoilt AS (
   SELECT match_id, matchweek, CASE WHEN matchweek % 5 = 1 THEN NULL ELSE home_team_id END AS home_team_id,
          CASE WHEN matchweek % 5 = 2 THEN home_team_id WHEN matchweek % 5 = 0 THEN away_team_id + 1000
               ELSE away_team_id END AS away_team_id,
          CASE WHEN matchweek % 5 = 3 THEN 'UNKNOWN' ELSE match_status END AS match_status,
-         CASE WHEN matchweek % 5 = 4 THEN -1 - hg ELSE hg END AS hg, ag, winner
+         CASE WHEN matchweek % 5 = 4 THEN -1 - hg ELSE hg END AS full_time_home_goals, ag AS full_time_away_goals, winner
   FROM matches),
 doubled AS (SELECT * FROM spoilt UNION ALL SELECT * FROM spoilt WHERE matchweek % 5 = 3),
-one_sided AS (SELECT match_id, count(*) AS n FROM performance WHERE is_home OR matchweek % 5 <> 1 GROUP BY match_id),
-counts AS (
-  SELECT 'stg_matches' AS model_name, 'not_null_home_team_id' AS test_name, 'FAIL' AS severity,
-         count(*) FILTER (WHERE home_team_id IS NULL) AS failing FROM doubled UNION ALL
-  SELECT 'stg_matches', 'unique_match_id', 'FAIL',
-         (SELECT count(*) FROM (SELECT match_id FROM doubled GROUP BY match_id HAVING count(*) > 1)) UNION ALL
-  SELECT 'stg_matches', 'accepted_values_match_status', 'FAIL',
-         count(*) FILTER (WHERE match_status = 'UNKNOWN') FROM doubled UNION ALL
-  SELECT 'stg_matches', 'accepted_range_full_time_home_goals', 'WARN',
-         count(*) FILTER (WHERE hg < 0) FROM doubled UNION ALL
-  SELECT 'stg_matches', 'home_team_not_away_team', 'FAIL',
-         count(*) FILTER (WHERE home_team_id = away_team_id) FROM doubled UNION ALL
-  SELECT 'fact_match', 'relationships_away_team_id_dim_team', 'FAIL',
-         count(*) FILTER (WHERE away_team_id > 999) FROM doubled UNION ALL
-  SELECT 'fact_match', 'winner_matches_score', 'FAIL',
-         count(*) FILTER (WHERE match_status IN ('FINISHED', 'AWARDED')
-           AND winner <> CASE sign(hg - ag) WHEN 1 THEN 'HOME_TEAM' WHEN -1 THEN 'AWAY_TEAM' WHEN 0 THEN 'DRAW' END)
-         FROM doubled UNION ALL
-  SELECT 'fact_team_match', 'two_team_rows_per_match', 'FAIL', (SELECT count(*) FROM one_sided WHERE n <> 2) UNION ALL
-  SELECT 'fact_team_match', 'unique_combination_match_id_team_id', 'FAIL', 0)""",
-            """SELECT model_name, test_name, CASE WHEN failing = 0 THEN 'PASS' ELSE severity END AS status,
-  failing AS failing_row_count FROM counts""",
+one_sided AS (SELECT * FROM performance WHERE is_home OR matchweek % 5 <> 1)""",
+            _every_check({"stg_matches": "doubled", "fact_match": "doubled", "fact_team_match": "one_sided"}),
+        ),
+        "field_types": _with(
+            PERFORMANCE + ",\n" + PROVIDER + f""",
+{LOADS},
+units AS (SELECT DISTINCT competition_code, season FROM matches)""",
+            f"""SELECT 'matches' AS dataset, run_id, field, wanted, CASE WHEN NOT {_SCORED} THEN count(*)
+    WHEN run_id = 'load-2' THEN count(hg) ELSE 0 END AS present, 0 AS mistyped
+  FROM matches, loads, {_fields('matches')} GROUP BY run_id, field, wanted
+  UNION ALL SELECT 'teams', run_id, field, wanted, 20 * count(*), 0
+  FROM units, loads, {_fields('teams')} GROUP BY run_id, field, wanted
+  UNION ALL SELECT 'competitions', run_id, field, wanted, count(DISTINCT competition_code), 0
+  FROM units, loads, {_fields('competitions')} GROUP BY run_id, field, wanted
+  UNION ALL SELECT 'standings', run_id, field, wanted, CASE WHEN run_id = 'load-2' THEN count(*) ELSE 0 END, 0
+  FROM provider, loads, {_fields('standings')} GROUP BY run_id, field, wanted""",
+        ),
+        "field_types_spoilt": _with(
+            MATCHES + f""",
+{LOADS},
+judged AS (SELECT run_id, field, wanted,
+    CASE WHEN field LIKE 'homeTeam.%' THEN matchweek % 7 <> 6
+         WHEN {_SCORED} THEN run_id = 'load-2' AND scored ELSE TRUE END AS there,
+    CASE field WHEN 'matchday' THEN matchweek % 7 = 3 WHEN 'utcDate' THEN matchweek % 7 = 4
+         WHEN 'score.fullTime.home' THEN matchweek % 7 = 5 ELSE FALSE END AS wrong
+  FROM (SELECT matchweek, hg IS NOT NULL AS scored FROM matches) m, loads, {_fields('matches')})""",
+            """SELECT 'matches' AS dataset, run_id, field, wanted, count(*) FILTER (WHERE there) AS present,
+  count(*) FILTER (WHERE there AND wrong) AS mistyped FROM judged GROUP BY run_id, field, wanted""",
+        ),
+        "audit_trail": _with(
+            EVERY_MODEL + ",\n" + RECONCILED.split(PROVIDER, 1)[1].lstrip(",\n"),
+            f"""SELECT 'data tests' AS audit, run_id, status AS outcome, count(*) AS checks,
+    CAST(sum(failing_row_count) AS BIGINT) AS failing_rows
+  FROM ({_every_check()}), (VALUES ('audit-1'), ('audit-2')) AS r(run_id) GROUP BY run_id, status
+  UNION ALL SELECT 'reconciliation', run_id, outcome, count(*), NULL FROM (
+    SELECT CASE WHEN source_value IS NOT DISTINCT FROM derived_value THEN 'MATCH' ELSE 'MISMATCH' END AS outcome FROM checks),
+    (VALUES ('audit-1'), ('audit-2')) AS r(run_id) GROUP BY run_id, outcome""",
+        ),
+        "run_state_folded": _with(
+            RUNS,
+            """SELECT run_id, pipeline_name, dataset, competition_code, season, status, started_at, completed_at,
+  records_received, records_inserted, records_rejected, error_message FROM runs""",
+        ),
+        "pipeline_health": _with(
+            EVERY_MODEL + "," + RUNS,
+            f"""SELECT count(*) AS total_runs, count(*) FILTER (WHERE status = 'SUCCESS') AS successful_runs,
+  count(*) FILTER (WHERE status = 'FAILED') AS failed_runs, CAST(sum(records_inserted) AS BIGINT) AS total_records_inserted,
+  max(CASE WHEN status = 'SUCCESS' THEN completed_at END) AS last_success_at,
+  {_pct("count(*) FILTER (WHERE status = 'SUCCESS')", 'count(*)')} AS success_rate_pct,
+  (SELECT 2 * count(*) FROM ({_every_check()})) AS total_checks,
+  (SELECT 2 * count(*) FILTER (WHERE status = 'FAIL') FROM ({_every_check()})) AS failed_checks,
+  (SELECT string_agg(run_id, ' ' ORDER BY started_at DESC, run_id DESC) FROM (
+    SELECT run_id, started_at FROM runs ORDER BY started_at DESC, run_id DESC LIMIT 20)) AS recent_run_ids
+  FROM runs""",
+        ),
+        "api_progression_listed": _with(
+            LEAGUE_PROGRESSION,
+            f"""SELECT {named_team}, matchweek, league_position, points, position_change
+  FROM league_progression WHERE {unit} AND team_id IN (SELECT c_custkey FROM customer)""",
+        ),
+        "served_order": _with(
+            LEAGUE_PROGRESSION + ",\n" + TEAMS,
+            f"""SELECT 'competitions' AS question, competition_code AS shown,
+    row_number() OVER (ORDER BY 'Competition ' || competition_code) AS place
+  FROM (SELECT DISTINCT competition_code FROM matches)
+  UNION ALL SELECT 'seasons', season, row_number() OVER (ORDER BY season DESC)
+  FROM (SELECT DISTINCT season FROM matches WHERE competition_code = '{competition}')
+  UNION ALL SELECT 'teams', CAST(team_id AS VARCHAR), row_number() OVER (ORDER BY {name(id='team_id')})
+  FROM (SELECT DISTINCT team_id FROM stg_teams WHERE competition_code = '{competition}')
+  UNION ALL SELECT 'progression', team_id || ' ' || matchweek, row_number() OVER (ORDER BY team_id, matchweek)
+  FROM league_progression WHERE {unit}
+  UNION ALL SELECT 'team form', match_id, row_number() OVER (ORDER BY kickoff_utc, match_id)
+  FROM performance WHERE {unit} AND team_id = {team_a}""",
         ),
     }
