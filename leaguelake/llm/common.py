@@ -23,7 +23,7 @@ def ascii_lower(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def row_key(*columns: str) -> Column:
+def row_key(*columns: str | Column) -> Column:
     """128 bits that identify a row by the given columns, nulls included."""
     return F.struct(
         F.xxhash64(F.lit("a"), *columns).alias("a"), F.xxhash64(F.lit("b"), *columns).alias("b")
@@ -46,19 +46,18 @@ def attach(rows: DataFrame, lookup: DataFrame, key: list[str], spread: Column, h
     return dealt.join(parts, [*key, "_way"], how).drop("_way")
 
 
-def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str | Column) -> DataFrame:
     """The rows of docs whose row_key(*columns) is in `keys` (one struct column `row_key`), once each.
 
-    Rows that agree in all these columns are the same document repeated, so one of them stays.
+    Rows that agree in all these columns are the same document repeated, so one of them stays. The columns of docs
+    travel as one struct: none is lost, whatever its name.
     """
-    a, b = F.col("_row_key.a").alias("_a"), F.col("_row_key.b").alias("_b")
-    keyed = docs.withColumn("_row_key", row_key(*columns)).select(docs["*"], a, b)
-    wanted = keys.select(F.col("row_key.a").alias("_a"), F.col("row_key.b").alias("_b")).distinct()
-    nth = F.row_number().over(Window.partitionBy("_a", "_b").orderBy("_a"))
-    return (
-        keyed.join(wanted, ["_a", "_b"], "left_semi")
-        .withColumn("_nth", nth).where("_nth = 1").drop("_a", "_b", "_nth")
-    )
+    key = row_key(*columns)
+    keyed = docs.select(F.struct("*").alias("row"), key["a"].alias("a"), key["b"].alias("b"))
+    wanted = keys.select("row_key.a", "row_key.b").distinct()
+    nth = F.row_number().over(Window.partitionBy("a", "b").orderBy("a"))
+    once = keyed.join(wanted, ["a", "b"], "left_semi").withColumn("nth", nth).where("nth = 1")
+    return once.select("row.*")
 
 
 def in_tasks(df: DataFrame, function, schema: str | StructType) -> DataFrame:

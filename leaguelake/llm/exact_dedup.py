@@ -1,10 +1,13 @@
-"""Exact duplicates by a tree merge of sorted digest runs.
+"""Exact duplicates by a tree merge of digest runs.
 
-Every row is hashed once and the digests are dealt into runs. A run holds one sorted entry for each
+Every row is hashed once and the digests are dealt into runs. A run holds one entry for each
 digest: the id that stays and the number of rows. Runs are merged `fan_in` at a time, round after
 round, until one logical run, spread over the cluster by digest, is left. A group of copies enters
-the first exchange as one row for each task and run, whatever its size. The result walks back down
-the same tree, so that no task gets all rows of a group.
+the first exchange as one row for each task and run, whatever its size. The result of the last round is
+joined to the entries of the first runs, and these to their rows, so that no task gets all rows of a group.
+
+Runs are sets of entries, not files in order: a merge is a hash aggregate by (run, digest). Spark drops sorts whose
+order nothing after them uses, and an aggregate of smallest ids and counts needs none, so the runs are not sorted.
 """
 
 from __future__ import annotations
@@ -47,7 +50,7 @@ def exact_groups(
     def merged(entries: DataFrame) -> DataFrame:
         return entries.groupBy("run", *VERIFIED).agg(
             best("id").alias("id"), F.sum("n").alias("n")
-        ).sortWithinPartitions("run", *VERIFIED)
+        )
 
     first = merged(rows.withColumn("n", F.lit(1)))
     level, left = first, runs
@@ -69,6 +72,5 @@ def kept_documents(
     """The documents that stay, with all their columns; a row repeated with its id stays once."""
     groups = exact_groups(docs, id_col, text_col, keep).where("kept").select("id", "text_sha256")
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    named = docs.withColumns({"_id": F.col(id_col), "_sha": F.sha2(text, 256)})
     keys = groups.select(row_key("id", "text_sha256").alias("row_key"))
-    return keep_rows(named, keys, "_id", "_sha").drop("_id", "_sha")
+    return keep_rows(docs, keys, F.col(id_col), F.sha2(text, 256))

@@ -8,10 +8,11 @@ samples differ, and for texts of up to SAMPLES shingles, where the sample is the
 true difference. Pairs whose sketches are too far apart for the wanted similarity are left; all others are
 confirmed on the full sets, made anew from the whole texts.
 
-Work is kept below all pairs of a group. Rows with the same words are one node. In every bucket a
-node is paired with the bucket's smallest and largest node only; of either kind, the pair of a node that shares
-the most buckets is confirmed first, and most groups are then known to be connected. Only what still lies
-in different components within one bucket is compared further, and there no pair is left out.
+Work is kept below all pairs of a group. Rows with the same words are one node. In a round every bucket that
+holds nodes not yet known to be connected names as its centre the node that meets the most others in all its
+buckets, as an original does among its edited copies; each node of the bucket outside the centre's component is
+compared with it. After ROUNDS rounds few buckets are left. Among their nodes an exact filter takes over: sets this similar share
+one of the rarest shingles of each, a prefix of each set in order of frequency. No pair that may link is left out.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from leaguelake.llm.common import attach, in_tasks, keep_rows, row_key
 from leaguelake.llm.components import components
@@ -37,6 +39,8 @@ BANDS = 45
 BAND_ROWS = 5
 SAMPLES = 512
 SKETCH_BITS = 2048
+#: Rounds of comparing with centres, before the rest is compared by rare shingles.
+ROUNDS = 2
 WORDS_OF_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 _SEED = np.random.default_rng(7)
@@ -143,22 +147,87 @@ def _may_link() -> Column:
 
 
 def _about(nodes: DataFrame, node: str, side: str) -> DataFrame:
-    """What is known of a node, as the struct `side`, with the row that stands for it."""
-    return nodes.select(F.col("node").alias(node), F.col("row_key").alias(f"key_{node}"), F.struct(*ABOUT).alias(side))
+    """What is known of a node, as the struct `side`."""
+    return nodes.select(F.col("node").alias(node), F.struct(*ABOUT).alias(side))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v with their key_u, key_v), written once, that are links by their whole texts."""
-    pairs = cut(pairs.select("u", "v", "key_u", "key_v"), "pairs")
-    ends = [pairs.select(F.col(f"key_{e}.a").alias("ka"), F.col(f"key_{e}.b").alias("kb"), F.col(e).alias("node")) for e in "uv"]
-    wanted = cut(ends[0].unionByName(ends[1]).groupBy("ka", "kb").agg(F.min("node").alias("node")), "wanted")
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of the given nodes, each by the row that stands for it. Read and moved once."""
     keyed = docs.select("text", F.col("row_key.a").alias("ka"), F.col("row_key.b").alias("kb"))
+    wanted = nodes.select("node", F.col("row_key.a").alias("ka"), F.col("row_key.b").alias("kb"))
     # A table that grows with the corpus: joined alike at every size, never broadcast.
-    texts = cut(keyed.join(wanted.hint("merge"), ["ka", "kb"]).dropDuplicates(["ka", "kb"]).select("node", "text"), "texts")
-    u = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
-    v = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
-    both = pairs.select("u", "v").join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v")
-    return cut(in_tasks(both, _confirmed, "u bigint, v bigint"), "links")
+    found = keyed.join(wanted.hint("merge"), ["ka", "kb"]).dropDuplicates(["ka", "kb"])
+    return cut(found.select("node", "text"), "texts")
+
+
+def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are links by their whole texts; size and sketch are looked at first.
+
+    The pairs of one v, which may be the centre of a large group, are dealt into parts.
+    """
+    known = pairs.join(_about(nodes, "u", "a"), "u")
+    known = attach(known, _about(nodes, "v", "b"), ["v"], F.col("u"), "inner").where(_may_link())
+    near = cut(known.select("u", "v"), "pairs")
+    both = near.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
+    both = attach(both, texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), ["v"], F.col("u"), "inner")
+    return cut(in_tasks(both.select("u", "v", "text_u", "text_v"), _confirmed, "u bigint, v bigint"), "links")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """node, label: the smallest node within three links. Nodes of one label are connected for certain."""
+    ways = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    label = ways.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label"))
+    for _ in range(2):
+        of = label.select(F.col("node").alias("v"), F.col("label").alias("m"))
+        step = ways.join(of, "v").groupBy("u").agg(F.min("m").alias("m")).withColumnRenamed("u", "node")
+        label = cut(label.join(step, "node").select("node", F.least("label", "m").alias("label")), "labels")
+    return label
+
+
+def _labelled(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+    if links is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(_labels(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one label."""
+    mixed = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return attach(rows, mixed.select("bucket"), ["bucket"], F.col("node"), "inner")
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and shingle of every text."""
+    for batch in batches:
+        for node, text in zip(batch.column("node"), batch.column("text"), strict=True):
+            shingles = shingle_set(word_hashes(text.as_py()), WIDTH).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(shingles), node.as_py())), pa.array(shingles)], ["node", "shingle"]
+            )
+
+
+def _by_rare_shingles(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of nodes of different labels that share a shingle of their prefixes.
+
+    Linked sets of n <= m shingles share at least J / (1 + J) (n + m), which is no less than 2 J / (1 + J) n and J m.
+    Taken in one order, here the rarest first, their first common shingle is then among the first n - 2 J / (1 + J) n + 1
+    of the smaller and m - J m + 1 of the larger set, and enough shingles follow it in both.
+    """
+    left = cut(rows.select("node", "label").distinct(), "left")
+    wanted = texts.join(left.select("node"), "node").select("node", "text")
+    held = cut(in_tasks(wanted, _prefixes, "node bigint, shingle bigint"), "shingles")
+    often = held.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    # A shingle that one node holds is rarer than any other: it takes a place but is compared with nothing.
+    placed = attach(held, often, ["shingle"], F.col("node")).withColumn("often", F.coalesce("often", F.lit(1)))
+    order = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
+    sized = placed.withColumn("place", order).where("often > 1").join(nodes.select("node", "n"), "node").join(left, "node")
+    sized = sized.select("shingle", "node", "label", "n", "place")
+    probe = cut(sized.where(f"place <= n - ({PERCENT} * n + 99) div 100 + 1"), "prefixes")
+    index = probe.where(f"place <= n - ({2 * PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT} + 1")
+    ordered = "a.shingle = b.shingle AND a.label <> b.label AND (a.n < b.n OR (a.n = b.n AND a.node < b.node))"
+    enough = f"{100 + PERCENT} * (1 + least(a.n - a.place, b.n - b.place)) >= {PERCENT} * (a.n + b.n)"
+    pairs = index.alias("a").join(probe.alias("b"), F.expr(f"{ordered} AND {enough}"))
+    return pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,36 +254,31 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     nodes = cut(by_words.withColumn("node", F.monotonically_increasing_id()), "nodes")
     spots = nodes.select(F.explode("bands").alias("bucket"), "node")
-    ends = spots.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("members"))
-    shared = cut(spots.join(ends.where("lo < hi"), "bucket"), "buckets")
-
-    low = F.when(F.col("node") > F.col("lo"), F.col("lo"))
-    high = F.when((F.col("members") > 2) & (F.col("node") > F.col("lo")) & (F.col("node") < F.col("hi")), F.col("hi"))
-    stars = shared.select(F.col("node").alias("u"), F.posexplode(F.array(low, high)).alias("kind", "v")).where("v is not null")
-    met = stars.groupBy("u", "kind", "v").agg(F.count("*").alias("k"))
-    nearest = met.groupBy("u", "kind").agg(F.max(F.struct("k", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
-    known = nearest.join(_about(nodes, "u", "a"), "u").join(_about(nodes, "v", "b"), "v")
-    first = components(_confirm(known.where(_may_link()), rows))
-
-    labelled = shared.select("bucket", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    labelled = cut(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_rows = labelled.join(mixed.select("bucket"), "bucket").join(nodes.select("node", "row_key", *ABOUT), "node")
-    open_rows = cut(open_rows, "open")
-    apart = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") < F.col("b.root")) & _may_link()
-    across = open_rows.alias("a").join(open_rows.alias("b"), apart).groupBy(
-        F.col("a.node").alias("u"), F.col("b.node").alias("v")
-    ).agg(F.min("a.row_key").alias("key_u"), F.min("b.row_key").alias("key_v"))
-    more = _confirm(across, rows)
-
-    # The links found later join whole components; they are followed between the roots.
-    of = first.select(F.col("node").alias("u"), F.col("root").alias("root_u")), first.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
-    bridges = more.join(of[0], "u", "left").join(of[1], "v", "left").select(
-        F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v")
-    )
-    tops = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    crowds = spots.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = cut(attach(spots, crowds, ["bucket"], F.col("node"), "inner"), "buckets")
+    meets = shared.groupBy("node").agg(F.sum("members").alias("meets"))
+    left = cut(shared.select("bucket", "node").join(meets, "node"), "spots")
+    texts = _texts(rows, nodes.join(meets.select("node"), "node", "left_semi"))
+
+    links: DataFrame | None = None
+    for _ in range(ROUNDS):
+        still = cut(_open(_labelled(left, links)), "open")
+        if still.isEmpty():
+            break
+        centres = still.groupBy("bucket").agg(F.max(F.struct("meets", "node", "label")).alias("centre"))
+        met = attach(still, centres, ["bucket"], F.col("node"), "inner")
+        pairs = met.where("label <> centre.label").select(F.col("node").alias("u"), F.col("centre.node").alias("v")).distinct()
+        found = _confirm(pairs, nodes, texts)
+        links = found if links is None else links.unionByName(found)
+        # A centre has now been compared with all of its bucket.
+        left = met.where("node <> centre.node").select("bucket", "node", "meets")
+    else:
+        still = cut(_open(_labelled(left, links)), "open")
+        if not still.isEmpty():
+            links = links.unionByName(_confirm(_by_rare_shingles(still, nodes, texts), nodes, texts))
+    first = components(links if links is not None else nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
+
     grouped = nodes.select("node", "id").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    grouped = attach(grouped, tops, ["root"], F.col("node")).select("node", "id", F.coalesce("top", "root").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
     of_node = attach(grouped.select("node", "root"), lowest, ["root"], F.col("node")).select("node", "component_id")
     of_words = nodes.select("sequence", "node").join(of_node, "node").drop("node")

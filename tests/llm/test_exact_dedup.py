@@ -4,7 +4,7 @@ import hashlib
 from collections import Counter
 
 from helpers import az_lower, odd_documents
-from leaguelake.llm import exact_dedup
+from leaguelake.llm import exact_dedup, near_dedup
 from leaguelake.llm.common import ascii_lower
 from pyspark.sql import functions as F
 
@@ -47,3 +47,14 @@ def test_smallest_stays_by_default_and_runs_do_not_matter(spark):
 
 def test_empty(spark):
     assert exact_dedup.exact_groups(odd_documents(spark, [])).count() == 0
+
+
+def test_no_column_is_lost_whatever_its_name(spark):
+    names = "_id _sha _nth _a _b _row_key _way row row_key a b nth n node label bucket u v key".split()
+    docs = spark.createDataFrame(
+        [(i, text, *[f"{name}{i}" for name in names]) for i, text in [(1, "one two"), (2, "One two"), (3, "six")]],
+        "doc_id long, text string, " + ", ".join(f"{name} string" for name in names),
+    )
+    for kept, ids in ((exact_dedup.kept_documents(docs, keep="largest"), [2, 3]), (near_dedup.kept_documents(docs), [1, 3])):
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect())) == sorted(tuple(r) for r in docs.collect() if r.doc_id in ids)
