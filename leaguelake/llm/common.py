@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
@@ -60,6 +61,13 @@ def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str | Column) -> DataF
     return once.select("row.*")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Drops what finished steps left behind: Spark removes shuffle files, broadcasts and generated code once no
+    object on the driver refers to them, which it learns when memory is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def in_tasks(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """df.mapInArrow, with this package importable by the workers of a local session.
 

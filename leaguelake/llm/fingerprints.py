@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leaguelake.llm.common import WAYS, ascii_lower, attach, row_key
+from leaguelake.llm.common import ascii_lower, attach, let_go
 from leaguelake.sources.store import cut
 
 SLOT_BITS = 20
@@ -33,6 +33,7 @@ QUANTILES = 256
 MOST_PARTS = 256
 ROWS_OF_PART = 20_000
 NONE = "--------"
+WORD_AT_START = r"^[\p{L}\p{N}]+"
 
 
 def terms(text: Column) -> Column:
@@ -106,52 +107,91 @@ def _described(banded: DataFrame, name: str) -> DataFrame:
     return sampled.withColumn(name, found).drop("_every", "_band", "_kept", "_level", "_chance", "_near")
 
 
-def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """term, documents, a, b: every 64-bit term, how many documents hold it, and the row_key of one's text if it is one."""
-    keyed = docs.select(row_key(text_col).alias("_key"), F.col(text_col).alias("_text"))
-    held = keyed.select("_key.a", "_key.b", F.explode(terms(F.col("_text"))).alias("term"))
-    counts = held.groupBy("term").agg(F.count("*").alias("documents"), F.min("a").alias("a"), F.min("b").alias("b"))
+#: What tells a row apart from others of its id: a 64-bit hash of id and text.
+_ROW = ["doc_id", "k"]
+
+
+def term_counts(docs: DataFrame) -> DataFrame:
+    """term, documents, doc_id, k: every 64-bit term, how many documents hold it, and the row that does if it is one."""
+    held = docs.select(*_ROW, F.explode(terms(F.col("text"))).alias("term"))
+    counts = held.groupBy("term").agg(F.count("*").alias("documents"), *[F.min(c).alias(c) for c in _ROW])
     return cut(counts, "terms")
 
 
+def _word_at_end(text: Column) -> Column:
+    """The word, if any, that a text ends in. Looked for from the end, so that its length does not matter."""
+    return F.reverse(F.regexp_extract(F.reverse(text), WORD_AT_START, 0))
+
+
+def _cut_words(text: str, following: str) -> Column:
+    """The two words that the edit can make: at the seam, and at its end."""
+    third = _third(F.col(text))
+    kept = F.substr(F.col(text), F.lit(1), F.char_length(text) - third)
+    head = F.substr(F.col(following), F.lit(1), third)
+    seam = F.concat(_word_at_end(kept), F.regexp_extract(head, WORD_AT_START, 0))
+    # A head that is one word is part of the seam; its own end is then no word of the text, and harmless.
+    return F.array_distinct(F.concat(terms(seam), terms(_word_at_end(head))))
+
+
+def _neighbours(docs: DataFrame, aside: list[DataFrame]) -> DataFrame:
+    """p, again, doc_id, k, text, single, known: the rows dealt and marked as in with_next, ready for its order.
+
+    What was found about rows, tables of (doc_id, k) and a list, is sent to the ranges of ids that the rows go to and
+    handed over there: the texts are moved once.
+    """
+    nothing = F.lit(None).cast("array<bigint>")
+    rows = docs.select(*_ROW, "text", nothing.alias("single"), nothing.alias("known"), F.lit(1).alias("kind"))
+    for found in aside:
+        lists = [(F.col(c) if c in found.columns else nothing).alias(c) for c in ("single", "known")]
+        rows = rows.unionByName(found.select(*_ROW, F.lit(None).cast("string").alias("text"), *lists, F.lit(0).alias("kind")))
+    sent = _dealt(rows, docs, "doc_id").select(*rows.columns, F.col("_place.p").alias("p"), F.col("_place.again").alias("again"))
+    own = Window.partitionBy("p", "again", *_ROW).orderBy("kind")
+    empty = F.array().cast("array<bigint>")
+    handed = {c: F.coalesce(F.last(c, ignorenulls=True).over(own), empty) for c in ("single", "known")}
+    return sent.repartition("p").withColumns(handed).where("kind = 1").drop("kind")
+
+
+def _leading(rows: DataFrame, carried: list[str]) -> DataFrame:
+    order = Window.partitionBy("p").orderBy("again", F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last())
+    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}).where("not again").drop("p", "again")
+
+
 def with_edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, own, near_next, changed, edited of rows of doc_id and text, over the exact lexicon of all of them.
 
     `changed` is the text with its end replaced by the beginning of the next row's, `edited` its fingerprint;
     near_next is the likeness to the next row.
-    A term of one document is held by that document alone, so what its text lacks is joined by text. Terms of too
-    many documents are few: at most LOWEST_IDF's ten times the terms of an average text. Words that the cut makes are
-    looked up among all terms.
+    A term of one document is held by that row alone, so what its text lacks is sent to the row. Terms of too
+    many documents are few, at most LOWEST_IDF's ten times the terms of an average text: one row of a table holds them.
+    A first pass over neighbours finds the words that the cuts make, which are looked up among all terms.
     """
+    docs = docs.withColumn("k", F.xxhash64("doc_id", "text"))
     most = max(docs.count() * math.exp(-LOWEST_IDF), FEWEST_DOCUMENTS)
     counts = term_counts(docs)
-    often = [r.term for r in counts.where(F.col("documents") > most).select("term").collect()]
-    single = counts.where(F.col("documents") < FEWEST_DOCUMENTS).groupBy("a", "b").agg(F.collect_list("term").alias("single"))
-
-    def usual(found: Column) -> Column:
-        return F.filter(found, lambda t: ~t.isin(often)) if often else found
+    often = counts.where(F.col("documents") > most).agg(F.collect_list("term").alias("often"))
+    single = counts.where(F.col("documents") < FEWEST_DOCUMENTS).groupBy(*_ROW).agg(F.collect_list("term").alias("single"))
+    band = counts.where((F.col("documents") >= FEWEST_DOCUMENTS) & (F.col("documents") <= most)).select("term")
 
-    empty = F.array().cast("array<bigint>")
-    keyed = docs.withColumns({"a": row_key("text")["a"], "b": row_key("text")["b"]})
-    rows = attach(keyed, single, ["a", "b"], F.col("doc_id")).drop("a", "b")
-    rows = rows.withColumn("single", F.coalesce("single", empty)).withColumn("_every", terms(F.col("text")))
-    rows = _described(rows.withColumn("_band", F.array_except(usual(F.col("_every")), "single")), "own")
-    rows = with_next(rows, "doc_id", ["text", "own", "single"])
+    beside = _leading(_neighbours(docs, []), ["text"])
+    made = cut(beside.select(*_ROW, F.explode(_cut_words("text", "next_text")).alias("term")).distinct(), "made")
+    known = attach(made, band, ["term"], F.col("k"), "inner").groupBy(*_ROW).agg(F.collect_set("term").alias("known"))
+    known = cut(known, "known")
+    del beside, made
+    let_go(docs.sparkSession)
+
+    rows = _neighbours(docs, [single, known]).crossJoin(F.broadcast(often))
+    rows = rows.withColumn("_every", terms(F.col("text")))
+    rows = _described(rows.withColumn("_band", F.array_except(F.array_except("_every", "often"), "single")), "own")
+    rows = _leading(rows, ["text", "own", "single"])
+    rows = rows.withColumn("cut_words", _cut_words("text", "next_text"))
     rows = rows.withColumn("changed", edited("text", "next_text")).withColumn("_every", terms(F.col("changed")))
-    made = F.array_except("_every", F.array_union(terms(F.col("text")), terms(F.col("next_text"))))
-    key, way = row_key("text", "next_text"), F.pmod(F.xxhash64("doc_id"), F.lit(WAYS)).cast("int")
-    rows = cut(rows.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "changed", made.alias("made"), "own",
-        likeness("own", "next_own").alias("near_next"), F.concat("single", "next_single").alias("single"),
-        key["a"].alias("a"), key["b"].alias("b"), way.alias("way"),
-    ), "edited")
-    band = counts.where((F.col("documents") >= FEWEST_DOCUMENTS) & (F.col("documents") <= most)).select("term")
-    words = rows.select("a", "b", "way", F.explode("made").alias("term")).distinct()
-    known = attach(words, band, ["term"], F.col("a"), "inner").groupBy("a", "b", "way").agg(F.collect_set("term").alias("known"))
-    rows = rows.join(known, ["a", "b", "way"], "left").withColumn("_every", terms(F.col("changed")))
-    of_texts = F.array_except(usual(F.array_except("_every", "made")), "single")
-    rows = rows.withColumn("_band", F.concat(of_texts, F.coalesce("known", empty)))
-    return _described(rows, "edited").drop("a", "b", "way", "single", "made", "known")
+    of_texts = F.array_except(F.array_except("_every", "cut_words"), "often")
+    of_texts = F.array_except(of_texts, F.concat("single", "next_single"))
+    of_cuts = F.array_intersect(F.array_intersect("_every", "cut_words"), "known")
+    rows = rows.withColumn("_band", F.concat(of_texts, of_cuts)).withColumn("near_next", likeness("own", "next_own"))
+    return _described(rows, "edited").select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "own", "near_next", "changed", "edited"
+    )
 
 
 def as_text(fingerprint: str) -> Column:
@@ -204,28 +244,31 @@ def _part_of(docs: DataFrame, id_col: str) -> Column:
     return F.when(x.isNull(), -1).otherwise(q * parts + F.least(F.greatest(inner, F.lit(0)), F.lit(parts - 1))).cast("int")
 
 
-def with_next(rows: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
-    """Adds next_<c> for each carried column: that of the next row by descending id; of the first after the last.
-
-    Rows are dealt by ranges of ids and ordered within them. The first row of each range is also sent to
-    the range before it. Rows that repeat an id follow each other by descending first carried column; null ids
-    come last.
-    """
-    dealt = rows.withColumn("_part", _part_of(rows, id_col))
-    heads = dealt.select(id_col, "_part").groupBy("_part").agg(F.max(id_col).alias("head")).collect()
+def _dealt(rows: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """rows with `_place`: the range of ids (p) of docs that each goes to; first ids of a range also go to the one before (again)."""
+    part = _part_of(docs, id_col)
+    heads = docs.select(id_col, part.alias("_part")).groupBy("_part").agg(F.max(id_col).alias("head")).collect()
     heads = sorted(((r["_part"], r["head"]) for r in heads), reverse=True)  # as many as there are parts
-    if not heads:
-        return rows.withColumns({f"next_{c}": F.col(c) for c in carried})
     to = [(part, heads[i - 1][0]) for i, (part, _) in enumerate(heads)]  # the first part's goes to the last
     lookup = rows.sparkSession.createDataFrame(
         [(part, head, target) for (part, head), (_, target) in zip(heads, to, strict=True)],
         f"_part int, _head {dict(rows.dtypes)[id_col]}, _to int",
     )
-    marked = dealt.join(F.broadcast(lookup), "_part")  # at most QUANTILES * MOST_PARTS + 1 rows
+    marked = rows.withColumn("_part", part).join(F.broadcast(lookup), "_part")  # at most QUANTILES * MOST_PARTS + 1 rows
     first = F.col(id_col).eqNullSafe(F.col("_head"))
     places = F.array(F.struct(F.col("_part").alias("p"), F.lit(False).alias("again")))
     again = F.array(F.struct(F.col("_to").alias("p"), F.lit(True).alias("again")))
-    sent = marked.withColumn("_place", F.explode(F.when(first, F.concat(places, again)).otherwise(places)))
+    return marked.withColumn("_place", F.explode(F.when(first, F.concat(places, again)).otherwise(places)))
+
+
+def with_next(rows: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
+    """Adds next_<c> for each carried column: that of the next row by descending id; of the first after the last.
+
+    Rows are dealt by ranges of ids and ordered within them. The first row of each range is also sent to
+    the range before it. Rows that repeat an id follow each other by descending first carried column; null ids
+    come last.
+    """
+    sent = _dealt(rows, rows, id_col)
     order = Window.partitionBy("_place.p").orderBy(
         F.col("_place.again"), F.col(id_col).desc_nulls_last(), F.col(carried[0]).desc_nulls_last()
     )
@@ -233,8 +276,11 @@ def with_next(rows: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     return ahead.where("not _place.again").drop("_part", "_head", "_to", "_place")
 
 
+def _third(text: Column) -> Column:
+    return F.floor(F.char_length(text) / 3).cast("int")
+
+
 def edited(text: str, following: str) -> Column:
     """The text with its last third of code points replaced by as many of the beginning of another."""
-    n = F.char_length(text)
-    third = F.floor(n / 3).cast("int")
+    n, third = F.char_length(text), _third(F.col(text))
     return F.concat(F.substr(F.col(text), F.lit(1), (n - third)), F.substr(F.col(following), F.lit(1), third))
