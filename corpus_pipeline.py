@@ -10,39 +10,56 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from leaguelake.llm import exact_dedup, language, near_dedup, packing, toxicity
-from leaguelake.llm.common import in_fold
+from leaguelake.llm.common import in_fold, let_go
 from leaguelake.llm.queries import table, vocabulary_path
 from leaguelake.sources.store import session_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _stage(function: Stage) -> Stage:
+    """A stage that begins once what the one before it left on the driver and in shuffle files is dropped."""
+
+    @wraps(function)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        let_go(spark)
+        return function(spark, docs, sf_dir)
+
+    return begun
+
+
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the language models reject: texts without letters, or unlike any language learned."""
     model = language.train(docs.where(~in_fold("doc_id", 3, 1)))
     return language.accepted_documents(docs, model)
 
 
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents scored as toxic by a field fitted on the labels of those outside the test fold."""
     model = toxicity.train(docs.where(~in_fold("doc_id", 5, 0)), table(spark, sf_dir, "labels"))
     return toxicity.clean_documents(docs, model)
 
 
+@_stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, keeps the one with the largest id."""
     return exact_dedup.kept_documents(docs, keep="largest")
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shared shingles, keeps the one with the smallest id."""
     return near_dedup.kept_documents(docs)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents into sequences of at most 2048 tokens."""
     return packing.packed(docs, vocabulary_path()).withColumnRenamed("id", "doc_id")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leaguelake.llm.common import attach, in_tasks, keep_rows, row_key
+from leaguelake.llm.common import attach, in_tasks, keep_rows, let_go, row_key
 from leaguelake.llm.components import components
 from leaguelake.llm.shingles import mix, shingle_set, word_hashes
 from leaguelake.sources.store import cut
@@ -272,10 +272,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         links = found if links is None else links.unionByName(found)
         # A centre has now been compared with all of its bucket.
         left = met.where("node <> centre.node").select("bucket", "node", "meets")
+        let_go(docs.sparkSession)
     else:
         still = cut(_open(_labelled(left, links)), "open")
         if not still.isEmpty():
             links = links.unionByName(_confirm(_by_rare_shingles(still, nodes, texts), nodes, texts))
+    let_go(docs.sparkSession)
     first = components(links if links is not None else nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
 
     grouped = nodes.select("node", "id").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
