@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
+import sys
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -61,6 +65,12 @@ def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str | Column) -> DataF
     return once.select("row.*")
 
 
+def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut into pieces of at most `rows` rows, so that a worker holds few texts as objects at a time."""
+    for batch in batches:
+        yield from (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def let_go(spark: SparkSession) -> None:
     """Drops what finished steps left behind: Spark removes shuffle files, broadcasts and generated code once no
     object on the driver refers to them, which it learns when memory is collected."""
@@ -78,4 +88,18 @@ def in_tasks(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
-    return df.mapInArrow(function, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    """Returns memory that a finished task no longer needs to the machine: its worker lives on beside the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)

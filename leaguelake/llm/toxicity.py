@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.llm import crf
-from leaguelake.llm.common import in_tasks
+from leaguelake.llm.common import in_pieces, in_tasks
 from leaguelake.sources.store import cut
 
 SAMPLE_ROWS = 3_000
@@ -37,6 +37,8 @@ CHANCE_MARKS = 20
 LOG_ODDS = 2.5
 #: Distinct words that a worker remembers.
 CACHE_WORDS = 300_000
+#: Texts held as objects at a time.
+ROWS = 2048
 #: Tokens scored at a time, one document at least.
 TOKENS = 1 << 19
 
@@ -234,7 +236,7 @@ def _fit_logistic(signs: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.nd
 
 def _signs_of(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     tagger = Tagger(shared.value.field)
-    for batch in batches:
+    for batch in in_pieces(batches, ROWS):
         texts = [t.as_py() for t in batch.column("text")]
         found = [_signs(p) for _, p in tagger.summaries(texts)]
         yield pa.RecordBatch.from_arrays(
@@ -317,7 +319,7 @@ def _spans(text: str, words: list[str], p: np.ndarray) -> list[tuple[int, int]]:
 def _judged(batches: Iterator[pa.RecordBatch], shared, spans: bool) -> Iterator[pa.RecordBatch]:
     model = shared.value
     tagger = Tagger(model.field) if model.field else None
-    for batch in batches:
+    for batch in in_pieces(batches, ROWS):
         texts = [t.as_py() or "" for t in batch.column("text")]
         scores, places = [], []
         for text, (score, words, p) in zip(texts, _scores(model, tagger, texts), strict=True):
@@ -350,7 +352,7 @@ def scored(
 def _clean(batches: Iterator[pa.RecordBatch], shared, text_col: str) -> Iterator[pa.RecordBatch]:
     model = shared.value
     tagger = Tagger(model.field) if model.field else None
-    for batch in batches:
+    for batch in in_pieces(batches, ROWS):
         texts = [t.as_py() or "" for t in batch.column(text_col)]
         keep = [score < 0.5 for score, _, _ in _scores(model, tagger, texts)]
         yield batch.filter(pa.array(keep, pa.bool_()))
