@@ -4,8 +4,8 @@ A window over a key sends all its rows to one task. Here every key is worked on
 at every size: a piece is a fixed range of the order column (a month of kickoffs, a few matchweeks),
 given by the caller.
 
-* Running totals: a window inside each piece, one total row for each piece, the totals accumulated over
-  the pieces of a key, and added to every row of the pieces that follow.
+* Running totals: one total row for each piece, the totals accumulated over the pieces of a key, and a window
+  inside each piece that begins with what the earlier ones add up to.
 * Rolling frames and lags: rows are numbered by such a running total and re-cut into blocks of equal
   length; the few rows that a frame reaches back are carried into the next block.
 * Ranks: rows are counted by score first, and only the counts are accumulated.
@@ -30,6 +30,7 @@ _PIECE = "_piece"
 _POSITION = "_position"
 _BLOCK = "_block"
 _CARRIED = "_carried"
+_BROUGHT = "_brought"
 _ROWS = "_rows"
 
 
@@ -54,34 +55,34 @@ def _prefixed(names: Sequence[str]) -> list[str]:
     return [f"_right_{name}" for name in names]
 
 
-def _add(left: Column, right: Column) -> Column:
-    """Sum over two stretches; a stretch holding only nulls counts for nothing."""
-    return F.coalesce(left + right, left, right)
-
-
 def running_totals(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], piece: Column, sums: Mapping[str, Column]
 ) -> DataFrame:
     """Adds, per key, the sum of each expression from the first row through the current one.
 
     The order must be total within a key, and `piece` must not fall along it. `F.lit(1)` as expression
-    gives the row number.
+    gives the row number. What the earlier pieces of a key add up to is one more row of a piece, its first:
+    the window that sums the piece begins with it, and no join is needed.
     """
-    columns = df.columns
-    sums = {name: c.cast("long") for name, c in sums.items()}
-    rows = df.withColumn(_PIECE, piece)
-    names = _prefixed([*keys, _PIECE])
-    totals = rows.groupBy(*keys, _PIECE).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    columns, kinds = df.columns, {field.name: field.dataType for field in df.schema}
+    held = {name: f"_in_{name}" for name in sums}
+    rows = df.select("*", piece.alias(_PIECE), *[c.cast("long").alias(held[name]) for name, c in sums.items()])
+    totals = rows.groupBy(*keys, _PIECE).agg(*[F.sum(name).alias(name) for name in held.values()])
     earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(k).alias(n) for k, n in zip([*keys, _PIECE], names, strict=True)],
-        *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in sums],
+    brought = totals.select(
+        *[F.col(c) if c in keys else F.lit(None).cast(kinds[c]).alias(c) for c in columns],
+        _PIECE,
+        *[F.sum(name).over(earlier).alias(name) for name in held.values()],
     )
-    within = Window.partitionBy(*keys, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.select("*", *[F.sum(c).over(within).alias(f"_in_{name}") for name, c in sums.items()])
-    joined = local.join(offsets, _same([*keys, _PIECE], names), "left")
-    return joined.select(
-        *columns, *[_add(F.col(f"_in_{name}"), F.col(f"_before_{name}")).alias(name) for name in sums]
+    both = rows.withColumn(_BROUGHT, F.lit(False)).unionByName(brought.withColumn(_BROUGHT, F.lit(True)))
+    within = (
+        Window.partitionBy(*keys, _PIECE).orderBy(F.col(_BROUGHT).desc(), *order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        both.select(*columns, _BROUGHT, *[F.sum(held[name]).over(within).alias(name) for name in sums])
+        .filter(~F.col(_BROUGHT))
+        .drop(_BROUGHT)
     )
 
 
