@@ -3,8 +3,8 @@
 The paths of a host form a tree, one level for each segment. Level by level, positions that hold many
 values, each rarely, become wildcards that keep the file extension; values frequent even there stay. A
 node of the tree is thus a template such as /de/*.html. The addresses that a rule decides are the labels. Sister
-wildcards whose share of blocked labels does not differ significantly are merged; a template is
-rejected if its share of blocked labels, smoothed towards one half, reaches PURITY. A template without
+branches whose share of blocked labels does not differ significantly are merged, from the deepest level up; a template
+is rejected if its share of blocked labels, smoothed towards one half, reaches PURITY. A template without
 labels is at one half, so it is allowed: nothing is known against it.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,8 +26,8 @@ from leaguelake.sources.store import cut
 VALUES = 16
 REPEATS = 4
 FREQUENT = 1 / 16
-#: Levels told apart; what lies deeper is one wildcard.
-DEPTH = 6
+#: Marks of merged wildcards and of merged names; no template has such a segment.
+MERGED_WILD, MERGED_NAMES = "*~", "**"
 #: Labels that the smoothing adds, and the smoothed share of blocked ones that rejects.
 SMOOTHING = 2.0
 PURITY = 0.8
@@ -85,67 +85,121 @@ def _ruled(batches: Iterator[pa.RecordBatch], rules: dict[str, list[Rule]]) -> I
         )
 
 
+def _literal(segment: Column) -> Column:
+    """The segment itself; one that begins like a wildcard, or like this mark, is marked by a backslash."""
+    return F.regexp_replace(segment, r"^(?=[*\\])", r"\\")
+
+
 def _wildcard(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z0-9]{1,5})?$", 0))
 
 
+def _is_wild(segment: Column) -> Column:
+    return segment.startswith("*")
+
+
 def with_templates(paths: DataFrame) -> DataFrame:
-    """Adds `template` and `parent` to distinct (host, path) with their number of rows `n`."""
-    segments = F.split(F.regexp_replace("path", "^/", ""), "/", DEPTH + 1)
+    """Adds `template` and `parent` to distinct (host, path) with their number of rows `n`.
+
+    A node with fewer than VALUES paths has no variable position below it, so the rest of these paths is literal
+    and they are finished. Each level works on the others alone, and the levels end when none is left: there are
+    as many as templates with VALUES paths are deep. The empty path has the empty template.
+    """
+    segments = F.split(F.regexp_replace("path", "^/", ""), "/")
     rows = paths.withColumn("segments", segments).withColumns({"template": F.lit(""), "parent": F.lit("")})
-    deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(deepest, DEPTH + 1)):
-        rows = cut(rows, "level")
-        own = F.get("segments", F.lit(level))
-        if level == DEPTH:  # all deeper segments, if any
-            rows = rows.withColumn("segment", F.when(own.isNotNull(), F.lit("**")))
-            chosen = F.col("segment")
-        else:
-            rows = rows.withColumn("segment", own)
-            there = rows.where("segment is not null")
-            # Rows repeat addresses and grow with the crawl; what tells ids from names is distinct paths.
-            values = there.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.count("*").alias("paths"))
-            many = values.groupBy("host", "template").agg(
-                F.sum("n").alias("total"), F.sum("paths").alias("all_paths"), F.count("*").alias("values")
-            ).where(F.col("values") >= VALUES)
-            often = (F.col("n") >= FREQUENT * F.col("total")) | (F.col("paths") > FREQUENT * F.col("all_paths"))
-            marked = attach(values, many, ["host", "template"], F.col("segment"), "inner").withColumn("stays", often)
-            nodes = marked.where(~F.col("stays")).groupBy("host", "template").agg(
-                F.max("total").alias("total"), F.sum("paths").alias("rest_paths"), F.count("*").alias("rest")
-            ).where(F.col("rest_paths") < REPEATS * F.col("rest"))
-            often = marked.where("stays").select("host", "template", "segment", "stays")
-            rows = attach(rows, nodes.select("host", "template", "total"), ["host", "template"], F.col("path"))
-            rows = attach(rows, often, ["host", "template", "segment"], F.col("path"))
-            variable = F.col("total").isNotNull() & F.col("stays").isNull() & (F.col("segment") != "")
-            chosen = F.when(variable, _wildcard(F.col("segment"))).otherwise(F.col("segment"))
-            rows = rows.withColumn("chosen", chosen).drop("total", "stays")
-            chosen = F.col("chosen")
-        grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), chosen))
-        above = F.when(F.col("segment").isNull(), F.col("parent")).otherwise(F.col("template"))
-        rows = rows.withColumns({"parent": above, "template": grown}).drop("segment", "chosen")
-    return rows.drop("segments")
+    columns, finished, level = [*paths.columns, "template", "parent"], [], 0
+    empty = F.col("path") == ""
+    finished.append(rows.where(empty).select(columns))
+    rows = cut(rows.where(~empty), "level")
+    while True:
+        rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
+        there = rows.where("segment is not null")
+        # Rows repeat addresses and grow with the crawl; what tells ids from names is distinct paths.
+        values = there.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.count("*").alias("paths"))
+        wide = values.groupBy("host", "template").agg(
+            F.sum("n").alias("total"), F.sum("paths").alias("all_paths"), F.count("*").alias("values")
+        ).where(F.col("all_paths") >= VALUES)
+        many = wide.where(F.col("values") >= VALUES)
+        often = (F.col("n") >= FREQUENT * F.col("total")) | (F.col("paths") > FREQUENT * F.col("all_paths"))
+        marked = attach(values, many, ["host", "template"], F.col("segment"), "inner").withColumn("stays", often)
+        varied = marked.where(~F.col("stays")).groupBy("host", "template").agg(
+            F.sum("paths").alias("rest_paths"), F.count("*").alias("rest")
+        ).where(F.col("rest_paths") < REPEATS * F.col("rest")).select("host", "template", F.lit(True).alias("varied"))
+        nodes = wide.select("host", "template", F.lit(True).alias("wide")).join(varied, ["host", "template"], "left")
+        often = marked.where("stays").select("host", "template", "segment", "stays")
+        rows = attach(rows, nodes, ["host", "template"], F.col("path"))
+        rows = attach(rows, often, ["host", "template", "segment"], F.col("path"))
+        variable = F.col("varied").isNotNull() & F.col("stays").isNull() & (F.col("segment") != "")
+        chosen = F.when(variable, _wildcard(F.col("segment"))).otherwise(_literal(F.col("segment")))
+        there, open_, last = F.col("segment").isNotNull(), F.col("wide").isNotNull(), F.size("segments") - 1
+        rest = F.transform(F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0))), _literal)
+        above = F.slice(rest, 1, F.greatest(F.size(rest) - 1, F.lit(0)))
+
+        def below(found: Column) -> Column:
+            return F.concat("template", F.array_join(F.transform(found, lambda s: F.concat(F.lit("/"), s)), ""))
+
+        grown = F.when(~there, F.col("template")).when(open_, F.concat("template", F.lit("/"), chosen)).otherwise(below(rest))
+        parent = F.when(~there, F.col("parent")).when(open_, F.col("template")).otherwise(below(above))
+        placed = rows.select(
+            *paths.columns, "segments", grown.alias("template"), parent.alias("parent"),
+            (there & open_ & (last > level)).alias("open"),
+        )
+        placed = cut(placed, "level")
+        finished.append(placed.where("not open").select(columns))
+        rows, level = placed.where("open").drop("open"), level + 1
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, finished)
 
 
 def rejected_templates(paths: DataFrame) -> DataFrame:
-    """(host, template) that labels speak against. paths: host, template, parent, labelled, blocked."""
-    nodes = paths.groupBy("host", "parent", "template").agg(
-        F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
+    """(host, template) that labels speak against. paths: host, template, parent, labelled, blocked.
+
+    Branches are merged from the deepest level up. Sisters are templates of a host that differ in one level only;
+    those whose share of blocked labels does not differ significantly from that of all sisters become one there, and
+    what they hold is counted together. Wildcards join wildcards, unlabelled ones too; names join names if both
+    have labels. So /news/2020/* and /news/2021/* are one template if labels speak alike of both. Templates
+    without a wildcard are single addresses, which a rule decides or nothing is known of: none is rejected.
+    """
+    nodes = paths.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    places = F.transform(F.split("template", "/"), lambda s, i: F.when(_is_wild(s), i))
+    wild = nodes.withColumn("deepest", F.array_max(places)).where("deepest is not null")
+    known = wild.groupBy("host").agg(F.sum("labelled").alias("known")).where("known > 0").select("host")
+    wild = cut(attach(wild, known, ["host"], F.col("template"), "inner"), "wild")
+    deepest = wild.agg(F.max("deepest")).first()[0] or 0
+    # Below the deepest wildcard of all, names are not told apart one by one.
+    rows = wild.select("host", "template", "labelled", "blocked", F.split("template", "/", deepest + 2).alias("branch"))
+    for level in range(deepest + 1, 0, -1):
+        rows = cut(_sisters_merged(rows, level), "branches")
+    classes = rows.groupBy("host", "branch").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    purity = (F.col("blocked") + SMOOTHING / 2) / (F.col("labelled") + SMOOTHING)
+    impure = classes.where(purity >= PURITY).select("host", "branch")
+    return attach(rows.select("host", "branch", "template"), impure, ["host", "branch"], F.col("template"), "inner").select(
+        "host", "template"
     )
-    wild = F.element_at(F.split("template", "/"), -1).startswith("*")
-    families = nodes.where(wild).groupBy("host", "parent").agg(
-        F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
+
+
+def _sisters_merged(rows: DataFrame, level: int) -> DataFrame:
+    """rows (host, template, labelled, blocked, branch) with similar sisters of a level as one branch."""
+    classes = rows.groupBy("host", "branch").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    own = F.get("branch", F.lit(level))
+    others = F.transform("branch", lambda s, i: F.when(i == level, F.lit("")).otherwise(s))
+    sisters = classes.withColumns({"wild": _is_wild(own), "others": others}).where(
+        own.isNotNull() & (F.col("wild") | (F.col("labelled") > 0))
     )
-    rows = attach(nodes.withColumn("wild", wild), families, ["host", "parent"], F.col("template"))
+    family = ["host", "wild", "others"]
+    families = sisters.groupBy(*family).agg(
+        F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"), F.count("*").alias("members")
+    ).where((F.col("all_labelled") > 0) & (F.col("wild") | (F.col("members") > 1)))
+    found = attach(sisters, families, family, own, "inner")
     share, rest = F.col("all_blocked") / F.col("all_labelled"), F.col("blocked") / F.col("labelled")
     deviation = F.sqrt(share * (1 - share) / F.col("labelled")) + 1 / F.col("labelled")
-    similar = F.col("wild") & (F.col("all_labelled") > 0) & (
-        (F.col("labelled") == 0) | (F.abs(share - rest) <= SIGNIFICANT * deviation)
+    similar = (F.col("labelled") == 0) | (F.abs(share - rest) <= SIGNIFICANT * deviation)
+    one = F.transform(
+        "branch", lambda s, i: F.when(i == level, F.when(F.col("wild"), MERGED_WILD).otherwise(MERGED_NAMES)).otherwise(s)
     )
-    merged = F.coalesce(similar, F.lit(False))
-    labelled = F.when(merged, F.col("all_labelled")).otherwise(F.col("labelled"))
-    blocked = F.when(merged, F.col("all_blocked")).otherwise(F.col("blocked"))
-    purity = (blocked + SMOOTHING / 2) / (labelled + SMOOTHING)
-    return rows.where(purity >= PURITY).select("host", "template")
+    merged = found.where(similar).select("host", "branch", one.alias("one"))
+    joined = attach(rows, merged, ["host", "branch"], F.col("template"))
+    return joined.select("host", "template", "labelled", "blocked", F.coalesce("one", "branch").alias("branch"))
 
 
 def judged(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
