@@ -94,8 +94,8 @@ def _wildcard(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z0-9]{1,5})?$", 0))
 
 
-def _is_wild(segment: Column) -> Column:
-    return segment.startswith("*")
+def _is_wild(segment: Column | str) -> Column:
+    return F.startswith(segment, F.lit("*"))
 
 
 def with_templates(paths: DataFrame) -> DataFrame:
@@ -107,10 +107,9 @@ def with_templates(paths: DataFrame) -> DataFrame:
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
     rows = paths.withColumn("segments", segments).withColumns({"template": F.lit(""), "parent": F.lit("")})
-    columns, finished, level = [*paths.columns, "template", "parent"], [], 0
-    empty = F.col("path") == ""
-    finished.append(rows.where(empty).select(columns))
-    rows = cut(rows.where(~empty), "level")
+    columns, level = [*paths.columns, "template", "parent"], 0
+    rows, empty = cut(rows, "level"), F.col("path") == ""
+    finished, rows = [rows.where(empty).select(columns)], rows.where(~empty)
     while True:
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
         there = rows.where("segment is not null")
@@ -121,17 +120,21 @@ def with_templates(paths: DataFrame) -> DataFrame:
         ).where(F.col("all_paths") >= VALUES)
         many = wide.where(F.col("values") >= VALUES)
         often = (F.col("n") >= FREQUENT * F.col("total")) | (F.col("paths") > FREQUENT * F.col("all_paths"))
-        marked = attach(values, many, ["host", "template"], F.col("segment"), "inner").withColumn("stays", often)
-        varied = marked.where(~F.col("stays")).groupBy("host", "template").agg(
-            F.sum("paths").alias("rest_paths"), F.count("*").alias("rest")
-        ).where(F.col("rest_paths") < REPEATS * F.col("rest")).select("host", "template", F.lit(True).alias("varied"))
-        nodes = wide.select("host", "template", F.lit(True).alias("wide")).join(varied, ["host", "template"], "left")
-        often = marked.where("stays").select("host", "template", "segment", "stays")
+        # At most 2 / FREQUENT values of a node stay.
+        stays = attach(values, many, ["host", "template"], F.col("segment"), "inner").where(often).groupBy("host", "template").agg(
+            F.collect_list("segment").alias("stays"), F.sum("paths").alias("stay_paths")
+        )
+        rest_paths = F.col("all_paths") - F.coalesce("stay_paths", F.lit(0))
+        rest_values = F.col("values") - F.coalesce(F.size("stays"), F.lit(0))
+        nodes = wide.join(stays, ["host", "template"], "left").select(
+            "host", "template", "stays",
+            ((F.col("values") >= VALUES) & (rest_paths < REPEATS * rest_values)).alias("varied"),
+        )
         rows = attach(rows, nodes, ["host", "template"], F.col("path"))
-        rows = attach(rows, often, ["host", "template", "segment"], F.col("path"))
-        variable = F.col("varied").isNotNull() & F.col("stays").isNull() & (F.col("segment") != "")
+        stayed = F.coalesce(F.array_contains("stays", F.col("segment")), F.lit(False))
+        variable = F.col("varied") & ~stayed & (F.col("segment") != "")
         chosen = F.when(variable, _wildcard(F.col("segment"))).otherwise(_literal(F.col("segment")))
-        there, open_, last = F.col("segment").isNotNull(), F.col("wide").isNotNull(), F.size("segments") - 1
+        there, open_, last = F.col("segment").isNotNull(), F.col("varied").isNotNull(), F.size("segments") - 1
         rest = F.transform(F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0))), _literal)
         above = F.slice(rest, 1, F.greatest(F.size(rest) - 1, F.lit(0)))
 
@@ -158,18 +161,21 @@ def rejected_templates(paths: DataFrame) -> DataFrame:
     those whose share of blocked labels does not differ significantly from that of all sisters become one there, and
     what they hold is counted together. Wildcards join wildcards, unlabelled ones too; names join names if both
     have labels. So /news/2020/* and /news/2021/* are one template if labels speak alike of both. Templates
-    without a wildcard are single addresses, which a rule decides or nothing is known of: none is rejected.
+    without a wildcard are single addresses, which a rule decides or nothing is known of: none is rejected,
+    nor is any of a host without blocked labels.
     """
     nodes = paths.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     places = F.transform(F.split("template", "/"), lambda s, i: F.when(_is_wild(s), i))
     wild = nodes.withColumn("deepest", F.array_max(places)).where("deepest is not null")
-    known = wild.groupBy("host").agg(F.sum("labelled").alias("known")).where("known > 0").select("host")
+    known = wild.groupBy("host").agg(F.sum("blocked").alias("known")).where("known > 0").select("host")
     wild = cut(attach(wild, known, ["host"], F.col("template"), "inner"), "wild")
     deepest = wild.agg(F.max("deepest")).first()[0] or 0
     # Below the deepest wildcard of all, names are not told apart one by one.
     rows = wild.select("host", "template", "labelled", "blocked", F.split("template", "/", deepest + 2).alias("branch"))
     for level in range(deepest + 1, 0, -1):
-        rows = cut(_sisters_merged(rows, level), "branches")
+        families = _families(rows, level)
+        if not families.isEmpty():
+            rows = cut(_merged(rows, cut(families, "families"), level), "branches")
     classes = rows.groupBy("host", "branch").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     purity = (F.col("blocked") + SMOOTHING / 2) / (F.col("labelled") + SMOOTHING)
     impure = classes.where(purity >= PURITY).select("host", "branch")
@@ -178,27 +184,35 @@ def rejected_templates(paths: DataFrame) -> DataFrame:
     )
 
 
-def _sisters_merged(rows: DataFrame, level: int) -> DataFrame:
-    """rows (host, template, labelled, blocked, branch) with similar sisters of a level as one branch."""
-    classes = rows.groupBy("host", "branch").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    own = F.get("branch", F.lit(level))
+FAMILY = ["host", "wild", "others"]
+
+
+def _sisters(rows: DataFrame, level: int) -> DataFrame:
+    """rows (host, template, labelled, blocked, branch) that can be merged at a level, with the name they have there."""
     others = F.transform("branch", lambda s, i: F.when(i == level, F.lit("")).otherwise(s))
-    sisters = classes.withColumns({"wild": _is_wild(own), "others": others}).where(
-        own.isNotNull() & (F.col("wild") | (F.col("labelled") > 0))
+    named = rows.withColumns({"own": F.get("branch", F.lit(level)), "others": others}).withColumn("wild", _is_wild("own"))
+    return named.where("own is not null and (wild or labelled > 0)")
+
+
+def _families(rows: DataFrame, level: int) -> DataFrame:
+    """Labels of the sisters of a level, where there are several and any labels."""
+    sums = [F.sum(c).alias(f"all_{c}") for c in ("labelled", "blocked")]
+    found = _sisters(rows, level).groupBy(*FAMILY).agg(*sums, F.min("own").alias("one"), F.max("own").alias("other"))
+    return found.where("all_labelled > 0 and one <> other").drop("one", "other")
+
+
+def _merged(rows: DataFrame, families: DataFrame, level: int) -> DataFrame:
+    """rows with similar sisters of a level as one branch."""
+    classes = _sisters(rows, level).groupBy(*FAMILY, "own", "branch").agg(
+        F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
     )
-    family = ["host", "wild", "others"]
-    families = sisters.groupBy(*family).agg(
-        F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"), F.count("*").alias("members")
-    ).where((F.col("all_labelled") > 0) & (F.col("wild") | (F.col("members") > 1)))
-    found = attach(sisters, families, family, own, "inner")
+    found = attach(classes, families, FAMILY, F.col("own"), "inner")
     share, rest = F.col("all_blocked") / F.col("all_labelled"), F.col("blocked") / F.col("labelled")
     deviation = F.sqrt(share * (1 - share) / F.col("labelled")) + 1 / F.col("labelled")
     similar = (F.col("labelled") == 0) | (F.abs(share - rest) <= SIGNIFICANT * deviation)
-    one = F.transform(
-        "branch", lambda s, i: F.when(i == level, F.when(F.col("wild"), MERGED_WILD).otherwise(MERGED_NAMES)).otherwise(s)
-    )
-    merged = found.where(similar).select("host", "branch", one.alias("one"))
-    joined = attach(rows, merged, ["host", "branch"], F.col("template"))
+    mark = F.when(F.col("wild"), MERGED_WILD).otherwise(MERGED_NAMES)
+    one = F.transform("branch", lambda s, i: F.when(i == level, mark).otherwise(s))
+    joined = attach(rows, found.where(similar).select("host", "branch", one.alias("one")), ["host", "branch"], F.col("template"))
     return joined.select("host", "template", "labelled", "blocked", F.coalesce("one", "branch").alias("branch"))
 
 
@@ -225,7 +239,7 @@ def judged(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col
         F.count("ruled").alias("labelled"),
         F.count_if(F.col("ruled") == "block").alias("blocked"),
     )
-    placed = cut(with_templates(paths), "templates")
+    placed = with_templates(paths)
     rejected = rejected_templates(placed).withColumn("rejected", F.lit(True))
     verdicts = attach(placed.select("host", "path", "template"), rejected, ["host", "template"], F.col("path"))
     found = attach(ruled, verdicts, ["host", "path"], F.struct("id", "rule"))

@@ -139,7 +139,7 @@ def brute_rejected(nodes: dict[str, tuple[int, int]]) -> set[str]:
                 families.setdefault((b[level].startswith("*"), b[:level], b[level + 1 :]), []).append(b)
         for (is_wild, before, after), members in families.items():
             total, blocked = (sum(counts[b][k] for b in members) for k in (0, 1))
-            if not total or (not is_wild and len(members) < 2):
+            if not total or len(members) < 2:
                 continue
             share = blocked / total
             for b in members:
