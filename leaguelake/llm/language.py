@@ -7,7 +7,7 @@ longer grams. Grams are held as sorted arrays of hashes below 2 ** HASH_BITS, on
 language; so the model that is gathered and broadcast is bounded by the number of hashes, orders and
 languages, whatever the corpus. Language of a text: the model with the lowest cross-entropy per gram.
 
-Calibration, on a sample of the training rows bounded by SAMPLE_ROWS: the factor that turns
+Calibration, on all training rows, of which tasks gather sums only: the factor that turns
 cross-entropies into probabilities, and for each language the cross-entropy of its own texts. A text
 is rejected if it has no letters, or its best cross-entropy lies above what is usual for that language
 by REJECT_SIGMAS deviations at that length and by REJECT_MARGIN, which texts of mixed language stay below.
@@ -30,7 +30,6 @@ from leaguelake.sources.store import cut
 
 ORDER = 4
 HASH_BITS = 22
-SAMPLE_ROWS = 20_000
 REJECT_SIGMAS = 8.0
 REJECT_MARGIN = 1.5
 #: Variance of the mean of n grams, times n; neighbouring grams are alike, so more than that of one.
@@ -39,6 +38,12 @@ UNDECIDED = "und"
 #: Characters of one text worked on at a time, and grams counted before they are summed up.
 BLOCK = 1 << 18
 COUNTED = 1 << 21
+#: Tried when probabilities are fitted.
+SHARPNESSES = np.geomspace(0.5, 200, 40)
+#: A language's usual cross-entropy is that of its texts of so many grams, if there are so many of them.
+USUAL_GRAMS, USUAL_TEXTS = 200, 20
+#: Fractions that calibration sums are rounded to.
+UNITS = 1 << 20
 _BITS = 16
 _BLANK = 0x20
 
@@ -227,7 +232,7 @@ def _order(found: pa.Table, contexts: pa.Table, languages: list[str], below: Ord
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Counts every row of docs that has a text and a language; then calibrates on a bounded sample."""
+    """Counts every row of docs that has a text and a language; then calibrates on all of them."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang is not null and text is not null and text <> ''"
     )
@@ -264,48 +269,51 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> La
 
 
 def _measured(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """Sums over a task's texts, in whole units of 1 / UNITS so that their order does not matter: the loss at every
+    sharpness, and by language the number, cross-entropies and their squares of long texts told rightly."""
     scorer = model.value
-    for batch in batches:
-        out = []
+    at = {lang: i for i, lang in enumerate(scorer.languages)}
+    loss = np.zeros(len(SHARPNESSES), np.int64)
+    usual = [[0, 0, 0] for _ in scorer.languages]
+    for batch in in_pieces(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
             entropy, n, letters = scorer.score(text.as_py())
-            if letters and lang in scorer.languages:
-                out.append((scorer.languages.index(lang), n, entropy.tolist()))
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.list_(pa.float64()))],
-            ["lang", "n", "entropy"],
-        )
+            if not letters or lang not in at:
+                continue
+            best, own = entropy.min(), at[lang]
+            above = entropy - best
+            each = SHARPNESSES * above[own] + np.log(np.exp(-np.outer(SHARPNESSES, above)).sum(axis=1))
+            loss += np.rint(each * UNITS).astype(np.int64)
+            if above[own] == 0 and n >= USUAL_GRAMS:
+                whole = round(float(best) * UNITS)
+                for i, value in enumerate((1, whole, whole * whole)):
+                    usual[own][i] += value
+    found = [(-1, i, int(v)) for i, v in enumerate(loss)]
+    found += [(lang, i, v) for lang, sums in enumerate(usual) if sums[0] for i, v in enumerate(sums)]
+    columns = list(zip(*found, strict=True)) or [(), (), ()]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.decimal128(38, 0)), strict=True)],
+        ["lang", "item", "total"],
+    )
 
 
 def _calibrate(model: LanguageModel, rows: DataFrame) -> None:
-    share = min(1.0, SAMPLE_ROWS / max(rows.count(), 1))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
-    context = rows.sparkSession.sparkContext
-    shared = context.broadcast(model)
-    measured = in_tasks(
-        sample, partial(_measured, model=shared), "lang int, n bigint, entropy array<double>"
-    ).toArrow()
+    """Every row counts. What is gathered has a size fixed by the languages."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    measured = in_tasks(rows, partial(_measured, model=shared), "lang int, item int, total decimal(38, 0)")
+    totals = measured.groupBy("lang", "item").agg(F.sum("total").alias("total")).collect()
     shared.unpersist()
-    if not measured.num_rows:
+    sums = {(r.lang, r.item): int(r.total) for r in totals}
+    if not any(sums.values()):
         return
-    lang, n = measured.column("lang").to_numpy(), measured.column("n").to_numpy()
-    entropy = np.array(measured.column("entropy").to_pylist())
-    above = entropy - entropy.min(axis=1, keepdims=True)
-    own = above[np.arange(len(lang)), lang]
-
-    def loss(sharpness: float) -> float:
-        return float((sharpness * own + np.log(np.exp(-sharpness * above).sum(axis=1))).mean())
-
-    model.sharpness = min(np.geomspace(0.5, 200, 40), key=loss)
-    right = own == 0
-    best = entropy.min(axis=1)
+    model.sharpness = float(min(enumerate(SHARPNESSES), key=lambda s: sums[-1, s[0]])[1])
     model.usual = np.full(len(model.languages), np.inf)
     model.spread = np.zeros(len(model.languages))
     for i in range(len(model.languages)):
-        usual = best[right & (lang == i) & (n >= 200)]
-        if len(usual) >= 20:
-            model.usual[i], model.spread[i] = usual.mean(), max(usual.var(), 1e-4)
+        n, total, squares = (sums.get((i, item), 0) for item in range(3))
+        if n >= USUAL_TEXTS:
+            variance = (n * squares - total * total) / (n * n * UNITS * UNITS)
+            model.usual[i], model.spread[i] = total / (n * UNITS), max(variance, 1e-4)
 
 
 # -- use -----------------------------------------------------------------------------------------

@@ -125,3 +125,22 @@ def test_fold_is_crc32_of_the_id_as_text(spark):
     rows = spark.range(200).select("id", in_fold("id", 3, 1).alias("f")).collect()
     assert all(r.f == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in rows)
     assert math.isclose(sum(r.f for r in rows) / 200, 1 / 3, abs_tol=0.1)
+
+
+def test_calibration_counts_every_row(spark):
+    long = [("yy", f"dcd ccd d{'cd'[i % 2]}c dd " * 20 + "cdd " * i) for i in range(24)]
+    rows = long + [("xx", "aba bab"[: 3 + i % 5]) for i in range(60_000)] + [("xx", " 7"), ("yy", None)]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string").repartition(5))
+    entropies = np.array([model.score(text)[0].min() for _, text in long])
+    assert [model.verdict(text)[0] for _, text in long] == ["yy"] * 24
+    assert model.usual[1] == pytest.approx(entropies.mean(), abs=1e-5)
+    assert model.spread[1] == pytest.approx(max(entropies.var(), 1e-4), abs=1e-5)
+    assert model.usual[0] == math.inf
+    short = [model.score("aba bab"[: 3 + i])[0] for i in range(5)] * 12_000 + [model.score(text)[0] for _, text in long]
+    own = np.array([0] * 60_000 + [1] * 24)
+    above = np.array(short) - np.array(short).min(axis=1, keepdims=True)
+
+    def loss(s: float) -> float:
+        return float((s * above[np.arange(len(own)), own] + np.log(np.exp(-s * above).sum(axis=1))).mean())
+
+    assert loss(model.sharpness) == pytest.approx(min(map(loss, language.SHARPNESSES)), abs=1e-5)
