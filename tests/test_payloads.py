@@ -89,6 +89,20 @@ def test_each_payload_is_parsed_once(spark):
     assert plan.count("parseJson") == 1
 
 
+def test_a_list_is_unpacked_once_and_no_schemas_of_its_items_are_built(spark):
+    plan = payloads.land_matches(envelopes(spark, GOOD["matches"])).rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("$.matches") == 1 and "schemaOfVariant" not in plan
+
+
+@pytest.mark.parametrize(("item", "sound"), [
+    ({}, True), ({"id": None}, True), ({"id": {"x": [1]}}, True), ({"x": {"y": 1}}, True),
+    ([], False), ([{"id": 1}], False), ("{}", False), (1, False), (1.5, False), (True, False), (None, False),
+])
+def test_what_is_an_object(spark, item, sound):
+    landing = payloads.land_teams(envelopes(spark, {"count": 1, "teams": [{"id": 1}, item]}))
+    assert landing.rows.count() == (2 if sound else 0) and landing.rejects.count() == (0 if sound else 1)
+
+
 def test_match_filters(spark):
     games = [match(1, 1, "2023-08-11", 1, 2, (1, 0)), match(2, 2, "2023-08-18", 1, 2, status="TIMED"),
              match(3, 2, "2023-09-01", 3, 4, (0, 0))]
