@@ -24,10 +24,8 @@ READ: dict[str, dict[str, str]] = {
 }
 
 
-def _records(dataset: str) -> Column:
-    """The records in one RAW row: the row itself, or the team rows of the tables that staging keeps."""
-    if dataset != "standings":
-        return F.array("raw_json")
+def _team_rows() -> Column:
+    """The records in one RAW row of standings: the team rows of the tables that staging keeps."""
     tables = F.try_variant_get("raw_json", "$.standings", "array<variant>")
     overall = F.filter(tables, lambda t: field(t, "type") == OVERALL)
     rows = F.transform(overall, lambda t: F.coalesce(F.try_variant_get(t, "$.table", "array<variant>"), _none()))
@@ -39,19 +37,24 @@ def _none() -> Column:
 
 
 def _counts(dataset: str) -> dict[str, tuple[Column, Column]]:
-    """By path: in how many records of the rows it is there, and in how many of them not of its type."""
+    """By path: in how many records of the rows it is there, and in how many of them not of its type.
+
+    A RAW row is one record, but for standings. Without a lambda over it Spark generates code for all paths.
+    """
 
     def there(record: Column, path: str) -> Column:
         value = F.try_variant_get(record, f"$.{path}", "variant")
         return value.isNotNull() & ~F.is_variant_null(value)
 
     def total(holds) -> Column:
-        return F.coalesce(F.sum(F.size(F.filter(records, holds))), F.lit(0)).cast("long")
+        if dataset != "standings":
+            return F.count_if(holds(F.col("raw_json")))
+        return F.coalesce(F.sum(F.size(F.filter(team_rows, holds))), F.lit(0)).cast("long")
 
     def both(path: str, kind: str) -> tuple[Column, Column]:
         return total(lambda r: there(r, path)), total(lambda r: there(r, path) & field(r, path, kind).isNull())
 
-    records = F.coalesce(_records(dataset), _none())
+    team_rows = F.coalesce(_team_rows(), _none())
     return {path: both(path, kind) for path, kind in READ[dataset].items()}
 
 

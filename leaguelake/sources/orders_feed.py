@@ -281,9 +281,8 @@ def mistyped(item: Column, matchday: Column) -> Column:
         .when(matchday % 7 == 5, F.regexp_replace(text, '"fullTime":\\{"away":([^,]*),"home":[0-9]+\\}',
                                                   '"fullTime":{"away":$1,"home":"many"}'))
         .when(matchday % 7 == 6, F.regexp_replace(text, '"homeTeam":\\{[^}]*\\}', '"homeTeam":[1]'))
-        .otherwise(text)
     )
-    return F.parse_json(spoiled)
+    return F.when(matchday % 7 >= 3, F.parse_json(spoiled)).otherwise(item)
 
 
 def run_events(events: DataFrame) -> DataFrame:

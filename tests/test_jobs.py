@@ -13,7 +13,7 @@ from test_ingest import EMPTY_TABLE, FIRST, SECOND, THIRD, TODAY, fill, stored_r
 from leaguelake import jobs
 from leaguelake.plans import audit, field_types, match_index, serving
 from leaguelake.plans.models import MODEL_NAMES, WAVES, Models
-from leaguelake.sources import ingest, payloads, store
+from leaguelake.sources import ingest, orders_feed, payloads, store
 from leaguelake.streaming import run_state
 
 
@@ -141,6 +141,23 @@ def test_fields_of_another_type_are_counted(spark):
     assert counted(raw_standings(spark, {"standings": 1}), "standings")["points"] == (0, 0)
 
 
+def test_counting_fields_of_matches_needs_no_lambda(spark):
+    raw = raw_matches(spark, [match(1, 1, "2023-08-11", 1, 2, (2, 0))])
+    nothing = raw.withColumn("raw_json", F.lit(None).cast("variant"))
+    assert counted(raw.unionByName(nothing), "matches")["id"] == (1, 0)
+    assert "lambda" not in field_types.by_run(raw, "matches")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rounds_that_are_not_spoilt_stay_as_they_are(spark):
+    weeks = [*range(7), None]
+    raw = raw_matches(spark, [match(i, week, "2023-08-11", 1, 2, (2, 0)) for i, week in enumerate(weeks)])
+    spoilt = raw.withColumn("raw_json", orders_feed.mistyped(F.col("raw_json"), F.col("matchweek").try_cast("long")))
+    changed = raw.select("match_id", F.to_json("raw_json").alias("a")).join(
+        spoilt.select("match_id", F.to_json("raw_json").alias("b")), "match_id"
+    ).filter("not a <=> b")
+    assert set(rows(changed, "match_id")) == {("3",), ("4",), ("5",), ("6",)}
+
+
 def test_a_load_records_the_types_of_its_fields(lake, inbox):
     fill(inbox, ["2024"])
     inbox.put("matches", "PL", "2024", {"matches": [{**match(1, 1, "2024-08-11", 1, 2, (2, 0)), "matchday": "later"}]})
@@ -183,6 +200,18 @@ def test_folded_state_equals_the_whole_log_after_every_load(spark, lake):
     assert dict((r[0], r[1]) for r in rows(run_state.current_state(lake), "run_id", "status"))["r2"] == "SUCCESS"
 
 
+def test_a_fold_writes_nothing_but_the_state(spark, lake):
+    cuts = f"{store.session_folder(spark)}/cuts"
+    before = store.file_names(spark, cuts)
+    for load in ([("a", "RUNNING", None), ("b", "RUNNING", None)], [("a", "SUCCESS", 3), ("a", "SUCCESS", 5), ("c", "RUNNING", None)]):
+        lake.append_audit("pipeline_run_audit", _events(spark, load))
+        state = run_state.current_state(lake)
+    assert rows(state, "run_id", "status", F.minute("completed_at")) == [
+        ("a", "SUCCESS", 5), ("b", "RUNNING", None), ("c", "RUNNING", None)
+    ]
+    assert store.file_names(spark, cuts) == before
+
+
 def test_a_fold_touches_the_parts_of_its_events_only(spark, lake):
     lake.append_audit("pipeline_run_audit", _events(spark, [(f"r{i}", "RUNNING", None) for i in range(200)]))
     run_state.current_state(lake)
