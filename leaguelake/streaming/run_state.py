@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from leaguelake.plans import audit
 from leaguelake.sources.schemas import RUN_EVENTS
-from leaguelake.sources.store import Lake, cut, exists, read_stored, write_partitioned
+from leaguelake.sources.store import Lake, exists, read_stored, write_partitioned
 
 #: Parts of the state. For a long log: runs over some hundred thousand.
 PARTS = 16
@@ -34,11 +34,12 @@ def _state(lake: Lake) -> DataFrame:
 def _fold(lake: Lake) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         part = F.pmod(F.xxhash64("run_id"), F.lit(PARTS)).cast("int")
-        new = cut(audit.run_state(batch).withColumn("part", part), "events")
+        new = batch.withColumn("part", part).select(*STORED.names)
         # At most PARTS rows; the comparison lets Spark take them for selective and read their parts only.
         parts = new.select("part").distinct().filter(F.col("part") >= 0)
         known = _state(lake).join(F.broadcast(parts), "part", "left_semi").select(*STORED.names)
-        folded = cut(audit.run_state(known.unionByName(new.select(*STORED.names))), "state")
+        # Parts are swapped when the whole write is done, so the state is read while its successor is written.
+        folded = audit.run_state(known.unionByName(new))
         write_partitioned(folded, lake.path("audit", STATE), ["part"], keep_others=True)
 
     return write
