@@ -42,8 +42,10 @@ COUNTED = 1 << 21
 SHARPNESSES = np.geomspace(0.5, 200, 40)
 #: A language's usual cross-entropy is that of its texts of so many grams, if there are so many of them.
 USUAL_GRAMS, USUAL_TEXTS = 200, 20
-#: Fractions that calibration sums are rounded to.
-UNITS = 1 << 20
+#: Fractions that calibration sums are counted in: of cross-entropies, and of losses, which may all but vanish.
+UNITS, LOSS_UNITS = 1 << 40, 1 << 60
+#: Beyond any distance of cross-entropies, but finite.
+FAR = 1000.0
 _BITS = 16
 _BLANK = 0x20
 
@@ -269,11 +271,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> La
 
 
 def _measured(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """Sums over a task's texts, in whole units of 1 / UNITS so that their order does not matter: the loss at every
+    """Sums over a task's texts, in whole units so that their order does not matter: the loss at every
     sharpness, and by language the number, cross-entropies and their squares of long texts told rightly."""
     scorer = model.value
     at = {lang: i for i, lang in enumerate(scorer.languages)}
-    loss = np.zeros(len(SHARPNESSES), np.int64)
+    loss = [0] * len(SHARPNESSES)
     usual = [[0, 0, 0] for _ in scorer.languages]
     for batch in in_pieces(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
@@ -281,14 +283,16 @@ def _measured(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBat
             if not letters or lang not in at:
                 continue
             best, own = entropy.min(), at[lang]
-            above = entropy - best
+            if not np.isfinite(best):
+                continue
+            above = np.minimum(entropy - best, FAR)
             each = SHARPNESSES * above[own] + np.log(np.exp(-np.outer(SHARPNESSES, above)).sum(axis=1))
-            loss += np.rint(each * UNITS).astype(np.int64)
+            loss = [total + int(x * LOSS_UNITS) for total, x in zip(loss, each.tolist(), strict=True)]
             if above[own] == 0 and n >= USUAL_GRAMS:
                 whole = round(float(best) * UNITS)
                 for i, value in enumerate((1, whole, whole * whole)):
                     usual[own][i] += value
-    found = [(-1, i, int(v)) for i, v in enumerate(loss)]
+    found = [(-1, i, v) for i, v in enumerate(loss)]
     found += [(lang, i, v) for lang, sums in enumerate(usual) if sums[0] for i, v in enumerate(sums)]
     columns = list(zip(*found, strict=True)) or [(), (), ()]
     yield pa.RecordBatch.from_arrays(

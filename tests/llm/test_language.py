@@ -133,8 +133,8 @@ def test_calibration_counts_every_row(spark):
     model = language.train(spark.createDataFrame(rows, "lang string, text string").repartition(5))
     entropies = np.array([model.score(text)[0].min() for _, text in long])
     assert [model.verdict(text)[0] for _, text in long] == ["yy"] * 24
-    assert model.usual[1] == pytest.approx(entropies.mean(), abs=1e-5)
-    assert model.spread[1] == pytest.approx(max(entropies.var(), 1e-4), abs=1e-5)
+    assert model.usual[1] == pytest.approx(entropies.mean(), abs=1e-9)
+    assert model.spread[1] == pytest.approx(max(entropies.var(), 1e-4), abs=1e-9)
     assert model.usual[0] == math.inf
     short = [model.score("aba bab"[: 3 + i])[0] for i in range(5)] * 12_000 + [model.score(text)[0] for _, text in long]
     own = np.array([0] * 60_000 + [1] * 24)
@@ -143,4 +143,4 @@ def test_calibration_counts_every_row(spark):
     def loss(s: float) -> float:
         return float((s * above[np.arange(len(own)), own] + np.log(np.exp(-s * above).sum(axis=1))).mean())
 
-    assert loss(model.sharpness) == pytest.approx(min(map(loss, language.SHARPNESSES)), abs=1e-5)
+    assert loss(model.sharpness) == pytest.approx(min(map(loss, language.SHARPNESSES)), abs=1e-12)
