@@ -93,11 +93,10 @@ def _bigrams(words: Column) -> Column:
     return F.array_distinct(_pairs(words))
 
 
-def _units(text: Column) -> Column:
-    lines = F.split(text, "\n")
+def _parts(text: Column) -> Column:
+    """The lines of a text, then its paragraphs if there are blank lines."""
     paragraphs = F.when(F.contains(text, F.lit("\n\n")), F.split(text, "\n\n+")).otherwise(F.array().cast("array<string>"))
-    whole = F.when(F.size(lines) > 1, F.array(text)).otherwise(F.array().cast("array<string>"))
-    return F.concat(lines, paragraphs, whole)
+    return F.concat(F.split(text, "\n"), paragraphs)
 
 
 def _bounds(size: int, threshold: float) -> tuple[int, int]:
@@ -163,13 +162,18 @@ def scan(
     ])
     fewest = min(((len(w) - 1) for w in wanted.values() if len(w) > 1), default=1) * threshold / (2 - threshold)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), _units(text).alias("units"), F.size(F.split(text, "\n")).alias("n_lines"))
-    lists = rows.select("id", F.transform("units", _words).alias("words"), "n_lines")
+    rows = docs.select(F.col(id_col).alias("id"), _parts(text).alias("parts"), F.size(F.split(text, "\n")).alias("n_lines"))
+    lists = rows.select("id", F.transform("parts", _words).alias("words"), "n_lines")
     # A unit has fewer distinct bigrams than words: what is too short even so is left out first.
     long_enough = F.filter("words", lambda w: F.size(w) - 1 >= min(fewest, 1.0))
-    # The lines come first among the units; together they hold the words of the text.
+    # The lines come first among the parts; together they hold the words of the text, which is a unit of its own
+    # if it has several lines.
     all_words = F.filter(F.flatten(F.slice("words", 1, F.col("n_lines"))), lambda w: w != "")
-    sets = lists.select("id", F.transform(long_enough, _bigrams).alias("sets"), all_words.alias("words"))
+    lists = lists.select("id", F.transform(long_enough, _bigrams).alias("sets"), all_words.alias("words"), "n_lines")
+    streams = lists.select("id", "sets", _pairs(F.col("words")).alias("stream"), "n_lines")
+    whole = F.when((F.col("n_lines") > 1) & (F.size("stream") >= min(fewest, 1.0)), F.array(F.array_distinct("stream")))
+    none_whole = F.array().cast("array<array<bigint>>")
+    sets = streams.select("id", F.concat("sets", F.coalesce(whole, none_whole)).alias("sets"), "stream")
 
     def compared(unit: Column, template: Column) -> Column:
         a, b = F.size(unit), F.size(template["bigrams"])
@@ -181,8 +185,7 @@ def scan(
     found = F.flatten(F.transform("sets", lambda unit: F.filter(
         F.transform(known, lambda t: compared(unit, t)), lambda m: m["dice"] >= threshold
     )))
-    stream = _pairs(F.col("words"))
-    units = sets.select("id", found.alias("found"), stream.alias("stream"))
+    units = sets.select("id", found.alias("found"), "stream")
 
     everything = docs.sparkSession.range(1).select(F.array_distinct(F.flatten(F.transform(known, lambda t: t["bigrams"])))).first()[0]
     hits = F.filter(F.transform("stream", lambda h, i: F.when(h.isin(everything), i)), lambda i: i.isNotNull())

@@ -139,70 +139,57 @@ CHECKS: list[Check] = [
 ]
 
 
-# ---- one pass ---------------------------------------------------------------------------------
+# ---- counting ---------------------------------------------------------------------------------
 #
-# A row of a table becomes one line for each key check, holding that key, and one for each row check it
-# breaks. Lines of all tables are counted by check and key in one aggregate; tasks combine them first, so a key
-# with very many rows is shuffled once a task.
+# The row checks of a table are one aggregate without keys. Every key check groups the bare columns of its key: tasks
+# combine rows first, so a key with very many rows is shuffled once a task, and a task holds the keys of one check only,
+# of its part of one table.
 
 
-def _key(columns: Sequence[str]) -> str:
-    """The values as one text; nulls stay apart from any text."""
-    return f"to_json(array({', '.join(f'CAST({c} AS STRING)' for c in columns)}))"
+def _broken_rows(table: DataFrame, checks: Mapping[int, RowCheck]) -> DataFrame:
+    """check, failing: of all row checks of a table, read once."""
+    counts = table.agg(*[F.count_if(F.expr(check.broken)).alias(f"c{number}") for number, check in checks.items()])
+    found = [F.struct(F.lit(number).alias("check"), F.col(f"c{number}").alias("failing")) for number in checks]
+    return counts.select(F.inline(F.array(*found)))
 
 
-def _line(number: int, key: str, is_parent: bool = False) -> str:
-    return f"named_struct('check', {number}, 'key', {key}, 'is_parent', {str(is_parent).lower()})"
+def _keyed(table: DataFrame, check: KeyCheck) -> DataFrame:
+    """The wrong keys of a table, with their numbers of rows."""
+    keyed = table.select(*check.columns)
+    keyed = keyed.dropna() if check.skip_null_keys else keyed
+    return keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n")).filter(check.wrong)
 
 
-def _child_line(number: int, check: Check) -> str:
-    """The line a row adds to a check; null for none."""
-    if isinstance(check, RowCheck):
-        return f"IF({check.broken}, {_line(number, 'CAST(NULL AS STRING)')}, NULL)"
-    if isinstance(check, ParentCheck):
-        return f"IF({check.column} IS NOT NULL, {_line(number, _key([check.column]))}, NULL)"
-    line = _line(number, _key(check.columns))
-    if check.skip_null_keys:
-        there = " AND ".join(f"{c} IS NOT NULL" for c in check.columns)
-        return f"IF({there}, {line}, NULL)"
-    return line
+def _wrong_keys(table: DataFrame, number: int, check: KeyCheck) -> DataFrame:
+    return _keyed(table, check).agg(F.lit(number).alias("check"), F.count(F.lit(1)).alias("failing"))
 
 
-def _lines(table: DataFrame, lines: Sequence[str]) -> DataFrame:
-    return table.selectExpr(f"inline(filter(array({', '.join(lines)}), line -> line IS NOT NULL))")
+def _orphans(table: DataFrame, parent: DataFrame, number: int, check: ParentCheck) -> DataFrame:
+    """check, failing: child rows are counted by key before the keys meet their parents."""
+    keys = table.select(F.col(check.column).alias("key")).where("key IS NOT NULL")
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    parents = parent.select(F.col(check.parent_column).alias("key"))
+    return counted.join(parents, "key", "left_anti").agg(F.lit(number).alias("check"), F.sum("n").alias("failing"))
 
 
-def _every_line(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """check, key, is_parent: the lines of all tables, each table read once."""
-    of_model: dict[str, list[str]] = {}
-    for number, check in enumerate(checks):
-        of_model.setdefault(check.model, []).append(_child_line(number, check))
-        if isinstance(check, ParentCheck):
-            parent = f"IF({check.parent_column} IS NOT NULL, {_line(number, _key([check.parent_column]), True)}, NULL)"
-            of_model.setdefault(check.parent, []).append(parent)
-    return reduce(DataFrame.unionAll, [_lines(tables[model], lines) for model, lines in of_model.items()])
-
-
-def _wrong(checks: Sequence[Check]) -> Column:
-    """How many failures a key with n rows, and with or without a parent, is; by the kind of its check."""
-    kinds: dict[str, list[int]] = {}
+def _failing(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """check, failing: a row for every check; null failing is none."""
+    of_rows: dict[str, dict[int, RowCheck]] = {}
+    found = []
     for number, check in enumerate(checks):
         if isinstance(check, RowCheck):
-            found = "n"
+            of_rows.setdefault(check.model, {})[number] = check
         elif isinstance(check, KeyCheck):
-            found = f"IF({check.wrong}, 1L, 0L)"
+            found.append(_wrong_keys(tables[check.model], number, check))
         else:
-            found = "IF(has_parent, 0L, n)"
-        kinds.setdefault(found, []).append(number)
-    return F.coalesce(*[F.when(F.col("check").isin(numbers), F.expr(found)) for found, numbers in kinds.items()])
+            found.append(_orphans(tables[check.model], tables[check.parent], number, check))
+    found += [_broken_rows(tables[model], some) for model, some in of_rows.items()]
+    return reduce(DataFrame.unionAll, found)
 
 
 def quality_outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """model_name, test_name, status, failing_row_count of every check."""
-    keys = _every_line(tables, checks).groupBy("check", "key").agg(
-        F.count_if(~F.col("is_parent")).alias("n"), F.bool_or("is_parent").alias("has_parent")
-    )
-    counted = keys.groupBy("check").agg(F.sum(_wrong(checks)).alias("failing"))
+    counted = _failing(tables, checks)
     declared = F.array(*[
         F.struct(F.lit(i).alias("check"), F.lit(c.model).alias("model_name"), F.lit(c.name).alias("test_name"),
                  F.lit(c.severity).alias("severity"))
@@ -224,9 +211,7 @@ def failing_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     if isinstance(check, RowCheck):
         return table.filter(check.broken)
     if isinstance(check, KeyCheck):
-        keyed = table.select(*check.columns)
-        keyed = keyed.dropna() if check.skip_null_keys else keyed
-        return keyed.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n")).filter(check.wrong)
+        return _keyed(table, check)
     parents = tables[check.parent].select(F.col(check.parent_column).alias(check.column))
     return table.filter(F.col(check.column).isNotNull()).join(parents, check.column, "left_anti")
 

@@ -65,6 +65,21 @@ def test_row_checks_of_a_table_share_one_scan(spark, tmp_path):
     assert plan.toString().count("FileScan") == 1
 
 
+def test_key_checks_group_the_bare_columns_of_one_check(spark):
+    """Lines of all checks in one aggregate, keys spelt as text, spilled where a check's own keys do not."""
+    hot = spark.range(1000).selectExpr("1L AS k", "'x' AS v").unionAll(
+        spark.createDataFrame([(2, None), (2, None), (None, "x"), (None, "x"), (3, "y")], "k long, v string")
+    )
+    tables = {"t": hot, "p": spark.createDataFrame([(3,), (3,)], "k int")}
+    checks = [quality.unique("t", "k"), quality.unique_together("t", "k", "v"), quality.has_parent("t", "k", "p", "k")]
+    outcomes = quality.quality_outcomes(tables, checks)
+    assert rows(outcomes, "test_name", "failing_row_count") == sorted([
+        ("unique_k", 2), ("unique_combination_k_v", 3), ("relationships_k_p", 1002)
+    ])
+    plan = outcomes._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan and "Aggregate [k" in plan and "Aggregate [k#" in plan.replace("Aggregate [k#", "", 1)
+
+
 def test_outcomes_are_kept(spark, lake):
     tables = {"t": spark.createDataFrame([(None,), (1,)], "k int")}
     outcomes = quality.quality_outcomes(tables, [*quality.not_null("t", "k"), quality.unique("t", "k")])
