@@ -156,10 +156,11 @@ def scan(
     match nothing.
     """
     wanted = {name: template_words(text) for name, text in (templates or TEMPLATES).items()}
-    known = F.array(*[
-        F.struct(F.lit(name).alias("licence"), _bigrams(F.lit(words)).alias("bigrams"))
-        for name, words in sorted(wanted.items()) if len(words) > 1
-    ])
+    sought = [(name, words) for name, words in sorted(wanted.items()) if len(words) > 1]
+    # Hashed once, as fixed values: arrays made by lambdas are not folded, but made anew for every unit.
+    hashed = docs.sparkSession.range(1).select(*[_bigrams(F.lit(words)).alias(name) for name, words in sought]).first()
+    bigrams = {name: F.lit(found) for (name, _), found in zip(sought, hashed, strict=True)}
+    known = F.array(*[F.struct(F.lit(name).alias("licence"), bigrams[name].alias("bigrams")) for name, _ in sought])
     fewest = min(((len(w) - 1) for w in wanted.values() if len(w) > 1), default=1) * threshold / (2 - threshold)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), _parts(text).alias("parts"), F.size(F.split(text, "\n")).alias("n_lines"))
@@ -187,18 +188,17 @@ def scan(
     )))
     units = sets.select("id", found.alias("found"), "stream")
 
-    everything = docs.sparkSession.range(1).select(F.array_distinct(F.flatten(F.transform(known, lambda t: t["bigrams"])))).first()[0]
+    everything = sorted(set().union(*hashed))
     hits = F.filter(F.transform("stream", lambda h, i: F.when(h.isin(everything), i)), lambda i: i.isNotNull())
     hit = units.select("id", "found", "stream", hits.alias("hits"))
 
     # Fewer hits than any template needs are nothing: most texts end here.
-    sought = [(name, words) for name, words in sorted(wanted.items()) if len(words) > 1]
     patterns = []
     for name, words in sought:
         fewest_common, longest = _bounds(len(set(zip(words, words[1:]))), threshold)
         holders = [other for other, text in sought if other != name and _holds(text, words, threshold)]
         patterns.append(F.struct(
-            F.lit(name).alias("licence"), _bigrams(F.lit(words)).alias("bigrams"), F.lit(fewest_common).alias("fewest"),
+            F.lit(name).alias("licence"), bigrams[name].alias("bigrams"), F.lit(fewest_common).alias("fewest"),
             F.lit(longest).alias("longest"), F.array(*map(F.lit, [name, *holders])).alias("covered_by"),
         ))
 
