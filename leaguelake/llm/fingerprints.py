@@ -39,7 +39,7 @@ WORD_AT_START = r"^[\p{L}\p{N}]+"
 def terms(text: Column) -> Column:
     """Distinct 64-bit hashes of the words of a text, null counting as empty."""
     words = F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w)))
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> list[int]:
@@ -70,10 +70,10 @@ def _digest(chosen: Column) -> Column:
     return F.when(F.size(chosen) > 0, code).otherwise(NONE)
 
 
-def _sampled(kept: Column, chance: Column, seed: int | Column) -> Column:
-    """The terms in subset `seed`, one of `chance` (a power of two): those bits of a hash of theirs are zero."""
+def _sampled(kept: Column, mask: Column, seed: int | Column) -> Column:
+    """The terms in subset `seed`, one of mask + 1 (a power of two): those bits of a hash of theirs are zero."""
     seed = F.lit(seed) if isinstance(seed, int) else seed
-    return F.filter(kept, lambda t: F.xxhash64(seed, t).bitwiseAND(chance - 1) == 0)
+    return F.filter(kept, lambda t: F.xxhash64(seed, t).bitwiseAND(mask) == 0)
 
 
 def with_fingerprint(rows: DataFrame, text_col: str, bitmap: list[int], name: str = "fingerprint") -> DataFrame:
@@ -90,21 +90,55 @@ def with_fingerprint(rows: DataFrame, text_col: str, bitmap: list[int], name: st
 
 def _described(banded: DataFrame, name: str) -> DataFrame:
     """Adds the fingerprint of rows with _every, their terms, and _band, those in the lexicon; drops both."""
+    sized = _sized(banded)
+    near = F.array(*[_sampled(F.col("_kept"), F.col("_mask"), j) for j in range(SUBSETS)])
+    return _digested(sized.withColumn("_near", near), name).drop("_kept", "_near")
+
+
+def _sized(banded: DataFrame) -> DataFrame:
+    """_every and _band become _kept, the terms that describe the text, with their _level and _mask."""
     kept = F.when(F.size("_band") > 0, F.col("_band")).otherwise(F.col("_every"))
     sized = banded.withColumn("_kept", kept).withColumn(
         "_level", F.when(F.size("_kept") > 0, F.floor(F.log(4.0, F.size("_kept").cast("double")) + 1e-9)).otherwise(-1).cast("int")
     )
-    sized = sized.withColumn("_chance", F.pow(F.lit(4.0), F.greatest("_level", F.lit(0))).cast("long"))
-    chance = F.col("_chance")
-    sampled = sized.withColumn("_near", F.array(*[_sampled(F.col("_kept"), chance, j) for j in range(SUBSETS)]))
-    far = F.transform("_near", lambda chosen, j: _sampled(chosen, 4 * chance, j))
+    mask = F.pow(F.lit(4.0), F.greatest("_level", F.lit(0))).cast("long") - 1
+    return sized.withColumn("_mask", mask).drop("_every", "_band")
+
+
+def _digested(sampled: DataFrame, name: str) -> DataFrame:
+    """Adds the fingerprint of rows sized and sampled; drops _level and _mask."""
+    sampled = sampled.withColumn("_far_mask", 4 * F.col("_mask") + 3)
+    far = F.transform("_near", lambda chosen, j: _sampled(chosen, F.col("_far_mask"), j))
     found = F.struct(
         F.when(F.size("_kept") > 0, F.lower(F.hex(F.xxhash64(F.array_sort("_kept"))))).otherwise("").alias("whole"),
         F.col("_level").alias("level"),
         F.transform("_near", _digest).alias("near"),
         F.transform(far, _digest).alias("far"),
     )
-    return sampled.withColumn(name, found).drop("_every", "_band", "_kept", "_level", "_chance", "_near")
+    return sampled.withColumn(name, found).drop("_level", "_mask", "_far_mask")
+
+
+def _described_beside(banded: DataFrame, name: str, own: str) -> DataFrame:
+    """As _described, for a text much like the one whose fingerprint is `own`, of terms _own_kept sampled in _own_near.
+
+    What a text's level samples holds all that a higher level does. So terms of both texts are taken from the
+    other's samples, and only the others are sampled, unless the level is lower.
+    """
+    sized = _sized(banded)
+    finer = F.col("_level") >= F.col(own)["level"]
+    none = F.array().cast("array<bigint>")
+    sized = sized.withColumns({
+        "_new": F.when(finer, F.array_except("_kept", "_own_kept")).otherwise(F.col("_kept")),
+        "_alive": F.when(finer, F.array_intersect(F.flatten("_own_near"), "_kept")).otherwise(none),
+    })
+    mask = F.col("_mask")
+
+    def sample(j: int) -> Column:
+        alive = F.filter(F.get("_own_near", F.lit(j)), lambda t: F.array_contains("_alive", t))
+        return F.concat(_sampled(alive, mask, j), _sampled(F.col("_new"), mask, j))
+
+    sampled = sized.withColumn("_near", F.array(*[sample(j) for j in range(SUBSETS)]))
+    return _digested(sampled, name).drop("_kept", "_near", "_new", "_alive", "_own_kept", "_own_near")
 
 
 #: What tells a row apart from others of its id: a 64-bit hash of id and text.
@@ -181,7 +215,10 @@ def with_edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     rows = _neighbours(docs, [single, known]).crossJoin(F.broadcast(often))
     rows = rows.withColumn("_every", terms(F.col("text")))
-    rows = _described(rows.withColumn("_band", F.array_except(F.array_except("_every", "often"), "single")), "own")
+    rows = _sized(rows.withColumn("_band", F.array_except(F.array_except("_every", "often"), "single")))
+    near = F.array(*[_sampled(F.col("_kept"), F.col("_mask"), j) for j in range(SUBSETS)])
+    rows = _digested(rows.withColumn("_near", near), "own")
+    rows = rows.withColumnsRenamed({"_kept": "_own_kept", "_near": "_own_near"})
     rows = _leading(rows, ["text", "own", "single"])
     rows = rows.withColumn("cut_words", _cut_words("text", "next_text"))
     rows = rows.withColumn("changed", edited("text", "next_text")).withColumn("_every", terms(F.col("changed")))
@@ -189,7 +226,7 @@ def with_edited_fingerprints(docs: DataFrame) -> DataFrame:
     of_texts = F.array_except(of_texts, F.concat("single", "next_single"))
     of_cuts = F.array_intersect(F.array_intersect("_every", "cut_words"), "known")
     rows = rows.withColumn("_band", F.concat(of_texts, of_cuts)).withColumn("near_next", likeness("own", "next_own"))
-    return _described(rows, "edited").select(
+    return _described_beside(rows, "edited", "own").select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), "own", "near_next", "changed", "edited"
     )
 

@@ -145,3 +145,23 @@ def test_query_counts_documents_of_exact_terms(spark, tmp_path):
     for column, made in (("fingerprint", texts), ("edited_fingerprint", changed)):
         expected = dict(zip(made, _exact(corpus, list(made.values())), strict=True))
         assert {i: ":".join(r[column].split(":")[:2]) for i, r in found.items()} == expected
+
+
+def test_samples_of_a_text_serve_the_edited_one(spark):
+    """Only terms that the text lacks are sampled again, unless the edited text's level is lower."""
+    pairs = [(range(200), range(70, 270)), (range(60), range(300)), (range(300), range(10)), ([], range(20)),
+             (range(20), []), ([], []), (range(2), range(1, 3))]
+    rows = spark.createDataFrame(
+        [(i, [7919 * t for t in a], [7919 * t for t in b]) for i, (a, b) in enumerate(pairs)],
+        "doc_id long, a array<bigint>, b array<bigint>",
+    ).withColumns({"_every": F.col("a"), "_band": F.array().cast("array<bigint>")})
+    sized = fingerprints._sized(rows)
+    near = F.array(*[fingerprints._sampled(F.col("_kept"), F.col("_mask"), j) for j in range(fingerprints.SUBSETS)])
+    own = fingerprints._digested(sized.withColumn("_near", near), "own")
+    again = own.withColumnsRenamed({"_kept": "_own_kept", "_near": "_own_near"}).withColumns(
+        {"_every": F.col("b"), "_band": F.array().cast("array<bigint>")}
+    )
+    beside = {r.doc_id: r.edited for r in fingerprints._described_beside(again, "edited", "own").collect()}
+    alone = rows.withColumn("_every", F.col("b"))
+    alone = {r.doc_id: r.edited for r in fingerprints._described(alone, "edited").collect()}
+    assert beside == alone and len({r.level for r in alone.values()}) > 2
