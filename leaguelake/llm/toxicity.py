@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -36,11 +37,11 @@ PREFIXES = (3, 4, 5, 6)
 CHANCE_MARKS = 20
 LOG_ODDS = 2.5
 #: Distinct words that a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Texts held as objects at a time.
-ROWS = 2048
+ROWS = 1024
 #: Tokens scored at a time, one document at least.
-TOKENS = 1 << 19
+TOKENS = 1 << 18
 
 _words = re.compile(r"\w+").findall
 
@@ -79,7 +80,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, SLOTS), np.int64)
-    known: dict[str, list[int]] = {}
+    known: dict[str, array] = {}
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
             if len(known) > CACHE_WORDS:
@@ -87,7 +88,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             slots: set[int] = set()
             for word in set(tokens(text.as_py())):
                 if (found := known.get(word)) is None:
-                    found = known[word] = features(word)
+                    found = known[word] = array("l", features(word))
                 slots.update(found)
             counts[toxic, list(slots)] += 1
     slots = np.flatnonzero(counts.any(axis=0))
@@ -158,8 +159,8 @@ class Tagger:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.own: list[float] = []
-        self.whole: list[int] = []
+        self.own = array("d")
+        self.whole = array("q")
 
     def _number(self, words: list[str]) -> np.ndarray:
         known = self.known

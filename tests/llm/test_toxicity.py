@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import odd_documents
 from leaguelake.llm import crf, toxicity
@@ -113,3 +114,16 @@ def test_chance_marks_are_few():
     assert marked.sum() < toxicity.CHANCE_MARKS * 3
     toxic[0], held[0] = 40, 40
     assert toxicity.toxic_slots(toxic.astype(float), (held - toxic).astype(float), 1200, 8800)[0]
+
+
+def test_remembered_words_take_little_memory():
+    import tracemalloc
+
+    words = 60_000
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(500)) for i in range(words // 500)])
+    labelled = pa.RecordBatch.from_arrays([texts, pa.array([i % 2 for i in range(len(texts))], pa.int32())], ["text", "toxic"])
+    tracemalloc.start()
+    assert sum(out.num_rows for out in toxicity._feature_counts(iter([labelled]))) > 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (peak - 2 * 8 * toxicity.SLOTS) / words < 300  # bytes a word; lists of numbers took 383
