@@ -9,7 +9,8 @@ second one the id, if it takes more than that.
 
 What is learned is taken over at fixed places: the mix every BEAT ids, the frequencies whenever the ids seen
 have doubled. A block begins with nothing learned, so each can be read without any other. All blocks of a
-call are worked on side by side, one id of each at a time, as arrays.
+call are worked on side by side, one id of each at a time, as arrays without a branch by block. A writer knows all ids:
+step by step it only learns and narrows ranges; contexts, cells and ranges are worked out for a whole beat.
 
 A packed stretch is: MAGIC, format, ids of a block, number of ids, number of blocks; then for each block its
 bytes and the CRC-32 of its ids as little-endian unsigned 32-bit integers; then the blocks. All numbers are little-endian.
@@ -23,9 +24,9 @@ import zlib
 import numpy as np
 
 MAGIC = b"CMRC"
-FORMAT = 1
+FORMAT = 2
 #: Ids of a block. Blocks are reset, so larger ones are smaller in total, and fewer are worked on at a time.
-BLOCK_IDS = 8192
+BLOCK_IDS = 4096
 #: Ids after which the mix is taken over.
 BEAT = 128
 #: Ids after which order 0 is first used.
@@ -33,14 +34,12 @@ FIRST_IDS = 64
 MAX_ID = (1 << 28) - 1
 
 _HEAD = struct.Struct("<4sBxxxIQI")
-_SLOT_BITS = 12
+_SLOT_BITS = 11
 _CELLS = 32
 _ORDER2, _ORDER1, _ORDER0, _NEW = range(4)
 #: What is assumed before anything was seen: all four outcomes alike, weighing as much as two ids.
 _PRIOR = 0.5
 _LEAST = 24
-_U = np.uint64
-_LOW = _U((1 << 32) - 1)
 
 
 class CorruptBlock(ValueError):
@@ -51,16 +50,13 @@ class _Mix:
     """The models' state for many blocks ("lanes") at once."""
 
     def __init__(self, lanes: int) -> None:
-        self.base = np.arange(lanes, dtype=np.int64) << _SLOT_BITS
+        # Two tables a lane, of order 1 and of order 2. An entry is the id last seen in its context, times four, plus
+        # how often in a row it came true (up to 3).
+        self.base = np.arange(2 * lanes, dtype=np.int64).reshape(lanes, 2).T << _SLOT_BITS
+        self.table = np.zeros(2 * lanes << _SLOT_BITS, np.uint32)
         self.cell_base = np.arange(lanes, dtype=np.int64) * _CELLS
-        # An entry is the id last seen in its context, times four, plus how often in a row it came true (up to 3).
-        self.one = np.zeros(lanes << _SLOT_BITS, np.uint32)
-        self.two = np.zeros(lanes << _SLOT_BITS, np.uint32)
-        self.before = np.zeros(lanes, np.uint32)
-        self.before2 = np.zeros(lanes, np.uint32)
         self.counts = np.full((lanes * _CELLS, 4), _PRIOR, np.float32)
-        self.met = np.empty((BEAT, lanes), np.uint8)
-        self.beat = 0
+        self.met = np.zeros(self.counts.size, np.int64)
         self._take_over()
 
     def _take_over(self) -> None:
@@ -73,41 +69,36 @@ class _Mix:
         ends[:, 4] = 65536
         self.ends = ends.reshape(-1)
 
-    def look(self, m: int) -> None:
-        """Named ids and the cell of the mix for the next id of the first m lanes."""
-        before = self.before[:m]
+    def places(self, before: np.ndarray, before2: np.ndarray) -> np.ndarray:
+        """The entries for what followed `before` and, behind it, what followed `before2` and `before`, by lane."""
+        found = np.empty((*before.shape[:-1], 2, before.shape[-1]), np.int64)
         mixed = before * np.uint32(0x9E3779B1)
-        self.at1 = self.base[:m] + (mixed >> np.uint32(32 - _SLOT_BITS))
-        mixed += self.before2[:m]
+        found[..., 0, :] = mixed >> np.uint32(32 - _SLOT_BITS)
+        mixed += before2
         mixed *= np.uint32(0x85EBCA6B)
-        self.at2 = self.base[:m] + (mixed >> np.uint32(32 - _SLOT_BITS))
-        self.entry1, self.entry2 = self.one.take(self.at1), self.two.take(self.at2)
-        self.id1, self.id2 = self.entry1 >> np.uint32(2), self.entry2 >> np.uint32(2)
-        cell = (self.entry2 & np.uint32(3)) << np.uint32(2)
-        cell |= self.entry1 & np.uint32(3)
-        cell += (self.id1 == self.id2) * np.uint32(16)
-        self.cell = cell
-        self.row = (self.cell_base[:m] + cell) * 5
-
-    def learn(self, m: int, ids: np.ndarray, outcome: np.ndarray) -> None:
-        for table, at, entry, named in ((self.one, self.at1, self.entry1, self.id1), (self.two, self.at2, self.entry2, self.id2)):
-            again = np.minimum(entry + np.uint32(1), entry | np.uint32(3))
-            table[at] = np.where(named == ids, again, ids << np.uint32(2))
-        self.before2[:m] = self.before[:m]
-        self.before[:m] = ids
-        np.add(self.cell << np.uint32(2), outcome, out=self.met[self.beat, :m], casting="unsafe")
-        self.beat += 1
-        if self.beat == BEAT:
-            # A lane that has ended takes no further part; what is counted for it does not matter.
-            keys = self.met + (np.arange(self.met.shape[1]) * (4 * _CELLS))
-            new = np.bincount(keys.reshape(-1), minlength=self.counts.size)[: self.counts.size]
-            self.counts *= np.float32(0.5) if self.halve else np.float32(1)
-            self.counts += new.reshape(self.counts.shape)
-            self.halve = False
+        found[..., 1, :] = mixed >> np.uint32(32 - _SLOT_BITS)
+        found += self.base[:, : before.shape[-1]]
+        return found
+
+    def cells(self, entries: np.ndarray, named: np.ndarray) -> np.ndarray:
+        """The cell of the mix, counted through over all lanes."""
+        cell = (named[..., 0, :] == named[..., 1, :]) * 16 + self.cell_base[: named.shape[-1]]
+        cell += entries[..., 0, :] & np.uint32(3)
+        cell += (entries[..., 1, :] & np.uint32(3)) << np.uint32(2)
+        return cell
+
+    def learn(self, at: np.ndarray, entries: np.ndarray, named: np.ndarray, ids: np.ndarray) -> None:
+        again = entries + np.uint32(1)
+        np.minimum(again, entries | np.uint32(3), out=again)
+        self.table[at] = np.where(named == ids, again, ids << np.uint32(2))
+
+    def count(self, cells: np.ndarray, outcome: np.ndarray, done: int) -> None:
+        """Counts what came true up to `done` ids of each lane; the mix is taken over every BEAT."""
+        self.met += np.bincount((cells * 4 + outcome).reshape(-1), minlength=self.met.size)
+        if done % BEAT == 0:
+            self.counts += self.met.reshape(self.counts.shape)
+            self.met[:] = 0
             self._take_over()
-            self.beat = 0
-
-    halve = False
 
 
 class _Seen:
@@ -156,93 +147,95 @@ def _chunks(length: int) -> list[tuple[int, int]]:
 
 
 class _Writer:
-    def __init__(self, lanes: int, length: int, wide: bool) -> None:
-        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
-        # An id takes at most two steps of up to one word each, and a wide new one three; the end takes three.
-        self.words = np.zeros((lanes, (2 + wide) * length + 4), np.int32)
-        self.used = np.zeros(lanes, np.int64)
+    """Ranges of many lanes; the words that leave them are kept row by row and put together at the end."""
+
+    def __init__(self, lanes: int) -> None:
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
+        self.rows: list[np.ndarray] = []
+        self.left: list[np.ndarray] = []
 
-    def all(self, m: int, start: np.ndarray, size: np.ndarray) -> None:
+    def settle(self, m: int) -> None:
+        """Words leave the first m lanes until all their ranges are wide enough."""
         low, span = self.low[:m], self.range[:m]
-        span >>= _U(16)
+        small = span < 1 << 32
+        while small.any():
+            word = low >> 32
+            word *= small
+            low -= word << 32
+            shift = small * np.int64(16)
+            low <<= shift
+            span <<= shift
+            self.rows.append(word.astype(np.int32))
+            self.left.append(small)
+            small = span < 1 << 32
+
+    def step(self, m: int, bits, start: np.ndarray, size) -> None:
+        """Narrows the first m lanes to `size` parts from `start` of 2 ** bits."""
+        low, span = self.low[:m], self.range[:m]
+        span >>= bits
         low += span * start
         span *= size
-        small = np.flatnonzero(span < _U(1 << 32))
-        self.words[small, self.used[small]] = low[small] >> _U(32)
-        self.used[small] += 1
-        low[small] = (low[small] & _LOW) << _U(16)
-        span[small] <<= _U(16)
-
-    def some(self, lanes: np.ndarray, bits: int, start: np.ndarray, size: np.ndarray) -> None:
-        span = self.range[lanes] >> _U(bits)
-        low = self.low[lanes] + span * start.astype(_U)
-        span *= size.astype(_U)
-        small = np.flatnonzero(span < _U(1 << 32))
-        of = lanes[small]
-        used = self.used[of]
-        self.words[of, used] = low[small] >> _U(32)
-        self.used[of] = used + 1
-        low[small] = (low[small] & _LOW) << _U(16)
-        span[small] <<= _U(16)
-        self.low[lanes], self.range[lanes] = low, span
 
     def finish(self) -> list[bytes]:
-        every = np.arange(len(self.low))
+        lanes = len(self.low)
         for shift in (32, 16, 0):
-            self.words[every, self.used] = (self.low >> _U(shift)) & _U(0xFFFF if shift < 32 else 0x1FFFF)
-            self.used += 1
-        # A word that overflowed carries into the one before it.
-        words = self.words[:, : int(self.used.max())]
-        while (carry := words >> 16).any():
-            words &= 0xFFFF
-            words[:, :-1] += carry[:, 1:]
-        flat = words.astype("<u2")
-        return [flat[i, : self.used[i]].tobytes() for i in range(len(flat))]
+            self.rows.append(((self.low >> shift) & (0xFFFF if shift < 32 else 0x1FFFF)).astype(np.int32))
+            self.left.append(np.ones(lanes, bool))
+        found = []
+        for a in range(0, lanes, 128):
+            b = min(a + 128, lanes)
+            some = [i for i, r in enumerate(self.rows) if len(r) > a]
+            words = np.zeros((b - a, len(some)), np.int32)
+            left = np.zeros((b - a, len(some)), bool)
+            for column, i in enumerate(some):
+                n = min(len(self.rows[i]), b) - a
+                words[:n, column], left[:n, column] = self.rows[i][a : a + n], self.left[i][a : a + n]
+            used = left.sum(axis=1)
+            flat, edges = words[left], np.cumsum(used)
+            # A word that overflowed carries into the one before it; a block's first word has none before it.
+            while (carry := flat >> 16).any():
+                flat &= 0xFFFF
+                flat[:-1] += carry[1:]
+            raw = flat.astype("<u2").tobytes()
+            found += [raw[2 * (e - n) : 2 * e] for e, n in zip(edges.tolist(), used.tolist(), strict=True)]
+        return found
 
 
 class _Reader:
     def __init__(self, blocks: list[bytes]) -> None:
         lanes = len(blocks)
-        room = 3 + max(len(b) for b in blocks) // 2
-        words = np.zeros((lanes, room + 3), "<u2")
-        for i, b in enumerate(blocks):
-            words[i, : len(b) // 2] = np.frombuffer(b, "<u2", len(b) // 2)
-        self.words, self.room = words, room
-        self.range = np.full(lanes, 1 << 48, _U)
-        first = words[:, :3].astype(_U)
-        self.code = (first[:, 0] << _U(32)) | (first[:, 1] << _U(16)) | first[:, 2]
-        self.used = np.full(lanes, 3, np.int64)
-
-    def _next(self, small: np.ndarray) -> np.ndarray:
-        # A damaged block may ask for more than there is; it reads on in its last, empty words.
-        words = self.words[small, np.minimum(self.used[small], self.room)]
-        self.used[small] += 1
-        return words
-
-    def value(self, m: int) -> np.ndarray:
+        # A damaged block may ask for more than there is; it reads on in the words behind it.
+        sizes = np.array([len(b) // 2 for b in blocks], np.int64)
+        self.words = np.zeros(int(sizes.sum()) + 4, np.int64)
+        self.words[:-4] = np.frombuffer(b"".join(b[: 2 * (len(b) // 2)] for b in blocks), "<u2")
+        self.at = np.cumsum(sizes) - sizes
+        self.range = np.full(lanes, 1 << 48, np.int64)
+        self.code = np.zeros(lanes, np.int64)
+        for _ in range(3):
+            self.code = (self.code << 16) | self.words.take(self.at, mode="clip")
+            self.at += 1
+
+    def settle(self, m: int) -> None:
+        code, span, at = self.code[:m], self.range[:m], self.at[:m]
+        small = span < 1 << 32
+        while small.any():  # twice at most: a range is never empty
+            shift = small * np.int64(16)
+            code <<= shift
+            span <<= shift
+            code += self.words.take(at, mode="clip") * small
+            at += small
+            small = span < 1 << 32
+
+    def value(self, m: int, bits) -> np.ndarray:
+        """Which of 2 ** bits parts the first m lanes lie in; the quotient is exact, as both numbers have 48 bits."""
         span = self.range[:m]
-        span >>= _U(16)
-        return np.minimum(self.code[:m] // span, _U(65535)).astype(np.int64)
+        span >>= bits
+        return (self.code[:m] / span).astype(np.int64)
 
-    def all(self, m: int, start: np.ndarray, size: np.ndarray) -> None:
+    def step(self, m: int, start: np.ndarray, size) -> None:
         code, span = self.code[:m], self.range[:m]
         code -= span * start
         span *= size
-        small = np.flatnonzero(span < _U(1 << 32))
-        code[small] = (code[small] << _U(16)) | self._next(small)
-        span[small] <<= _U(16)
-
-    def some(self, lanes: np.ndarray, bits: int, pick) -> None:
-        """pick(value) gives start and size of what the value lies in."""
-        code, span = self.code[lanes], self.range[lanes] >> _U(bits)
-        value = np.minimum(code // span, _U((1 << bits) - 1)).astype(np.int64)
-        start, size = pick(value)
-        code -= span * start.astype(_U)
-        span *= size.astype(_U)
-        small = np.flatnonzero(span < _U(1 << 32))
-        code[small] = (code[small] << _U(16)) | self._next(lanes[small])
-        span[small] <<= _U(16)
-        self.code[lanes], self.range[lanes] = code, span
 
 
 def _lane_lengths(total: int, block: int) -> np.ndarray:
@@ -252,6 +245,12 @@ def _lane_lengths(total: int, block: int) -> np.ndarray:
     return lengths
 
 
+def _segments(begin: int, end: int, shortest: int) -> list[tuple[int, int]]:
+    """Stretches of a chunk between which neither the mix nor the number of lanes changes."""
+    edges = sorted({begin, end, *range(begin + BEAT - begin % BEAT, end, BEAT), *([shortest] if begin < shortest < end else [])})
+    return list(zip(edges, edges[1:], strict=False))
+
+
 def _encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     lanes, longest = len(lengths), int(lengths[0])
     grid = np.zeros((lanes, longest), ids.dtype)
@@ -260,35 +259,50 @@ def _encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     # Ids too many for a table of their own are looked up by rank, which orders them alike.
     ranks = grid if not wide else np.unique(grid, return_inverse=True)[1].reshape(grid.shape).astype(np.uint32)
     at_of = np.zeros(int(ranks.max()) + 1, np.int64)
-    mix, out = _Mix(lanes), _Writer(lanes, longest, wide)
+    mix, out = _Mix(lanes), _Writer(lanes)
     for begin, end in _chunks(longest):
         part = grid[:, begin:end]
         first = times = np.zeros(part.shape, np.int32)
         if begin:
             first, times = _Seen(ranks[:, :begin]).find(ranks[:, begin:end], at_of)
-        columns = np.ascontiguousarray(part.T).astype(np.uint32)
+        # Two ids before the chunk come first.
+        columns = np.zeros((end - begin + 2, lanes), np.uint32)
+        columns[2:] = part.T
+        if begin:
+            columns[:2] = grid[:, begin - 2 : begin].T
         first, times = np.ascontiguousarray(first.T), np.ascontiguousarray(times.T)
         bits = begin.bit_length() - 1
-        for t in range(begin, end):
-            m = lanes if t < lengths[-1] else lanes - 1
-            now, often = columns[t - begin, :m], times[t - begin, :m]
-            mix.look(m)
+        for a, b in _segments(begin, end, int(lengths[-1])):
+            m = lanes if a < lengths[-1] else lanes - 1
+            i, j = a - begin, b - begin
+            now, often = columns[i + 2 : j + 2, :m], times[i:j, :m]
+            at = mix.places(columns[i + 1 : j + 1, :m], columns[i:j, :m])
+            entries = np.empty(at.shape, np.uint32)
+            for t in range(j - i):
+                entry = mix.table.take(at[t], out=entries[t], mode="clip")
+                mix.learn(at[t], entry, entry >> np.uint32(2), now[t])
+            named = entries >> np.uint32(2)
+            cells = mix.cells(entries, named)
             outcome = np.where(often > 0, _ORDER0, _NEW)
-            outcome[now == mix.id1] = _ORDER1
-            outcome[now == mix.id2] = _ORDER2
-            at = mix.row + outcome
-            start = mix.ends.take(at)
-            out.all(m, start.astype(_U), (mix.ends.take(at + 1) - start).astype(_U))
-            old = np.flatnonzero(outcome == _ORDER0)
-            if len(old):
-                out.some(old, bits, first[t - begin, old], often[old])
-            new = np.flatnonzero(outcome == _NEW)
-            if len(new):
-                plain = now[new]
-                if wide:
-                    out.some(new, 16, plain >> np.uint32(16), np.ones(len(new), np.int64))
-                out.some(new, 16, plain & np.uint32(0xFFFF), np.ones(len(new), np.int64))
-            mix.learn(m, now, outcome)
+            outcome[now == named[:, 0]] = _ORDER1
+            outcome[now == named[:, 1]] = _ORDER2
+            row = cells * 5 + outcome
+            start = mix.ends.take(row)
+            size = mix.ends.take(row + 1) - start
+            # The second step names the id if the first did not.
+            old, new = outcome == _ORDER0, outcome == _NEW
+            bits2 = old * np.int64(bits) + new * np.int64(16)
+            start2 = np.where(old, first[i:j, :m], np.where(new, now & np.uint32(0xFFFF), 0)).astype(np.int64)
+            size2 = np.where(old, often, 1).astype(np.int64)
+            high = np.where(new, now >> np.uint32(16), 0).astype(np.int64) if wide else None
+            for t in range(j - i):
+                out.step(m, 16, start[t], size[t])
+                out.step(m, bits2[t], start2[t], size2[t])
+                out.settle(m)
+                if high is not None:
+                    out.step(m, new[t] * np.int64(16), high[t], 1)
+                    out.settle(m)
+            mix.count(cells, outcome, b)
     return out.finish()
 
 
@@ -296,42 +310,51 @@ def _decode_blocks(blocks: list[bytes], lengths: np.ndarray, wide: bool) -> np.n
     lanes, longest = len(lengths), int(lengths[0])
     grid = np.zeros((lanes, longest), np.uint32 if wide else np.uint16)
     mix, source = _Mix(lanes), _Reader(blocks)
+    before = before2 = np.zeros(lanes, np.uint32)
     for begin, end in _chunks(longest):
-        seen = _Seen(grid[:, :begin]).packed() if begin else None
-        bits = begin.bit_length() - 1
+        seen = _Seen(grid[:, :begin]).packed().reshape(-1) if begin else np.zeros(1, np.int64)
+        seen_base = np.arange(lanes, dtype=np.int64) * begin
+        bits2 = np.array([0, 0, max(begin.bit_length() - 1, 0), 16])
+        most2 = (1 << bits2) - 1
         columns = np.zeros((end - begin, lanes), grid.dtype)
-        for t in range(begin, end):
-            m = lanes if t < lengths[-1] else lanes - 1
-            mix.look(m)
-            value = source.value(m)
-            outcome = (value >= mix.ends.take(mix.row + 1)).astype(np.int64)
-            outcome += value >= mix.ends.take(mix.row + 2)
-            outcome += value >= mix.ends.take(mix.row + 3)
-            at = mix.row + outcome
-            start = mix.ends.take(at)
-            source.all(m, start.astype(_U), (mix.ends.take(at + 1) - start).astype(_U))
-            now = np.where(outcome == _ORDER2, mix.id2, mix.id1)
-            old = np.flatnonzero(outcome == _ORDER0)
-            if len(old) and seen is not None:
-
-                def frequency(value: np.ndarray, old=old) -> tuple[np.ndarray, np.ndarray]:
-                    found = seen[old, value]
-                    now[old] = found & MAX_ID
-                    return (found >> 28) & 0x3FFFF, found >> 46
-
-                source.some(old, bits, frequency)
-            new = np.flatnonzero(outcome == _NEW)
-            if len(new):
-                now[new] = 0
-                for shift in (16, 0) if wide else (0,):
-
-                    def plain(value: np.ndarray, new=new, shift=shift) -> tuple[np.ndarray, np.ndarray]:
-                        now[new] |= (value << shift).astype(np.uint32)
-                        return value, np.ones(len(value), np.int64)
-
-                    source.some(new, 16, plain)
-            columns[t - begin, :m] = now
-            mix.learn(m, now, outcome)
+        for a, b in _segments(begin, end, int(lengths[-1])):
+            m = lanes if a < lengths[-1] else lanes - 1
+            before, before2 = before[:m], before2[:m]
+            cells, outcomes = np.empty((b - a, m), np.int64), np.empty((b - a, m), np.int64)
+            ends1, ends2, ends3 = (mix.ends[k:] for k in (1, 2, 3))
+            for t in range(b - a):
+                at = mix.places(before, before2)
+                entries = mix.table.take(at, mode="clip")
+                named = entries >> np.uint32(2)
+                cells[t] = mix.cells(entries, named)
+                row = cells[t] * 5
+                value = np.minimum(source.value(m, 16), 65535)
+                outcome = np.add(value >= ends1.take(row, mode="clip"), value >= ends2.take(row, mode="clip"), dtype=np.int64)
+                outcome += value >= ends3.take(row, mode="clip")
+                outcomes[t] = outcome
+                row += outcome
+                start = mix.ends.take(row, mode="clip")
+                source.step(m, start, ends1.take(row, mode="clip") - start)
+                value = np.minimum(source.value(m, bits2.take(outcome)), most2.take(outcome))
+                old, new = outcome == _ORDER0, outcome == _NEW
+                found = seen.take(seen_base[:m] + value, mode="clip")
+                times = found >> 46
+                start = np.where(old, (found >> 28) & 0x3FFFF, value * new)
+                source.step(m, start, np.where(old, np.maximum(times, 1), 1))
+                source.settle(m)
+                now = np.where(outcome == _ORDER2, named[1], named[0])
+                np.copyto(now, found & MAX_ID, where=old, casting="unsafe")
+                np.copyto(now, value, where=new, casting="unsafe")
+                if wide:
+                    value = np.minimum(source.value(m, new * np.int64(16)), 0xFFFF) * new
+                    source.step(m, value, 1)
+                    source.settle(m)
+                    now |= (value << 16).astype(np.uint32)
+                    now &= np.uint32(MAX_ID)  # a damaged block may give more
+                columns[a - begin + t, :m] = now
+                mix.learn(at, entries, named, now)
+                before2, before = before, now
+            mix.count(cells, outcomes, b)
         grid[:, begin:end] = columns.T
     return grid.reshape(-1)[: int(lengths.sum())]
 

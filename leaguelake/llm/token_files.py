@@ -15,12 +15,15 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,11 +38,10 @@ FILE_IDS = 6 << 20
 ID_RANGES = 256
 TEXT_RANGES = 32
 ROW_WAYS = 64
-#: Parts of texts, and words, whose ids a worker remembers, the bound of its memory (some 250 MB).
-CACHE_PARTS = 700_000
-CACHE_WORDS = 500_000
-#: Documents looked up together.
-GROUP = 256
+#: Words whose ids a worker remembers, the bound of its memory (some 250 MB).
+CACHE_WORDS = 1_000_000
+#: Bytes of text looked up together.
+GROUP_BYTES = 10 << 20
 
 _MAGIC = b"TOKF"
 _HEAD = struct.Struct("<4sQQI")
@@ -48,22 +50,32 @@ WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters that the tokenizer lower-cases one by one, as Python does, and composes with nothing: printable ASCII
 #: and the Latin letters up to U+017F but one, whose lower case is two characters.
 _PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
+_PLAIN_PARTS = re.compile("[\x20-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
+
+
+def _plain_split(pattern: str) -> str:
+    """A split pattern for plain text alone: its classes of Unicode written out, which takes half the time."""
+    plain = [c for c in map(chr, range(0x180)) if _PLAIN(c)]
+    for name in "LN":
+        of_class = "".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == name)
+        pattern = pattern.replace(f"[\\p{{{name}}}]", f"[{of_class}]").replace(f"\\p{{{name}}}", of_class)
+    return pattern
 
 
 class WordEncoder:
-    """Ids by the tokenizers library, remembered by part of a text where blanks separate parts for certain.
+    """Ids by the tokenizers library, remembered by word where blanks separate parts of a text for certain.
 
     That is so for files that drop white space by WORD_SPLIT and mark the last token of every word; other
-    tokenizers get every text whole. Parts of plain letters are encoded word by word, so that a word is
-    encoded once however it is written and whatever follows it.
+    tokenizers get every text whole. Of many texts together every part is looked at once. Parts of plain letters
+    are encoded word by word, so that a word is encoded once however it is written and whatever follows it.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.pieces = regex.compile(WORD_SPLIT).findall
+        # Pieces of plain parts that blanks separate; the blanks are kept.
+        self.pieces = re.compile(_plain_split(WORD_SPLIT) + "| ").findall
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -71,68 +83,121 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.in_parts = self._separable(described)
-        suffix = described["model"].get("end_of_word_suffix") or ""
+        # Words are split, lower-cased and composed already: what is left of the tokenizer.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         special = [re.escape(t["content"]) for t in described["added_tokens"]]
         self.is_special = re.compile("|".join(special)).search if special else lambda part: None
-        vocabulary = self.tokenizer.get_vocab()
-        self.closing = np.zeros(1 + max(vocabulary.values(), default=0), bool)
-        self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
-        self.parts: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.closing = closing_ids(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Nothing is known but the blank, which has no ids."""
+        self.words: dict[str, int] = {" ": 0}
+        self.starts, self.sizes, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint32)
 
     @staticmethod
     def _separable(described: dict) -> bool:
-        split = (described.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        split, *rest = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         steps = [n["type"] for n in (described.get("normalizer") or {}).get("normalizers", [])]
         plain = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not re.search(r"\s", t["content"])
                     for t in described["added_tokens"])
         return (
             split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
             and split.get("pattern", {}).get("Regex") == WORD_SPLIT and steps == ["NFC", "Replace", "Lowercase"]
+            and [(s["type"], s.get("add_prefix_space"), s.get("use_regex")) for s in rest] == [("ByteLevel", False, False)]
             and bool(described["model"].get("end_of_word_suffix")) and plain
         )
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _remember(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
 
     def _learn_words(self, words: list[str]) -> None:
         """Encodes words many at a time; each ends with the token that closes it."""
-        groups = [words[i : i + 400] for i in range(0, len(words), 400)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
-        for some, found in zip(groups, joined, strict=True):
-            raw = np.array(found.ids, "<u4")
-            ends = 4 * (1 + np.flatnonzero(self.closing[raw]))
-            if len(ends) != len(some):
-                self.words.update((w, self._whole(w)) for w in some)
-                continue
-            data, start = raw.tobytes(), 0
-            for word, end in zip(some, ends.tolist(), strict=True):
-                self.words[word] = data[start:end]
-                start = end
-
-    def _learn(self, parts: list[str]) -> None:
-        # Special strings are found before anything is lower-cased.
-        plain = {p: self.pieces(p.lower()) for p in parts if _PLAIN(p) and not self.is_special(p)}
+        many = 400
+        for i in range(0, len(words), 64 * many):
+            some = words[i : i + 64 * many]
+            joined = [" ".join(some[j : j + many]) for j in range(0, len(some), many)]
+            found = [e.ids for e in self.bare.encode_batch_fast(joined, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+            sizes = np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)
+            if len(sizes) != len(some) or sizes.sum() != len(ids):
+                ids, sizes = self._whole(some)
+            self._remember(some, ids, sizes)
+
+    def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all parts one after the other, and how many each has."""
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        self._learn_words(list(set().union(*plain.values()) - self.words.keys()))
-        words = self.words
-        for part in parts:
-            pieces = plain.get(part)
-            self.parts[part] = self._whole(part) if pieces is None else b"".join([words[w] for w in pieces])
+            self._forget()
+        text, odd = " ".join(parts), []
+        # Special strings are found before anything is lower-cased.
+        special = self.is_special(text)
+        if special or not _PLAIN_PARTS(text):
+            plain = [bool(_PLAIN(p)) and not (special and self.is_special(p)) for p in parts]
+            odd = [p for p, is_plain in zip(parts, plain, strict=True) if not is_plain]
+            new = list(set(odd) - self.words.keys())
+            for i in range(0, len(new), 4096):
+                self._remember(new[i : i + 4096], *self._whole(new[i : i + 4096]))
+            # Of an odd part only the place is kept.
+            text = " ".join([p if is_plain else "" for p, is_plain in zip(parts, plain, strict=True)])
+        pieces = self.pieces(text.lower())
+        self._learn_words(list(set(pieces) - self.words.keys()))
+        known = self.words.__getitem__
+        numbers = np.fromiter(map(known, pieces), np.int64, len(pieces))
+        blanks = numbers == 0
+        sizes = np.bincount(np.cumsum(blanks), self.sizes[numbers], len(parts)).astype(np.int64)
+        if odd:
+            at = np.flatnonzero(~np.array(plain))
+            of_odd = np.fromiter(map(known, odd), np.int64, len(odd))
+            sizes[at] = self.sizes[of_odd]
+            # An odd part comes behind the blank before it; the first part has none.
+            numbers = np.insert(numbers, np.concatenate([[0], np.flatnonzero(blanks) + 1])[at], of_odd)
+        return self.ids[_stretches(self.starts[numbers], self.sizes[numbers])], sizes
+
+    def encode_column(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all texts one after the other, each with `end` behind it, and how many each has; null is empty."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        behind = np.array([] if end is None else [end], np.uint32)
+        if not self.in_parts:
+            ids, sizes = self._whole(texts.to_pylist())
+            at = np.cumsum(sizes)
+            return np.insert(ids, np.repeat(at, len(behind)), np.tile(behind, len(at))), sizes + len(behind)
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        edges = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+        edges -= edges[0]
+        ids, sizes = self._parts(coded.dictionary.to_pylist())
+        starts = np.append(np.cumsum(sizes) - sizes, len(ids))
+        sizes, ids = np.append(sizes, len(behind)), np.concatenate([ids, behind])
+        # What ends a text counts as a part of its own.
+        of = np.insert(coded.indices.to_numpy(), edges[1:], len(sizes) - 1)
+        long = sizes[of]
+        total = np.concatenate([[0], np.cumsum(long)])
+        return ids[_stretches(starts[of], long)], np.diff(total[edges + np.arange(len(edges))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each whole text."""
-        if not self.in_parts:
-            return [self._whole(text) for text in texts]
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.parts) > CACHE_PARTS:
-            self.parts = {"": b""}
-        missing = set().union(*split) - self.parts.keys()
-        if missing:
-            self._learn(list(missing))
-        known = self.parts
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        ids, sizes = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes)
+        return [raw[e - 4 * n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+
+
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all stretches, one after the other."""
+    total = int(sizes.sum())
+    places = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    places += np.arange(total)
+    return places
 
 
 @cache
@@ -140,6 +205,19 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+@cache
+def closing_ids(path: str) -> np.ndarray:
+    """By id: whether its token closes a word; never where the tokenizer does not mark that."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    suffix = described["model"].get("end_of_word_suffix")
+    vocabulary = described["model"]["vocab"]
+    last = max([*vocabulary.values(), *(t["id"] for t in described["added_tokens"])], default=0)
+    closing = np.zeros(1 + last, bool)
+    closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+    return closing
+
+
 # ---- encoding -------------------------------------------------------------------------------
 
 
@@ -148,19 +226,21 @@ def encoded(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_i
 
     Null texts are empty. Ids of rows are whole numbers or null; the share of one beyond 2 ** 53 is not spread. h is a
     hash of the text that doubles, in which quantiles are taken, hold exactly; way, a number of the row, tells
-    equal rows apart. ids is stored in 16 bits each where they all fit.
+    equal rows apart. ids is stored in 16 bits each where those of its group all fit.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path).encode
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        encode = word_encoder(path).encode_column
         for batch in batches:
-            for i in range(0, batch.num_rows, GROUP):
-                some = batch.slice(i, GROUP)
-                found = [raw + end for raw in encode([t or "" for t in some.column("text").to_pylist()])]
+            for some in _groups(batch):
+                ids, sizes = encode(some.column("text"), end_id)
+                stored = ids.astype("<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4")
+                edges = np.concatenate([[0], np.cumsum(sizes)]) * stored.itemsize
+                binary = pa.Array.from_buffers(
+                    pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(stored)]
+                ).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("id"), some.column("h"), some.column("way"),
-                     pa.array([len(raw) // 4 for raw in found], pa.int64()), pa.array(map(_stored, found), pa.binary())],
+                    [some.column("id"), some.column("h"), some.column("way"), pa.array(sizes, pa.int64()), binary],
                     ["id", "h", "way", "n", "ids"],
                 )
 
@@ -171,13 +251,18 @@ def encoded(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_i
     return cut(in_tasks(rows, run, schema), "tokens")
 
 
-def _stored(raw: bytes) -> bytes:
-    ids = np.frombuffer(raw, "<u4")
-    return ids.astype("<u2").tobytes() + b"\x02" if not len(ids) or ids.max() < 1 << 16 else raw + b"\x04"
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, so many at a time that their texts have some GROUP_BYTES bytes."""
+    if not batch.num_rows:
+        return
+    size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+    opens = np.flatnonzero(np.diff(size // GROUP_BYTES, prepend=-1))
+    for a, b in zip(opens, [*opens[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
 
 
-def _loaded(stored: bytes) -> np.ndarray:
-    return np.frombuffer(stored[:-1], "<u2" if stored[-1] == 2 else "<u4")
+def _loaded(stored: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(stored, "<u2" if len(stored) == 2 * n else "<u4")
 
 
 # ---- order ----------------------------------------------------------------------------------
@@ -270,15 +355,15 @@ def write_files(tokens: DataFrame, path: str) -> None:
 
         for batch in batches:
             id_type = batch.schema.field("id").type
-            columns = zip(*(batch.column(c).to_pylist() for c in ("file", "stretch", "before", "id", "ids")), strict=True)
-            for its_file, its_stretch, before, name, stored in columns:
+            columns = zip(*(batch.column(c).to_pylist() for c in ("file", "stretch", "before", "id", "n", "ids")), strict=True)
+            for its_file, its_stretch, before, name, n, stored in columns:
                 if names and (its_file != file or size >= FILE_IDS):
                     yield closed()
                     names, held, size = [], [], 0
                 if its_stretch != stretch:
                     after = before
                 file, stretch = its_file, its_stretch
-                ids = _loaded(stored)
+                ids = _loaded(stored, n)
                 names.append(name)
                 held.append(ids)
                 size += len(ids)
@@ -288,7 +373,7 @@ def write_files(tokens: DataFrame, path: str) -> None:
 
     ordered = rows.repartition(files, "file").sortWithinPartitions("file", "stretch", "id", "h", "way")
     schema = f"before bigint, doc_ids array<{dict(tokens.dtypes)['id']}>, data binary"
-    columns = ordered.select("file", "stretch", "before", "id", "ids")
+    columns = ordered.select("file", "stretch", "before", "id", "n", "ids")
     # One row each, so that a reading task holds no more than the bytes Spark gives it.
     in_tasks(columns, run, schema).write.options(compression="uncompressed", maxRecordsPerFile=1).parquet(path)
 

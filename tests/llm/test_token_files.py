@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import odd_documents
 from hypothesis import given, settings
@@ -113,6 +114,54 @@ def test_encoder_equals_the_library_on_any_text(texts):
     assert [np.frombuffer(raw, "<u4").tolist() for raw in encode(texts)] == [_ids(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("end", [None, 2])
+def test_a_column_is_encoded_at_once(name, end):
+    path = public_tokenizers.path(name)
+    column = pa.array([*TEXTS, None, "Hello hello, HELLO"], pa.string()).slice(3)
+    ids, sizes = token_files.WordEncoder(path).encode_column(column, end)
+    expected = [_ids(t, path) + ([] if end is None else [end]) for t in column.to_pylist()]
+    assert sizes.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e]
+
+
+def test_the_library_gets_every_word_once_in_lower_case(monkeypatch):
+    encoder = token_files.WordEncoder(PATH)
+    given_out: list[str] = []
+    learn = encoder._learn_words
+    monkeypatch.setattr(encoder, "_learn_words", lambda words: (given_out.extend(words), learn(words))[1])
+    for text in ("Hello, hello. HELLO!", "hello (Hello) ÀÉ", "àé hello," * 3):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == _ids(text)
+    assert sorted(given_out) == sorted(set(given_out))
+    assert given_out.count("hello") == given_out.count("àé") == 1
+
+
+def test_more_words_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 3)
+    encode = token_files.WordEncoder(PATH).encode
+    for text in TEXTS:
+        assert np.frombuffer(encode([text, "one two"])[0], "<u4").tolist() == _ids(text)
+
+
+def test_groups_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(token_files, "GROUP_BYTES", 10)
+    for texts in ([], [""], ["a" * 35, "", "b", "", "c" * 9, "d" * 25]):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+        groups = [g.column("text").to_pylist() for g in token_files._groups(batch)]
+        assert [t for g in groups for t in g] == texts
+        assert len(groups) == (0 if not texts else 1 if len(texts) == 1 else 3)
+
+
+@pytest.mark.parametrize("many", [1, 2, 129, 300])
+def test_many_blocks_side_by_side_with_a_short_last_one(many):
+    """Lanes fall out at any place of the mix and of the chunks; wide ids take one more step."""
+    random = np.random.default_rng(many)
+    for most in (300, 70_000, range_coder.MAX_ID):
+        for short in (1, 63, 64, 65, 127, 128, 200):
+            ids = (random.zipf(1.3, 200 * (many - 1) + short).astype(np.uint64) % most).astype(np.uint32)
+            assert range_coder.unpack(range_coder.pack(ids, 200)).tolist() == ids.tolist()
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     found = token_files.WordEncoder(path).encode(["two  words", " x\n y "])
