@@ -40,15 +40,27 @@ def in_fold(id_column: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def attach(rows: DataFrame, lookup: DataFrame, key: list[str], spread: Column, how: str = "left") -> DataFrame:
+def grown(table: DataFrame) -> DataFrame:
+    """A table that grows with the corpus: joined by sort-merge at every size, and neither side of the join is broadcast.
+
+    Spark takes a scan for as large as its compressed files, and what an explode makes of it for hardly larger.
+    """
+    return table.hint("merge")
+
+
+def attach(
+    rows: DataFrame, lookup: DataFrame, key: list[str], spread: Column, how: str = "left", both_grow: bool = False
+) -> DataFrame:
     """Joins `lookup`, unique by `key`, to rows of which one key may hold a large share.
 
     The rows of a key are dealt into WAYS parts. The parts in use are found with a pre-combined
-    distinct, `lookup` is joined to these few, and the rows then join by key and part.
+    distinct, `lookup` is joined to these few, and the rows then join by key and part. If both tables grow with the
+    corpus, none of them is broadcast.
     """
     dealt = rows.withColumn("_way", F.pmod(F.xxhash64(spread), F.lit(WAYS)).cast("int"))
-    parts = dealt.select(*key, "_way").distinct().join(lookup, key, "inner")
-    return dealt.join(parts, [*key, "_way"], how).drop("_way")
+    held = grown if both_grow else lambda table: table
+    parts = dealt.select(*key, "_way").distinct().join(held(lookup), key, "inner")
+    return dealt.join(held(parts), [*key, "_way"], how).drop("_way")
 
 
 def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str | Column) -> DataFrame:
@@ -61,7 +73,7 @@ def keep_rows(docs: DataFrame, keys: DataFrame, *columns: str | Column) -> DataF
     keyed = docs.select(F.struct("*").alias("row"), key["a"].alias("a"), key["b"].alias("b"))
     wanted = keys.select("row_key.a", "row_key.b").distinct()
     nth = F.row_number().over(Window.partitionBy("a", "b").orderBy("a"))
-    once = keyed.join(wanted, ["a", "b"], "left_semi").withColumn("nth", nth).where("nth = 1")
+    once = keyed.join(grown(wanted), ["a", "b"], "left_semi").withColumn("nth", nth).where("nth = 1")
     return once.select("row.*")
 
 

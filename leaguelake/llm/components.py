@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leaguelake.llm.common import grown
 from leaguelake.sources.store import cut
 
 
@@ -28,13 +29,13 @@ def components(links: DataFrame) -> DataFrame:
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _distinct(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = _distinct(both.where("v > u").join(grown(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u")
+        hung = large.join(grown(low), "u")
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))
         )
         now = cut(_distinct(small), "links")
     roots = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     tops = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return roots.unionByName(tops.join(roots, "node", "left_anti"))
+    return roots.unionByName(tops.join(grown(roots), "node", "left_anti"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leaguelake.llm.common import attach, in_tasks, keep_rows, let_go, row_key
+from leaguelake.llm.common import attach, grown, in_tasks, keep_rows, let_go, row_key
 from leaguelake.llm.components import components
 from leaguelake.llm.shingles import mix, shingle_set, word_hashes
 from leaguelake.sources.store import cut
@@ -155,8 +155,7 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and text of the given nodes, each by the row that stands for it. Read and moved once."""
     keyed = docs.select("text", F.col("row_key.a").alias("ka"), F.col("row_key.b").alias("kb"))
     wanted = nodes.select("node", F.col("row_key.a").alias("ka"), F.col("row_key.b").alias("kb"))
-    # A table that grows with the corpus: joined alike at every size, never broadcast.
-    found = keyed.join(wanted.hint("merge"), ["ka", "kb"]).dropDuplicates(["ka", "kb"])
+    found = keyed.join(grown(wanted), ["ka", "kb"]).dropDuplicates(["ka", "kb"])
     return cut(found.select("node", "text"), "texts")
 
 
@@ -165,11 +164,12 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     The pairs of one v, which may be the centre of a large group, are dealt into parts.
     """
-    known = pairs.join(_about(nodes, "u", "a"), "u")
-    known = attach(known, _about(nodes, "v", "b"), ["v"], F.col("u"), "inner").where(_may_link())
+    known = pairs.join(grown(_about(nodes, "u", "a")), "u")
+    known = attach(known, _about(nodes, "v", "b"), ["v"], F.col("u"), "inner", both_grow=True).where(_may_link())
     near = cut(known.select("u", "v"), "pairs")
-    both = near.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
-    both = attach(both, texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), ["v"], F.col("u"), "inner")
+    both = near.join(grown(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))), "u")
+    of_v = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
+    both = attach(both, of_v, ["v"], F.col("u"), "inner", both_grow=True)
     return cut(in_tasks(both.select("u", "v", "text_u", "text_v"), _confirmed, "u bigint, v bigint"), "links")
 
 
@@ -179,21 +179,21 @@ def _labels(links: DataFrame) -> DataFrame:
     label = ways.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label"))
     for _ in range(2):
         of = label.select(F.col("node").alias("v"), F.col("label").alias("m"))
-        step = ways.join(of, "v").groupBy("u").agg(F.min("m").alias("m")).withColumnRenamed("u", "node")
-        label = cut(label.join(step, "node").select("node", F.least("label", "m").alias("label")), "labels")
+        step = ways.join(grown(of), "v").groupBy("u").agg(F.min("m").alias("m")).withColumnRenamed("u", "node")
+        label = cut(label.join(grown(step), "node").select("node", F.least("label", "m").alias("label")), "labels")
     return label
 
 
 def _labelled(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     if links is None:
         return rows.withColumn("label", F.col("node"))
-    return rows.join(_labels(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return rows.join(grown(_labels(links)), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def _open(rows: DataFrame) -> DataFrame:
     """The rows of buckets that hold more than one label."""
     mixed = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    return attach(rows, mixed.select("bucket"), ["bucket"], F.col("node"), "inner")
+    return attach(rows, mixed.select("bucket"), ["bucket"], F.col("node"), "inner", both_grow=True)
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,19 +214,20 @@ def _by_rare_shingles(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> Da
     of the smaller and m - J m + 1 of the larger set, and enough shingles follow it in both.
     """
     left = cut(rows.select("node", "label").distinct(), "left")
-    wanted = texts.join(left.select("node"), "node").select("node", "text")
+    wanted = texts.join(grown(left.select("node")), "node").select("node", "text")
     held = cut(in_tasks(wanted, _prefixes, "node bigint, shingle bigint"), "shingles")
     often = held.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
     # A shingle that one node holds is rarer than any other: it takes a place but is compared with nothing.
-    placed = attach(held, often, ["shingle"], F.col("node")).withColumn("often", F.coalesce("often", F.lit(1)))
+    placed = attach(held, often, ["shingle"], F.col("node"), both_grow=True).withColumn("often", F.coalesce("often", F.lit(1)))
     order = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
-    sized = placed.withColumn("place", order).where("often > 1").join(nodes.select("node", "n"), "node").join(left, "node")
+    sized = placed.withColumn("place", order).where("often > 1")
+    sized = sized.join(grown(nodes.select("node", "n")), "node").join(grown(left), "node")
     sized = sized.select("shingle", "node", "label", "n", "place")
     probe = cut(sized.where(f"place <= n - ({PERCENT} * n + 99) div 100 + 1"), "prefixes")
     index = probe.where(f"place <= n - ({2 * PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT} + 1")
     ordered = "a.shingle = b.shingle AND a.label <> b.label AND (a.n < b.n OR (a.n = b.n AND a.node < b.node))"
     enough = f"{100 + PERCENT} * (1 + least(a.n - a.place, b.n - b.place)) >= {PERCENT} * (a.n + b.n)"
-    pairs = index.alias("a").join(probe.alias("b"), F.expr(f"{ordered} AND {enough}"))
+    pairs = index.alias("a").join(grown(probe).alias("b"), F.expr(f"{ordered} AND {enough}"))
     return pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
@@ -255,10 +256,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nodes = cut(by_words.withColumn("node", F.monotonically_increasing_id()), "nodes")
     spots = nodes.select(F.explode("bands").alias("bucket"), "node")
     crowds = spots.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    shared = cut(attach(spots, crowds, ["bucket"], F.col("node"), "inner"), "buckets")
+    shared = cut(attach(spots, crowds, ["bucket"], F.col("node"), "inner", both_grow=True), "buckets")
     meets = shared.groupBy("node").agg(F.sum("members").alias("meets"))
-    left = cut(shared.select("bucket", "node").join(meets, "node"), "spots")
-    texts = _texts(rows, nodes.join(meets.select("node"), "node", "left_semi"))
+    left = cut(shared.select("bucket", "node").join(grown(meets), "node"), "spots")
+    texts = _texts(rows, nodes.join(grown(meets.select("node")), "node", "left_semi"))
 
     links: DataFrame | None = None
     for _ in range(ROUNDS):
@@ -266,7 +267,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if still.isEmpty():
             break
         centres = still.groupBy("bucket").agg(F.max(F.struct("meets", "node", "label")).alias("centre"))
-        met = attach(still, centres, ["bucket"], F.col("node"), "inner")
+        met = attach(still, centres, ["bucket"], F.col("node"), "inner", both_grow=True)
         pairs = met.where("label <> centre.label").select(F.col("node").alias("u"), F.col("centre.node").alias("v")).distinct()
         found = _confirm(pairs, nodes, texts)
         links = found if links is None else links.unionByName(found)
@@ -280,11 +281,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     let_go(docs.sparkSession)
     first = components(links if links is not None else nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
 
-    grouped = nodes.select("node", "id").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = nodes.select("node", "id").join(grown(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_node = attach(grouped.select("node", "root"), lowest, ["root"], F.col("node")).select("node", "component_id")
-    of_words = nodes.select("sequence", "node").join(of_node, "node").drop("node")
-    members = attach(signed.select("id", "row_key", "sequence", "n"), of_words, ["sequence"], F.col("row_key"))
+    of_node = attach(grouped.select("node", "root"), lowest, ["root"], F.col("node"), both_grow=True)
+    of_words = nodes.select("sequence", "node").join(grown(of_node.select("node", "component_id")), "node").drop("node")
+    rows = signed.select("id", "row_key", "sequence", "n")
+    members = attach(rows, of_words, ["sequence"], F.col("row_key"), both_grow=True)
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return members.select(
         "id", "row_key", F.col("n").alias("n_shingles"), own.alias("component_id"),

@@ -4,9 +4,11 @@ import random
 
 import numpy as np
 from helpers import components, odd_documents, shingles
+from leaguelake.llm import components as components_module
 from leaguelake.llm import near_dedup
 from leaguelake.llm.components import components as connected
 from leaguelake.llm.shingles import BLOCK, shingle_set, word_hashes
+from leaguelake.sources.store import cut
 
 
 def _text(rng: random.Random, n: int) -> list[str]:
@@ -110,3 +112,29 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     expected = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(31)} | {200 + i: 200 for i in range(3)}
     assert {r.node: r.root for r in found} == expected and len(found) == len(expected)
     assert connected(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_no_table_that_grows_with_the_corpus_is_broadcast(spark, monkeypatch):
+    """Even tiny ones are not: at any size Spark may take what an explode makes for as small."""
+    rng = random.Random(12)
+    bases = [_text(rng, 120) for _ in range(8)]
+    texts = [" ".join(_edited(rng, base, 0.02)) for base in bases for _ in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plans = []
+
+    def planned(df, label, *more):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return cut(df, label, *more)
+
+    for module in (near_dedup, components_module):
+        monkeypatch.setattr(module, "cut", planned)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        kept = near_dedup.kept_documents(docs)
+        plans.append(("kept", kept._jdf.queryExecution().executedPlan().toString()))
+        assert {r.doc_id for r in kept.collect()} == set(components(dict(enumerate(texts))).values())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {"buckets", "spots", "open", "links", "texts", "kept"} <= {label for label, _ in plans}
+    assert [label for label, plan in plans if "Broadcast" in plan] == []
