@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguelake.llm import crf
-from leaguelake.llm.common import in_pieces, in_tasks
+from leaguelake.llm.common import grown, in_pieces, in_tasks
 from leaguelake.sources.store import cut
 
 SAMPLE_ROWS = 3_000
@@ -70,10 +70,9 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         "id is not null and toxic is not null"
     ).groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     hashes = rows.select("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("k"))
-    chosen = hashes.join(marks, "id").groupBy("h", "k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"))
+    chosen = hashes.join(grown(marks), "id").groupBy("h", "k").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"))
     chosen = cut(chosen.select("id", "h", "k", "toxic"), "labelled-ids")
-    # A table that grows with the labels: joined alike at every size, never broadcast.
-    wanted = chosen.select("id", "h", "toxic").hint("merge")
+    wanted = grown(chosen.select("id", "h", "toxic"))
     found = rows.withColumn("h", F.xxhash64("text")).join(wanted, ["id", "h"])
     return cut(found.select("text", "toxic"), "labelled")
 
