@@ -15,9 +15,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from leaguelake.llm import exact_dedup, language, near_dedup, packing, toxicity
-from leaguelake.llm.common import in_fold, let_go
+from leaguelake.llm.common import in_fold
 from leaguelake.llm.queries import table, vocabulary_path
-from leaguelake.sources.store import session_folder
+from leaguelake.sources.store import let_go, session_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

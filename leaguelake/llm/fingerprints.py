@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leaguelake.llm.common import ascii_lower, attach, let_go
-from leaguelake.sources.store import cut
+from leaguelake.llm.common import ascii_lower, attach
+from leaguelake.sources.store import cut, let_go
 
 SLOT_BITS = 20
 SUBSETS = 16

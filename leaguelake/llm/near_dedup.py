@@ -26,10 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leaguelake.llm.common import attach, grown, in_tasks, keep_rows, let_go, row_key
+from leaguelake.llm.common import attach, grown, in_tasks, keep_rows, row_key
 from leaguelake.llm.components import components
 from leaguelake.llm.shingles import mix, shingle_set, word_hashes
-from leaguelake.sources.store import cut
+from leaguelake.sources.store import cut, let_go
 
 WIDTH = 5
 #: Similarity from which texts are linked, in hundredths.

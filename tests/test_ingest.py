@@ -270,6 +270,18 @@ def test_the_stream_quarantines_what_it_cannot_use_and_records_its_runs(lake, in
     assert {r.season for r in later.collect()} == {"2024"}
 
 
+def test_batches_of_the_stream_leave_nothing_on_disk_but_stored_tables(spark, lake, inbox, tmp_path):
+    cuts = f"{store.session_folder(spark)}/cuts"
+    before = store.file_names(spark, cuts)
+    for season in ("2023", "2024"):  # the first builds all models, the second replaces units
+        fill(inbox, [season])
+        assert follow_inbox(lake, f"{inbox}/*", str(tmp_path / "cp"), clock=lambda: FIRST).awaitTermination(300)
+    assert store.file_names(spark, cuts) == before
+    refreshed = stored_rows(lake)
+    Models(lake).build()
+    assert refreshed == stored_rows(lake)
+
+
 def test_a_batch_load_quarantines_what_it_cannot_use(lake, inbox):
     fill(inbox, ["2024"])
     (inbox.folder / "matches" / "x.json").write_text("\n".join([UNUSABLE_LINES[0], UNUSABLE_LINES[2], UNUSABLE_LINES[3]]) + "\n")
