@@ -279,6 +279,15 @@ def test_the_index_reads_only_parts_that_hold_an_asked_match(spark, lake):
     assert few <= 2 < more <= 12
 
 
+def test_ids_of_matches_are_not_broadcast(spark, lake):
+    """A file of them is far smaller than they are in memory, so that its size says nothing."""
+    schema = "match_id string, competition_code string, season string"
+    lake.save_all_units("staging", "stg_matches", spark.createDataFrame([("1", "PL", "2023")], schema))
+    found = match_index.located(lake, spark.createDataFrame([("1",)], "match_id string"))
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 1
+
+
 def test_the_index_follows_moved_matches(spark, lake):
     schema = "match_id string, competition_code string, season string"
     lake.save_all_units("staging", "stg_matches", spark.createDataFrame([("1", "PL", "2023"), ("2", "PL", "2023")], schema))
